@@ -10,9 +10,12 @@ filings with negative equity (1 decimal). Panels with fewer than
 ``min_panel`` companies are dropped.
 
 Plan: the join shuffles (or broadcasts, by AQE's runtime size) on
-``siren``; counts aggregate partially per (group, company) so a hot panel is
-spread by company; quartiles use the distributed rank selection of
-``quantiles.exact_percentiles``. Results have one row per panel.
+``siren``; its projection (keys, company, flag, six measures) is written
+once to the checkpoint folder, and both the counts and the quartiles read
+it, so the upstream models are computed once. Counts aggregate partially per
+(group, company), so a hot panel is spread by company; quartiles use the
+distributed rank selection of ``quantiles.exact_percentiles``. Results have
+one row per panel.
 """
 
 from __future__ import annotations
@@ -21,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import round_half_away
+from ..session import materialize
 from .quantiles import exact_percentiles, percentile_column
 
 KEYS = ["naf_division", "secteur_macro", "annee_fiscale"]
@@ -43,7 +47,9 @@ def benchmark_base(ind: DataFrame, ent: DataFrame) -> DataFrame:
 
 
 def sector_benchmark(ind: DataFrame, ent: DataFrame, min_panel: int = DEFAULT_MIN_PANEL) -> DataFrame:
-    base = benchmark_base(ind, ent)
+    base = benchmark_base(ind, ent).select(
+        *KEYS, "siren", "capitaux_propres_negatifs", *[src for _, src, _, _ in MEASURES])
+    base = materialize(base, "sector-benchmark-base")
 
     per_company = (base.groupBy(*KEYS, "siren")
                    .agg(F.count(F.lit(1)).alias("_rows"),
@@ -54,7 +60,7 @@ def sector_benchmark(ind: DataFrame, ent: DataFrame, min_panel: int = DEFAULT_MI
               .where(F.col("nb_entreprises") >= F.lit(min_panel)))
 
     quart = exact_percentiles(base, KEYS, {stem: src for stem, src, _, _ in MEASURES},
-                              PROBS, label="sector-benchmark")
+                              PROBS, label="sector-benchmark", input_is_stored=True)
     joined = counts.join(quart, [counts[k].eqNullSafe(quart[k]) for k in KEYS], "left")
 
     cols = [counts[k].alias(k) for k in KEYS] + [F.col("nb_entreprises")]

@@ -120,16 +120,16 @@ def null_rates(raw: DataFrame, columns: list[str] = NULL_PROFILE_COLUMNS) -> Dat
 
 
 def filing_types(raw: DataFrame) -> DataFrame:
+    """Revenue is positive, hence not null: the median operator's value
+    count is the row count, so one pass gives both."""
     positive = raw.where(F.col("chiffre_affaires") > F.lit(0))
-    counts = positive.groupBy("type_bilan").agg(F.count(F.lit(1)).alias("nb"))
     med = exact_percentiles(positive, ["type_bilan"], {"ca": "chiffre_affaires"}, [0.5],
-                            label="filing-types")
-    joined = counts.join(med, counts["type_bilan"].eqNullSafe(med["type_bilan"]), "left")
-    return joined.select(
-        counts["type_bilan"].alias("type_bilan"),
-        "nb",
+                            label="filing-types", with_counts=True)
+    return med.select(
+        "type_bilan",
+        F.col("ca_n").alias("nb"),
         round_half_away(F.col(percentile_column("ca", 0.5)) / F.lit(1000.0), 0).alias("ca_median_k"),
-        _share("nb").alias("pct"),
+        _share("ca_n").alias("pct"),
     ).orderBy(F.desc("nb"), F.col("type_bilan").asc_nulls_last())
 
 

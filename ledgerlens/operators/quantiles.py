@@ -5,12 +5,16 @@ that has at least one non-null measure value, with one DOUBLE column
 ``f"{measure}_p{round(100 * p)}"`` per measure and probability: the
 ``percentile_cont`` of the non-null values, i.e. with ``pos = (n - 1) * p``
 the interpolation of the values at ranks ``floor(pos)`` and ``ceil(pos)``.
+With ``with_counts`` it adds ``f"{measure}_n"``, the number of non-null
+values.
 
 Spark's exact ``percentile`` and any ``collect_list`` keep a whole group in
 one task. Here a group may be any size:
 
 1. all measures are unpivoted into ``(keys, m, v)`` rows (one shuffle for
-   all measures),
+   all measures); unless the caller says its input is already stored, these
+   rows are written once, so the range-bound sampling and the sort do not
+   recompute the input's lineage,
 2. range-partitioned and sorted on ``(keys, m, v)``: a hot group is spread
    over as many contiguous partitions as its size needs,
 3. each row gets a monotonically increasing id (partition index in the high
@@ -47,13 +51,16 @@ def percentile_column(measure: str, p: float) -> str:
 
 
 def exact_percentiles(df: DataFrame, keys: list[str], measures: dict[str, Column | str],
-                      probs: list[float], label: str = "percentiles") -> DataFrame:
+                      probs: list[float], label: str = "percentiles", *,
+                      with_counts: bool = False, input_is_stored: bool = False) -> DataFrame:
     names = list(measures)
     values = [F.struct(F.lit(i).alias("_m"),
                        (F.col(c) if isinstance(c, str) else c).cast("double").alias("_v"))
               for i, c in enumerate(measures.values())]
     long = (df.select(*keys, F.inline(F.array(*values)))
             .where(F.col("_v").isNotNull()))
+    if not input_is_stored:
+        long = materialize(long, f"{label}-values")
 
     order = [*keys, "_m", "_v"]
     ranked = (long.repartitionByRange(*order)
@@ -91,10 +98,13 @@ def exact_percentiles(df: DataFrame, keys: list[str], measures: dict[str, Column
                   F.max(F.when(F.col("_side") == 1, F.col("_v"))).alias("_hi"),
                   F.max("_n").alias("_n")))
     pos = (F.col("_n") - 1).cast("double") * F.col("_p")
-    pairs = pairs.select(*group, "_p",
+    pairs = pairs.select(*group, "_p", "_n",
                          interpolate(F.col("_lo"), F.col("_hi"), pos - F.floor(pos)).alias("_q"))
 
     wide = [F.max(F.when((F.col("_m") == i) & (F.col("_p") == float(p)), F.col("_q")))
             .alias(percentile_column(name, p))
             for i, name in enumerate(names) for p in probs]
+    if with_counts:
+        wide += [F.max(F.when(F.col("_m") == i, F.col("_n"))).alias(f"{name}_n")
+                 for i, name in enumerate(names)]
     return pairs.groupBy(*keys).agg(*wide)

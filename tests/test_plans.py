@@ -1,0 +1,71 @@
+"""Physical-plan properties the design relies on (read from explain())."""
+
+import re
+
+from ledgerlens.operators.evolution import compute_evolution
+from ledgerlens.operators.indicators import compute_indicators
+from ledgerlens.operators.staging import stage_statements
+from ledgerlens.operators.views import company_indicators
+from ledgerlens.queries import QUERIES
+from tests.conftest import SF_SMALL
+
+
+def plan_text(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def formatted(df) -> str:
+    from io import StringIO
+    import contextlib
+    buf = StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain("formatted")
+    return buf.getvalue()
+
+
+def test_dedup_uses_partial_window_group_limit(spark):
+    plan = formatted(QUERIES["stg_statements"](spark, SF_SMALL))
+    assert "WindowGroupLimit" in plan
+    assert re.search(r"WindowGroupLimit.*Partial", plan, re.S)
+
+
+def test_evolution_two_lag_passes_share_one_exchange(spark):
+    plan = formatted(QUERIES["evolution"](spark, SF_SMALL))
+    siren_only = re.findall(r"hashpartitioning\(siren#\d+, \d+\)", plan)
+    assert len(siren_only) == 1, siren_only
+    # fixture aggregation, dedup on (siren, year), lag on siren: three exchanges
+    assert plan.count("Exchange (") == 3 or len(re.findall(r"\+- Exchange", plan)) == 3
+
+
+def test_point_lookup_reaches_the_scan(spark, tmp_path):
+    path = str(tmp_path / "ind")
+    raw = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
+    from ledgerlens.sources.fixtures import raw_accounts
+    compute_indicators(stage_statements(raw_accounts(raw), 1995, 2001)) \
+        .write.mode("overwrite").parquet(path)
+    ind = spark.read.parquet(path)
+    plan = formatted(company_indicators(ind, siren="000000005", year=1998))
+    scan = plan.split("(1) Scan parquet", 1)[1].split("\n\n", 1)[0]
+    assert "EqualTo(siren,000000005)" in scan and "EqualTo(annee_fiscale,1998)" in scan
+    # only the 20 selected columns are read
+    read_schema = re.search(r"ReadSchema: struct<(.*)>", scan).group(1)
+    assert read_schema.count(":") == 20
+
+
+def test_company_filter_pushed_below_windows(spark):
+    """A company filter on the evolution mart is applied before the window
+    exchanges (siren is their partition key), i.e. at the source."""
+    evo = compute_evolution(compute_indicators(stage_statements(
+        __import__("ledgerlens.sources.fixtures", fromlist=["x"]).fixture_accounts(spark, SF_SMALL),
+        1995, 2001)))
+    from pyspark.sql import functions as F
+    plan = formatted(evo.where(F.col("siren") == "000000005"))
+    scan = plan.split("(1) Scan parquet", 1)[1].split("\n\n", 1)[0]
+    assert "PushedFilters" in scan and "o_custkey" in scan
+    assert "Filter" in plan.split("(1) Scan parquet", 1)[1].split("Exchange", 1)[0]
+
+
+def test_profiles_read_only_needed_columns(spark):
+    plan = formatted(QUERIES["profile_duplicates"](spark, SF_SMALL))
+    read_schema = re.search(r"ReadSchema: struct<(.*)>", plan).group(1)
+    assert "o_totalprice" not in read_schema
