@@ -78,6 +78,13 @@ def _null_pct(c: str) -> Column:
         F.lit(100.0) * F.sum(F.when(F.col(c).isNull(), 1).otherwise(0)) / F.count(F.lit(1)), 1)
 
 
+def describe(df: DataFrame) -> DataFrame:
+    """Column names and types of a table (schema metadata, one row each)."""
+    rows = [(f.name, f.dataType.simpleString(), f.nullable) for f in df.schema.fields]
+    return df.sparkSession.createDataFrame(
+        rows, "column_name string, column_type string, nullable boolean")
+
+
 def volume(raw: DataFrame) -> DataFrame:
     """Rows and distinct companies; the distinct count is a two-step
     aggregation (per company, then global), so no key set sits in one task."""

@@ -147,6 +147,14 @@ def ranking_bfr(bench: DataFrame, year: int = 2023, min_companies: int = 200,
                      "p50_bfr_jours", "p75_bfr_jours"], limit)
 
 
+def benchmark_report(bench: DataFrame) -> DataFrame:
+    """The benchmark in presentation order: newest year first, then the
+    largest panels (ties by division and sector). Stored tables carry no
+    order; this sorts when reading."""
+    return bench.orderBy(F.desc("annee_fiscale"), F.desc("nb_entreprises"),
+                         F.asc("naf_division"), F.asc("secteur_macro"))
+
+
 def division_history(bench: DataFrame, division: str = "62", limit: int = 5) -> DataFrame:
     """One division's panels, newest year first (ties by sector label)."""
     return (bench.where(F.col("naf_division") == F.lit(division))

@@ -79,6 +79,11 @@ def q_sector_benchmark(spark, sf_dir):
     return _bench(spark, sf_dir)
 
 
+def q_benchmark_report(spark, sf_dir):
+    """The benchmark sorted for presentation (newest year, largest panel)."""
+    return views.benchmark_report(_bench(spark, sf_dir))
+
+
 def q_raw_companies(spark, sf_dir):
     """Register ingest: projection, renaming and row predicates."""
     return _companies(spark, sf_dir)
@@ -209,6 +214,7 @@ QUERIES: dict[str, Query] = {
     "indicators": q_indicators,
     "evolution": q_evolution,
     "sector_benchmark": q_sector_benchmark,
+    "benchmark_report": q_benchmark_report,
     "raw_companies": q_raw_companies,
     "profile_volume": q_profile_volume,
     "profile_years": q_profile_years,
