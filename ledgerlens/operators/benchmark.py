@@ -61,12 +61,15 @@ def sector_benchmark(ind: DataFrame, ent: DataFrame, min_panel: int = DEFAULT_MI
 
     quart = exact_percentiles(base, KEYS, {stem: src for stem, src, _, _ in MEASURES},
                               PROBS, label="sector-benchmark", input_is_stored=True)
-    joined = counts.join(quart, [counts[k].eqNullSafe(quart[k]) for k in KEYS], "left")
+    # Keys are never null here (the division comes from a non-null code, the
+    # year is range-filtered), so a plain equi-join reuses the hash
+    # partitioning both aggregates already have: no further exchange.
+    joined = counts.join(quart, KEYS, "left")
 
-    cols = [counts[k].alias(k) for k in KEYS] + [F.col("nb_entreprises")]
+    cols = [F.col(k) for k in KEYS] + [F.col("nb_entreprises")]
     for stem, _, divisor, digits in MEASURES:
         for p in PROBS:
-            v = quart[percentile_column(stem, p)]
+            v = F.col(percentile_column(stem, p))
             if divisor:
                 v = v / F.lit(divisor)
             cols.append(round_half_away(v, digits).alias(f"p{round(p * 100)}_{stem}"))

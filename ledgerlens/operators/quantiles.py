@@ -93,18 +93,26 @@ def exact_percentiles(df: DataFrame, keys: list[str], measures: dict[str, Column
     lookup = F.broadcast(targets) if small else targets
 
     picked = ranked.select("_rid", "_v").join(lookup, "_rid")
-    pairs = (picked.groupBy(*group, "_p")
-             .agg(F.max(F.when(F.col("_side") == 0, F.col("_v"))).alias("_lo"),
-                  F.max(F.when(F.col("_side") == 1, F.col("_v"))).alias("_hi"),
-                  F.max("_n").alias("_n")))
-    pos = (F.col("_n") - 1).cast("double") * F.col("_p")
-    pairs = pairs.select(*group, "_p", "_n",
-                         interpolate(F.col("_lo"), F.col("_hi"), pos - F.floor(pos)).alias("_q"))
-
-    wide = [F.max(F.when((F.col("_m") == i) & (F.col("_p") == float(p)), F.col("_q")))
-            .alias(percentile_column(name, p))
-            for i, name in enumerate(names) for p in probs]
+
+    # One aggregation per group gathers, for every measure and probability,
+    # the values at the lower and upper rank; interpolation is a projection.
+    m, pr, side, v = F.col("_m"), F.col("_p"), F.col("_side"), F.col("_v")
+    aggs = []
+    for i in range(len(names)):
+        aggs.append(F.max(F.when(m == i, F.col("_n"))).alias(f"_n{i}"))
+        for j, p in enumerate(probs):
+            for sd in (0, 1):
+                aggs.append(F.max(F.when((m == i) & (pr == float(p)) & (side == sd), v))
+                            .alias(f"_v{i}_{j}_{sd}"))
+    gathered = picked.groupBy(*keys).agg(*aggs)
+
+    out = [F.col(k) for k in keys]
+    for i, name in enumerate(names):
+        n = F.col(f"_n{i}")
+        for j, p in enumerate(probs):
+            pos = (n - 1).cast("double") * F.lit(float(p))
+            out.append(interpolate(F.col(f"_v{i}_{j}_0"), F.col(f"_v{i}_{j}_1"), pos - F.floor(pos))
+                       .alias(percentile_column(name, p)))
     if with_counts:
-        wide += [F.max(F.when(F.col("_m") == i, F.col("_n"))).alias(f"{name}_n")
-                 for i, name in enumerate(names)]
-    return pairs.groupBy(*keys).agg(*wide)
+        out += [F.col(f"_n{i}").alias(f"{name}_n") for i, name in enumerate(names)]
+    return gathered.select(*out)
