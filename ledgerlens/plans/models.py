@@ -19,6 +19,7 @@ from ..operators.benchmark import sector_benchmark
 from ..operators.evolution import compute_evolution
 from ..operators.indicators import compute_indicators
 from ..operators.staging import DEFAULT_MAX_YEAR, DEFAULT_MIN_YEAR, stage_companies, stage_statements
+from ..session import materialize
 from ..sources.parquet import company_register, save_table
 
 
@@ -69,3 +70,19 @@ def materialize_models(raw_accounts: DataFrame, register: DataFrame, *, buckets:
     bench = save_table(sector_benchmark(ind, ent, min_panel=min_panel),
                        f"{prefix}mart_benchmark_sectoriel")
     return Models(stg, ent, ind, evo, bench)
+
+
+def stored_models(raw_accounts: DataFrame, register: DataFrame, *,
+                  min_year: int = DEFAULT_MIN_YEAR, max_year: int = DEFAULT_MAX_YEAR,
+                  min_panel: int = 50, register_is_renamed: bool = False) -> Models:
+    """Build every model once into the shared checkpoint folder (no catalog
+    needed), each downstream model reading its stored inputs. Used to run the
+    data checks on built tables, as a model run followed by its tests."""
+    companies = register if register_is_renamed else company_register(register)
+    stg = materialize(stage_statements(raw_accounts, min_year, max_year), "model-stg_bilans")
+    ent = materialize(stage_companies(companies), "model-stg_entreprises")
+    ind = materialize(compute_indicators(stg), "model-mart_indicateurs")
+    evo = materialize(compute_evolution(ind), "model-mart_evolution")
+    bench = materialize(sector_benchmark(ind, ent, min_panel=min_panel),
+                        "model-mart_benchmark_sectoriel")
+    return Models(stg, ent, ind, evo, bench)

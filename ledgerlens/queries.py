@@ -17,6 +17,7 @@ from .operators.evolution import compute_evolution
 from .operators.indicators import compute_indicators
 from .operators.quality import declared_checks, quality_report
 from .operators.staging import stage_companies, stage_statements
+from .plans.models import stored_models
 from .sources.fixtures import fixture_accounts, fixture_register
 from .sources.parquet import company_register
 
@@ -198,12 +199,14 @@ def q_revenue_series(spark, sf_dir):
 
 
 def q_quality_report(spark, sf_dir):
-    stg, ent = _stg(spark, sf_dir), _ent(spark, sf_dir)
-    ind = compute_indicators(stg)
+    """Build the five models once (stored), then run every declared check on
+    the stored tables."""
+    m = stored_models(_raw(spark, sf_dir), fixture_register(spark, sf_dir),
+                      min_year=MIN_YEAR, max_year=MAX_YEAR, min_panel=50)
     tables = {
-        "stg_bilans": stg, "stg_entreprises": ent, "mart_indicateurs": ind,
-        "mart_evolution": compute_evolution(ind),
-        "mart_benchmark_sectoriel": sector_benchmark(ind, ent, min_panel=50),
+        "stg_bilans": m.stg_bilans, "stg_entreprises": m.stg_entreprises,
+        "mart_indicateurs": m.mart_indicateurs, "mart_evolution": m.mart_evolution,
+        "mart_benchmark_sectoriel": m.mart_benchmark_sectoriel,
     }
     return quality_report(tables, declared_checks(MIN_YEAR, MAX_YEAR))
 
