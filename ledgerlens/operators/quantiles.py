@@ -12,9 +12,9 @@ Spark's exact ``percentile`` and any ``collect_list`` keep a whole group in
 one task. Here a group may be any size:
 
 1. all measures are unpivoted into ``(keys, m, v)`` rows (one shuffle for
-   all measures); unless the caller says its input is already stored, these
-   rows are written once, so the range-bound sampling and the sort do not
-   recompute the input's lineage,
+   all measures). The range-bound sampling and the sort each read the input:
+   with ``store_input`` (for inputs behind joins or aggregations) these rows
+   are written once first; a plain table scan is simply read twice,
 2. range-partitioned and sorted on ``(keys, m, v)``: a hot group is spread
    over as many contiguous partitions as its size needs,
 3. each row gets a monotonically increasing id (partition index in the high
@@ -25,8 +25,10 @@ one task. Here a group may be any size:
    ``partitions + groups`` rows), prefix counts give each block's offset in
    its group, and from the group size the ids of the rows at the wanted
    ranks follow directly,
-5. those rows (at most 2 per group, measure and probability) are fetched
-   with a broadcast join whose size is checked first, then interpolated.
+5. those rows (at most 2 per group, measure and probability) are stored and
+   joined back by id. The planner sizes the stored file: under
+   ``spark.sql.autoBroadcastJoinThreshold`` it is broadcast, above it the
+   join is a sort-merge join, so the broadcast never exceeds the threshold.
 
 Interpolation rounds like a fused multiply-add, see
 ``functions.numeric.interpolate`` (exact for the quartiles and the median).
@@ -40,9 +42,6 @@ from pyspark.sql import functions as F
 from ..functions.numeric import interpolate
 from ..session import materialize
 
-# Above this many fetched rows the final lookup is a shuffle join instead of
-# a broadcast (each row is a few longs and doubles).
-MAX_BROADCAST_TARGETS = 2_000_000
 _ID_BITS = 33  # low bits of monotonically_increasing_id hold the row position
 
 
@@ -52,14 +51,14 @@ def percentile_column(measure: str, p: float) -> str:
 
 def exact_percentiles(df: DataFrame, keys: list[str], measures: dict[str, Column | str],
                       probs: list[float], label: str = "percentiles", *,
-                      with_counts: bool = False, input_is_stored: bool = False) -> DataFrame:
+                      with_counts: bool = False, store_input: bool = False) -> DataFrame:
     names = list(measures)
     values = [F.struct(F.lit(i).alias("_m"),
                        (F.col(c) if isinstance(c, str) else c).cast("double").alias("_v"))
               for i, c in enumerate(measures.values())]
     long = (df.select(*keys, F.inline(F.array(*values)))
             .where(F.col("_v").isNotNull()))
-    if not input_is_stored:
+    if store_input:
         long = materialize(long, f"{label}-values")
 
     order = [*keys, "_m", "_v"]
@@ -89,10 +88,8 @@ def exact_percentiles(df: DataFrame, keys: list[str], measures: dict[str, Column
                .select((F.col("_first") + F.col("_rank") - F.col("_before")).alias("_rid"),
                        *group, "_n", "_p", "_side"))
     targets = materialize(targets, f"{label}-targets")
-    small = targets.count() <= MAX_BROADCAST_TARGETS
-    lookup = F.broadcast(targets) if small else targets
 
-    picked = ranked.select("_rid", "_v").join(lookup, "_rid")
+    picked = ranked.select("_rid", "_v").join(targets, "_rid")
 
     # One aggregation per group gathers, for every measure and probability,
     # the values at the lower and upper rank; interpolation is a projection.
