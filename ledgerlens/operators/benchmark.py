@@ -13,9 +13,10 @@ Plan: the join shuffles (or broadcasts, by AQE's runtime size) on
 ``siren``; its projection (keys, company, flag, six measures) is written
 once to the checkpoint folder, and both the counts and the quartiles read
 it, so the upstream models are computed once. Counts aggregate partially per
-(group, company), so a hot panel is spread by company; quartiles use the
-distributed rank selection of ``quantiles.exact_percentiles``. Results have
-one row per panel.
+(group, company), so a hot panel is spread by company; quartiles use
+``quantiles.exact_percentiles``: panels up to ``max_in_task`` filings in one
+aggregation, larger ones by distributed rank selection. Results have one
+row per panel.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import round_half_away
 from ..session import materialize
-from .quantiles import exact_percentiles, percentile_column
+from .quantiles import DEFAULT_MAX_IN_TASK, exact_percentiles, percentile_column
 
 KEYS = ["naf_division", "secteur_macro", "annee_fiscale"]
 PROBS = [0.5, 0.25, 0.75]
@@ -46,7 +47,8 @@ def benchmark_base(ind: DataFrame, ent: DataFrame) -> DataFrame:
             .join(ent.select("siren", "code_naf", "naf_division", "secteur_macro"), "siren", "inner"))
 
 
-def sector_benchmark(ind: DataFrame, ent: DataFrame, min_panel: int = DEFAULT_MIN_PANEL) -> DataFrame:
+def sector_benchmark(ind: DataFrame, ent: DataFrame, min_panel: int = DEFAULT_MIN_PANEL,
+                     max_in_task: int = DEFAULT_MAX_IN_TASK) -> DataFrame:
     base = benchmark_base(ind, ent).select(
         *KEYS, "siren", "capitaux_propres_negatifs", *[src for _, src, _, _ in MEASURES])
     base = materialize(base, "sector-benchmark-base")
@@ -60,7 +62,7 @@ def sector_benchmark(ind: DataFrame, ent: DataFrame, min_panel: int = DEFAULT_MI
               .where(F.col("nb_entreprises") >= F.lit(min_panel)))
 
     quart = exact_percentiles(base, KEYS, {stem: src for stem, src, _, _ in MEASURES},
-                              PROBS, label="sector-benchmark")
+                              PROBS, label="sector-benchmark", max_in_task=max_in_task)
     # Keys are never null here (the division comes from a non-null code, the
     # year is range-filtered), so a plain equi-join reuses the hash
     # partitioning both aggregates already have: no further exchange.

@@ -1,4 +1,4 @@
-"""Exact continuous percentiles per group, distributed (no group in one task).
+"""Exact continuous percentiles per group; no unbounded group in one task.
 
 ``exact_percentiles(df, keys, measures, probs)`` returns one row per group
 that has at least one non-null measure value, with one DOUBLE column
@@ -9,7 +9,12 @@ With ``with_counts`` it adds ``f"{measure}_n"``, the number of non-null
 values.
 
 Spark's exact ``percentile`` and any ``collect_list`` keep a whole group in
-one task. Here a group may be any size:
+one task, so they are only used where the group's size has been counted
+first. The group sizes are counted (one aggregate, one number back to the
+driver); groups of at most ``max_in_task`` rows are computed in one
+aggregation: per group and measure the sorted array of its values
+(``collect_list`` drops nulls), from which the two ranks are read. Larger
+groups, however large, take the distributed path:
 
 1. all measures are unpivoted into ``(keys, m, v)`` rows (one shuffle for
    all measures). The range-bound sampling and the sort each read the input:
@@ -43,18 +48,79 @@ from ..functions.numeric import interpolate
 from ..session import materialize
 
 _ID_BITS = 33  # low bits of monotonically_increasing_id hold the row position
+# Largest group computed inside one task: 200k values per measure is a few
+# MB per array (about 29 MB for six measures, boxed while collected).
+DEFAULT_MAX_IN_TASK = 200_000
 
 
 def percentile_column(measure: str, p: float) -> str:
     return f"{measure}_p{round(p * 100)}"
 
 
+def _value(c) -> Column:
+    return (F.col(c) if isinstance(c, str) else c).cast("double")
+
+
 def exact_percentiles(df: DataFrame, keys: list[str], measures: dict[str, Column | str],
                       probs: list[float], label: str = "percentiles", *,
-                      with_counts: bool = False, store_input: bool = False) -> DataFrame:
+                      with_counts: bool = False, store_input: bool = False,
+                      max_in_task: int = DEFAULT_MAX_IN_TASK) -> DataFrame:
+    """See the module docstring. ``df`` is read more than once (sizes, then
+    values); pass a stored table or a plain scan, or ``store_input=True``."""
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    largest = sizes.agg(F.max("_rows")).first()[0]
+    if largest is None or largest <= max_in_task:
+        return _in_task(df, keys, measures, probs, with_counts)
+
+    sizes = materialize(sizes, f"{label}-sizes")  # one row per group
+
+    def having(cond):
+        chosen = sizes.where(cond).select(*keys)
+        on = [df[k].eqNullSafe(chosen[k]) for k in keys]
+        return df.join(chosen, on, "left_semi")
+
+    small = _in_task(having(F.col("_rows") <= max_in_task), keys, measures, probs, with_counts)
+    large = _distributed(having(F.col("_rows") > max_in_task), keys, measures, probs, label,
+                         with_counts=with_counts, store_input=store_input)
+    return small.unionByName(large)
+
+
+def _in_task(df: DataFrame, keys: list[str], measures: dict[str, Column | str],
+             probs: list[float], with_counts: bool) -> DataFrame:
+    """Groups whose size was checked: one aggregation of sorted value arrays."""
+    names = list(measures)
+    arrays = df.groupBy(*keys).agg(*[F.array_sort(F.collect_list(_value(c))).alias(f"_a{i}")
+                                     for i, c in enumerate(measures.values())])
+    counts = [F.size(f"_a{i}") for i in range(len(names))]
+    arrays = arrays.where((counts[0] if len(counts) == 1 else F.greatest(*counts)) > 0)
+    # lookups first, interpolation in a second projection (keeps generated code small)
+    picks = [F.col(k) for k in keys]
+    for i in range(len(names)):
+        a = F.col(f"_a{i}")
+        n = F.size(a)
+        picks.append(n.cast("long").alias(f"_n{i}"))
+        for j, p in enumerate(probs):
+            pos = (n - 1).cast("double") * F.lit(float(p))
+            picks += [F.get(a, F.floor(pos).cast("int")).alias(f"_lo{i}_{j}"),
+                      F.get(a, F.ceil(pos).cast("int")).alias(f"_hi{i}_{j}"),
+                      (pos - F.floor(pos)).alias(f"_d{i}_{j}")]
+    picked = arrays.select(*picks)
+    out = [F.col(k) for k in keys]
+    for i, name in enumerate(names):
+        for j, p in enumerate(probs):
+            out.append(F.when(F.col(f"_n{i}") > 0, interpolate(
+                F.col(f"_lo{i}_{j}"), F.col(f"_hi{i}_{j}"), F.col(f"_d{i}_{j}")))
+                .alias(percentile_column(name, p)))
+    if with_counts:
+        out += [F.col(f"_n{i}").alias(f"{name}_n") for i, name in enumerate(names)]
+    return picked.select(*out)
+
+
+def _distributed(df: DataFrame, keys: list[str], measures: dict[str, Column | str],
+                 probs: list[float], label: str, *, with_counts: bool,
+                 store_input: bool) -> DataFrame:
     names = list(measures)
-    values = [F.struct(F.lit(i).alias("_m"),
-                       (F.col(c) if isinstance(c, str) else c).cast("double").alias("_v"))
+    values = [F.struct(F.lit(i).alias("_m"), _value(c).alias("_v"))
               for i, c in enumerate(measures.values())]
     long = (df.select(*keys, F.inline(F.array(*values)))
             .where(F.col("_v").isNotNull()))

@@ -8,7 +8,7 @@ import duckdb
 import pandas as pd
 import pytest
 
-from ledgerlens.operators.quantiles import exact_percentiles, percentile_column
+from ledgerlens.operators.quantiles import DEFAULT_MAX_IN_TASK, exact_percentiles, percentile_column
 
 PROBS = [0.25, 0.5, 0.75]
 
@@ -52,10 +52,14 @@ def make_rows(seed=3):
     return rows
 
 
-def test_matches_brute_force_and_duckdb(spark, many_partitions):
+@pytest.mark.parametrize("max_in_task", [DEFAULT_MAX_IN_TASK, 0, 100])
+def test_matches_brute_force_and_duckdb(spark, many_partitions, max_in_task):
+    """All groups in-task, all distributed, and a split (the hot group and the
+    groups of more than 100 rows distributed, the others in-task)."""
     rows = make_rows()
     df = spark.createDataFrame(rows, "g string, k int, x double, y long")
-    out = exact_percentiles(df, ["g", "k"], {"x": "x", "y": "y"}, PROBS, with_counts=True)
+    out = exact_percentiles(df, ["g", "k"], {"x": "x", "y": "y"}, PROBS, with_counts=True,
+                            max_in_task=max_in_task, store_input=True)
     got = {(r.g, r.k): r for r in out.collect()}
 
     groups = {}
@@ -86,8 +90,8 @@ def test_matches_brute_force_and_duckdb(spark, many_partitions):
 
 
 def test_hot_group_spans_partitions(spark, many_partitions):
-    """The hot group is split over several range partitions (so no task holds
-    it whole) and the stitched ranks are still exact."""
+    """A group over the in-task bound is split over several range partitions
+    (so no task holds it whole) and the stitched ranks are still exact."""
     from pyspark.sql import functions as F
     rows = [("hot", float(i % 5000)) for i in range(30000)] + [("cold", 1.0)]
     df = spark.createDataFrame(rows, "g string, v double")
@@ -95,7 +99,8 @@ def test_hot_group_spans_partitions(spark, many_partitions):
               .groupBy("g").agg(F.countDistinct("pid").alias("parts")))
     parts = {r.g: r.parts for r in ranked.collect()}
     assert parts["hot"] > 10
-    out = {r.g: r for r in exact_percentiles(df, ["g"], {"v": "v"}, PROBS).collect()}
+    out = {r.g: r for r in exact_percentiles(df, ["g"], {"v": "v"}, PROBS,
+                                             max_in_task=1000).collect()}
     vals = [v for g, v in rows if g == "hot"]
     for p in PROBS:
         assert getattr(out["hot"], percentile_column("v", p)) == brute(vals, p)

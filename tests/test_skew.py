@@ -2,6 +2,7 @@
 rows, and one benchmark panel per year holding every company."""
 
 import duckdb
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerlens.operators.benchmark import sector_benchmark
@@ -30,15 +31,17 @@ def test_hot_copies_dedup_to_same_rows(spark):
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
-def test_single_hot_panel_matches_duckdb(spark):
+@pytest.mark.parametrize("max_in_task", [200_000, 500])
+def test_single_hot_panel_matches_duckdb(spark, max_in_task):
     """All companies share one activity code: each year is one panel holding
-    every filing of that year; quartiles still equal DuckDB's."""
+    every filing of that year; quartiles still equal DuckDB's, both in-task
+    and with every panel over the bound (distributed ranks)."""
     reg = company_register(fixture_register(spark, "/root/testdata/sf0.01")).withColumn(
         "code_naf", F.lit("62.01Z"))
     ind = compute_indicators(stage_statements(fixture_accounts(spark, "/root/testdata/sf0.01"),
                                               1995, 2001))
     ent = stage_companies(reg)
-    got = sector_benchmark(ind, ent, min_panel=50).toPandas()
+    got = sector_benchmark(ind, ent, min_panel=50, max_in_task=max_in_task).toPandas()
     assert len(got) == 7  # one panel per year
 
     mart_indicateurs = ind.toPandas()  # noqa: F841 (read by DuckDB below)
