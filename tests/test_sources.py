@@ -63,3 +63,24 @@ def test_materialized_models_equal_lazy_models(spark):
         assert a.select(cols).exceptAll(b.select(cols)).count() == 0, name
         assert b.select(cols).exceptAll(a.select(cols)).count() == 0, name
     assert stored.mart_benchmark_sectoriel.count() > 0
+
+
+def test_stored_layout_removes_shuffles_and_prunes_years(spark):
+    from ledgerlens.operators.benchmark import benchmark_base
+    from ledgerlens.operators.evolution import compute_evolution
+    raw, reg = fixture_accounts(spark, SF_SMALL), fixture_register(spark, SF_SMALL)
+    m = materialize_models(raw, reg, buckets=4, prefix="u_", min_year=1995, max_year=2001,
+                           min_panel=5)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # force the shuffle join path
+    try:
+        evo_plan = compute_evolution(m.mart_indicateurs)._jdf.queryExecution().executedPlan().toString()
+        join_plan = benchmark_base(m.mart_indicateurs, m.stg_entreprises) \
+            ._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "Exchange" not in evo_plan  # bucketed by siren: the lag windows need no shuffle
+    assert "Exchange" not in join_plan  # both sides bucketed by siren: co-located join
+    year_plan = m.mart_evolution.where("annee_fiscale = 1998")._jdf.queryExecution() \
+        .executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(annee_fiscale" in year_plan and "= 1998" in year_plan
