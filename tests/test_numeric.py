@@ -11,17 +11,6 @@ from pyspark.sql import functions as F
 from ledgerlens.functions.numeric import interpolate, round_half_away, safe_ratio, scaled_ratio
 
 
-def _c_round(x: float, digits: int) -> float:
-    """round(x * 10^n) / 10^n with ties away from zero, like C's round()."""
-    m = 10.0 ** digits
-    v = x * m
-    r = math.floor(abs(v) + 0.5) if abs(v) % 1 != 0.5 else math.floor(abs(v)) + 1
-    # floor(|v| + 0.5) is wrong just below .5 (0.49999999999999994 + 0.5 == 1.0)
-    frac = abs(v) - math.floor(abs(v))
-    r = math.floor(abs(v)) + (1 if frac >= 0.5 else 0)
-    return math.copysign(r, v) / m
-
-
 def test_round_half_away_matches_duckdb(spark):
     rng = random.Random(7)
     xs = ([rng.uniform(-1000, 1000) for _ in range(3000)]
@@ -56,3 +45,26 @@ def test_ratios_null_on_zero_and_multiply_first(spark):
     out = df.select(safe_ratio("n", "d").alias("r"), scaled_ratio(100.0, "n", "d").alias("s")).collect()
     assert out[0].r is None and out[1].r is None
     assert out[2].s == (100.0 * 1) / 3
+
+
+def test_quarter_interpolation_is_correctly_rounded(spark):
+    """d = 0.25: the result is the exact rational 0.75*lo + 0.25*hi rounded
+    once (Python's float(Fraction) rounds to nearest, ties to even)."""
+    from fractions import Fraction
+    rng = random.Random(5)
+    rows = []
+    for _ in range(3000):
+        scale = 10.0 ** rng.randint(-3, 12)
+        lo = rng.uniform(-1, 1) * scale
+        rows.append((lo, lo + abs(rng.uniform(0, 1)) * scale))
+    df = spark.createDataFrame(rows, "lo double, hi double")
+    got = df.select("lo", "hi", interpolate("lo", "hi", F.lit(0.25)).alias("q")).collect()
+    for r in got:
+        exact = Fraction(r.lo) * Fraction(3, 4) + Fraction(r.hi) * Fraction(1, 4)
+        assert r.q == float(exact), (r.lo, r.hi)
+
+
+def test_describe_lists_columns(spark):
+    from ledgerlens.operators.profile import describe
+    df = spark.createDataFrame([(1, "a")], "n long, s string")
+    assert [tuple(r) for r in describe(df).collect()] == [("n", "bigint", True), ("s", "string", True)]
