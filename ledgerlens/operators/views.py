@@ -106,6 +106,26 @@ def trend_summary(evo: DataFrame, siren: str | None = None) -> DataFrame:
     ))
 
 
+# Header pill class of the latest degradation flag (others: none).
+DEGRADATION_PILL = {"ALERTE": "warn", "VIGILANCE": "warn", "STABLE": "ok"}
+
+
+def company_header(evo: DataFrame, siren: str | None = None) -> DataFrame:
+    """The page header of a company: number of filings, latest year, its
+    filing type, its degradation flag and pill class, and whether its equity
+    is negative. One aggregation per company (bounded by the year range)."""
+    year = "annee_fiscale"
+    latest_flag = F.max_by("flag_degradation", year)
+    pill = F.create_map(*[F.lit(x) for kv in DEGRADATION_PILL.items() for x in kv])
+    return (_for_company(evo, siren).groupBy("siren").agg(
+        F.count(F.lit(1)).alias("nb_exercices"),
+        F.max(year).alias("derniere_annee"),
+        F.max_by("type_bilan", year).alias("type_bilan"),
+        latest_flag.alias("flag_degradation"),
+        F.max_by("capitaux_propres_negatifs", year).alias("capitaux_propres_negatifs"),
+    ).select("*", F.try_element_at(pill, F.col("flag_degradation")).alias("pastille_degradation")))
+
+
 def degradation_alerts(evo: DataFrame, year: int = 2023, min_ca: int = 500000,
                        limit: int = 50) -> DataFrame:
     """ALERTE filings of ``year`` with revenue >= ``min_ca``; the steepest

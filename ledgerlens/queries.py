@@ -165,6 +165,10 @@ def q_trend_summary(spark, sf_dir):
     return views.trend_summary(_evo(spark, sf_dir))
 
 
+def q_company_header(spark, sf_dir):
+    return views.company_header(_evo(spark, sf_dir))
+
+
 def q_degradation_alerts(spark, sf_dir):
     return views.degradation_alerts(_evo(spark, sf_dir), year=ALERT_YEAR,
                                     min_ca=ALERT_MIN_CA, limit=ALERT_LIMIT)
@@ -237,6 +241,7 @@ QUERIES: dict[str, Query] = {
     "company_evolution": q_company_evolution,
     "company_summary": q_company_summary,
     "trend_summary": q_trend_summary,
+    "company_header": q_company_header,
     "degradation_alerts": q_degradation_alerts,
     "ranking_margin": q_ranking_margin,
     "ranking_bfr": q_ranking_bfr,
