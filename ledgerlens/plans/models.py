@@ -75,14 +75,18 @@ def materialize_models(raw_accounts: DataFrame, register: DataFrame, *, buckets:
 def stored_models(raw_accounts: DataFrame, register: DataFrame, *,
                   min_year: int = DEFAULT_MIN_YEAR, max_year: int = DEFAULT_MAX_YEAR,
                   min_panel: int = 50, register_is_renamed: bool = False) -> Models:
-    """Build every model once into the shared checkpoint folder (no catalog
+    """Build the models into the shared checkpoint folder (no catalog
     needed), each downstream model reading its stored inputs. Used to run the
-    data checks on built tables, as a model run followed by its tests."""
+    data checks on built tables, as a model run followed by its tests.
+
+    The models behind a shuffle (staging dedups, the evolution windows) are
+    stored; the indicators are a row-wise projection of the stored staging
+    table, and the benchmark (one row per panel, its join input stored by
+    the operator itself) is left lazy."""
     companies = register if register_is_renamed else company_register(register)
     stg = materialize(stage_statements(raw_accounts, min_year, max_year), "model-stg_bilans")
     ent = materialize(stage_companies(companies), "model-stg_entreprises")
-    ind = materialize(compute_indicators(stg), "model-mart_indicateurs")
+    ind = compute_indicators(stg)
     evo = materialize(compute_evolution(ind), "model-mart_evolution")
-    bench = materialize(sector_benchmark(ind, ent, min_panel=min_panel),
-                        "model-mart_benchmark_sectoriel")
+    bench = sector_benchmark(ind, ent, min_panel=min_panel)
     return Models(stg, ent, ind, evo, bench)
