@@ -25,10 +25,12 @@ REGISTER_COLUMNS = {
 }
 
 
-def read_accounts(spark: SparkSession, path: str) -> DataFrame:
-    """Accounts file, one row per filing. Schema as stored."""
+def read_accounts(spark: SparkSession, path: str, schema=None) -> DataFrame:
+    """Accounts file, one row per filing. Schema as stored, or the given one
+    (a declared schema skips footer inference over the file listing)."""
     try:
-        return spark.read.parquet(path)
+        reader = spark.read if schema is None else spark.read.schema(schema)
+        return reader.parquet(path)
     except AnalysisException as exc:  # keep a plain "missing input" error
         if "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc):
             raise FileNotFoundError(f"accounts file not found: {path}") from exc
@@ -44,9 +46,13 @@ def company_register(register: DataFrame) -> DataFrame:
             .select(*[F.col(src).alias(dst) for src, dst in REGISTER_COLUMNS.items()]))
 
 
+REGISTER_SCHEMA = ", ".join(f"{src} STRING" for src in REGISTER_COLUMNS)
+
+
 def read_company_register(spark: SparkSession, path: str) -> DataFrame:
-    """Only the four register columns are read; the null tests reach the scan."""
-    return company_register(spark.read.parquet(path))
+    """Only the four register columns are read (declared schema, no footer
+    inference); the null tests reach the scan."""
+    return company_register(spark.read.schema(REGISTER_SCHEMA).parquet(path))
 
 
 def load_raw_accounts(spark: SparkSession, path: str, table: str = "raw_bilans",

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ledgerlens.plans.models import build_models, materialize_models
 from ledgerlens.sources.fixtures import fixture_accounts, fixture_register
 from ledgerlens.sources.parquet import (company_register, load_raw_accounts, read_accounts,
-                                        save_table)
+                                        read_company_register, save_table)
 from tests.conftest import SF_SMALL
 
 
@@ -37,6 +37,15 @@ def test_register_ingest_filters(spark):
     assert reg.count() == 155 - n_blank
 
 
+def test_register_read_with_declared_schema(spark, tmp_path):
+    path = str(tmp_path / "register")
+    fixture_register(spark, SF_SMALL).write.parquet(path)
+    got = read_company_register(spark, path)
+    want = company_register(fixture_register(spark, SF_SMALL))
+    assert got.columns == want.columns
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
 def test_bucketed_table_avoids_shuffle_on_join(spark):
     df = spark.range(1000).select(F.format_string("%09d", "id").alias("siren"), (F.col("id") % 7).alias("v"))
     a = save_table(df, "t_bucket_a", bucket_by=["siren"], buckets=4, sort_by=["siren"])
