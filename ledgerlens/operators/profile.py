@@ -31,6 +31,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import round_half_away
+from .ordering import sort_small
 from .quantiles import exact_percentiles, percentile_column
 
 # Candidate column names and column lists of the reports.
@@ -98,8 +99,8 @@ def rows_per_year(raw: DataFrame, candidates: list[str] = YEAR_CANDIDATES) -> Da
     col = first_present(raw, candidates)
     if col is None:
         raise ValueError(f"none of the year columns {candidates} is present")
-    return (raw.groupBy(col).agg(F.count(F.lit(1)).alias("nb"))
-            .orderBy(F.col(col).asc_nulls_last()))
+    return sort_small(raw.groupBy(col).agg(F.count(F.lit(1)).alias("nb")),
+                      F.col(col).asc_nulls_last())
 
 
 def top_codes(df: DataFrame, n: int = 10, candidates: list[str] = CODE_CANDIDATES) -> DataFrame:
@@ -123,8 +124,8 @@ def null_rates(raw: DataFrame, columns: list[str] = NULL_PROFILE_COLUMNS) -> Dat
     null rate first."""
     cols = [c for c in columns if c in set(raw.columns)]
     wide = raw.agg(*[_null_pct(c).alias(c) for c in cols])
-    return (wide.unpivot([], cols, "col", "pct_null")
-            .orderBy(F.desc_nulls_last("pct_null"), F.asc("col")))
+    return sort_small(wide.unpivot([], cols, "col", "pct_null"),
+                      F.desc_nulls_last("pct_null"), F.asc("col"))
 
 
 def filing_types(raw: DataFrame) -> DataFrame:
@@ -133,12 +134,12 @@ def filing_types(raw: DataFrame) -> DataFrame:
     positive = raw.where(F.col("chiffre_affaires") > F.lit(0))
     med = exact_percentiles(positive, ["type_bilan"], {"ca": "chiffre_affaires"}, [0.5],
                             label="filing-types", with_counts=True)
-    return med.select(
+    return sort_small(med.select(
         "type_bilan",
         F.col("ca_n").alias("nb"),
         round_half_away(F.col(percentile_column("ca", 0.5)) / F.lit(1000.0), 0).alias("ca_median_k"),
         _share("ca_n").alias("pct"),
-    ).orderBy(F.desc("nb"), F.col("type_bilan").asc_nulls_last())
+    ), F.desc("nb"), F.col("type_bilan").asc_nulls_last())
 
 
 def revenue_segment(ca: Column) -> Column:
@@ -151,11 +152,10 @@ def revenue_segment(ca: Column) -> Column:
 def revenue_segments(raw: DataFrame, year: int) -> DataFrame:
     """Unknown revenue compares as unknown everywhere and lands in the last
     class, as in SQL."""
-    return (raw.where(F.col("annee") == F.lit(year))
-            .groupBy(revenue_segment(F.col("chiffre_affaires")).alias("segment"))
-            .agg(F.count(F.lit(1)).alias("nb"))
-            .select("segment", "nb", _share("nb").alias("pct"))
-            .orderBy("segment"))
+    return sort_small(raw.where(F.col("annee") == F.lit(year))
+                      .groupBy(revenue_segment(F.col("chiffre_affaires")).alias("segment"))
+                      .agg(F.count(F.lit(1)).alias("nb"))
+                      .select("segment", "nb", _share("nb").alias("pct")), "segment")
 
 
 def _count_when(cond: Column) -> Column:

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from ..functions.flags import flag_severity, status_band
 from ..functions.numeric import non_finite_to_null
+from .ordering import sort_small
 
 STATEMENT_COLUMNS = ["siren", "annee_fiscale", "date_cloture", "type_bilan",
                      "chiffre_affaires", "capitaux_propres", "total_actif"]
@@ -66,7 +67,7 @@ def _for_company(df: DataFrame, siren: str | None) -> DataFrame:
 def _newest_first(df: DataFrame, siren: str | None) -> DataFrame:
     """One company's years newest first. For all companies no global sort is
     planned (it would shuffle the whole table for presentation only)."""
-    return df if siren is None else df.orderBy(F.desc("annee_fiscale"))
+    return df if siren is None else sort_small(df, F.desc("annee_fiscale"))
 
 
 def company_statements(stg: DataFrame, siren: str | None = None) -> DataFrame:
@@ -171,8 +172,8 @@ def benchmark_report(bench: DataFrame) -> DataFrame:
     """The benchmark in presentation order: newest year first, then the
     largest panels (ties by division and sector). Stored tables carry no
     order; this sorts when reading."""
-    return bench.orderBy(F.desc("annee_fiscale"), F.desc("nb_entreprises"),
-                         F.asc("naf_division"), F.asc("secteur_macro"))
+    return sort_small(bench, F.desc("annee_fiscale"), F.desc("nb_entreprises"),
+                      F.asc("naf_division"), F.asc("secteur_macro"))
 
 
 def division_history(bench: DataFrame, division: str = "62", limit: int = 5) -> DataFrame:
@@ -223,4 +224,4 @@ def revenue_series(ind: DataFrame, siren: str | None = None) -> DataFrame:
     series = (_for_company(ind, siren).where(ca > F.lit(0))
               .select("siren", "annee_fiscale", "chiffre_affaires",
                       (ca.cast("double") / F.max(ca).over(w).cast("double")).alias("part_du_max")))
-    return series if siren is None else series.orderBy("annee_fiscale")
+    return series if siren is None else sort_small(series, "annee_fiscale")

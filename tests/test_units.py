@@ -194,3 +194,13 @@ def test_alerts_order_limit_and_validation(spark):
     assert summary["000000001"].flag_degradation_actuel == "ALERTE"
     assert summary["000000001"].nb_annees_alerte == 1
     assert summary["000000001"].derniere_annee == 2023
+
+
+def test_small_reports_are_totally_ordered(spark):
+    from ledgerlens.operators.profile import null_rates, rows_per_year
+    rows = [filing(siren=f"{i:09d}", annee=2010 + i % 5, chiffre_affaires=None if i % 3 else i)
+            for i in range(40)]
+    raw = raw_df(spark, rows).repartition(7)
+    assert [r.annee for r in rows_per_year(raw).collect()] == [2010, 2011, 2012, 2013, 2014]
+    rates = [r.pct_null for r in null_rates(raw).collect()]
+    assert rates == sorted(rates, reverse=True)
