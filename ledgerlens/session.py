@@ -48,18 +48,29 @@ def checkpoint_dir(spark: SparkSession) -> str:
     session without one is an error, because a machine-local folder would
     not survive the loss of that machine.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    conf = spark.conf.get(CHECKPOINT_CONF, None) or sc.getConf().get(CHECKPOINT_CONF, None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no SparkContext on the client
+        sc = None
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir()
+    conf = spark.conf.get(CHECKPOINT_CONF, None)
+    if not conf and sc is not None:
+        conf = sc.getConf().get(CHECKPOINT_CONF, None)
     if not conf:
-        if not sc.master.startswith("local"):
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+        if not master.startswith("local"):
             raise RuntimeError(
                 f"{CHECKPOINT_CONF} is not set; point it at a shared folder of the cluster")
         conf = tempfile.mkdtemp(prefix="ledgerlens-ckpt-")
-    sc.setCheckpointDir(conf)
-    return sc.getCheckpointDir() or conf
+        try:
+            spark.conf.set(CHECKPOINT_CONF, conf)
+        except Exception:  # static in some deployments; the folder is still returned
+            pass
+    if sc is not None:
+        sc.setCheckpointDir(conf)
+        return sc.getCheckpointDir() or conf
+    return conf
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
