@@ -93,3 +93,14 @@ def test_stored_layout_removes_shuffles_and_prunes_years(spark):
     year_plan = m.mart_evolution.where("annee_fiscale = 1998")._jdf.queryExecution() \
         .executedPlan().toString()
     assert "PartitionFilters: [isnotnull(annee_fiscale" in year_plan and "= 1998" in year_plan
+    # a company lookup on the bucketed indicators selects one bucket of four
+    # (shown when the scan is planned as bucketed)
+    from ledgerlens.operators.views import company_indicators
+    key = "spark.sql.sources.bucketing.autoBucketedScan.enabled"
+    spark.conf.set(key, "false")
+    try:
+        lookup = company_indicators(m.mart_indicateurs, siren="000000005")._jdf.queryExecution() \
+            .executedPlan().toString()
+    finally:
+        spark.conf.unset(key)
+    assert "SelectedBucketsCount: 1 out of 4" in lookup
