@@ -25,7 +25,10 @@ groups, however large, take the distributed path:
 3. each row gets a monotonically increasing id (partition index in the high
    bits, position in the sorted partition in the low bits); the result is
    written to the shared checkpoint folder so that every later read sees the
-   same partitioning and ids,
+   same partitioning and ids. A retried task (lost executor) re-reads the
+   same shuffle blocks with the same range bounds and sorts them again; rows
+   it may order differently are equal in every written column, so each id
+   still maps to the same value,
 4. per (group, partition) block: first id and row count (at most
    ``partitions + groups`` rows), prefix counts give each block's offset in
    its group, and from the group size the ids of the rows at the wanted
