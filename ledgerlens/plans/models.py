@@ -59,12 +59,13 @@ def materialize_models(raw_accounts: DataFrame, register: DataFrame, *, buckets:
     ``buckets`` should make a bucket a few hundred MB at the target scale.
     """
     companies = register if register_is_renamed else company_register(register)
-    by_company = dict(bucket_by=["siren"], buckets=buckets, sort_by=["siren"])
+    by_company_year = dict(bucket_by=["siren"], buckets=buckets, sort_by=["siren", "annee_fiscale"])
 
     stg = save_table(stage_statements(raw_accounts, min_year, max_year),
-                     f"{prefix}stg_bilans", **by_company)
-    ent = save_table(stage_companies(companies), f"{prefix}stg_entreprises", **by_company)
-    ind = save_table(compute_indicators(stg), f"{prefix}mart_indicateurs", **by_company)
+                     f"{prefix}stg_bilans", **by_company_year)
+    ent = save_table(stage_companies(companies), f"{prefix}stg_entreprises",
+                     bucket_by=["siren"], buckets=buckets, sort_by=["siren"])
+    ind = save_table(compute_indicators(stg), f"{prefix}mart_indicateurs", **by_company_year)
     evo = save_table(compute_evolution(ind), f"{prefix}mart_evolution",
                      partition_by=["annee_fiscale"])
     bench = save_table(sector_benchmark(ind, ent, min_panel=min_panel),
