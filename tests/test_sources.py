@@ -104,3 +104,16 @@ def test_stored_layout_removes_shuffles_and_prunes_years(spark):
     finally:
         spark.conf.unset(key)
     assert "SelectedBucketsCount: 1 out of 4" in lookup
+
+
+def test_build_job_end_to_end(spark, tmp_path):
+    from ledgerlens.jobs import parse_args, run
+    acc, reg = str(tmp_path / "accounts"), str(tmp_path / "register")
+    fixture_accounts(spark, SF_SMALL).write.parquet(acc)
+    fixture_register(spark, SF_SMALL).write.parquet(reg)
+    args = parse_args(["--accounts", acc, "--register", reg, "--buckets", "4", "--prefix", "job_",
+                       "--min-year", "1995", "--max-year", "2001", "--min-panel", "5"])
+    assert run(spark, args) == 0
+    assert spark.table("job_stg_bilans").count() == 755  # FIXTURES.md: staged rows at sf0.001
+    assert spark.table("job_quality_report").count() == 24
+    assert spark.table("job_mart_benchmark_sectoriel").count() > 0
