@@ -7,7 +7,7 @@
     source column and the key is ``siren_year``. Among filings of one
     company-year the complete one (C) wins, then the consolidated one (K),
     then any other; remaining ties go to the latest closing date and then to
-    the column values, so the choice is deterministic.
+    the values of the output columns, so the output is deterministic.
 
 ``stage_companies``: one record per company.
     Records need an id and a code of at least four characters after
@@ -41,6 +41,12 @@ AMOUNT_COLUMNS = [
     "dettes_total", "dettes_financieres", "dettes_fournisseurs", "dettes_fiscales",
     "actif_circulant_net",
 ]
+# Remaining ties are broken on the columns that reach the output (raw values,
+# nulls last): rows equal in all of them give the same staged row, so the
+# output is deterministic, and source columns the output does not carry are
+# neither scanned nor shuffled for the dedup.
+TIE_BREAK_COLUMNS = sorted(AMOUNT_COLUMNS + ["effectif_moyen"])
+
 # Filing-type preference of the dedup (others rank last).
 FILING_PREFERENCE = {"C": 1, "K": 2}
 OTHER_FILING_RANK = 3
@@ -75,10 +81,8 @@ def stage_statements(raw: DataFrame, min_year: int = DEFAULT_MIN_YEAR,
         & F.col("annee").between(F.lit(min_year), F.lit(max_year))
         & (F.col("confidentiality") == F.lit(PUBLIC)))
 
-    tie_break = [c for c in raw.columns
-                 if c not in ("siren", "annee", "type_bilan", "date_cloture_exercice")]
     order = ([filing_rank(F.col("type_bilan")), F.col("date_cloture_exercice").desc_nulls_last()]
-             + [F.col(c).asc_nulls_last() for c in sorted(tie_break)])
+             + [F.col(c).asc_nulls_last() for c in TIE_BREAK_COLUMNS])
     w = Window.partitionBy("siren", "annee").orderBy(*order)
     deduped = (filtered.withColumn("_rn", F.row_number().over(w))
                .where(F.col("_rn") == 1))

@@ -69,3 +69,16 @@ def test_profiles_read_only_needed_columns(spark):
     plan = formatted(QUERIES["profile_duplicates"](spark, SF_SMALL))
     read_schema = re.search(r"ReadSchema: struct<(.*)>", plan).group(1)
     assert "o_totalprice" not in read_schema
+
+
+def test_staging_reads_only_output_and_filter_columns(spark, tmp_path):
+    """Profiling-only source columns are neither scanned nor shuffled by the
+    dedup (its tie-break uses the output columns)."""
+    from ledgerlens.sources.fixtures import raw_accounts
+    path = str(tmp_path / "raw")
+    raw_accounts(spark.read.parquet(f"{SF_SMALL}/orders.parquet")).write.parquet(path)
+    plan = formatted(stage_statements(spark.read.parquet(path), 1995, 2001))
+    read_schema = re.search(r"ReadSchema: struct<(.*)>", plan).group(1)
+    for col in ("total_passif", "capacite_autofinancement", "bfr"):
+        assert col not in read_schema
+    assert "EqualTo(confidentiality,Public)" in plan
