@@ -11,10 +11,18 @@ values.
 Spark's exact ``percentile`` and any ``collect_list`` keep a whole group in
 one task, so they are only used where the group's size has been counted
 first. The group sizes are counted (one aggregate, one number back to the
-driver); groups of at most ``max_in_task`` rows are computed in one
-aggregation: per group and measure the sorted array of its values
-(``collect_list`` drops nulls), from which the two ranks are read. Larger
-groups, however large, take the distributed path:
+driver), then:
+
+* groups of at most ``max_in_task`` rows: one aggregation of sorted value
+  arrays per group and measure (``collect_list`` drops nulls), from which the
+  two ranks are read;
+* larger groups, however large: ``_bracketed`` finds the ranks with three
+  linear passes and no sort (an approximate-quantile sketch brackets each
+  rank, exact counts verify the bracket, only the few values strictly inside
+  are collected); groups whose bracket fails verification take the full
+  distributed sort below, so results are exact in every case.
+
+The full distributed sort (``_distributed``):
 
 1. all measures are unpivoted into ``(keys, m, v)`` rows (one shuffle for
    all measures). The range-bound sampling and the sort each read the input:
@@ -54,6 +62,9 @@ _ID_BITS = 33  # low bits of monotonically_increasing_id hold the row position
 # Largest group computed inside one task: 200k values per measure is a few
 # MB per array (about 29 MB for six measures, boxed while collected).
 DEFAULT_MAX_IN_TASK = 200_000
+# Bounds of the approximate-quantile accuracy used to bracket large groups
+# (sketch memory grows with it: about 1M entries at most per group and measure).
+MIN_SKETCH_ACCURACY, MAX_SKETCH_ACCURACY = 10_000, 1_000_000
 
 
 def percentile_column(measure: str, p: float) -> str:
@@ -83,11 +94,152 @@ def exact_percentiles(df: DataFrame, keys: list[str], measures: dict[str, Column
         return df.join(chosen, on, "left_semi")
 
     small = _in_task(having(F.col("_rows") <= max_in_task), keys, measures, probs, with_counts)
-    large = _distributed(having(F.col("_rows") > max_in_task), keys, measures, probs, label,
-                         with_counts=with_counts, store_input=store_input)
+    large = _bracketed(having(F.col("_rows") > max_in_task), keys, measures, probs, label,
+                       with_counts=with_counts, store_input=store_input,
+                       max_in_task=max_in_task, largest=largest)
     return small.unionByName(large)
 
 
+def _sketch_accuracy(largest: int, n_brackets: int, max_in_task: int) -> int:
+    """Accuracy of the approximate quantiles: each bracket then holds about
+    ``6 * largest / accuracy`` values, so that all brackets of a group fit the
+    in-task bound together."""
+    wanted = -(-6 * largest * n_brackets // max(1, max_in_task))
+    return int(min(MAX_SKETCH_ACCURACY, max(MIN_SKETCH_ACCURACY, wanted)))
+
+
+def _bracketed(df: DataFrame, keys: list[str], measures: dict[str, Column | str],
+               probs: list[float], label: str, *, with_counts: bool, store_input: bool,
+               max_in_task: int, largest: int) -> DataFrame:
+    """Large groups without sorting them.
+
+    1. Sketch: per group and measure the value count and approximate
+       quantiles just below and above each probability (one aggregation,
+       merged map-side).
+    2. Verify: per group, measure and probability, exact counts of the
+       values below the bracket ``[a, b]``, equal to ``a``, strictly inside
+       and equal to ``b``. The bracket holds both wanted ranks when
+       ``below <= floor(pos)`` and ``ceil(pos) < below + at_a + inside +
+       at_b``; ties at the ends (a common case: many equal ratios) are only
+       counted.
+    3. Collect the strictly-inside values of verified brackets (bounded by
+       the check) and read the ranks: below ``a``'s ties, inside, or ``b``.
+
+    Groups with an unverified bracket (the sketch missed, or too many
+    values inside) take the full distributed sort, so the result is exact
+    whatever the sketch returns.
+    """
+    names = list(measures)
+    n_m, n_p = len(names), len(probs)
+    per_bracket = max(1, max_in_task // (n_m * n_p))
+    accuracy = _sketch_accuracy(largest, n_m * n_p, max_in_task)
+    margin = 3.0 / accuracy
+    fracs = [x for p in probs for x in (max(0.0, p - margin), min(1.0, p + margin))]
+
+    # keys of the group tables are renamed so that joins on them stay unambiguous
+    kcols = [f"_k{i}" for i in range(len(keys))]
+    vals = df.select(*[F.col(k).alias(kc) for k, kc in zip(keys, kcols)],
+                     *[_value(c).alias(f"_x{i}") for i, c in enumerate(measures.values())])
+    if store_input:
+        vals = materialize(vals, f"{label}-values")
+
+    sketch = vals.groupBy(*kcols).agg(*[
+        a for i in range(n_m) for a in (
+            F.count(f"_x{i}").alias(f"_n{i}"),
+            F.percentile_approx(f"_x{i}", fracs, accuracy).alias(f"_q{i}"))])
+    sketch = materialize(sketch, f"{label}-sketch")  # one row per group
+
+    def join_groups(left: DataFrame, right: DataFrame, how: str = "inner") -> DataFrame:
+        """Join on the group keys; the right side's columns are renamed so
+        that names and attributes stay unique, then its non-key columns keep
+        their names."""
+        r = right.select(*[F.col(c).alias(f"{c}__r") for c in right.columns])
+        cond = [F.col(kc).eqNullSafe(F.col(f"{kc}__r")) for kc in kcols]
+        joined = left.join(r, cond, how)
+        if how == "left_semi":
+            return joined
+        return joined.select(*left.columns, *[F.col(f"{c}__r").alias(c)
+                                              for c in right.columns if c not in kcols])
+
+    def bounds(i, j):
+        q = F.col(f"_q{i}")
+        return F.get(q, F.lit(2 * j)), F.get(q, F.lit(2 * j + 1))
+
+    withq = join_groups(vals, sketch.select(*kcols, *[f"_q{i}" for i in range(n_m)]))
+    cnt = []
+    for i in range(n_m):
+        x = F.col(f"_x{i}")
+        for j in range(n_p):
+            a, b = bounds(i, j)
+            cnt += [F.count_if(x < a).alias(f"_below{i}_{j}"),
+                    F.count_if(x == a).alias(f"_at_a{i}_{j}"),
+                    F.count_if((x > a) & (x < b)).alias(f"_in{i}_{j}"),
+                    F.count_if((x == b) & (b > a)).alias(f"_at_b{i}_{j}")]
+    checked = join_groups(withq.groupBy(*kcols).agg(*cnt), sketch)
+
+    oks = []
+    for i in range(n_m):
+        n = F.col(f"_n{i}")
+        for j, p in enumerate(probs):
+            pos = (n - 1).cast("double") * F.lit(float(p))
+            lo, hi = F.floor(pos), F.ceil(pos)
+            below = F.col(f"_below{i}_{j}")
+            held = (below + F.col(f"_at_a{i}_{j}") + F.col(f"_in{i}_{j}") + F.col(f"_at_b{i}_{j}"))
+            oks.append((n == 0) | ((below <= lo) & (hi < held)
+                                  & (F.col(f"_in{i}_{j}") <= F.lit(per_bracket))))
+    all_ok = oks[0]
+    for o in oks[1:]:
+        all_ok = all_ok & o
+    checked = materialize(checked.withColumn("_ok", F.coalesce(all_ok, F.lit(False))),
+                          f"{label}-brackets")
+
+    good = checked.where(F.col("_ok")).drop("_ok")
+    inside = join_groups(withq, good.select(*kcols), "left_semi")
+    arrays = inside.groupBy(*kcols).agg(*[
+        F.array_sort(F.collect_list(F.when((F.col(f"_x{i}") > a) & (F.col(f"_x{i}") < b),
+                                           F.col(f"_x{i}")))).alias(f"_arr{i}_{j}")
+        for i in range(n_m) for j in range(n_p) for a, b in [bounds(i, j)]])
+    picked = join_groups(arrays, good)
+
+    def at_rank(i, j, r):
+        a, b = bounds(i, j)
+        t = r - F.col(f"_below{i}_{j}")
+        at_a, inn = F.col(f"_at_a{i}_{j}"), F.col(f"_in{i}_{j}")
+        return (F.when(t < at_a, a)
+                .when(t < at_a + inn, F.get(F.col(f"_arr{i}_{j}"), (t - at_a).cast("int")))
+                .otherwise(b))
+
+    parts = [F.col(kc) for kc in kcols]
+    for i in range(n_m):
+        n = F.col(f"_n{i}")
+        parts.append(n.alias(f"_n{i}"))
+        for j, p in enumerate(probs):
+            pos = (n - 1).cast("double") * F.lit(float(p))
+            parts += [at_rank(i, j, F.floor(pos)).alias(f"_lo{i}_{j}"),
+                      at_rank(i, j, F.ceil(pos)).alias(f"_hi{i}_{j}"),
+                      (pos - F.floor(pos)).alias(f"_d{i}_{j}")]
+    sizes_n = [F.col(f"_n{i}") for i in range(n_m)]
+    ranks = picked.where((sizes_n[0] if n_m == 1 else F.greatest(*sizes_n)) > 0).select(*parts)
+    out = [F.col(kc).alias(k) for kc, k in zip(kcols, keys)]
+    for i, name in enumerate(names):
+        for j, p in enumerate(probs):
+            out.append(F.when(F.col(f"_n{i}") > 0, interpolate(
+                F.col(f"_lo{i}_{j}"), F.col(f"_hi{i}_{j}"), F.col(f"_d{i}_{j}")))
+                .alias(percentile_column(name, p)))
+    if with_counts:
+        out += [F.col(f"_n{i}").alias(f"{name}_n") for i, name in enumerate(names)]
+    result = ranks.select(*out)
+
+    failed = checked.where(~F.col("_ok")).select(*kcols)
+    if failed.count() == 0:  # rows of the stored bracket table: one per group
+        return result
+    failed = failed.select(*[F.col(kc).alias(f"{kc}__f") for kc in kcols])
+    redo = df.join(failed, [F.col(k).eqNullSafe(F.col(f"{kc}__f")) for k, kc in zip(keys, kcols)],
+                   "left_semi")
+    return result.unionByName(_distributed(redo, keys, measures, probs, label,
+                                           with_counts=with_counts, store_input=store_input))
+
+
 def _in_task(df: DataFrame, keys: list[str], measures: dict[str, Column | str],
              probs: list[float], with_counts: bool) -> DataFrame:
     """Groups whose size was checked: one aggregation of sorted value arrays."""

@@ -54,8 +54,9 @@ def make_rows(seed=3):
 
 @pytest.mark.parametrize("max_in_task", [DEFAULT_MAX_IN_TASK, 0, 100])
 def test_matches_brute_force_and_duckdb(spark, many_partitions, max_in_task):
-    """All groups in-task, all distributed, and a split (the hot group and the
-    groups of more than 100 rows distributed, the others in-task)."""
+    """All groups in-task; all groups bracketed (bound 0); and a split (the
+    hot group and groups of more than 100 rows bracketed, the others
+    in-task)."""
     rows = make_rows()
     df = spark.createDataFrame(rows, "g string, k int, x double, y long")
     out = exact_percentiles(df, ["g", "k"], {"x": "x", "y": "y"}, PROBS, with_counts=True,
@@ -90,8 +91,9 @@ def test_matches_brute_force_and_duckdb(spark, many_partitions, max_in_task):
 
 
 def test_hot_group_spans_partitions(spark, many_partitions):
-    """A group over the in-task bound is split over several range partitions
-    (so no task holds it whole) and the stitched ranks are still exact."""
+    """A group over the in-task bound: bracketed by the sketch, or (fallback)
+    sorted over several range partitions so that no task holds it whole; the
+    stitched ranks are exact either way."""
     from pyspark.sql import functions as F
     rows = [("hot", float(i % 5000)) for i in range(30000)] + [("cold", 1.0)]
     df = spark.createDataFrame(rows, "g string, v double")
@@ -99,9 +101,45 @@ def test_hot_group_spans_partitions(spark, many_partitions):
               .groupBy("g").agg(F.countDistinct("pid").alias("parts")))
     parts = {r.g: r.parts for r in ranked.collect()}
     assert parts["hot"] > 10
-    out = {r.g: r for r in exact_percentiles(df, ["g"], {"v": "v"}, PROBS,
-                                             max_in_task=1000).collect()}
+    from ledgerlens.operators.quantiles import _distributed
     vals = [v for g, v in rows if g == "hot"]
+    for out in (exact_percentiles(df, ["g"], {"v": "v"}, PROBS, max_in_task=1000),
+                _distributed(df, ["g"], {"v": "v"}, PROBS, "test-sort", with_counts=False,
+                             store_input=False)):
+        got = {r.g: r for r in out.collect()}
+        for p in PROBS:
+            assert getattr(got["hot"], percentile_column("v", p)) == brute(vals, p)
+        assert got["cold"].v_p50 == 1.0
+
+
+def test_unverified_brackets_fall_back_to_full_sort(spark, many_partitions, monkeypatch):
+    """A coarse sketch misses most brackets: those groups take the full
+    distributed sort and the result is still exact."""
+    import ledgerlens.operators.quantiles as q
+    monkeypatch.setattr(q, "MIN_SKETCH_ACCURACY", 20)
+    monkeypatch.setattr(q, "MAX_SKETCH_ACCURACY", 20)
+    rows = make_rows(seed=9)
+    df = spark.createDataFrame(rows, "g string, k int, x double, y long")
+    got = {(r.g, r.k): r for r in exact_percentiles(
+        df, ["g", "k"], {"x": "x", "y": "y"}, PROBS, max_in_task=50).collect()}
+    groups = {}
+    for g, k, x, y in rows:
+        groups.setdefault((g, k), ([], []))
+        groups[(g, k)][0].append(x)
+        groups[(g, k)][1].append(None if y is None else float(y))
+    for key, (xs, ys) in groups.items():
+        if key in got:
+            for p in PROBS:
+                assert got[key][percentile_column("x", p)] == brute(xs, p), (key, p)
+                assert got[key][percentile_column("y", p)] == brute(ys, p), (key, p)
+
+
+def test_heavy_ties_at_the_quartiles(spark, many_partitions):
+    """Half the values equal 0.0 (like debt ratios of companies without
+    debt): the ties sit at the bracket ends and are counted, not collected."""
+    rng = random.Random(4)
+    vals = [0.0] * 30000 + [round(rng.uniform(-5, 5), 3) for _ in range(30000)]
+    df = spark.createDataFrame([("g", v) for v in vals], "g string, v double")
+    out = exact_percentiles(df, ["g"], {"v": "v"}, PROBS, max_in_task=1000).collect()[0]
     for p in PROBS:
-        assert getattr(out["hot"], percentile_column("v", p)) == brute(vals, p)
-    assert out["cold"].v_p50 == 1.0
+        assert out[percentile_column("v", p)] == brute(vals, p)
