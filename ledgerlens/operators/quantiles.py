@@ -101,10 +101,10 @@ def exact_percentiles(df: DataFrame, keys: list[str], measures: dict[str, Column
 
 
 def _sketch_accuracy(largest: int, n_brackets: int, max_in_task: int) -> int:
-    """Accuracy of the approximate quantiles: each bracket then holds about
-    ``6 * largest / accuracy`` values, so that all brackets of a group fit the
-    in-task bound together."""
-    wanted = -(-6 * largest * n_brackets // max(1, max_in_task))
+    """Accuracy of the approximate quantiles: a bracket of ``+-3/accuracy``
+    holds about ``6 * n / accuracy`` values, so with this accuracy all
+    brackets of the largest group take about half the in-task bound."""
+    wanted = -(-12 * largest * n_brackets // max(1, max_in_task))
     return int(min(MAX_SKETCH_ACCURACY, max(MIN_SKETCH_ACCURACY, wanted)))
 
 
@@ -133,7 +133,9 @@ def _bracketed(df: DataFrame, keys: list[str], measures: dict[str, Column | str]
     n_m, n_p = len(names), len(probs)
     per_bracket = max(1, max_in_task // (n_m * n_p))
     accuracy = _sketch_accuracy(largest, n_m * n_p, max_in_task)
-    margin = 3.0 / accuracy
+    # three sketch errors, plus two ranks of the smallest group on this path
+    # (more than max_in_task rows), so a bracket always spans the wanted ranks
+    margin = 3.0 / accuracy + 2.0 / max(1, max_in_task)
     fracs = [x for p in probs for x in (max(0.0, p - margin), min(1.0, p + margin))]
 
     # keys of the group tables are renamed so that joins on them stay unambiguous
