@@ -143,3 +143,22 @@ def test_heavy_ties_at_the_quartiles(spark, many_partitions):
     out = exact_percentiles(df, ["g"], {"v": "v"}, PROBS, max_in_task=1000).collect()[0]
     for p in PROBS:
         assert out[percentile_column("v", p)] == brute(vals, p)
+
+
+def test_brackets_hold_without_fallback(spark, many_partitions, monkeypatch):
+    """A group over the bound (the 20k-row hot group, with ties and nulls) is
+    answered by the verified brackets alone."""
+    import ledgerlens.operators.quantiles as q
+
+    def no_sort(*args, **kwargs):
+        raise AssertionError("fell back to the full sort")
+    monkeypatch.setattr(q, "_distributed", no_sort)
+    rows = make_rows(seed=21)
+    df = spark.createDataFrame(rows, "g string, k int, x double, y long")
+    got = {(r.g, r.k): r for r in exact_percentiles(
+        df, ["g", "k"], {"x": "x", "y": "y"}, PROBS, max_in_task=5000).collect()}
+    hot = [x for g, k, x, y in rows if g == "hot"]
+    hot_y = [None if y is None else float(y) for g, k, x, y in rows if g == "hot"]
+    for p in PROBS:
+        assert got[("hot", 1)][percentile_column("x", p)] == brute(hot, p)
+        assert got[("hot", 1)][percentile_column("y", p)] == brute(hot_y, p)
