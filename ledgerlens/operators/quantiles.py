@@ -206,34 +206,40 @@ def _bracketed(df: DataFrame, keys: list[str], measures: dict[str, Column | str]
         for i in range(n_m) for j in range(n_p) for a, b in [bounds(i, j)]])
     picked = join_groups(arrays, good)
 
-    def at_rank(i, j, r):
-        a, b = bounds(i, j)
-        t = r - F.col(f"_below{i}_{j}")
-        at_a, inn = F.col(f"_at_a{i}_{j}"), F.col(f"_in{i}_{j}")
-        return (F.when(t < at_a, a)
-                .when(t < at_a + inn, F.get(F.col(f"_arr{i}_{j}"), (t - at_a).cast("int")))
-                .otherwise(b))
-
-    parts = [F.col(kc) for kc in kcols]
-    for i in range(n_m):
-        n = F.col(f"_n{i}")
-        parts.append(n.alias(f"_n{i}"))
-        for j, p in enumerate(probs):
-            pos = (n - 1).cast("double") * F.lit(float(p))
-            parts += [at_rank(i, j, F.floor(pos)).alias(f"_lo{i}_{j}"),
-                      at_rank(i, j, F.ceil(pos)).alias(f"_hi{i}_{j}"),
-                      (pos - F.floor(pos)).alias(f"_d{i}_{j}")]
-    sizes_n = [F.col(f"_n{i}") for i in range(n_m)]
-    ranks = picked.where((sizes_n[0] if n_m == 1 else F.greatest(*sizes_n)) > 0).select(*parts)
+    # One row per group, measure and probability: the rank expressions are
+    # written once (not once per bracket), so the generated code stays small.
+    per_bracket_rows = F.array(*[
+        F.struct(F.lit(i).alias("_i"), F.lit(float(p)).alias("_p"),
+                 F.col(f"_n{i}").alias("_n"), a.alias("_a"), b.alias("_b"),
+                 F.col(f"_below{i}_{j}").alias("_below"), F.col(f"_at_a{i}_{j}").alias("_at_a"),
+                 F.col(f"_in{i}_{j}").alias("_in"), F.col(f"_arr{i}_{j}").alias("_arr"))
+        for i in range(n_m) for j, p in enumerate(probs) for a, b in [bounds(i, j)]])
+    rows = picked.select(*kcols, F.inline(per_bracket_rows))
+
+    def at_rank(r):
+        t = r - F.col("_below")
+        return (F.when(t < F.col("_at_a"), F.col("_a"))
+                .when(t < F.col("_at_a") + F.col("_in"),
+                      F.get(F.col("_arr"), (t - F.col("_at_a")).cast("int")))
+                .otherwise(F.col("_b")))
+
+    pos = (F.col("_n") - 1).cast("double") * F.col("_p")
+    rows = rows.select(*kcols, "_i", "_p", "_n", at_rank(F.floor(pos)).alias("_lo"),
+                       at_rank(F.ceil(pos)).alias("_hi"), (pos - F.floor(pos)).alias("_d"))
+    rows = rows.select(*kcols, "_i", "_p", "_n", F.when(F.col("_n") > 0, interpolate(
+        F.col("_lo"), F.col("_hi"), F.col("_d"))).alias("_q"))
+    aggs = [F.max(F.when((F.col("_i") == i) & (F.col("_p") == float(p)), F.col("_q")))
+            .alias(percentile_column(name, p)) for i, name in enumerate(names) for p in probs]
+    aggs += [F.max(F.when(F.col("_i") == i, F.col("_n"))).alias(f"{name}_n")
+             for i, name in enumerate(names)]
+    wide = rows.groupBy(*kcols).agg(*aggs)
+    counts_n = [F.col(f"{name}_n") for name in names]
+    wide = wide.where((counts_n[0] if n_m == 1 else F.greatest(*counts_n)) > 0)
     out = [F.col(kc).alias(k) for kc, k in zip(kcols, keys)]
-    for i, name in enumerate(names):
-        for j, p in enumerate(probs):
-            out.append(F.when(F.col(f"_n{i}") > 0, interpolate(
-                F.col(f"_lo{i}_{j}"), F.col(f"_hi{i}_{j}"), F.col(f"_d{i}_{j}")))
-                .alias(percentile_column(name, p)))
+    out += [percentile_column(name, p) for name in names for p in probs]
     if with_counts:
-        out += [F.col(f"_n{i}").alias(f"{name}_n") for i, name in enumerate(names)]
-    result = ranks.select(*out)
+        out += [f"{name}_n" for name in names]
+    result = wide.select(*out)
 
     failed = checked.where(~F.col("_ok")).select(*kcols)
     if failed.count() == 0:  # rows of the stored bracket table: one per group
