@@ -33,6 +33,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", "8g")
+        # bounded driver bookkeeping for long runs of many queries (no UI is served)
+        .config("spark.sql.ui.retainedExecutions", "50")
+        .config("spark.ui.retainedJobs", "200")
+        .config("spark.ui.retainedStages", "200")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
