@@ -162,3 +162,17 @@ def test_brackets_hold_without_fallback(spark, many_partitions, monkeypatch):
     for p in PROBS:
         assert got[("hot", 1)][percentile_column("x", p)] == brute(hot, p)
         assert got[("hot", 1)][percentile_column("y", p)] == brute(hot_y, p)
+
+
+def test_null_key_group_over_the_bound(spark, many_partitions):
+    """A large group whose key is null goes through the bracketed path (its
+    joins are null-safe) and stays exact."""
+    rng = random.Random(8)
+    rows = ([(None, round(rng.gauss(0, 10), 2)) for _ in range(6000)]
+            + [("a", float(i)) for i in range(10)])
+    df = spark.createDataFrame(rows, "g string, v double")
+    got = {r.g: r for r in exact_percentiles(df, ["g"], {"v": "v"}, PROBS, max_in_task=1000).collect()}
+    vals = [v for g, v in rows if g is None]
+    for p in PROBS:
+        assert got[None][percentile_column("v", p)] == brute(vals, p)
+    assert got["a"].v_p50 == 4.5
