@@ -15,8 +15,8 @@ once to the checkpoint folder, and both the counts and the quartiles read
 it, so the upstream models are computed once. Counts aggregate partially per
 (group, company), so a hot panel is spread by company; quartiles use
 ``quantiles.exact_percentiles``: panels up to ``max_in_task`` filings in one
-aggregation, larger ones by distributed rank selection. Results have one
-row per panel.
+aggregation, larger ones by verified sketch brackets (full distributed sort
+as the fallback). Results have one row per panel.
 """
 
 from __future__ import annotations

@@ -1,7 +1,7 @@
 """Profiling reports over the raw accounts (and the company register).
 
-Every report is a DataFrame; nothing but one group-size check (for the
-median) reaches the driver, and columns are read once per aggregate.
+Every report is a DataFrame; only the median's size checks (single numbers)
+reach the driver, and columns are read once per aggregate.
 Where the source schema varies, a report takes the first present column of
 a candidate list (``first_present``) instead of trying queries in turn.
 

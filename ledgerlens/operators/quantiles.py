@@ -11,7 +11,8 @@ values.
 Spark's exact ``percentile`` and any ``collect_list`` keep a whole group in
 one task, so they are only used where the group's size has been counted
 first. The group sizes are counted (one aggregate, one number back to the
-driver), then:
+driver; the bracketed path adds one more, its count of unverified groups),
+then:
 
 * groups of at most ``max_in_task`` rows: one aggregation of sorted value
   arrays per group and measure (``collect_list`` drops nulls), from which the
