@@ -12,8 +12,10 @@ filings with negative equity (1 decimal). Panels with fewer than
 Plan: the join shuffles (or broadcasts, by AQE's runtime size) on
 ``siren``; its projection (keys, company, flag, six measures) is written
 once to the checkpoint folder, and both the counts and the quartiles read
-it, so the upstream models are computed once. Counts aggregate partially per
-(group, company), so a hot panel is spread by company; quartiles use
+it, so the upstream models are computed once. When the largest panel is
+within ``max_in_task`` (checked first), counts and sorted measure arrays
+come from a single aggregation. Otherwise counts aggregate partially per
+(group, company), so a hot panel is spread by company, and quartiles use
 ``quantiles.exact_percentiles``: panels up to ``max_in_task`` filings in one
 aggregation, larger ones by verified sketch brackets (full distributed sort
 as the fallback). Results have one row per panel.
@@ -26,7 +28,8 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import round_half_away
 from ..session import materialize
-from .quantiles import DEFAULT_MAX_IN_TASK, exact_percentiles, percentile_column
+from .quantiles import (DEFAULT_MAX_IN_TASK, exact_percentiles, from_sorted_arrays,
+                        largest_group, percentile_column, sorted_arrays)
 
 KEYS = ["naf_division", "secteur_macro", "annee_fiscale"]
 PROBS = [0.5, 0.25, 0.75]
@@ -52,22 +55,42 @@ def sector_benchmark(ind: DataFrame, ent: DataFrame, min_panel: int = DEFAULT_MI
     base = benchmark_base(ind, ent).select(
         *KEYS, "siren", "capitaux_propres_negatifs", *[src for _, src, _, _ in MEASURES])
     base = materialize(base, "sector-benchmark-base")
+    measures = {stem: src for stem, src, _, _ in MEASURES}
+    neg = F.col("capitaux_propres_negatifs")
+
+    largest = largest_group(base, KEYS)
+    if largest is None or largest <= max_in_task:
+        # Every panel is within the checked bound: its counts (the distinct
+        # companies from a bounded list) and its sorted measure arrays come
+        # from one aggregation.
+        arrays = (base.groupBy(*KEYS).agg(
+            F.count(F.lit(1)).alias("_rows"), F.count_if(neg).alias("_neg"),
+            F.size(F.array_distinct(F.collect_list("siren"))).cast("long").alias("nb_entreprises"),
+            *sorted_arrays(measures))
+            .where(F.col("nb_entreprises") >= F.lit(min_panel)))
+        joined = from_sorted_arrays(arrays, KEYS, list(measures), PROBS, False,
+                                    keep=["nb_entreprises", "_rows", "_neg"])
+        return _report(joined)
 
     per_company = (base.groupBy(*KEYS, "siren")
                    .agg(F.count(F.lit(1)).alias("_rows"),
-                        F.count_if(F.col("capitaux_propres_negatifs")).alias("_neg")))
+                        F.count_if(neg).alias("_neg")))
     counts = (per_company.groupBy(*KEYS)
               .agg(F.count(F.lit(1)).alias("nb_entreprises"),
                    F.sum("_rows").alias("_rows"), F.sum("_neg").alias("_neg"))
               .where(F.col("nb_entreprises") >= F.lit(min_panel)))
 
-    quart = exact_percentiles(base, KEYS, {stem: src for stem, src, _, _ in MEASURES},
-                              PROBS, label="sector-benchmark", max_in_task=max_in_task)
+    quart = exact_percentiles(base, KEYS, measures, PROBS, label="sector-benchmark",
+                              max_in_task=max_in_task)
     # Keys are never null here (the division comes from a non-null code, the
     # year is range-filtered), so a plain equi-join reuses the hash
     # partitioning both aggregates already have: no further exchange.
     joined = counts.join(quart, KEYS, "left")
+    return _report(joined)
+
 
+def _report(joined: DataFrame) -> DataFrame:
+    """Output columns from panel keys, counts and raw percentiles."""
     cols = [F.col(k) for k in KEYS] + [F.col("nb_entreprises")]
     for stem, _, divisor, digits in MEASURES:
         for p in PROBS:

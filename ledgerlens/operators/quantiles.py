@@ -82,11 +82,11 @@ def exact_percentiles(df: DataFrame, keys: list[str], measures: dict[str, Column
                       max_in_task: int = DEFAULT_MAX_IN_TASK) -> DataFrame:
     """See the module docstring. ``df`` is read more than once (sizes, then
     values); pass a stored table or a plain scan, or ``store_input=True``."""
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    largest = sizes.agg(F.max("_rows")).first()[0]
+    largest = largest_group(df, keys)
     if largest is None or largest <= max_in_task:
         return _in_task(df, keys, measures, probs, with_counts)
 
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
     sizes = materialize(sizes, f"{label}-sizes")  # one row per group
 
     def having(cond):
@@ -252,6 +252,207 @@ def _bracketed(df: DataFrame, keys: list[str], measures: dict[str, Column | str]
                                            with_counts=with_counts, store_input=store_input))
 
 
+def largest_group(df: DataFrame, keys: list[str]) -> int | None:
+    """Row count of the largest group (one number back to the driver)."""
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).agg(F.max("_rows")).first()[0]
+
+
+def sorted_arrays(measures: dict[str, Column | str]) -> list[Column]:
+    """Aggregate expressions: per measure the sorted array of its non-null
+    values. Only for groups whose size has been checked."""
+    return [F.array_sort(F.collect_list(_value(c))).alias(f"_a{i}")
+            for i, c in enumerate(measures.values())]
+
+
+def from_sorted_arrays(arrays: DataFrame, keys: list[str], names: list[str],
+                       probs: list[float], with_counts: bool,
+                       keep: list[str] | None = None) -> DataFrame:
+    """Percentiles read from the ``_a{i}`` arrays of ``sorted_arrays``;
+    ``keep`` lists further columns of ``arrays`` to carry through."""
+    keep = keep or []
+    counts = [F.size(f"_a{i}") for i in range(len(names))]
+    arrays = arrays.where((counts[0] if len(counts) == 1 else F.greatest(*counts)) > 0)
+    # lookups first, interpolation in a second projection (keeps generated code small)
+    picks = [F.col(k) for k in keys] + [F.col(c) for c in keep]
+    for i in range(len(names)):
+        a = F.col(f"_a{i}")
+        n = F.size(a)
+        picks.append(n.cast("long").alias(f"_n{i}"))
+        for j, p in enumerate(probs):
+            pos = (n - 1).cast("double") * F.lit(float(p))
+            picks += [F.get(a, F.floor(pos).cast("int")).alias(f"_lo{i}_{j}"),
+                      F.get(a, F.ceil(pos).cast("int")).alias(f"_hi{i}_{j}"),
+                      (pos - F.floor(pos)).alias(f"_d{i}_{j}")]
+    picked = arrays.select(*picks)
+    out = [F.col(k) for k in keys] + [F.col(c) for c in keep]
+    for i, name in enumerate(names):
+        for j, p in enumerate(probs):
+            out.append(F.when(F.col(f"_n{i}") > 0, interpolate(
+                F.col(f"_lo{i}_{j}"), F.col(f"_hi{i}_{j}"), F.col(f"_d{i}_{j}")))
+                .alias(percentile_column(name, p)))
+    if with_counts:
+        out += [F.col(f"_n{i}").alias(f"{name}_n") for i, name in enumerate(names)]
+    return picked.select(*out)
+
+
+def _in_task(df: DataFrame, keys: list[str], measures: dict[str, Column | str],
+             probs: list[float], with_counts: bool) -> DataFrame:
+    """Groups whose size was checked: one aggregation of sorted value arrays."""
+    arrays = df.groupBy(*keys).agg(*sorted_arrays(measures))
+    return from_sorted_arrays(arrays, keys, list(measures), probs, with_counts)
+
+
+def _sketch_accuracy(largest: int, n_brackets: int, max_in_task: int) -> int:
+    """Accuracy of the approximate quantiles: a bracket of ``+-3/accuracy``
+    holds about ``6 * n / accuracy`` values, so with this accuracy all
+    brackets of the largest group take about half the in-task bound."""
+    wanted = -(-12 * largest * n_brackets // max(1, max_in_task))
+    return int(min(MAX_SKETCH_ACCURACY, max(MIN_SKETCH_ACCURACY, wanted)))
+
+
+def _bracketed(df: DataFrame, keys: list[str], measures: dict[str, Column | str],
+               probs: list[float], label: str, *, with_counts: bool, store_input: bool,
+               max_in_task: int, largest: int) -> DataFrame:
+    """Large groups without sorting them.
+
+    1. Sketch: per group and measure the value count and approximate
+       quantiles just below and above each probability (one aggregation,
+       merged map-side).
+    2. Verify: per group, measure and probability, exact counts of the
+       values below the bracket ``[a, b]``, equal to ``a``, strictly inside
+       and equal to ``b``. The bracket holds both wanted ranks when
+       ``below <= floor(pos)`` and ``ceil(pos) < below + at_a + inside +
+       at_b``; ties at the ends (a common case: many equal ratios) are only
+       counted.
+    3. Collect the strictly-inside values of verified brackets (bounded by
+       the check) and read the ranks: below ``a``'s ties, inside, or ``b``.
+
+    Groups with an unverified bracket (the sketch missed, or too many
+    values inside) take the full distributed sort, so the result is exact
+    whatever the sketch returns. A bracket holds about
+    ``6 n / accuracy + 4 n / max_in_task`` values; with the defaults groups
+    up to a few times 10^8 values per measure are bracketed, larger ones are
+    sorted.
+    """
+    names = list(measures)
+    n_m, n_p = len(names), len(probs)
+    per_bracket = max(1, max_in_task // (n_m * n_p))
+    accuracy = _sketch_accuracy(largest, n_m * n_p, max_in_task)
+    # three sketch errors, plus two ranks of the smallest group on this path
+    # (more than max_in_task rows), so a bracket always spans the wanted ranks
+    margin = 3.0 / accuracy + 2.0 / max(1, max_in_task)
+    fracs = [x for p in probs for x in (max(0.0, p - margin), min(1.0, p + margin))]
+
+    # keys of the group tables are renamed so that joins on them stay unambiguous
+    kcols = [f"_k{i}" for i in range(len(keys))]
+    vals = df.select(*[F.col(k).alias(kc) for k, kc in zip(keys, kcols)],
+                     *[_value(c).alias(f"_x{i}") for i, c in enumerate(measures.values())])
+    if store_input:
+        vals = materialize(vals, f"{label}-values")
+
+    sketch = vals.groupBy(*kcols).agg(*[
+        a for i in range(n_m) for a in (
+            F.count(f"_x{i}").alias(f"_n{i}"),
+            F.percentile_approx(f"_x{i}", fracs, accuracy).alias(f"_q{i}"))])
+    sketch = materialize(sketch, f"{label}-sketch")  # one row per group
+
+    def join_groups(left: DataFrame, right: DataFrame, how: str = "inner") -> DataFrame:
+        """Join on the group keys; the right side's columns are renamed so
+        that names and attributes stay unique, then its non-key columns keep
+        their names."""
+        r = right.select(*[F.col(c).alias(f"{c}__r") for c in right.columns])
+        cond = [F.col(kc).eqNullSafe(F.col(f"{kc}__r")) for kc in kcols]
+        joined = left.join(r, cond, how)
+        if how == "left_semi":
+            return joined
+        return joined.select(*left.columns, *[F.col(f"{c}__r").alias(c)
+                                              for c in right.columns if c not in kcols])
+
+    def bounds(i, j):
+        q = F.col(f"_q{i}")
+        return F.get(q, F.lit(2 * j)), F.get(q, F.lit(2 * j + 1))
+
+    withq = join_groups(vals, sketch.select(*kcols, *[f"_q{i}" for i in range(n_m)]))
+    cnt = []
+    for i in range(n_m):
+        x = F.col(f"_x{i}")
+        for j in range(n_p):
+            a, b = bounds(i, j)
+            cnt += [F.count_if(x < a).alias(f"_below{i}_{j}"),
+                    F.count_if(x == a).alias(f"_at_a{i}_{j}"),
+                    F.count_if((x > a) & (x < b)).alias(f"_in{i}_{j}"),
+                    F.count_if((x == b) & (b > a)).alias(f"_at_b{i}_{j}")]
+    checked = join_groups(withq.groupBy(*kcols).agg(*cnt), sketch)
+
+    oks = []
+    for i in range(n_m):
+        n = F.col(f"_n{i}")
+        for j, p in enumerate(probs):
+            pos = (n - 1).cast("double") * F.lit(float(p))
+            lo, hi = F.floor(pos), F.ceil(pos)
+            below = F.col(f"_below{i}_{j}")
+            held = (below + F.col(f"_at_a{i}_{j}") + F.col(f"_in{i}_{j}") + F.col(f"_at_b{i}_{j}"))
+            oks.append((n == 0) | ((below <= lo) & (hi < held)
+                                  & (F.col(f"_in{i}_{j}") <= F.lit(per_bracket))))
+    all_ok = oks[0]
+    for o in oks[1:]:
+        all_ok = all_ok & o
+    checked = materialize(checked.withColumn("_ok", F.coalesce(all_ok, F.lit(False))),
+                          f"{label}-brackets")
+
+    good = checked.where(F.col("_ok")).drop("_ok")
+    inside = join_groups(withq, good.select(*kcols), "left_semi")
+    arrays = inside.groupBy(*kcols).agg(*[
+        F.array_sort(F.collect_list(F.when((F.col(f"_x{i}") > a) & (F.col(f"_x{i}") < b),
+                                           F.col(f"_x{i}")))).alias(f"_arr{i}_{j}")
+        for i in range(n_m) for j in range(n_p) for a, b in [bounds(i, j)]])
+    picked = join_groups(arrays, good)
+
+    # One row per group, measure and probability: the rank expressions are
+    # written once (not once per bracket), so the generated code stays small.
+    per_bracket_rows = F.array(*[
+        F.struct(F.lit(i).alias("_i"), F.lit(float(p)).alias("_p"),
+                 F.col(f"_n{i}").alias("_n"), a.alias("_a"), b.alias("_b"),
+                 F.col(f"_below{i}_{j}").alias("_below"), F.col(f"_at_a{i}_{j}").alias("_at_a"),
+                 F.col(f"_in{i}_{j}").alias("_in"), F.col(f"_arr{i}_{j}").alias("_arr"))
+        for i in range(n_m) for j, p in enumerate(probs) for a, b in [bounds(i, j)]])
+    rows = picked.select(*kcols, F.inline(per_bracket_rows))
+
+    def at_rank(r):
+        t = r - F.col("_below")
+        return (F.when(t < F.col("_at_a"), F.col("_a"))
+                .when(t < F.col("_at_a") + F.col("_in"),
+                      F.get(F.col("_arr"), (t - F.col("_at_a")).cast("int")))
+                .otherwise(F.col("_b")))
+
+    pos = (F.col("_n") - 1).cast("double") * F.col("_p")
+    rows = rows.select(*kcols, "_i", "_p", "_n", at_rank(F.floor(pos)).alias("_lo"),
+                       at_rank(F.ceil(pos)).alias("_hi"), (pos - F.floor(pos)).alias("_d"))
+    rows = rows.select(*kcols, "_i", "_p", "_n", F.when(F.col("_n") > 0, interpolate(
+        F.col("_lo"), F.col("_hi"), F.col("_d"))).alias("_q"))
+    aggs = [F.max(F.when((F.col("_i") == i) & (F.col("_p") == float(p)), F.col("_q")))
+            .alias(percentile_column(name, p)) for i, name in enumerate(names) for p in probs]
+    aggs += [F.max(F.when(F.col("_i") == i, F.col("_n"))).alias(f"{name}_n")
+             for i, name in enumerate(names)]
+    wide = rows.groupBy(*kcols).agg(*aggs)
+    counts_n = [F.col(f"{name}_n") for name in names]
+    wide = wide.where((counts_n[0] if n_m == 1 else F.greatest(*counts_n)) > 0)
+    out = [F.col(kc).alias(k) for kc, k in zip(kcols, keys)]
+    out += [percentile_column(name, p) for name in names for p in probs]
+    if with_counts:
+        out += [f"{name}_n" for name in names]
+    result = wide.select(*out)
+
+    failed = checked.where(~F.col("_ok")).select(*kcols)
+    if failed.count() == 0:  # rows of the stored bracket table: one per group
+        return result
+    failed = failed.select(*[F.col(kc).alias(f"{kc}__f") for kc in kcols])
+    redo = df.join(failed, [F.col(k).eqNullSafe(F.col(f"{kc}__f")) for k, kc in zip(keys, kcols)],
+                   "left_semi")
+    return result.unionByName(_distributed(redo, keys, measures, probs, label,
+                                           with_counts=with_counts, store_input=store_input))
+
+
 def _in_task(df: DataFrame, keys: list[str], measures: dict[str, Column | str],
              probs: list[float], with_counts: bool) -> DataFrame:
     """Groups whose size was checked: one aggregation of sorted value arrays."""
