@@ -530,7 +530,9 @@ def _distributed(df: DataFrame, keys: list[str], measures: dict[str, Column | st
     m, pr, side, v = F.col("_m"), F.col("_p"), F.col("_side"), F.col("_v")
     aggs = []
     for i in range(len(names)):
-        aggs.append(F.max(F.when(m == i, F.col("_n"))).alias(f"_n{i}"))
+        # a measure without any value in the group has no target rows: count 0
+        aggs.append(F.coalesce(F.max(F.when(m == i, F.col("_n"))), F.lit(0).cast("long"))
+                    .alias(f"_n{i}"))
         for j, p in enumerate(probs):
             for sd in (0, 1):
                 aggs.append(F.max(F.when((m == i) & (pr == float(p)) & (side == sd), v))

@@ -76,7 +76,7 @@ def test_matches_brute_force_and_duckdb(spark, many_partitions, max_in_task):
             continue
         r = got[key]
         for name, vals in (("x", xs), ("y", [None if v is None else float(v) for v in ys])):
-            assert getattr(r, f"{name}_n") in (sum(v is not None for v in vals), None)
+            assert getattr(r, f"{name}_n") == sum(v is not None for v in vals), (key, name)
             for p in PROBS:
                 assert getattr(r, percentile_column(name, p)) == brute(vals, p), (key, name, p)
 
@@ -121,7 +121,7 @@ def test_unverified_brackets_fall_back_to_full_sort(spark, many_partitions, monk
     rows = make_rows(seed=9)
     df = spark.createDataFrame(rows, "g string, k int, x double, y long")
     got = {(r.g, r.k): r for r in exact_percentiles(
-        df, ["g", "k"], {"x": "x", "y": "y"}, PROBS, max_in_task=50).collect()}
+        df, ["g", "k"], {"x": "x", "y": "y"}, PROBS, max_in_task=50, with_counts=True).collect()}
     groups = {}
     for g, k, x, y in rows:
         groups.setdefault((g, k), ([], []))
@@ -129,6 +129,8 @@ def test_unverified_brackets_fall_back_to_full_sort(spark, many_partitions, monk
         groups[(g, k)][1].append(None if y is None else float(y))
     for key, (xs, ys) in groups.items():
         if key in got:
+            assert got[key].x_n == sum(v is not None for v in xs), key
+            assert got[key].y_n == sum(v is not None for v in ys), key
             for p in PROBS:
                 assert got[key][percentile_column("x", p)] == brute(xs, p), (key, p)
                 assert got[key][percentile_column("y", p)] == brute(ys, p), (key, p)
