@@ -178,3 +178,28 @@ def test_null_key_group_over_the_bound(spark, many_partitions):
     for p in PROBS:
         assert got[None][percentile_column("v", p)] == brute(vals, p)
     assert got["a"].v_p50 == 4.5
+
+
+@pytest.mark.parametrize("ties", [False, True])
+def test_second_round_refines_large_brackets(spark, many_partitions, monkeypatch, ties):
+    """A coarse first sketch leaves brackets that hold their ranks but too
+    many values; the second round narrows them, without the full sort."""
+    import ledgerlens.operators.quantiles as q
+
+    def no_sort(*args, **kwargs):
+        raise AssertionError("fell back to the full sort")
+    monkeypatch.setattr(q, "_distributed", no_sort)
+    monkeypatch.setattr(q, "MIN_SKETCH_ACCURACY", 100)
+    monkeypatch.setattr(q, "MAX_SKETCH_ACCURACY", 100)
+    rng = random.Random(13)
+    vals = [round(rng.gauss(0, 50), 3) for _ in range(40000)]
+    if ties:
+        vals += [0.0] * 30000
+    rows = [("big", v) for v in vals] + [("small", float(i)) for i in range(7)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    got = {r.g: r for r in exact_percentiles(df, ["g"], {"v": "v"}, PROBS, max_in_task=3000,
+                                             with_counts=True).collect()}
+    for p in PROBS:
+        assert got["big"][percentile_column("v", p)] == brute(vals, p), p
+    assert got["big"].v_n == len(vals)
+    assert got["small"].v_p50 == 3.0
