@@ -31,11 +31,16 @@ def test_hot_copies_dedup_to_same_rows(spark):
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
-@pytest.mark.parametrize("max_in_task", [200_000, 500])
-def test_single_hot_panel_matches_duckdb(spark, max_in_task):
+@pytest.mark.parametrize("max_in_task,coarse", [(200_000, False), (500, False), (300, True)])
+def test_single_hot_panel_matches_duckdb(spark, monkeypatch, max_in_task, coarse):
     """All companies share one activity code: each year is one panel holding
-    every filing of that year; quartiles still equal DuckDB's, both in-task
-    and with every panel over the bound (distributed ranks)."""
+    every filing of that year; quartiles still equal DuckDB's in-task, with
+    every panel over the bound (sketch brackets), and with a coarse first
+    sketch (second bracketing round)."""
+    if coarse:
+        import ledgerlens.operators.quantiles as q
+        monkeypatch.setattr(q, "MIN_SKETCH_ACCURACY", 100)
+        monkeypatch.setattr(q, "MAX_SKETCH_ACCURACY", 100)
     reg = company_register(fixture_register(spark, "/root/testdata/sf0.01")).withColumn(
         "code_naf", F.lit("62.01Z"))
     ind = compute_indicators(stage_statements(fixture_accounts(spark, "/root/testdata/sf0.01"),
