@@ -629,6 +629,9 @@ def _refine(vals: DataFrame, refine: DataFrame, kcols: list[str], n_m: int, prob
     inside = (_join_on(xs, bl.select(*kcols, "_i", "_j", "_a", "_b"), kcols + ["_i"])
               .where((F.col("_x") > F.col("_a")) & (F.col("_x") < F.col("_b")))
               .select(*keys3, "_x"))
+    # the first-round inside values (a small part of each group) are read
+    # three times below: store them once instead of re-reading the groups
+    inside = materialize(inside, f"{label}-inside")
 
     grid = [k / GRID_STEPS for k in range(1, GRID_STEPS)]
     sketch = inside.groupBy(*keys3).agg(
