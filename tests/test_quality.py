@@ -26,3 +26,15 @@ def test_declared_years_follow_bounds():
     checks = declared_checks(2010, 2025)
     assert checks["stg_bilans"].accepted["annee_fiscale"] == list(range(2010, 2026))
     assert checks["mart_evolution"].accepted["flag_degradation"] == ["ALERTE", "VIGILANCE", "STABLE"]
+
+
+def test_fixture_counts_from_the_survey(spark):
+    """Counts FIXTURES.md reports for sf0.01: degradation flags and panels."""
+    from pyspark.sql import functions as F
+    evo = QUERIES["evolution"](spark, SF_ORACLE)
+    flags = {r.flag_degradation: r["count"] for r in evo.groupBy("flag_degradation").count().collect()}
+    assert flags == {"ALERTE": 81, "VIGILANCE": 3820, "STABLE": 1155, None: 2378}
+    assert evo.count() == 7434  # staged rows
+    bench = QUERIES["sector_benchmark"](spark, SF_ORACLE)
+    assert bench.count() == 35  # panels of 50 companies or more
+    assert bench.agg(F.max("nb_entreprises")).first()[0] == 197  # largest panel
