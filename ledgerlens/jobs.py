@@ -2,11 +2,12 @@
 
 The Spark counterpart of a model run followed by its tests::
 
-    spark-submit --py-files ledgerlens.zip -m ledgerlens.jobs \\
-        --accounts s3://…/accounts.parquet --register s3://…/register.parquet \\
-        --buckets 2048 [--prefix fin_] [--min-year 2010 --max-year 2025]
+    python -m ledgerlens.jobs --accounts …/accounts.parquet \\
+        --register …/register.parquet --buckets 2048 \\
+        [--prefix fin_] [--min-year 2010 --max-year 2025]
 
-or ``python -m ledgerlens.jobs …`` locally. The tables are written to the
+On a cluster, ship the package (``--py-files ledgerlens.zip``) and submit a
+two-line launcher that calls ``ledgerlens.jobs.main()``. The tables are written to the
 session's catalog (``save_table``); the check results go to
 ``<prefix>quality_report``. The exit status is 1 when a check fails.
 """
