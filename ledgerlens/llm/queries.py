@@ -7,12 +7,27 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .bpe import decode_documents, encode_documents
 from .common import table
 from .exact_dedup import exact_dedup
+from .token_files import read_token_files, write_token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token files of all documents, written and read back."""
+    return read_token_files(write_token_files(table(spark, sf_dir, "documents")))
+
+
+def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of all documents by backtracking BPE, and the texts decoded from them."""
+    decoded = decode_documents(encode_documents(table(spark, sf_dir, "documents")))
+    return decoded.select(
+        "doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact duplicates of all documents; the largest doc_id of equal texts stays."""
     return exact_dedup(table(spark, sf_dir, "documents")).select(
@@ -28,6 +43,8 @@ WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
 
 QUERIES: dict[str, Query] = {
+    "op5_token_files": op5_token_files,
+    "op7_byte_bpe": op7_byte_bpe,
     "op8_exact_dedup": op8_exact_dedup,
 }
 

@@ -17,9 +17,9 @@ import numpy as np
 #: Vocabulary file of the contracts; a parameter of every operator.
 DEFAULT_TOKENIZER = "byte_bpe_50k.json"
 #: Units kept in a worker's memo; it starts anew when full.
-MEMO_UNITS = 400_000
+MEMO_UNITS = 800_000
 #: Longer units are rare and are encoded without being kept.
-MEMO_UNIT_CHARS = 256
+MEMO_UNIT_CHARS = 64
 
 
 def vocabulary_path(name: str) -> str:
