@@ -27,6 +27,8 @@ _STATE_CONF = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
+    # many small stores: no disk set aside for files not written yet
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
 
 
