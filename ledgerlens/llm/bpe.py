@@ -29,7 +29,9 @@ from .vocabulary import MEMO_UNIT_CHARS, MEMO_UNITS, units, vocabulary_path
 
 DEFAULT_RANKS = "byte_bpe_50k.tiktoken"
 #: Pairs kept in a worker's memo; it starts anew when full.
-MEMO_PAIRS = 1_000_000
+MEMO_PAIRS = 200_000
+#: Pretokens kept in a worker's memo; it starts anew when full.
+MEMO_PRETOKENS = 250_000
 #: Bytes of a pretoken that are matched ahead at once.
 MATCH_WINDOW = 1 << 16
 
@@ -73,7 +75,7 @@ class BacktrackingEncoder:
         self._automaton.make_automaton()
         self._made_of: dict[int, tuple[int, int] | None] = {}
         self._shorter: dict[int, int] = {}
-        self._fits: dict[tuple[int, int], bool] = {}
+        self._fits: dict[int, bool] = {}  # by left * size + right
 
     def _next_shorter(self, token: int) -> int:
         """The longest entry that is a proper prefix of ``token``; -1: none."""
@@ -100,7 +102,7 @@ class BacktrackingEncoder:
         if len(self._fits) > MEMO_PAIRS:
             self._fits.clear()
         made = len(self.token[right]) == 1 or self._halves(right) is not None
-        found = self._fits[left, right] = made and (left < 0 or self._stay_apart(left, right))
+        found = self._fits[left * self.size + right] = made and (left < 0 or self._stay_apart(left, right))
         return found
 
     def _stay_apart(self, left: int, right: int) -> bool:
@@ -139,6 +141,7 @@ class BacktrackingEncoder:
         if not piece:
             return []
         text, size, fits, length = piece.decode("latin-1"), len(piece), self._fits, self._length
+        vocabulary = self.size
         open_ends = bytearray(b"\x01") * (size + 1)  # 0: nothing goes on from there
         window, base = self._longest_matches(text, 0), 0
         out: list[int] = []
@@ -147,7 +150,7 @@ class BacktrackingEncoder:
             while candidate >= 0:
                 end = at + length[candidate]
                 if open_ends[end]:
-                    fit = fits.get((left, candidate))
+                    fit = fits.get(left * vocabulary + candidate)
                     if fit or fit is None and self._compatible(left, candidate):
                         break
                 candidate = self._next_shorter(candidate)
@@ -176,7 +179,7 @@ class TextCodec:
         self._pattern = regex.compile(pattern)
         self._encoder = BacktrackingEncoder(read_ranks(vocabulary))
         self._memo: dict[str, bytes] = {}
-        self._pretokens: dict[str, list[int]] = {}
+        self._pretokens: dict[str, bytes] = {}
         self._bytes = self._encoder.token
 
     def encode(self, text: str) -> bytes:
@@ -184,21 +187,21 @@ class TextCodec:
         memo, out = self._memo, []
         if len(memo) > MEMO_UNITS:
             memo.clear()
-            self._pretokens.clear()
         for unit in units(text):
             ids = memo.get(unit)
             if ids is None:
-                ids = array("I", [i for pretoken in self._pattern.findall(unit)
-                                  for i in self._pretoken(pretoken)]).tobytes()
+                ids = b"".join(map(self._pretoken, self._pattern.findall(unit)))
                 if len(unit) <= MEMO_UNIT_CHARS:
                     memo[unit] = ids
             out.append(ids)
         return b"".join(out)
 
-    def _pretoken(self, pretoken: str) -> list[int]:
+    def _pretoken(self, pretoken: str) -> bytes:
         ids = self._pretokens.get(pretoken)
         if ids is None:
-            ids = self._encoder.encode(pretoken.encode())
+            ids = array("I", self._encoder.encode(pretoken.encode())).tobytes()
+            if len(self._pretokens) > MEMO_PRETOKENS:
+                self._pretokens.clear()
             if len(pretoken) <= MEMO_UNIT_CHARS:
                 self._pretokens[pretoken] = ids
         return ids
