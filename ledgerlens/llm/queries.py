@@ -10,16 +10,29 @@ from pyspark.sql import functions as F
 from .bpe import decode_documents, encode_documents
 from .common import table
 from .exact_dedup import exact_dedup
+from .packing import pack_documents
+from .simhash import near_duplicates
 from .token_files import read_token_files, write_token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of at most 1024 tokens."""
+    return pack_documents(table(spark, sf_dir, "documents"))
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token files of all documents, written and read back."""
     return read_token_files(write_token_files(table(spark, sf_dir, "documents")))
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints and near-duplicate components of all documents."""
+    return near_duplicates(table(spark, sf_dir, "documents")).select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of all documents by backtracking BPE, and the texts decoded from them."""
     decoded = decode_documents(encode_documents(table(spark, sf_dir, "documents")))
@@ -43,7 +56,9 @@ WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
 
 QUERIES: dict[str, Query] = {
+    "op1_packing": op1_packing,
     "op5_token_files": op5_token_files,
+    "op6_simhash": op6_simhash,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_exact_dedup": op8_exact_dedup,
 }
