@@ -25,13 +25,11 @@ import regex
 from pyspark.sql import DataFrame
 
 from .common import text_slices, whole_text
-from .vocabulary import MEMO_UNIT_CHARS, MEMO_UNITS, units, vocabulary_path
+from .vocabulary import UnitMemo, vocabulary_path
 
 DEFAULT_RANKS = "byte_bpe_50k.tiktoken"
 #: Pairs kept in a worker's memo; it starts anew when full.
 MEMO_PAIRS = 200_000
-#: Pretokens kept in a worker's memo; it starts anew when full.
-MEMO_PRETOKENS = 250_000
 #: Bytes of a pretoken that are matched ahead at once.
 MATCH_WINDOW = 1 << 16
 
@@ -174,37 +172,21 @@ class TextCodec:
     """Encodes and decodes whole texts; every pretoken is encoded by itself."""
 
     def __init__(self, vocabulary: str = DEFAULT_RANKS, pattern: str | None = None):
-        if pattern is None:
-            from public_tokenizers import PATTERN as pattern
-        self._pattern = regex.compile(pattern)
+        from public_tokenizers import PATTERN
+
         self._encoder = BacktrackingEncoder(read_ranks(vocabulary))
-        self._memo: dict[str, bytes] = {}
-        self._pretokens: dict[str, bytes] = {}
         self._bytes = self._encoder.token
+        self._own = regex.compile(pattern) if pattern not in (None, PATTERN) else None
+        self._memo = UnitMemo(self._pretoken_ids, PATTERN)
+
+    def _pretoken_ids(self, pretoken: str) -> bytes:
+        return array("I", self._encoder.encode(pretoken.encode())).tobytes()
 
     def encode(self, text: str) -> bytes:
         """Ids as unsigned 32-bit integers (little-endian, as all Spark hosts are)."""
-        memo, out = self._memo, []
-        if len(memo) > MEMO_UNITS:
-            memo.clear()
-        for unit in units(text):
-            ids = memo.get(unit)
-            if ids is None:
-                ids = b"".join(map(self._pretoken, self._pattern.findall(unit)))
-                if len(unit) <= MEMO_UNIT_CHARS:
-                    memo[unit] = ids
-            out.append(ids)
-        return b"".join(out)
-
-    def _pretoken(self, pretoken: str) -> bytes:
-        ids = self._pretokens.get(pretoken)
-        if ids is None:
-            ids = array("I", self._encoder.encode(pretoken.encode())).tobytes()
-            if len(self._pretokens) > MEMO_PRETOKENS:
-                self._pretokens.clear()
-            if len(pretoken) <= MEMO_UNIT_CHARS:
-                self._pretokens[pretoken] = ids
-        return ids
+        if self._own is not None:  # another pattern: no cut is known beforehand
+            return b"".join(map(self._pretoken_ids, self._own.findall(text)))
+        return self._memo.encode(text)
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self._bytes.__getitem__, np.frombuffer(ids, dtype="<u4").tolist()))

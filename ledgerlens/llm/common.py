@@ -12,8 +12,6 @@ from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
 
-#: Word separators of the contracts: blank, tab, newline, VT, FF, CR.
-SPACE_CLASS = r"[\x20\x09-\x0D]"
 #: Rows of a batch that are turned into Python strings at once.
 ROWS_AT_ONCE = 256
 

@@ -11,6 +11,7 @@ from .bpe import decode_documents, encode_documents
 from .common import table
 from .exact_dedup import exact_dedup
 from .packing import pack_documents
+from .quality import judge_quality
 from .simhash import near_duplicates
 from .token_files import read_token_files, write_token_files
 
@@ -48,6 +49,11 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality measures and weakly supervised verdicts of all documents."""
+    return judge_quality(table(spark, sf_dir, "documents"))
+
+
 OP8_SQL = """
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
        doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
@@ -61,6 +67,7 @@ QUERIES: dict[str, Query] = {
     "op6_simhash": op6_simhash,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_exact_dedup": op8_exact_dedup,
+    "op10_quality": op10_quality,
 }
 
 ORACLE: dict[str, str] = {

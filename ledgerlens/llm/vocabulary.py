@@ -1,24 +1,26 @@
 """Encoding whole texts with the ``tokenizers`` library at corpus scale.
 
-The byte-level pattern of the vocabulary always cuts before a blank that is
-followed by a visible character, and what stands on either side of that cut
-is encoded alike alone or in context. So a text is split there, each unit is
-looked up in a bounded memo, and the library encodes the units not seen yet,
-one batch at a time. The ids are those of the whole text.
+A byte-level vocabulary cuts a text into pretokens by a public pattern and
+encodes each by itself. The pattern always cuts before a blank that a visible
+character follows, so a text is first split there into units; a unit's ids
+come from a bounded memo, or else from the ids of its pretokens, or else from
+the library. The ids are those of the whole text.
 """
 
 from __future__ import annotations
 
+import json
 import os
-from collections.abc import Iterable
+from array import array
+from collections.abc import Callable
 
-import numpy as np
+import regex
 
 #: Vocabulary file of the contracts; a parameter of every operator.
 DEFAULT_TOKENIZER = "byte_bpe_50k.json"
-#: Units kept in a worker's memo; it starts anew when full.
-MEMO_UNITS = 400_000
-#: Longer units are rare and are encoded without being kept.
+#: Units and pretokens kept in a worker's memo; it starts anew when full.
+MEMO_UNITS = 700_000
+#: Longer ones are rare and are encoded without being kept.
 MEMO_UNIT_CHARS = 64
 
 
@@ -47,8 +49,44 @@ def units(text: str) -> list[str]:
     return out
 
 
+class UnitMemo(dict):
+    """Ids (little-endian unsigned 32-bit integers) by unit or pretoken."""
+
+    def __init__(self, encode_pretoken: Callable[[str], bytes], pattern: str):
+        super().__init__()
+        self._encode = encode_pretoken
+        self._pattern = regex.compile(pattern)
+
+    def __missing__(self, unit: str) -> bytes:
+        body = unit[1:]
+        if unit[0] == " " and body.isalpha():  # one pretoken
+            ids = self._encode(unit)
+        elif unit[0] == " " and body[-1:] in (".", ",") and body[:-1].isalpha():  # two
+            ids = self[unit[:-1]] + self[unit[-1]]
+        else:
+            pretokens = self._pattern.findall(unit)
+            ids = self._encode(unit) if len(pretokens) == 1 else b"".join(
+                map(self.__getitem__, pretokens))
+        if len(unit) <= MEMO_UNIT_CHARS:
+            self[unit] = ids
+        return ids
+
+    def encode(self, text: str) -> bytes:
+        if len(self) > MEMO_UNITS:
+            self.clear()
+        return b"".join(map(self.__getitem__, units(text)))
+
+
+def _byte_letters() -> dict[int, str]:
+    """The visible character that stands for each byte in a byte-level
+    vocabulary: itself where visible, else the next one from 256 on."""
+    visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in visible]
+    return {b: chr(b) for b in visible} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
 class CorpusEncoder:
-    """Ids of texts as little-endian unsigned 32-bit integers."""
+    """Ids of whole texts, without special tokens."""
 
     def __init__(self, tokenizer: str = DEFAULT_TOKENIZER):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -57,30 +95,31 @@ class CorpusEncoder:
         self._library = Tokenizer.from_file(vocabulary_path(tokenizer))
         self._library.encode_special_tokens = True  # their strings are ordinary text
         self.vocabulary_size = self._library.get_vocab_size()
-        self._memo: dict[str, bytes] = {}
+        self._memo = None
+        if self._cuts_by_the_pattern():
+            from public_tokenizers import PATTERN
+
+            self._model, self._letters = self._library.model, _byte_letters()
+            self._memo = UnitMemo(self._pretoken_ids, PATTERN)
+
+    def _cuts_by_the_pattern(self) -> bool:
+        """Is it a plain byte-level BPE, whose pretokens the pattern gives?"""
+        parts = json.loads(self._library.to_str())
+        cut = parts["pre_tokenizer"] or {}
+        return (parts["normalizer"] is None and parts["model"]["type"] == "BPE"
+                and cut.get("type") == "ByteLevel" and cut.get("use_regex", False)
+                and not cut.get("add_prefix_space", True))
+
+    def _pretoken_ids(self, pretoken: str) -> bytes:
+        letters = pretoken.encode().decode("latin-1").translate(self._letters)
+        return array("I", [t.id for t in self._model.tokenize(letters)]).tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text, without special tokens."""
-        cut = [units(t) for t in texts]
-        memo = self._memo
-        if len(memo) > MEMO_UNITS:
-            memo.clear()
-        unseen = {u for us in cut for u in us if u not in memo}
-        found = self._library_ids(unseen)
-        memo.update((u, ids) for u, ids in found.items() if len(u) <= MEMO_UNIT_CHARS)
-        if any(len(u) > MEMO_UNIT_CHARS for u in found):
-            def get(u):
-                return memo[u] if u in memo else found[u]
-        else:
-            get = memo.__getitem__
-        return [b"".join(map(get, us)) for us in cut]
-
-    def _library_ids(self, unseen: Iterable[str]) -> dict[str, bytes]:
-        unseen = list(unseen)
-        if not unseen:
-            return {}
-        encodings = self._library.encode_batch(unseen, add_special_tokens=False)
-        return {u: np.array(e.ids, dtype="<u4").tobytes() for u, e in zip(unseen, encodings)}
+        """Little-endian unsigned 32-bit ids of each text."""
+        if self._memo is not None:
+            return list(map(self._memo.encode, texts))
+        encodings = self._library.encode_batch(texts, add_special_tokens=False)
+        return [array("I", e.ids).tobytes() for e in encodings]
 
 
 _ENCODERS: dict[str, CorpusEncoder] = {}
