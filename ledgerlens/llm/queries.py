@@ -12,6 +12,7 @@ from .common import table
 from .exact_dedup import exact_dedup
 from .packing import pack_documents
 from .quality import judge_quality
+from .secret_scan import count_kind, scan_secrets, span_text
 from .simhash import near_duplicates
 from .token_files import read_token_files, write_token_files
 
@@ -23,6 +24,16 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in all documents."""
+    found = scan_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id", *(count_kind("_ll_base", kind).alias(f"n_{kind}")
+                    for kind in ("assign", "access", "hex")),
+        F.sha2(span_text("_ll_base"), 256).alias("base_sha256"),
+        span_text("_ll_spans").alias("spans"))
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token files of all documents, written and read back."""
     return read_token_files(write_token_files(table(spark, sf_dir, "documents")))
@@ -63,6 +74,7 @@ WINDOW same AS (PARTITION BY coalesce(text, ''))
 
 QUERIES: dict[str, Query] = {
     "op1_packing": op1_packing,
+    "op4_secrets": op4_secrets,
     "op5_token_files": op5_token_files,
     "op6_simhash": op6_simhash,
     "op7_byte_bpe": op7_byte_bpe,
