@@ -48,7 +48,7 @@ class CharacterClass:
 #: The first class that a candidate belongs to judges it.
 CLASSES = (
     CharacterClass("entropy_hex", "^(?=.*[0-9])(?=.*[A-Fa-f])[0-9A-Fa-f]+$", 20, 2.9),
-    CharacterClass("entropy_mixed", "^(?=.*[0-9])(?=.*[A-Za-z]).+$", 20, 3.8),
+    CharacterClass("entropy_mixed", "^(?=.*[0-9])(?=.*[A-Za-z]).+$", 20, 3.7),
     CharacterClass("entropy_letters", "^[A-Za-z]+$", 24, 4.2),
 )
 #: Candidate strings: long runs of characters that keys are written in.
