@@ -14,7 +14,9 @@ from .packing import pack_documents
 from .quality import judge_quality
 from .secret_scan import count_kind, scan_secrets, span_text
 from .simhash import near_duplicates
+from .token_counts import token_counts
 from .token_files import read_token_files, write_token_files
+from .url_filter import judge_captures
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,6 +26,11 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token totals and truncation of all documents for every context limit."""
+    return token_counts(table(spark, sf_dir, "documents"))
+
+
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in all documents."""
     found = scan_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -60,11 +67,86 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def page_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stand-in captures: every page, with a fetch time made from its id."""
+    return table(spark, sf_dir, "pages").select(
+        F.col("page_id").alias("capture_id"), "url",
+        F.expr("timestamp_seconds(unix_date(DATE'2021-01-01') * 86400 "
+               "+ (page_id * 7919) % 730 * 86400 + (page_id * 31) % 86400)").alias("fetched_at"))
+
+
+def list_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stand-in list log: every page gives one entry for its host, or for the
+    first part of its path on that host."""
+    site = F.regexp_extract("url", "^[a-z]+://([^/?#]+)", 1)
+    part = F.regexp_extract("url", "^[a-z]+://([^/?#]+/[^/?#]+)", 1)
+    return table(spark, sf_dir, "pages").select(
+        F.concat(F.lit("list"), (F.col("page_id") % 3).cast("string")).alias("list"),
+        F.when(F.col("page_id") % 2 == 0, site).otherwise(part).alias("pattern"),
+        F.when(F.col("page_id") * 13 % 4 == 0, "remove").otherwise("add").alias("action"),
+        F.expr("date_add(DATE'2021-01-01', CAST((page_id * 104729) % 730 AS INT))"
+               ).alias("effective_on"))
+
+
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page capture, judged by the list entries active when it was fetched."""
+    return judge_captures(page_captures(spark, sf_dir), list_entries(spark, sf_dir))
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality measures and weakly supervised verdicts of all documents."""
     return judge_quality(table(spark, sf_dir, "documents"))
 
 
+OP9_SQL = """
+WITH captures AS (
+  SELECT page_id AS capture_id, url,
+         make_timestamp(CAST((epoch(DATE '2021-01-01') + (page_id * 7919) % 730 * 86400
+                              + (page_id * 31) % 86400) * 1000000 AS BIGINT)) AS fetched_at
+  FROM pages),
+entries AS (
+  SELECT 'list' || (page_id % 3) AS list,
+         CASE WHEN page_id % 2 = 0 THEN regexp_extract(url, '^[a-z]+://([^/?#]+)', 1)
+              ELSE regexp_extract(url, '^[a-z]+://([^/?#]+/[^/?#]+)', 1) END AS pattern,
+         CASE WHEN page_id * 13 % 4 = 0 THEN 'remove' ELSE 'add' END AS action,
+         DATE '2021-01-01' + CAST((page_id * 104729) % 730 AS INTEGER) AS day
+  FROM pages),
+by_day AS (
+  SELECT list, pattern, day, max(action) AS action FROM entries
+  WHERE pattern IS NOT NULL GROUP BY ALL),
+active AS (
+  SELECT list, pattern, action, day AS valid_from,
+         lead(day) OVER (PARTITION BY list, pattern ORDER BY day) AS valid_to
+  FROM by_day),
+parsed AS (
+  SELECT *, nullif(rtrim(lower(regexp_extract(
+             trim(url), '^(?:(?i)[a-z][a-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]+)', 1)), '.'), '')
+             AS host,
+         list_filter(string_split(regexp_extract(
+             trim(url), '^(?:(?i)[a-z][a-z0-9+.-]*:)?//[^/?#]*([^?#]*)', 1), '/'),
+             lambda x: x <> '') AS segments
+  FROM captures),
+keyed AS (
+  SELECT DISTINCT capture_id, url, fetched_at, unnest(list_concat(
+    list_transform(range(1, least(len(string_split(host, '.')), 8) + 1), lambda i:
+      array_to_string(string_split(host, '.')[len(string_split(host, '.')) - i + 1:], '.')),
+    list_transform(range(1, least(len(segments), 6) + 1), lambda i:
+      host || '/' || array_to_string(segments[1:i], '/')))) AS pattern
+  FROM parsed WHERE host IS NOT NULL),
+met AS (
+  SELECT capture_id, url, fetched_at,
+         string_agg(DISTINCT list, ',' ORDER BY list) AS lists,
+         string_agg(DISTINCT pattern, ',' ORDER BY pattern) AS matched_on
+  FROM keyed JOIN active USING (pattern)
+  WHERE action = 'add' AND valid_from <= CAST(fetched_at AS DATE)
+    AND (valid_to IS NULL OR CAST(fetched_at AS DATE) < valid_to)
+  GROUP BY ALL)
+SELECT p.capture_id, p.url, p.host, p.fetched_at, m.lists IS NOT NULL AS blocked,
+       coalesce(m.lists, '') AS lists, coalesce(m.matched_on, '') AS matched_on
+FROM parsed p LEFT JOIN met m
+  ON p.capture_id = m.capture_id AND p.url = m.url AND p.fetched_at = m.fetched_at
+"""
+
 OP8_SQL = """
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
        doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
@@ -74,14 +156,17 @@ WINDOW same AS (PARTITION BY coalesce(text, ''))
 
 QUERIES: dict[str, Query] = {
     "op1_packing": op1_packing,
+    "op3_token_counts": op3_token_counts,
     "op4_secrets": op4_secrets,
     "op5_token_files": op5_token_files,
     "op6_simhash": op6_simhash,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_url_filter": op9_url_filter,
     "op10_quality": op10_quality,
 }
 
 ORACLE: dict[str, str] = {
     "op8_exact_dedup": OP8_SQL,
+    "op9_url_filter": OP9_SQL,
 }
