@@ -16,6 +16,7 @@ from .secret_scan import count_kind, scan_secrets, span_text
 from .simhash import near_duplicates
 from .token_counts import token_counts
 from .token_files import read_token_files, write_token_files
+from .toxicity import score_toxicity
 from .url_filter import judge_captures
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +27,11 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity scores of all documents, learned from the labels not held out."""
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token totals and truncation of all documents for every context limit."""
     return token_counts(table(spark, sf_dir, "documents"))
@@ -156,6 +162,7 @@ WINDOW same AS (PARTITION BY coalesce(text, ''))
 
 QUERIES: dict[str, Query] = {
     "op1_packing": op1_packing,
+    "op2_toxicity": op2_toxicity,
     "op3_token_counts": op3_token_counts,
     "op4_secrets": op4_secrets,
     "op5_token_files": op5_token_files,
