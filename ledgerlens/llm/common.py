@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
 
+#: Column that with_locator() adds.
+LOCATOR = "_ll_locator"
 #: Rows of a batch that are turned into Python strings at once.
 ROWS_AT_ONCE = 256
 
@@ -50,7 +52,7 @@ def delete_path(spark: SparkSession, path: str) -> None:
     hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
-def with_locator(docs: DataFrame, name: str = "locator") -> DataFrame:
+def with_locator(docs: DataFrame) -> DataFrame:
     """``docs`` and a locator of each row: file and row number in the file.
 
     Rows that don't come straight from files are written to the shared folder
@@ -58,8 +60,8 @@ def with_locator(docs: DataFrame, name: str = "locator") -> DataFrame:
     """
     def locate(df: DataFrame) -> DataFrame:
         meta = df.metadataColumn("_metadata")
-        return df.withColumn(name, F.struct(meta["file_path"].alias("file"),
-                                            meta["row_index"].alias("row")))
+        return df.withColumn(LOCATOR, F.struct(meta["file_path"].alias("file"),
+                                               meta["row_index"].alias("row")))
     try:
         out = locate(docs)
         out.schema  # analysis happens here
@@ -68,6 +70,13 @@ def with_locator(docs: DataFrame, name: str = "locator") -> DataFrame:
         return locate(store(docs, "located"))
 
 
+def locators(docs: DataFrame) -> DataFrame:
+    """doc_id, text and locator of ``docs``, which may be located already."""
+    if LOCATOR not in docs.columns:
+        docs = with_locator(docs.select("doc_id", "text"))
+    return docs.select("doc_id", "text", F.col(LOCATOR).alias("locator"))
+
+
 def text_slices(batch: pa.RecordBatch, col: int = 1) -> Iterator[tuple[int, list[str]]]:
     """The texts of a batch in short runs: (first row, texts)."""
     column = batch.column(col)

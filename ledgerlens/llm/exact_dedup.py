@@ -20,7 +20,7 @@ from contextlib import contextmanager
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import shared_path, store, whole_text, with_locator
+from .common import LOCATOR, locators, shared_path, store, whole_text, with_locator
 
 _STATE_CONF = {
     "spark.sql.streaming.stateStore.providerClass":
@@ -76,6 +76,7 @@ def run_dedup_stream(arrivals: DataFrame, arrivals_path: str, state_path: str,
 def exact_dedup(docs: DataFrame, digest: Callable[[Column], Column] = sha256_digest,
                 files_per_trigger: int = 4096) -> DataFrame:
     """Class of every row of ``docs`` (columns doc_id and text; others ignored).
+    Rows that with_locator() has located keep their locators.
 
     Returns one row per input row: doc_id, locator, digest, keep_id, group_size,
     kept. Texts are equal when their bytes are equal; a null text is empty. Of
@@ -84,7 +85,7 @@ def exact_dedup(docs: DataFrame, digest: Callable[[Column], Column] = sha256_dig
     doc_id is smaller than any other. An empty table gives no rows.
     """
     spark = docs.sparkSession
-    located = with_locator(docs.select("doc_id", "text")).select(
+    located = locators(docs).select(
         "doc_id", "locator", digest(whole_text()).alias("digest"), whole_text().alias("text"))
     arrivals_path = shared_path(spark, "arrivals")
     narrow = located.drop("text")
@@ -124,7 +125,6 @@ def _classed(rows: DataFrame, keepers: DataFrame, on: list[str]) -> DataFrame:
 
 def drop_copies(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
-    located = with_locator(docs, "_ll_locator")
-    gone = exact_dedup(docs).where("not kept").select(F.col("locator").alias("_ll_gone"))
-    return located.join(gone, F.col("_ll_locator") == F.col("_ll_gone"),
-                        "left_anti").drop("_ll_locator")
+    located = with_locator(docs)
+    gone = exact_dedup(located).where("not kept").select(F.col("locator").alias("_ll_gone"))
+    return located.join(gone, F.col(LOCATOR) == F.col("_ll_gone"), "left_anti").drop(LOCATOR)

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop, store, text_slices, whole_text, with_locator
+from .common import LOCATOR, locators, store, text_slices, whole_text, with_locator
 from .components import connected_components
 
 BITS = 64
@@ -193,7 +193,8 @@ def near_links(nodes: DataFrame, radius: int = RADIUS,
 def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, radius: int = RADIUS,
                     seed: int = HASH_SEED, at_once: int = BUCKET_AT_ONCE) -> DataFrame:
     """Fingerprint and component of every row of ``docs`` (columns doc_id and
-    text; others ignored).
+    text; others ignored). Rows that with_locator() has located keep their
+    locators.
 
     Returns doc_id, locator, fp (signed long), component_id (least doc_id that
     links reach; null only if all of them are null) and kept (true for one row
@@ -202,8 +203,7 @@ def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, radius:
     texts without words have fingerprint zero and link like any other. An empty
     table gives no rows.
     """
-    located = with_locator(docs.select("doc_id", "text")).select(
-        "doc_id", whole_text().alias("text"), "locator")
+    located = locators(docs).select("doc_id", whole_text().alias("text"), "locator")
     marked = store(fingerprints(located, shingle_words, seed), "fingerprints")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "locator"))
     nodes = store(marked.groupBy("fp").agg(first.alias("first")), "nodes")
@@ -221,8 +221,7 @@ def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, radius:
 def drop_near_copies(docs: DataFrame, shingle_words: int = SHINGLE_WORDS,
                      radius: int = RADIUS) -> DataFrame:
     """One row of every component, with all its columns."""
-    located = with_locator(docs, "_ll_locator")
-    gone = near_duplicates(docs, shingle_words, radius).where("not kept").select(
+    located = with_locator(docs)
+    gone = near_duplicates(located, shingle_words, radius).where("not kept").select(
         F.col("locator").alias("_ll_gone"))
-    return located.join(gone, F.col("_ll_locator") == F.col("_ll_gone"),
-                        "left_anti").drop("_ll_locator")
+    return located.join(gone, F.col(LOCATOR) == F.col("_ll_gone"), "left_anti").drop(LOCATOR)

@@ -44,7 +44,7 @@ SEED_WORDS = (
     "dumm dummkopf idioten trottel arschloch scheiße scheisse abschaum schlampe wichser")
 SECOND_PERSON = ("you your yours yourself u ur du dich dir dein deine euch ihr tu te toi ton ta "
                  "tes vous votre vos tú ti tus usted vosotros")
-_LEET, _PLAIN = "0134578@$!", "oieastbasi"
+_LEET, _PLAIN = "0134578@$", "oieastbas"
 _MARKS = ".,;:?\"'()[]{}…#*%&<>|~_-+=/\\`^¡¿«»"
 FEATURES = ("seed_density", "learned_density", "lexicon_hits", "near_second_person",
             "disguised_hits", "capitals", "shouted_words", "exclamations", "questions",
@@ -62,7 +62,8 @@ def plain_words(text: Column) -> Column:
 
 def undisguised_words(text: Column) -> Column:
     """The same with digits and signs read as the letters they stand for."""
-    return _words(F.translate(F.lower(text), _LEET, _PLAIN))
+    inside = F.regexp_replace(F.lower(text), r"(?<=\p{L})!(?=\p{L})", "i")
+    return _words(F.translate(F.translate(inside, "!", ""), _LEET, _PLAIN))
 
 
 def learn_lexicon(training: DataFrame) -> list[str]:
