@@ -21,7 +21,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from ledgerlens.queries import QUERIES  # noqa: E402
-from ledgerlens.session import local_session  # noqa: E402
+from ledgerlens.session import clear_materialized, local_session  # noqa: E402
 
 
 def _sf(sf_dir: str):
@@ -32,7 +32,9 @@ def _sf(sf_dir: str):
 def run_query(spark, fn, sf_dir: str) -> float:
     t0 = time.perf_counter()
     fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
-    return time.perf_counter() - t0
+    took = time.perf_counter() - t0
+    clear_materialized(spark)
+    return took
 
 
 def main() -> None:

@@ -7,7 +7,7 @@ Layers (each a plain function from DataFrames to a DataFrame):
   exact quantiles, profiling, data-quality checks and result views.
 * ``functions`` – column-expression helpers (rounding, ratios, flags, sectors).
 * ``plans``     – the model chain and its materialised, bucketed layout.
-* ``streaming`` – nothing to port (the workload is batch only).
+* ``llm``       – operators of a training-data pipeline (optional).
 """
 
 __version__ = "0.1.0"

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from .operators.quality import declared_checks, quality_report
 from .operators.staging import DEFAULT_MAX_YEAR, DEFAULT_MIN_YEAR
 from .plans.models import materialize_models
+from .session import clear_materialized
 from .sources.parquet import read_accounts, read_company_register, save_table
 
 
@@ -51,6 +52,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> int:
     report = save_table(quality_report(tables, declared_checks(args.min_year, args.max_year)),
                         f"{args.prefix}quality_report")
     failed = report.where(F.col("failures") > 0).count()  # one row per check: small
+    clear_materialized(spark)
     return 1 if failed else 0
 
 

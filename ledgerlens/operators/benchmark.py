@@ -9,31 +9,28 @@ ratio (3 decimals), each over its own non-null values, and the share of
 filings with negative equity (1 decimal). Panels with fewer than
 ``min_panel`` companies are dropped.
 
-Plan: the join shuffles (or broadcasts, by AQE's runtime size) on
-``siren``; its projection (keys, company, flag, six measures) is written
-once to the checkpoint folder, and both the counts and the quartiles read
-it, so the upstream models are computed once. When the largest panel is
-within ``max_in_task`` (checked first), counts and sorted measure arrays
-come from a single aggregation. Otherwise counts aggregate partially per
-(group, company), so a hot panel is spread by company, and quartiles use
-``quantiles.exact_percentiles``: panels up to ``max_in_task`` filings in one
-aggregation, larger ones by verified sketch brackets (full distributed sort
-as the fallback). Results have one row per panel.
+Plan: the join shuffles (or broadcasts, by AQE's runtime size) on ``siren``.
+Counts aggregate per (group, company) first, so a hot panel is spread by
+company; quartiles come from ``quantiles.exact_percentiles``, which spreads it
+by value. Nothing runs while the DataFrame is built. Counts and quartiles both
+read the joined base: ``store`` (for instance ``session.materialize``) is the
+caller's explicit step to write it once. ``year`` and ``division`` are panel
+keys and are applied before the join and before ``store``.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import round_half_away
-from ..session import materialize
-from .quantiles import (DEFAULT_MAX_IN_TASK, exact_percentiles, from_sorted_arrays,
-                        largest_group, percentile_column, sorted_arrays)
+from .quantiles import exact_percentiles, percentile_column
 
 KEYS = ["naf_division", "secteur_macro", "annee_fiscale"]
 PROBS = [0.5, 0.25, 0.75]
-# (output stem, indicator column, scale divisor, decimals)
+# Fixed values: (output stem, indicator column, scale divisor, decimals) of the report.
 MEASURES = [
     ("ca_k", "chiffre_affaires", 1000.0, 0),
     ("marge_nette", "marge_nette_pct", None, 2),
@@ -45,48 +42,35 @@ MEASURES = [
 DEFAULT_MIN_PANEL = 50
 
 
-def benchmark_base(ind: DataFrame, ent: DataFrame) -> DataFrame:
+def benchmark_base(ind: DataFrame, ent: DataFrame, year: int | None = None,
+                   division: str | None = None) -> DataFrame:
+    """Filings with positive revenue and their company's panel keys."""
+    if year is not None:
+        ind = ind.where(F.col("annee_fiscale") == F.lit(year))
+    if division is not None:
+        ent = ent.where(F.col("naf_division") == F.lit(division))
     return (ind.where(F.col("chiffre_affaires") > F.lit(0))
             .join(ent.select("siren", "code_naf", "naf_division", "secteur_macro"), "siren", "inner"))
 
 
-def sector_benchmark(ind: DataFrame, ent: DataFrame, min_panel: int = DEFAULT_MIN_PANEL,
-                     max_in_task: int = DEFAULT_MAX_IN_TASK) -> DataFrame:
-    base = benchmark_base(ind, ent).select(
+def sector_benchmark(ind: DataFrame, ent: DataFrame, min_panel: int = DEFAULT_MIN_PANEL, *,
+                     year: int | None = None, division: str | None = None,
+                     store: Callable[[DataFrame, str], DataFrame] | None = None) -> DataFrame:
+    base = benchmark_base(ind, ent, year, division).select(
         *KEYS, "siren", "capitaux_propres_negatifs", *[src for _, src, _, _ in MEASURES])
-    base = materialize(base, "sector-benchmark-base")
-    measures = {stem: src for stem, src, _, _ in MEASURES}
-    neg = F.col("capitaux_propres_negatifs")
-
-    largest = largest_group(base, KEYS)
-    if largest is None or largest <= max_in_task:
-        # Every panel is within the checked bound: its counts (the distinct
-        # companies from a bounded list) and its sorted measure arrays come
-        # from one aggregation.
-        arrays = (base.groupBy(*KEYS).agg(
-            F.count(F.lit(1)).alias("_rows"), F.count_if(neg).alias("_neg"),
-            F.size(F.array_distinct(F.collect_list("siren"))).cast("long").alias("nb_entreprises"),
-            *sorted_arrays(measures))
-            .where(F.col("nb_entreprises") >= F.lit(min_panel)))
-        joined = from_sorted_arrays(arrays, KEYS, list(measures), PROBS, False,
-                                    keep=["nb_entreprises", "_rows", "_neg"])
-        return _report(joined)
-
+    if store is not None:
+        base = store(base, "sector-benchmark-base")
     per_company = (base.groupBy(*KEYS, "siren")
                    .agg(F.count(F.lit(1)).alias("_rows"),
-                        F.count_if(neg).alias("_neg")))
+                        F.count_if(F.col("capitaux_propres_negatifs")).alias("_neg")))
     counts = (per_company.groupBy(*KEYS)
               .agg(F.count(F.lit(1)).alias("nb_entreprises"),
                    F.sum("_rows").alias("_rows"), F.sum("_neg").alias("_neg"))
               .where(F.col("nb_entreprises") >= F.lit(min_panel)))
-
-    quart = exact_percentiles(base, KEYS, measures, PROBS, label="sector-benchmark",
-                              max_in_task=max_in_task)
+    quart = exact_percentiles(base, KEYS, {stem: src for stem, src, _, _ in MEASURES}, PROBS)
     # Keys are never null here (the division comes from a non-null code, the
-    # year is range-filtered), so a plain equi-join reuses the hash
-    # partitioning both aggregates already have: no further exchange.
-    joined = counts.join(quart, KEYS, "left")
-    return _report(joined)
+    # year is range-filtered), so a plain equi-join fits.
+    return _report(counts.join(quart, KEYS, "left"))
 
 
 def _report(joined: DataFrame) -> DataFrame:

@@ -1,7 +1,7 @@
 """Profiling reports over the raw accounts (and the company register).
 
-Every report is a DataFrame; only the median's size checks (single numbers)
-reach the driver, and columns are read once per aggregate.
+Every report is a DataFrame; nothing reaches the driver before it is used, and
+columns are read once per aggregate.
 Where the source schema varies, a report takes the first present column of
 a candidate list (``first_present``) instead of trying queries in turn.
 
@@ -104,9 +104,11 @@ def rows_per_year(raw: DataFrame, candidates: list[str] = YEAR_CANDIDATES) -> Da
 
 
 def top_codes(df: DataFrame, n: int = 10, candidates: list[str] = CODE_CANDIDATES) -> DataFrame:
+    """The ``n`` most frequent codes of the first candidate column present; no
+    rows when there is none."""
     col = first_present(df, candidates)
     if col is None:
-        raise ValueError(f"none of the code columns {candidates} is present")
+        return df.sparkSession.createDataFrame([], f"{candidates[0]} string, nb long")
     return (df.groupBy(col).agg(F.count(F.lit(1)).alias("nb"))
             .orderBy(F.desc("nb"), F.col(col).asc_nulls_last())
             .limit(n))
@@ -120,11 +122,13 @@ def null_rates_wide(raw: DataFrame, candidates: list[str] = FINANCE_CANDIDATES)
 
 
 def null_rates(raw: DataFrame, columns: list[str] = NULL_PROFILE_COLUMNS) -> DataFrame:
-    """One row per present column (missing columns are skipped), highest
-    null rate first."""
-    cols = [c for c in columns if c in set(raw.columns)]
-    wide = raw.agg(*[_null_pct(c).alias(c) for c in cols])
-    return sort_small(wide.unpivot([], cols, "col", "pct_null"),
+    """One row per listed column, highest null rate first. A listed column
+    that is absent is an error."""
+    missing = [c for c in columns if c not in set(raw.columns)]
+    if missing:
+        raise ValueError(f"columns not present: {missing}")
+    wide = raw.agg(*[_null_pct(c).alias(c) for c in columns])
+    return sort_small(wide.unpivot([], list(columns), "col", "pct_null"),
                       F.desc_nulls_last("pct_null"), F.asc("col"))
 
 
@@ -133,7 +137,7 @@ def filing_types(raw: DataFrame) -> DataFrame:
     count is the row count, so one pass gives both."""
     positive = raw.where(F.col("chiffre_affaires") > F.lit(0))
     med = exact_percentiles(positive, ["type_bilan"], {"ca": "chiffre_affaires"}, [0.5],
-                            label="filing-types", with_counts=True)
+                            with_counts=True)
     return sort_small(med.select(
         "type_bilan",
         F.col("ca_n").alias("nb"),

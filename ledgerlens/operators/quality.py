@@ -2,9 +2,9 @@
 
 A check is ``unique`` (keys occurring more than once; nulls ignored),
 ``not_null`` (null rows) or ``accepted_values`` (non-null rows outside the
-allowed set). ``check_table`` evaluates all not-null and accepted-value
-checks of a table in one aggregate and each uniqueness check as one
-grouped count; ``quality_report`` unions every table's results into rows of
+allowed set). ``check_table`` reads a table once: rows are counted per key
+(with the failures of the other checks among them), then over the keys; a
+further unique key is a further grouped count. ``quality_report`` unions every table's results into rows of
 ``table_name, column_name, check_name, failures`` (0 means passed).
 """
 
@@ -48,34 +48,35 @@ def declared_checks(min_year: int, max_year: int) -> dict[str, TableChecks]:
     }
 
 
-def _result(table: str, column: str, check: str, failures) -> DataFrame:
-    return failures.select(F.lit(table).alias("table_name"), F.lit(column).alias("column_name"),
-                           F.lit(check).alias("check_name"),
-                           F.col("failures").cast("bigint").alias("failures"))
-
-
 def check_table(name: str, df: DataFrame, checks: TableChecks) -> DataFrame:
-    parts: list[DataFrame] = []
-    for key in checks.unique:
-        dup = (df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-               .where(F.col("_n") > F.lit(1)).agg(F.count(F.lit(1)).alias("failures")))
-        parts.append(_result(name, key, "unique", dup))
-
-    exprs, labels = [], []
+    labels, exprs = [], []
     for c in checks.not_null:
-        exprs.append(F.count_if(F.col(c).isNull()))
         labels.append((c, "not_null"))
+        exprs.append(F.col(c).isNull())
     for c, values in checks.accepted.items():
-        exprs.append(F.count_if(F.col(c).isNotNull() & ~F.col(c).isin(*values)))
         labels.append((c, "accepted_values"))
-    if exprs:
-        one_row = df.agg(*[e.alias(f"_c{i}") for i, e in enumerate(exprs)])
-        long = one_row.select(F.inline(F.array(*[
-            F.struct(F.lit(c).alias("column_name"), F.lit(k).alias("check_name"),
-                     F.col(f"_c{i}").cast("bigint").alias("failures"))
-            for i, (c, k) in enumerate(labels)])))
-        parts.append(long.select(F.lit(name).alias("table_name"), "column_name", "check_name",
-                                 "failures"))
+        exprs.append(F.col(c).isNotNull() & ~F.col(c).isin(*values))
+    counted = [F.count_if(e).alias(f"_c{i}") for i, e in enumerate(exprs)]
+    parts = []
+    for n, key in enumerate(checks.unique or [None]):
+        mine = counted if n == 0 else []
+        if key is None:
+            one_row, found = df.agg(*mine), labels
+        else:
+            per_key = df.groupBy(F.col(key).alias("_key")).agg(
+                F.count(F.lit(1)).alias("_n"), *mine)
+            one_row = per_key.agg(
+                F.count_if(F.col("_key").isNotNull() & (F.col("_n") > F.lit(1))).alias("_dup"),
+                *[F.coalesce(F.sum(f"_c{i}"), F.lit(0)).alias(f"_c{i}")
+                  for i in range(len(mine))])
+            found = [(key, "unique"), *labels[:len(mine)]]
+        columns = (["_dup"] if key else []) + [f"_c{i}" for i in range(len(mine))]
+        if not columns:
+            continue
+        parts.append(one_row.select(F.inline(F.array(*[
+            F.struct(F.lit(name).alias("table_name"), F.lit(c).alias("column_name"),
+                     F.lit(k).alias("check_name"), F.col(v).cast("bigint").alias("failures"))
+            for (c, k), v in zip(found, columns)]))))
     return reduce(DataFrame.unionByName, parts)
 
 

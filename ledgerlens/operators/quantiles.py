@@ -1,4 +1,4 @@
-"""Exact continuous percentiles per group; no unbounded group in one task.
+"""Exact continuous percentiles per group; no group in one task.
 
 ``exact_percentiles(df, keys, measures, probs)`` returns one row per group
 that has at least one non-null measure value, with one DOUBLE column
@@ -8,46 +8,22 @@ the interpolation of the values at ranks ``floor(pos)`` and ``ceil(pos)``.
 With ``with_counts`` it adds ``f"{measure}_n"``, the number of non-null
 values.
 
-Spark's exact ``percentile`` and any ``collect_list`` keep a whole group in
-one task, so they are only used where the group's size has been counted
-first. The group sizes are counted (one aggregate, one number back to the
-driver; the bracketed path adds one more, its count of unverified groups),
-then:
-
-* groups of at most ``max_in_task`` rows: one aggregation of sorted value
-  arrays per group and measure (``collect_list`` drops nulls), from which the
-  two ranks are read;
-* larger groups, however large: ``_bracketed`` finds the ranks with linear
-  passes and no sort (an approximate-quantile sketch brackets each rank,
-  exact counts verify the bracket, a second sketch round narrows brackets
-  that are still too wide, only the few values strictly inside are
-  collected); groups whose brackets fail verification take the full
-  distributed sort below, so results are exact in every case.
-
-The full distributed sort (``_distributed``):
-
-1. all measures are unpivoted into ``(keys, m, v)`` rows (one shuffle for
-   all measures). The range-bound sampling and the sort each read the input:
-   with ``store_input`` (for inputs behind joins or aggregations) these rows
-   are written once first; a plain table scan is simply read twice,
-2. range-partitioned and sorted on ``(keys, m, v)``: a hot group is spread
-   over as many contiguous partitions as its size needs,
-3. each row gets a monotonically increasing id (partition index in the high
-   bits, position in the sorted partition in the low bits); the result is
-   written to the shared checkpoint folder so that every later read sees the
-   same partitioning and ids. A retried task (lost executor) re-reads the
-   same shuffle blocks with the same range bounds and sorts them again; rows
-   it may order differently are equal in every written column, so each id
-   still maps to the same value,
-4. per (group, partition) block: first id and row count (at most
-   ``partitions + groups`` rows), prefix counts give each block's offset in
-   its group, and from the group size the ids of the rows at the wanted
-   ranks follow directly,
-5. those rows (at most 2 per group, measure and probability) are stored and
-   joined back by id. The planner sizes the stored file: under
-   ``spark.sql.autoBroadcastJoinThreshold`` it is broadcast, above it the
-   join is a sort-merge join, so the broadcast never exceeds the threshold.
-
+One plan for groups of any size, and nothing runs before the result is used:
+
+1. measures become rows (group, measure, value), counted per distinct value
+   with map-side combine. Ties are counted, never gathered, and a large group
+   is spread over the tasks by its values;
+2. a monotone bucket (sign and a 64th of an octave of the magnitude) orders
+   the values of a group coarsely. Value counts are summed per bucket, and a
+   running sum over a group's buckets gives each bucket its first rank;
+3. inside a bucket a running sum over its distinct values in order gives each
+   value its ranks. A task sorts one bucket of one group and measure (values
+   within about one percent of each other, each once), and can spill;
+4. the values whose ranks are wanted (two per probability at most) are picked
+   and interpolated.
+
+Both uses of the value counts read the same exchange. Groups are compared as
+structs, in which nulls are equal, so null keys are groups like any other.
 Interpolation rounds like a fused multiply-add, see
 ``functions.numeric.interpolate`` (exact for the quartiles and the median).
 """
@@ -58,628 +34,78 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import interpolate
-from ..session import materialize
 
-_ID_BITS = 33  # low bits of monotonically_increasing_id hold the row position
-# Largest group computed inside one task: 200k values per measure is a few
-# MB per array (about 29 MB for six measures, boxed while collected).
-DEFAULT_MAX_IN_TASK = 200_000
-# Bounds of the approximate-quantile accuracy used to bracket large groups
-# (sketch memory grows with it: about 1M entries at most per group and measure).
-MIN_SKETCH_ACCURACY, MAX_SKETCH_ACCURACY = 10_000, 1_000_000
+STEPS_PER_OCTAVE = 64
+# Beyond the magnitudes of doubles (2 ** -1074 to 2 ** 1024), in steps.
+_OFFSET = 1100 * STEPS_PER_OCTAVE
 
 
 def percentile_column(measure: str, p: float) -> str:
     return f"{measure}_p{round(p * 100)}"
 
 
-def _value(c) -> Column:
-    return (F.col(c) if isinstance(c, str) else c).cast("double")
-
-
-def exact_percentiles(df: DataFrame, keys: list[str], measures: dict[str, Column | str],
-                      probs: list[float], label: str = "percentiles", *,
-                      with_counts: bool = False, store_input: bool = False,
-                      max_in_task: int = DEFAULT_MAX_IN_TASK) -> DataFrame:
-    """See the module docstring. ``df`` is read more than once (sizes, then
-    values); pass a stored table or a plain scan, or ``store_input=True``."""
-    largest = largest_group(df, keys)
-    if largest is None or largest <= max_in_task:
-        return _in_task(df, keys, measures, probs, with_counts)
-
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    sizes = materialize(sizes, f"{label}-sizes")  # one row per group
-
-    def having(cond):
-        chosen = sizes.where(cond).select(*keys)
-        on = [df[k].eqNullSafe(chosen[k]) for k in keys]
-        return df.join(chosen, on, "left_semi")
-
-    small = _in_task(having(F.col("_rows") <= max_in_task), keys, measures, probs, with_counts)
-    large = _bracketed(having(F.col("_rows") > max_in_task), keys, measures, probs, label,
-                       with_counts=with_counts, store_input=store_input,
-                       max_in_task=max_in_task, largest=largest)
-    return small.unionByName(large)
-
-
-def _sketch_accuracy(largest: int, n_brackets: int, max_in_task: int) -> int:
-    """Accuracy of the approximate quantiles: a bracket of ``+-3/accuracy``
-    holds about ``6 * n / accuracy`` values, so with this accuracy all
-    brackets of the largest group take about half the in-task bound."""
-    wanted = -(-12 * largest * n_brackets // max(1, max_in_task))
-    return int(min(MAX_SKETCH_ACCURACY, max(MIN_SKETCH_ACCURACY, wanted)))
-
-
-def _bracketed(df: DataFrame, keys: list[str], measures: dict[str, Column | str],
-               probs: list[float], label: str, *, with_counts: bool, store_input: bool,
-               max_in_task: int, largest: int) -> DataFrame:
-    """Large groups without sorting them.
-
-    1. Sketch: per group and measure the value count and approximate
-       quantiles just below and above each probability (one aggregation,
-       merged map-side).
-    2. Verify: per group, measure and probability, exact counts of the
-       values below the bracket ``[a, b]``, equal to ``a``, strictly inside
-       and equal to ``b``. The bracket holds both wanted ranks when
-       ``below <= floor(pos)`` and ``ceil(pos) < below + at_a + inside +
-       at_b``; ties at the ends (a common case: many equal ratios) are only
-       counted.
-    3. Collect the strictly-inside values of verified brackets (bounded by
-       the check) and read the ranks: below ``a``'s ties, inside, or ``b``.
-
-    Groups with an unverified bracket (the sketch missed, or too many
-    values inside) take the full distributed sort, so the result is exact
-    whatever the sketch returns. A first-round bracket holds about
-    ``6 n / accuracy + 4 n / max_in_task`` values; brackets that hold their
-    ranks but too many values get a second round over their inside values
-    only (``_refine``), which narrows them about 200-fold. With the defaults
-    groups up to about 10^11 values per measure stay on these linear passes.
-    """
-    names = list(measures)
-    n_m, n_p = len(names), len(probs)
-    per_bracket = max(1, max_in_task // (n_m * n_p))
-    accuracy = _sketch_accuracy(largest, n_m * n_p, max_in_task)
-    # three sketch errors, plus two ranks of the smallest group on this path
-    # (more than max_in_task rows), so a bracket always spans the wanted ranks
-    margin = 3.0 / accuracy + 2.0 / max(1, max_in_task)
-    fracs = [x for p in probs for x in (max(0.0, p - margin), min(1.0, p + margin))]
-
-    # keys of the group tables are renamed so that joins on them stay unambiguous
-    kcols = [f"_k{i}" for i in range(len(keys))]
-    vals = df.select(*[F.col(k).alias(kc) for k, kc in zip(keys, kcols)],
-                     *[_value(c).alias(f"_x{i}") for i, c in enumerate(measures.values())])
-    if store_input:
-        vals = materialize(vals, f"{label}-values")
-
-    sketch = vals.groupBy(*kcols).agg(*[
-        a for i in range(n_m) for a in (
-            F.count(f"_x{i}").alias(f"_n{i}"),
-            F.percentile_approx(f"_x{i}", fracs, accuracy).alias(f"_q{i}"))])
-    sketch = materialize(sketch, f"{label}-sketch")  # one row per group
-
-    def join_groups(left: DataFrame, right: DataFrame, how: str = "inner") -> DataFrame:
-        """Join on the group keys; the right side's columns are renamed so
-        that names and attributes stay unique, then its non-key columns keep
-        their names."""
-        r = right.select(*[F.col(c).alias(f"{c}__r") for c in right.columns])
-        cond = [F.col(kc).eqNullSafe(F.col(f"{kc}__r")) for kc in kcols]
-        joined = left.join(r, cond, how)
-        if how == "left_semi":
-            return joined
-        return joined.select(*left.columns, *[F.col(f"{c}__r").alias(c)
-                                              for c in right.columns if c not in kcols])
-
-    def bounds(i, j):
-        q = F.col(f"_q{i}")
-        return F.get(q, F.lit(2 * j)), F.get(q, F.lit(2 * j + 1))
-
-    withq = join_groups(vals, sketch.select(*kcols, *[f"_q{i}" for i in range(n_m)]))
-    cnt = []
-    for i in range(n_m):
-        x = F.col(f"_x{i}")
-        for j in range(n_p):
-            a, b = bounds(i, j)
-            cnt += [F.count_if(x < a).alias(f"_below{i}_{j}"),
-                    F.count_if(x == a).alias(f"_at_a{i}_{j}"),
-                    F.count_if((x > a) & (x < b)).alias(f"_in{i}_{j}"),
-                    F.count_if((x == b) & (b > a)).alias(f"_at_b{i}_{j}")]
-    checked = join_groups(withq.groupBy(*kcols).agg(*cnt), sketch)
-
-    helds, smalls = [], []
-    for i in range(n_m):
-        n = F.col(f"_n{i}")
-        for j, p in enumerate(probs):
-            pos = (n - 1).cast("double") * F.lit(float(p))
-            lo, hi = F.floor(pos), F.ceil(pos)
-            below = F.col(f"_below{i}_{j}")
-            held = (below + F.col(f"_at_a{i}_{j}") + F.col(f"_in{i}_{j}") + F.col(f"_at_b{i}_{j}"))
-            helds.append((n == 0) | ((below <= lo) & (hi < held)))
-            smalls.append((n == 0) | (F.col(f"_in{i}_{j}") <= F.lit(per_bracket)))
-
-    def all_of(conds):
-        out = conds[0]
-        for c in conds[1:]:
-            out = out & c
-        return F.coalesce(out, F.lit(False))
-
-    checked = materialize(checked.withColumn("_held", all_of(helds))
-                          .withColumn("_small", all_of(smalls)), f"{label}-brackets")
-
-    good = checked.where(F.col("_held") & F.col("_small")).drop("_held", "_small")
-    inside = join_groups(withq, good.select(*kcols), "left_semi")
-    arrays = inside.groupBy(*kcols).agg(*[
-        F.array_sort(F.collect_list(F.when((F.col(f"_x{i}") > a) & (F.col(f"_x{i}") < b),
-                                           F.col(f"_x{i}")))).alias(f"_arr{i}_{j}")
-        for i in range(n_m) for j in range(n_p) for a, b in [bounds(i, j)]])
-    picked = join_groups(arrays, good)
-
-    # One row per group, measure and probability: the rank expressions are
-    # written once (not once per bracket), so the generated code stays small.
-    per_bracket_rows = F.array(*[
-        F.struct(F.lit(i).alias("_i"), F.lit(float(p)).alias("_p"),
-                 F.col(f"_n{i}").alias("_n"), a.alias("_a"), b.alias("_b"),
-                 F.col(f"_below{i}_{j}").alias("_below"), F.col(f"_at_a{i}_{j}").alias("_at_a"),
-                 F.col(f"_in{i}_{j}").alias("_in"), F.col(f"_arr{i}_{j}").alias("_arr"))
-        for i in range(n_m) for j, p in enumerate(probs) for a, b in [bounds(i, j)]])
-    rows = picked.select(*kcols, F.inline(per_bracket_rows))
-
-    # Brackets that hold their ranks but have too many values inside: one
-    # more sketch round over the inside values only.
-    refine = checked.where(F.col("_held") & ~F.col("_small")).drop("_held", "_small")
-    unresolved = checked.where(~F.col("_held")).select(*kcols)
-    if refine.limit(1).count():
-        refined, missed = _refine(vals, refine, kcols, n_m, probs, per_bracket, label, bounds)
-        rows = rows.unionByName(refined)
-        unresolved = unresolved.unionByName(missed)
-
-    def at_rank(r):
-        t = r - F.col("_below")
-        return (F.when(t < F.col("_at_a"), F.col("_a"))
-                .when(t < F.col("_at_a") + F.col("_in"),
-                      F.get(F.col("_arr"), (t - F.col("_at_a")).cast("int")))
-                .otherwise(F.col("_b")))
-
-    pos = (F.col("_n") - 1).cast("double") * F.col("_p")
-    rows = rows.select(*kcols, "_i", "_p", "_n", at_rank(F.floor(pos)).alias("_lo"),
-                       at_rank(F.ceil(pos)).alias("_hi"), (pos - F.floor(pos)).alias("_d"))
-    rows = rows.select(*kcols, "_i", "_p", "_n", F.when(F.col("_n") > 0, interpolate(
-        F.col("_lo"), F.col("_hi"), F.col("_d"))).alias("_q"))
-    aggs = [F.max(F.when((F.col("_i") == i) & (F.col("_p") == float(p)), F.col("_q")))
-            .alias(percentile_column(name, p)) for i, name in enumerate(names) for p in probs]
-    aggs += [F.max(F.when(F.col("_i") == i, F.col("_n"))).alias(f"{name}_n")
-             for i, name in enumerate(names)]
-    wide = rows.groupBy(*kcols).agg(*aggs)
-    counts_n = [F.col(f"{name}_n") for name in names]
-    wide = wide.where((counts_n[0] if n_m == 1 else F.greatest(*counts_n)) > 0)
-    out = [F.col(kc).alias(k) for kc, k in zip(kcols, keys)]
-    out += [percentile_column(name, p) for name in names for p in probs]
-    if with_counts:
-        out += [f"{name}_n" for name in names]
-    result = wide.select(*out)
-
-    failed = materialize(unresolved, f"{label}-unresolved")
-    if failed.count() == 0:  # one row per unresolved group: small
-        return result
-    failed = failed.select(*[F.col(kc).alias(f"{kc}__f") for kc in kcols])
-    redo = df.join(failed, [F.col(k).eqNullSafe(F.col(f"{kc}__f")) for k, kc in zip(keys, kcols)],
-                   "left_semi")
-    return result.unionByName(_distributed(redo, keys, measures, probs, label,
-                                           with_counts=with_counts, store_input=store_input))
-
-
-def largest_group(df: DataFrame, keys: list[str]) -> int | None:
-    """Row count of the largest group (one number back to the driver)."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).agg(F.max("_rows")).first()[0]
-
-
-def sorted_arrays(measures: dict[str, Column | str]) -> list[Column]:
-    """Aggregate expressions: per measure the sorted array of its non-null
-    values. Only for groups whose size has been checked."""
-    return [F.array_sort(F.collect_list(_value(c))).alias(f"_a{i}")
-            for i, c in enumerate(measures.values())]
-
-
-def from_sorted_arrays(arrays: DataFrame, keys: list[str], names: list[str],
-                       probs: list[float], with_counts: bool,
-                       keep: list[str] | None = None) -> DataFrame:
-    """Percentiles read from the ``_a{i}`` arrays of ``sorted_arrays``;
-    ``keep`` lists further columns of ``arrays`` to carry through."""
-    keep = keep or []
-    counts = [F.size(f"_a{i}") for i in range(len(names))]
-    arrays = arrays.where((counts[0] if len(counts) == 1 else F.greatest(*counts)) > 0)
-    # lookups first, interpolation in a second projection (keeps generated code small)
-    picks = [F.col(k) for k in keys] + [F.col(c) for c in keep]
-    for i in range(len(names)):
-        a = F.col(f"_a{i}")
-        n = F.size(a)
-        picks.append(n.cast("long").alias(f"_n{i}"))
-        for j, p in enumerate(probs):
-            pos = (n - 1).cast("double") * F.lit(float(p))
-            picks += [F.get(a, F.floor(pos).cast("int")).alias(f"_lo{i}_{j}"),
-                      F.get(a, F.ceil(pos).cast("int")).alias(f"_hi{i}_{j}"),
-                      (pos - F.floor(pos)).alias(f"_d{i}_{j}")]
-    picked = arrays.select(*picks)
-    out = [F.col(k) for k in keys] + [F.col(c) for c in keep]
-    for i, name in enumerate(names):
-        for j, p in enumerate(probs):
-            out.append(F.when(F.col(f"_n{i}") > 0, interpolate(
-                F.col(f"_lo{i}_{j}"), F.col(f"_hi{i}_{j}"), F.col(f"_d{i}_{j}")))
-                .alias(percentile_column(name, p)))
-    if with_counts:
-        out += [F.col(f"_n{i}").alias(f"{name}_n") for i, name in enumerate(names)]
-    return picked.select(*out)
-
-
-def _in_task(df: DataFrame, keys: list[str], measures: dict[str, Column | str],
-             probs: list[float], with_counts: bool) -> DataFrame:
-    """Groups whose size was checked: one aggregation of sorted value arrays."""
-    arrays = df.groupBy(*keys).agg(*sorted_arrays(measures))
-    return from_sorted_arrays(arrays, keys, list(measures), probs, with_counts)
-
+def value_bucket(v: Column) -> Column:
+    """Integer that never falls as ``v`` rises (NaN counts as greatest)."""
+    size = F.when(F.abs(v) == F.lit(float("inf")), F.lit(_OFFSET)).otherwise(
+        F.floor(F.log2(F.abs(v)) * F.lit(STEPS_PER_OCTAVE))) + F.lit(_OFFSET)
+    bucket = (F.when(F.isnan(v), F.lit(3 * _OFFSET)).when(v == F.lit(0.0), F.lit(0))
+              .when(v > F.lit(0.0), size).otherwise(-size).cast("int"))
+    # log2 counts as nullable; a null test would keep readers from sharing the counts
+    return F.coalesce(bucket, F.lit(0))
 
-def _sketch_accuracy(largest: int, n_brackets: int, max_in_task: int) -> int:
-    """Accuracy of the approximate quantiles: a bracket of ``+-3/accuracy``
-    holds about ``6 * n / accuracy`` values, so with this accuracy all
-    brackets of the largest group take about half the in-task bound."""
-    wanted = -(-12 * largest * n_brackets // max(1, max_in_task))
-    return int(min(MAX_SKETCH_ACCURACY, max(MIN_SKETCH_ACCURACY, wanted)))
 
-
-def _bracketed(df: DataFrame, keys: list[str], measures: dict[str, Column | str],
-               probs: list[float], label: str, *, with_counts: bool, store_input: bool,
-               max_in_task: int, largest: int) -> DataFrame:
-    """Large groups without sorting them.
-
-    1. Sketch: per group and measure the value count and approximate
-       quantiles just below and above each probability (one aggregation,
-       merged map-side).
-    2. Verify: per group, measure and probability, exact counts of the
-       values below the bracket ``[a, b]``, equal to ``a``, strictly inside
-       and equal to ``b``. The bracket holds both wanted ranks when
-       ``below <= floor(pos)`` and ``ceil(pos) < below + at_a + inside +
-       at_b``; ties at the ends (a common case: many equal ratios) are only
-       counted.
-    3. Collect the strictly-inside values of verified brackets (bounded by
-       the check) and read the ranks: below ``a``'s ties, inside, or ``b``.
-
-    Groups with an unverified bracket (the sketch missed, or too many
-    values inside) take the full distributed sort, so the result is exact
-    whatever the sketch returns. A first-round bracket holds about
-    ``6 n / accuracy + 4 n / max_in_task`` values; brackets that hold their
-    ranks but too many values get a second round over their inside values
-    only (``_refine``), which narrows them about 200-fold. With the defaults
-    groups up to about 10^11 values per measure stay on these linear passes.
-    """
-    names = list(measures)
-    n_m, n_p = len(names), len(probs)
-    per_bracket = max(1, max_in_task // (n_m * n_p))
-    accuracy = _sketch_accuracy(largest, n_m * n_p, max_in_task)
-    # three sketch errors, plus two ranks of the smallest group on this path
-    # (more than max_in_task rows), so a bracket always spans the wanted ranks
-    margin = 3.0 / accuracy + 2.0 / max(1, max_in_task)
-    fracs = [x for p in probs for x in (max(0.0, p - margin), min(1.0, p + margin))]
-
-    # keys of the group tables are renamed so that joins on them stay unambiguous
-    kcols = [f"_k{i}" for i in range(len(keys))]
-    vals = df.select(*[F.col(k).alias(kc) for k, kc in zip(keys, kcols)],
-                     *[_value(c).alias(f"_x{i}") for i, c in enumerate(measures.values())])
-    if store_input:
-        vals = materialize(vals, f"{label}-values")
-
-    sketch = vals.groupBy(*kcols).agg(*[
-        a for i in range(n_m) for a in (
-            F.count(f"_x{i}").alias(f"_n{i}"),
-            F.percentile_approx(f"_x{i}", fracs, accuracy).alias(f"_q{i}"))])
-    sketch = materialize(sketch, f"{label}-sketch")  # one row per group
-
-    def join_groups(left: DataFrame, right: DataFrame, how: str = "inner") -> DataFrame:
-        """Join on the group keys; the right side's columns are renamed so
-        that names and attributes stay unique, then its non-key columns keep
-        their names."""
-        r = right.select(*[F.col(c).alias(f"{c}__r") for c in right.columns])
-        cond = [F.col(kc).eqNullSafe(F.col(f"{kc}__r")) for kc in kcols]
-        joined = left.join(r, cond, how)
-        if how == "left_semi":
-            return joined
-        return joined.select(*left.columns, *[F.col(f"{c}__r").alias(c)
-                                              for c in right.columns if c not in kcols])
-
-    def bounds(i, j):
-        q = F.col(f"_q{i}")
-        return F.get(q, F.lit(2 * j)), F.get(q, F.lit(2 * j + 1))
-
-    withq = join_groups(vals, sketch.select(*kcols, *[f"_q{i}" for i in range(n_m)]))
-    cnt = []
-    for i in range(n_m):
-        x = F.col(f"_x{i}")
-        for j in range(n_p):
-            a, b = bounds(i, j)
-            cnt += [F.count_if(x < a).alias(f"_below{i}_{j}"),
-                    F.count_if(x == a).alias(f"_at_a{i}_{j}"),
-                    F.count_if((x > a) & (x < b)).alias(f"_in{i}_{j}"),
-                    F.count_if((x == b) & (b > a)).alias(f"_at_b{i}_{j}")]
-    checked = join_groups(withq.groupBy(*kcols).agg(*cnt), sketch)
-
-    helds, smalls = [], []
-    for i in range(n_m):
-        n = F.col(f"_n{i}")
-        for j, p in enumerate(probs):
-            pos = (n - 1).cast("double") * F.lit(float(p))
-            lo, hi = F.floor(pos), F.ceil(pos)
-            below = F.col(f"_below{i}_{j}")
-            held = (below + F.col(f"_at_a{i}_{j}") + F.col(f"_in{i}_{j}") + F.col(f"_at_b{i}_{j}"))
-            helds.append((n == 0) | ((below <= lo) & (hi < held)))
-            smalls.append((n == 0) | (F.col(f"_in{i}_{j}") <= F.lit(per_bracket)))
-
-    def all_of(conds):
-        out = conds[0]
-        for c in conds[1:]:
-            out = out & c
-        return F.coalesce(out, F.lit(False))
-
-    checked = materialize(checked.withColumn("_held", all_of(helds))
-                          .withColumn("_small", all_of(smalls)), f"{label}-brackets")
-
-    good = checked.where(F.col("_held") & F.col("_small")).drop("_held", "_small")
-    inside = join_groups(withq, good.select(*kcols), "left_semi")
-    arrays = inside.groupBy(*kcols).agg(*[
-        F.array_sort(F.collect_list(F.when((F.col(f"_x{i}") > a) & (F.col(f"_x{i}") < b),
-                                           F.col(f"_x{i}")))).alias(f"_arr{i}_{j}")
-        for i in range(n_m) for j in range(n_p) for a, b in [bounds(i, j)]])
-    picked = join_groups(arrays, good)
-
-    # One row per group, measure and probability: the rank expressions are
-    # written once (not once per bracket), so the generated code stays small.
-    per_bracket_rows = F.array(*[
-        F.struct(F.lit(i).alias("_i"), F.lit(float(p)).alias("_p"),
-                 F.col(f"_n{i}").alias("_n"), a.alias("_a"), b.alias("_b"),
-                 F.col(f"_below{i}_{j}").alias("_below"), F.col(f"_at_a{i}_{j}").alias("_at_a"),
-                 F.col(f"_in{i}_{j}").alias("_in"), F.col(f"_arr{i}_{j}").alias("_arr"))
-        for i in range(n_m) for j, p in enumerate(probs) for a, b in [bounds(i, j)]])
-    rows = picked.select(*kcols, F.inline(per_bracket_rows))
-
-    # Brackets that hold their ranks but have too many values inside: one
-    # more sketch round over the inside values only.
-    refine = checked.where(F.col("_held") & ~F.col("_small")).drop("_held", "_small")
-    unresolved = checked.where(~F.col("_held")).select(*kcols)
-    if refine.limit(1).count():
-        refined, missed = _refine(vals, refine, kcols, n_m, probs, per_bracket, label, bounds)
-        rows = rows.unionByName(refined)
-        unresolved = unresolved.unionByName(missed)
-
-    def at_rank(r):
-        t = r - F.col("_below")
-        return (F.when(t < F.col("_at_a"), F.col("_a"))
-                .when(t < F.col("_at_a") + F.col("_in"),
-                      F.get(F.col("_arr"), (t - F.col("_at_a")).cast("int")))
-                .otherwise(F.col("_b")))
-
-    pos = (F.col("_n") - 1).cast("double") * F.col("_p")
-    rows = rows.select(*kcols, "_i", "_p", "_n", at_rank(F.floor(pos)).alias("_lo"),
-                       at_rank(F.ceil(pos)).alias("_hi"), (pos - F.floor(pos)).alias("_d"))
-    rows = rows.select(*kcols, "_i", "_p", "_n", F.when(F.col("_n") > 0, interpolate(
-        F.col("_lo"), F.col("_hi"), F.col("_d"))).alias("_q"))
-    aggs = [F.max(F.when((F.col("_i") == i) & (F.col("_p") == float(p)), F.col("_q")))
-            .alias(percentile_column(name, p)) for i, name in enumerate(names) for p in probs]
-    aggs += [F.max(F.when(F.col("_i") == i, F.col("_n"))).alias(f"{name}_n")
-             for i, name in enumerate(names)]
-    wide = rows.groupBy(*kcols).agg(*aggs)
-    counts_n = [F.col(f"{name}_n") for name in names]
-    wide = wide.where((counts_n[0] if n_m == 1 else F.greatest(*counts_n)) > 0)
-    out = [F.col(kc).alias(k) for kc, k in zip(kcols, keys)]
-    out += [percentile_column(name, p) for name in names for p in probs]
-    if with_counts:
-        out += [f"{name}_n" for name in names]
-    result = wide.select(*out)
-
-    failed = materialize(unresolved, f"{label}-unresolved")
-    if failed.count() == 0:  # one row per unresolved group: small
-        return result
-    failed = failed.select(*[F.col(kc).alias(f"{kc}__f") for kc in kcols])
-    redo = df.join(failed, [F.col(k).eqNullSafe(F.col(f"{kc}__f")) for k, kc in zip(keys, kcols)],
-                   "left_semi")
-    return result.unionByName(_distributed(redo, keys, measures, probs, label,
-                                           with_counts=with_counts, store_input=store_input))
-
-
-def _in_task(df: DataFrame, keys: list[str], measures: dict[str, Column | str],
-             probs: list[float], with_counts: bool) -> DataFrame:
-    """Groups whose size was checked: one aggregation of sorted value arrays."""
-    names = list(measures)
-    arrays = df.groupBy(*keys).agg(*[F.array_sort(F.collect_list(_value(c))).alias(f"_a{i}")
-                                     for i, c in enumerate(measures.values())])
-    counts = [F.size(f"_a{i}") for i in range(len(names))]
-    arrays = arrays.where((counts[0] if len(counts) == 1 else F.greatest(*counts)) > 0)
-    # lookups first, interpolation in a second projection (keeps generated code small)
-    picks = [F.col(k) for k in keys]
-    for i in range(len(names)):
-        a = F.col(f"_a{i}")
-        n = F.size(a)
-        picks.append(n.cast("long").alias(f"_n{i}"))
-        for j, p in enumerate(probs):
-            pos = (n - 1).cast("double") * F.lit(float(p))
-            picks += [F.get(a, F.floor(pos).cast("int")).alias(f"_lo{i}_{j}"),
-                      F.get(a, F.ceil(pos).cast("int")).alias(f"_hi{i}_{j}"),
-                      (pos - F.floor(pos)).alias(f"_d{i}_{j}")]
-    picked = arrays.select(*picks)
-    out = [F.col(k) for k in keys]
-    for i, name in enumerate(names):
-        for j, p in enumerate(probs):
-            out.append(F.when(F.col(f"_n{i}") > 0, interpolate(
-                F.col(f"_lo{i}_{j}"), F.col(f"_hi{i}_{j}"), F.col(f"_d{i}_{j}")))
-                .alias(percentile_column(name, p)))
-    if with_counts:
-        out += [F.col(f"_n{i}").alias(f"{name}_n") for i, name in enumerate(names)]
-    return picked.select(*out)
-
-
-def _distributed(df: DataFrame, keys: list[str], measures: dict[str, Column | str],
-                 probs: list[float], label: str, *, with_counts: bool,
-                 store_input: bool) -> DataFrame:
-    names = list(measures)
-    values = [F.struct(F.lit(i).alias("_m"), _value(c).alias("_v"))
+def _value_counts(df: DataFrame, keys: list[str], measures: dict[str, Column | str]) -> DataFrame:
+    """``_k`` (group), ``_m`` (measure number), ``_v``, ``_n``: rows per distinct value."""
+    values = [F.struct(F.lit(i).alias("_m"),
+                       (F.col(c) if isinstance(c, str) else c).cast("double").alias("_v"))
               for i, c in enumerate(measures.values())]
-    long = (df.select(*keys, F.inline(F.array(*values)))
+    long = (df.select(F.struct(*keys).alias("_k"), F.inline(F.array(*values)))
             .where(F.col("_v").isNotNull()))
-    if store_input:
-        long = materialize(long, f"{label}-values")
-
-    order = [*keys, "_m", "_v"]
-    ranked = (long.repartitionByRange(*order)
-              .sortWithinPartitions(*order)
-              .withColumn("_rid", F.monotonically_increasing_id()))
-    ranked = materialize(ranked, f"{label}-ranked")
-
-    group = [*keys, "_m"]
-    blocks = (ranked.groupBy(*group, F.shiftright("_rid", _ID_BITS).alias("_pid"))
-              .agg(F.min("_rid").alias("_first"), F.count(F.lit(1)).alias("_cnt")))
-    in_group = Window.partitionBy(*group)
-    blocks = blocks.select(
-        "*",
-        (F.sum("_cnt").over(in_group.orderBy("_pid")) - F.col("_cnt")).alias("_before"),
-        F.sum("_cnt").over(in_group).alias("_n"),
-    )
+    return (long.groupBy("_k", "_m", "_v").agg(F.count(F.lit(1)).alias("_n"))
+            .withColumn("_b", value_bucket(F.col("_v"))))
 
-    wanted = F.array(*[
-        F.struct(F.lit(float(p)).alias("_p"), F.lit(side).alias("_side"),
-                 (F.floor if side == 0 else F.ceil)((F.col("_n") - 1).cast("double") * F.lit(float(p)))
-                 .cast("long").alias("_rank"))
-        for p in probs for side in (0, 1)])
-    targets = (blocks.select(*group, "_first", "_before", "_cnt", "_n", F.inline(wanted))
-               .where((F.col("_rank") >= F.col("_before"))
-                      & (F.col("_rank") < F.col("_before") + F.col("_cnt")))
-               .select((F.col("_first") + F.col("_rank") - F.col("_before")).alias("_rid"),
-                       *group, "_n", "_p", "_side"))
-    targets = materialize(targets, f"{label}-targets")
 
-    picked = ranked.select("_rid", "_v").join(targets, "_rid")
-
-    # One aggregation per group gathers, for every measure and probability,
-    # the values at the lower and upper rank; interpolation is a projection.
-    m, pr, side, v = F.col("_m"), F.col("_p"), F.col("_side"), F.col("_v")
-    aggs = []
-    for i in range(len(names)):
-        # a measure without any value in the group has no target rows: count 0
-        aggs.append(F.coalesce(F.max(F.when(m == i, F.col("_n"))), F.lit(0).cast("long"))
-                    .alias(f"_n{i}"))
+def exact_percentiles(df: DataFrame, keys: list[str], measures: dict[str, Column | str],
+                      probs: list[float], *, with_counts: bool = False) -> DataFrame:
+    """See the module docstring. ``df`` is read once."""
+    counts = _value_counts(df, keys, measures)
+    group = Window.partitionBy("_k", "_m")
+    buckets = (counts.groupBy("_k", "_m", "_b").agg(F.sum("_n").alias("_in"))
+               .select("_k", "_m", "_b",
+                       (F.sum("_in").over(group.orderBy("_b")) - F.col("_in")).alias("_first"),
+                       F.sum("_in").over(group).alias("_total")))
+    inside = Window.partitionBy("_k", "_m", "_b").orderBy("_v")
+    ranked = (counts.withColumn("_upto", F.sum("_n").over(inside))
+              .join(buckets, ["_k", "_m", "_b"])
+              .select("_k", "_m", "_v", "_total",
+                      (F.col("_first") + F.col("_upto") - F.col("_n")).alias("_from"),
+                      (F.col("_first") + F.col("_upto")).alias("_to")))
+
+    def position(p: float) -> Column:
+        return (F.col("_total") - 1).cast("double") * F.lit(float(p))
+
+    def holds(rank: Column) -> Column:
+        return (F.col("_from") <= rank) & (rank < F.col("_to"))
+
+    wanted = None
+    for p in probs:
+        here = holds(F.floor(position(p))) | holds(F.ceil(position(p)))
+        wanted = here if wanted is None else wanted | here
+    picks = []
+    for i in range(len(measures)):
+        mine = F.col("_m") == F.lit(i)
+        picks.append(F.max(F.when(mine, F.col("_total"))).alias(f"_n{i}"))
         for j, p in enumerate(probs):
-            for sd in (0, 1):
-                aggs.append(F.max(F.when((m == i) & (pr == float(p)) & (side == sd), v))
-                            .alias(f"_v{i}_{j}_{sd}"))
-    gathered = picked.groupBy(*keys).agg(*aggs)
-
-    out = [F.col(k) for k in keys]
-    for i, name in enumerate(names):
-        n = F.col(f"_n{i}")
+            pos = position(p)
+            picks += [F.max(F.when(mine & holds(F.floor(pos)), F.col("_v"))).alias(f"_lo{i}_{j}"),
+                      F.max(F.when(mine & holds(F.ceil(pos)), F.col("_v"))).alias(f"_hi{i}_{j}")]
+    picked = ranked.where(wanted).groupBy("_k").agg(*picks)
+    out = [F.col("_k")[k].alias(k) for k in keys]
+    for i, name in enumerate(measures):
         for j, p in enumerate(probs):
-            pos = (n - 1).cast("double") * F.lit(float(p))
-            out.append(interpolate(F.col(f"_v{i}_{j}_0"), F.col(f"_v{i}_{j}_1"), pos - F.floor(pos))
-                       .alias(percentile_column(name, p)))
-    if with_counts:
-        out += [F.col(f"_n{i}").alias(f"{name}_n") for i, name in enumerate(names)]
-    return gathered.select(*out)
-
-
-GRID_STEPS = 1000  # second-round sketch: quantiles at every 1/GRID_STEPS of the inside values
-GRID_MARGIN = 2    # grid steps added on each side of a refined bracket
-
-
-def _join_on(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
-    """Null-safe join on ``on``; the right side's other columns keep their
-    names (renamed through fresh attributes so that no reference is
-    ambiguous)."""
-    r = right.select(*[F.col(c).alias(f"{c}__r") for c in right.columns])
-    cond = [F.col(c).eqNullSafe(F.col(f"{c}__r")) for c in on]
-    joined = left.join(r, cond, how)
-    if how in ("left_semi", "left_anti"):
-        return joined
-    return joined.select(*left.columns, *[F.col(f"{c}__r").alias(c)
-                                          for c in right.columns if c not in on])
-
-
-def _refine(vals: DataFrame, refine: DataFrame, kcols: list[str], n_m: int, probs: list[float],
-            per_bracket: int, label: str, bounds) -> tuple[DataFrame, DataFrame]:
-    """Second bracketing round for brackets that hold their ranks but hold
-    too many values. Returns the refined brackets as rows of the common
-    schema (``_i, _p, _n, _a, _b, _below, _at_a, _in, _arr``) and the groups
-    that still need the full sort.
-
-    Only the values strictly inside a bracket are sketched again, at a fixed
-    grid of fractions; each bracket takes the grid values around its own
-    rank offsets as the new bounds ``[a2, b2]`` (keeping ``a`` or ``b`` when a
-    wanted rank lies in their ties), and exact counts verify it as in the
-    first round. Read against the whole group, the new bracket has ``below +
-    at_a + (inside < a2)`` values below it (``below`` and ``a``'s ties at its
-    lower end when ``a2 = a``) and ``b``'s ties on top when ``b2 = b``, so the
-    same rank reading applies.
-    """
-    keys3 = kcols + ["_i", "_j"]
-    bl = refine.select(*kcols, F.inline(F.array(*[
-        F.struct(F.lit(i).alias("_i"), F.lit(j).alias("_j"), F.lit(float(p)).alias("_p"),
-                 F.col(f"_n{i}").alias("_n"), a.alias("_a"), b.alias("_b"),
-                 F.col(f"_below{i}_{j}").alias("_below"), F.col(f"_at_a{i}_{j}").alias("_at_a"),
-                 F.col(f"_in{i}_{j}").alias("_in"), F.col(f"_at_b{i}_{j}").alias("_at_b"))
-        for i in range(n_m) for j, p in enumerate(probs) for a, b in [bounds(i, j)]])))
-    bl = materialize(bl, f"{label}-refine")  # one row per bracket of the groups to refine
-
-    xs = (_join_on(vals, refine.select(*kcols), kcols, "left_semi")
-          .select(*kcols, F.posexplode(F.array(*[F.col(f"_x{i}") for i in range(n_m)]))
-                  .alias("_i", "_x"))
-          .where(F.col("_x").isNotNull()))
-    inside = (_join_on(xs, bl.select(*kcols, "_i", "_j", "_a", "_b"), kcols + ["_i"])
-              .where((F.col("_x") > F.col("_a")) & (F.col("_x") < F.col("_b")))
-              .select(*keys3, "_x"))
-    # the first-round inside values (a small part of each group) are read
-    # three times below: store them once instead of re-reading the groups
-    inside = materialize(inside, f"{label}-inside")
-
-    grid = [k / GRID_STEPS for k in range(1, GRID_STEPS)]
-    sketch = inside.groupBy(*keys3).agg(
-        F.percentile_approx("_x", grid, 10 * GRID_STEPS).alias("_g"))
-    pos = (F.col("_n") - 1).cast("double") * F.col("_p")
-    t_lo = F.floor(pos) - F.col("_below") - F.col("_at_a")
-    t_hi = F.ceil(pos) - F.col("_below") - F.col("_at_a")
-    n_in = F.nullif(F.col("_in"), F.lit(0))
-    k_lo = F.floor(t_lo * GRID_STEPS / n_in) - GRID_MARGIN
-    k_hi = F.ceil((t_hi + 1) * GRID_STEPS / n_in) + GRID_MARGIN
-    g = F.col("_g")
-    empty = (F.col("_in") == 0) | g.isNull()
-    br = _join_on(bl, sketch, keys3, "left").select(
-        "*",
-        F.when(empty | (t_lo < 0) | (k_lo < 1), F.col("_a"))
-         .otherwise(F.get(g, (k_lo - 1).cast("int"))).alias("_a2"),
-        F.when(empty | (t_hi >= F.col("_in")) | (k_hi > GRID_STEPS - 1), F.col("_b"))
-         .otherwise(F.get(g, (k_hi - 1).cast("int"))).alias("_b2"))
-    br = materialize(br.drop("_g"), f"{label}-refine-bounds")
-
-    x, a2, b2 = F.col("_x"), F.col("_a2"), F.col("_b2")
-    withb = _join_on(inside, br.select(*keys3, "_a2", "_b2"), keys3)
-    counts = withb.groupBy(*keys3).agg(
-        F.count_if(x < a2).alias("_below2"), F.count_if(x == a2).alias("_at_a2"),
-        F.count_if((x > a2) & (x < b2)).alias("_in2"), F.count_if((x == b2) & (b2 > a2)).alias("_at_b2"))
-    chk = _join_on(br, counts, keys3, "left")
-    zero = F.lit(0).cast("long")
-    # a2 = a keeps a's ties as the ties at the lower bound; otherwise they lie below it
-    same_a = F.col("_a2") == F.col("_a")
-    below = (F.col("_below") + F.when(same_a, zero).otherwise(F.col("_at_a"))
-             + F.coalesce(F.col("_below2"), zero))
-    at_a = F.coalesce(F.col("_at_a2"), zero) + F.when(same_a, F.col("_at_a")).otherwise(zero)
-    inn = F.coalesce(F.col("_in2"), zero)
-    at_b = (F.coalesce(F.col("_at_b2"), zero)
-            + F.when(F.col("_b2") == F.col("_b"), F.col("_at_b")).otherwise(zero))
-    held = (F.col("_n") == 0) | ((below <= F.floor(pos)) & (F.ceil(pos) < below + at_a + inn + at_b)
-                                 & (inn <= F.lit(per_bracket)))
-    chk = materialize(chk.select(*keys3, "_p", "_n", "_a2", "_b2", below.alias("_nb"),
-                                 at_a.alias("_na"), inn.alias("_ni"),
-                                 F.coalesce(held, F.lit(False)).alias("_ok")), f"{label}-refine-check")
-
-    bad = chk.where(~F.col("_ok")).select(*kcols).distinct()
-    ok = _join_on(chk, bad, kcols, "left_anti")
-    arrays = (_join_on(withb, ok.select(*keys3), keys3, "left_semi")
-              .where((x > a2) & (x < b2))
-              .groupBy(*keys3).agg(F.array_sort(F.collect_list("_x")).alias("_arr")))
-    rows = _join_on(ok, arrays, keys3, "left").select(
-        *kcols, "_i", "_p", "_n", F.col("_a2").alias("_a"), F.col("_b2").alias("_b"),
-        F.col("_nb").alias("_below"), F.col("_na").alias("_at_a"), F.col("_ni").alias("_in"),
-        "_arr")
-    return rows, bad
+            pos = (F.col(f"_n{i}") - 1).cast("double") * F.lit(float(p))
+            out.append(interpolate(F.col(f"_lo{i}_{j}"), F.col(f"_hi{i}_{j}"),
+                                   pos - F.floor(pos)).alias(percentile_column(name, p)))
+        if with_counts:
+            out.append(F.coalesce(F.col(f"_n{i}"), F.lit(0)).alias(f"{name}_n"))
+    return picked.select(*out)

@@ -2,7 +2,8 @@
 
 Each model is a function of its upstream DataFrames (``ref`` between models
 is a function argument). ``build_models`` wires them lazily; nothing runs
-until a result is written or read. ``materialize_models`` stores every model
+until a result is written or read. ``stored_models`` and ``materialize_models``
+write models as they go (their purpose). ``materialize_models`` stores every model
 as a table, with the company-keyed tables bucketed and sorted by ``siren``
 so that the evolution window and the benchmark join read co-located data
 without a shuffle, and the marts partitioned by fiscal year for year
@@ -49,27 +50,33 @@ def build_models(raw_accounts: DataFrame, register: DataFrame, *,
 
 
 def materialize_models(raw_accounts: DataFrame, register: DataFrame, *, buckets: int,
-                       prefix: str = "", min_year: int = DEFAULT_MIN_YEAR,
+                       prefix: str = "", location: str | None = None,
+                       files_per_year: int = 16, min_year: int = DEFAULT_MIN_YEAR,
                        max_year: int = DEFAULT_MAX_YEAR, min_panel: int = 50,
                        register_is_renamed: bool = False) -> Models:
     """Store each model as a table (``CREATE OR REPLACE``) in dependency order.
 
     Downstream models are rebuilt from the stored upstream tables, so each
     stage reads its input once and co-located buckets replace shuffles.
-    ``buckets`` should make a bucket a few hundred MB at the target scale.
+    ``buckets`` should make a bucket a few hundred MB at the target scale, and
+    ``files_per_year`` likewise the files of a year of the evolution mart.
+    Tables are files under ``location``, or in the warehouse without it.
     """
+    def save(df, name, **layout):
+        path = f"{location.rstrip('/')}/{prefix}{name}" if location else None
+        return save_table(df, f"{prefix}{name}", path=path, **layout)
+
     companies = register if register_is_renamed else company_register(register)
     by_company_year = dict(bucket_by=["siren"], buckets=buckets, sort_by=["siren", "annee_fiscale"])
 
-    stg = save_table(stage_statements(raw_accounts, min_year, max_year),
-                     f"{prefix}stg_bilans", **by_company_year)
-    ent = save_table(stage_companies(companies), f"{prefix}stg_entreprises",
-                     bucket_by=["siren"], buckets=buckets, sort_by=["siren"])
-    ind = save_table(compute_indicators(stg), f"{prefix}mart_indicateurs", **by_company_year)
-    evo = save_table(compute_evolution(ind), f"{prefix}mart_evolution",
-                     partition_by=["annee_fiscale"])
-    bench = save_table(sector_benchmark(ind, ent, min_panel=min_panel),
-                       f"{prefix}mart_benchmark_sectoriel")
+    stg = save(stage_statements(raw_accounts, min_year, max_year), "stg_bilans", **by_company_year)
+    ent = save(stage_companies(companies), "stg_entreprises",
+               bucket_by=["siren"], buckets=buckets, sort_by=["siren"])
+    ind = save(compute_indicators(stg), "mart_indicateurs", **by_company_year)
+    evo = save(compute_evolution(ind), "mart_evolution", partition_by=["annee_fiscale"],
+               spread_by=["siren"], spread=files_per_year)
+    # the counts and the quartiles both read the co-located tables, without a shuffle
+    bench = save(sector_benchmark(ind, ent, min_panel=min_panel), "mart_benchmark_sectoriel")
     return Models(stg, ent, ind, evo, bench)
 
 
@@ -82,12 +89,12 @@ def stored_models(raw_accounts: DataFrame, register: DataFrame, *,
 
     The models behind a shuffle (staging dedups, the evolution windows) are
     stored; the indicators are a row-wise projection of the stored staging
-    table, and the benchmark (one row per panel, its join input stored by
-    the operator itself) is left lazy."""
+    table, and the benchmark (one row per panel, its join input stored) is left
+    lazy."""
     companies = register if register_is_renamed else company_register(register)
     stg = materialize(stage_statements(raw_accounts, min_year, max_year), "model-stg_bilans")
     ent = materialize(stage_companies(companies), "model-stg_entreprises")
     ind = compute_indicators(stg)
     evo = materialize(compute_evolution(ind), "model-mart_evolution")
-    bench = sector_benchmark(ind, ent, min_panel=min_panel)
+    bench = sector_benchmark(ind, ent, min_panel=min_panel, store=materialize)
     return Models(stg, ent, ind, evo, bench)

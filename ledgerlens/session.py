@@ -77,16 +77,30 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return conf
 
 
+_MATERIALIZED: list[str] = []  # folders written by this process
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
 
-    Used where one result feeds several consumers that must see exactly the
-    same rows (e.g. row numbers over a range-partitioned sort). The written
-    files cut the lineage, survive executor loss and keep column pruning on
-    the read side.
+    The explicit store step where one result feeds several consumers. The
+    written files cut the lineage, survive executor loss and keep column pruning
+    on the read side. ``clear_materialized`` removes them.
     """
     spark = df.sparkSession
     base = checkpoint_dir(spark).rstrip("/")
     path = f"{base}/ledgerlens/{label}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    _MATERIALIZED.append(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def clear_materialized(spark: SparkSession) -> int:
+    """Delete what this process has materialized, once no result that reads it
+    is used any more; returns the number of folders deleted."""
+    hadoop = spark._jsc.hadoopConfiguration()
+    n = 0
+    while _MATERIALIZED:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_MATERIALIZED.pop())
+        n += bool(path.getFileSystem(hadoop).delete(path, True))
+    return n

@@ -36,7 +36,7 @@ def _siren(key: str):
 
 
 def raw_accounts(orders: DataFrame) -> DataFrame:
-    """One filing per (customer, order year, order status) with 29 columns."""
+    """One filing per (customer, order year, order status) with 31 columns."""
     grouped = (orders
                .groupBy("o_custkey",
                         F.year("o_orderdate").cast("int").alias("annee"),
@@ -83,6 +83,11 @@ def raw_accounts(orders: DataFrame) -> DataFrame:
         F.when(mod(k, 3) == 0, F.lit(None).cast("bigint")).otherwise(mod(k, 250)).alias("effectif_moyen"),
         mod(ca, 12000).alias("capacite_autofinancement"),
         mod(ca, 25000).alias("bfr"),
+        F.when(mod(k, 6) == 0, F.lit(None).cast("bigint")).otherwise(mod(ca, 55000) - 12000)
+         .alias("resultat_exploitation"),
+        F.when(mod(k, 7) == 0, F.lit(None).cast("string"))
+         .otherwise(F.concat(F.lpad((10 + mod(k, 12)).cast("string"), 2, "0"), F.lit(".10Z")))
+         .alias("code_naf"),
     )
 
 

@@ -56,8 +56,9 @@ def read_company_register(spark: SparkSession, path: str) -> DataFrame:
 
 
 def load_raw_accounts(spark: SparkSession, path: str, table: str = "raw_bilans",
-                      force: bool = False) -> DataFrame:
-    """Load the accounts file into catalog table ``table`` once.
+                      force: bool = False, location: str | None = None) -> DataFrame:
+    """Load the accounts file into catalog table ``table`` once (its files in
+    ``location``, if given).
 
     A missing file raises ``FileNotFoundError``. An existing table is kept
     unless ``force`` is true, in which case it is replaced.
@@ -65,12 +66,12 @@ def load_raw_accounts(spark: SparkSession, path: str, table: str = "raw_bilans",
     src = read_accounts(spark, path)
     if spark.catalog.tableExists(table) and not force:
         return spark.table(table)
-    src.write.mode("overwrite").saveAsTable(table)
-    return spark.table(table)
+    return save_table(src, table, path=location)
 
 
 def save_table(df: DataFrame, name: str, *, path: str | None = None,
                partition_by: list[str] | None = None,
+               spread_by: list[str] | None = None, spread: int = 1,
                bucket_by: list[str] | None = None, buckets: int | None = None,
                sort_by: list[str] | None = None) -> DataFrame:
     """Replace table ``name`` with ``df`` and return the stored table.
@@ -79,15 +80,24 @@ def save_table(df: DataFrame, name: str, *, path: str | None = None,
     sorted) on the key so that later joins and windows on that key read
     co-located data without a shuffle. ``partition_by`` gives directory
     pruning on low-cardinality filters such as the fiscal year.
+
+    Rows are clustered before the write: one file per bucket, or ``spread``
+    files (by hash of ``spread_by``) at most per partition value, however many
+    tasks there are.
     """
+    if bucket_by:
+        if not buckets:
+            raise ValueError("bucket_by needs a bucket count")
+        df = df.repartition(buckets, *bucket_by)  # the hash that assigns buckets
+    elif partition_by:
+        part = [F.pmod(F.hash(*spread_by), F.lit(spread))] if spread_by else []
+        df = df.repartition(*[F.col(c) for c in partition_by], *part)
     writer = df.write.mode("overwrite").format("parquet")
     if path:
         writer = writer.option("path", path)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if bucket_by:
-        if not buckets:
-            raise ValueError("bucket_by needs a bucket count")
         writer = writer.bucketBy(buckets, *bucket_by)
         if sort_by:
             writer = writer.sortBy(*sort_by)

@@ -7,13 +7,14 @@ from pyspark.sql import types as T
 from ledgerlens.oracle import RAW_COLUMNS
 
 AMOUNTS = [c for c in RAW_COLUMNS if c not in (
-    "siren", "annee", "date_cloture_exercice", "type_bilan", "confidentiality")]
+    "siren", "annee", "date_cloture_exercice", "type_bilan", "confidentiality", "code_naf")]
 
 RAW_SCHEMA = T.StructType(
     [T.StructField("siren", T.StringType()), T.StructField("annee", T.IntegerType()),
      T.StructField("date_cloture_exercice", T.DateType()), T.StructField("type_bilan", T.StringType()),
      T.StructField("confidentiality", T.StringType())]
-    + [T.StructField(c, T.LongType()) for c in AMOUNTS])
+    + [T.StructField(c, T.LongType()) for c in AMOUNTS]
+    + [T.StructField("code_naf", T.StringType())])
 
 
 def filing(siren="000000001", annee=2020, type_bilan="C", confidentiality="Public",

@@ -5,7 +5,6 @@ import re
 from ledgerlens.operators.evolution import compute_evolution
 from ledgerlens.operators.indicators import compute_indicators
 from ledgerlens.operators.staging import stage_statements
-from ledgerlens.operators.views import company_indicators
 from ledgerlens.queries import QUERIES
 from tests.conftest import SF_SMALL
 
@@ -39,28 +38,64 @@ def test_evolution_two_lag_passes_share_one_exchange(spark):
     assert keys[1:] == ["siren, annee, 8", "siren, 8"], keys
 
 
-def test_point_lookup_reaches_the_scan(spark, tmp_path):
-    path = str(tmp_path / "ind")
-    raw = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
-    from ledgerlens.sources.fixtures import raw_accounts
-    compute_indicators(stage_statements(raw_accounts(raw), 1995, 2001)) \
-        .write.mode("overwrite").parquet(path)
-    ind = spark.read.parquet(path)
-    plan = formatted(company_indicators(ind, siren="000000005", year=1998))
+def test_point_lookup_reaches_the_scan(spark):
+    """The registered lookup reads one bucket, with both filters pushed."""
+    key = "spark.sql.sources.bucketing.autoBucketedScan.enabled"
+    spark.conf.set(key, "false")  # else the plan doesn't show the buckets a scan selects
+    try:
+        plan = formatted(QUERIES["company_lookup"](spark, SF_SMALL))
+    finally:
+        spark.conf.unset(key)
     scan = plan.split("(1) Scan parquet", 1)[1].split("\n\n", 1)[0]
     assert "EqualTo(siren,000000005)" in scan and "EqualTo(annee_fiscale,1998)" in scan
+    assert re.search(r"SelectedBucketsCount: 1 out of \d+", scan)
     # only the 20 selected columns are read
     read_schema = re.search(r"ReadSchema: struct<(.*)>", scan).group(1)
     assert read_schema.count(":") == 20
 
 
+def test_report_filters_come_before_the_store_step(spark, monkeypatch):
+    """Year and division are applied to what is joined and written."""
+    import ledgerlens.queries as q
+    seen = []
+
+    def recording(df, label):
+        seen.append(formatted(df))
+        return df
+
+    monkeypatch.setattr(q, "materialize", recording)
+    for name, condition in (("ranking_margin", "= 2000"), ("ranking_bfr", "= 2000"),
+                            ("division_history", "= 62")):
+        seen.clear()
+        q.QUERIES[name](spark, SF_SMALL)
+        assert len(seen) == 1 and condition in seen[0], name
+
+
+STORE_FIRST = {"sector_benchmark", "benchmark_report", "ranking_margin", "ranking_bfr",
+               "division_history", "quality_report", "company_lookup", "accounts_scan",
+               "accounts_loaded", "schema_listing", "stored_models_indicators",
+               "stored_models_evolution", "stored_models_benchmark"}
+
+
+def test_building_a_query_runs_nothing(spark):
+    """Only the queries with a named store step run jobs before they are used."""
+    tracker = spark.sparkContext.statusTracker()
+    for name, fn in QUERIES.items():
+        if name in STORE_FIRST:
+            continue
+        spark.sparkContext.setJobGroup(f"build-{name}", name)
+        fn(spark, SF_SMALL)
+        assert tracker.getJobIdsForGroup(f"build-{name}") == [], name
+    spark.sparkContext.setJobGroup("tests", "")
+
+
 def test_company_filter_pushed_below_windows(spark):
     """A company filter on the evolution mart is applied before the window
     exchanges (siren is their partition key), i.e. at the source."""
     evo = compute_evolution(compute_indicators(stage_statements(
         __import__("ledgerlens.sources.fixtures", fromlist=["x"]).fixture_accounts(spark, SF_SMALL),
         1995, 2001)))
-    from pyspark.sql import functions as F
+    from pyspark.sql import functions as F  # the fixture computes siren: an expression is pushed
     plan = formatted(evo.where(F.col("siren") == "000000005"))
     scan = plan.split("(1) Scan parquet", 1)[1].split("\n\n", 1)[0]
     assert "PushedFilters" in scan and "o_custkey" in scan

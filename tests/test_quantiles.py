@@ -1,14 +1,16 @@
-"""Distributed exact percentiles against brute force and DuckDB, with a hot
-group spread over many partitions."""
+"""Exact percentiles against brute force and DuckDB, with a hot group."""
 
 import math
 import random
+import re
 
 import duckdb
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
-from ledgerlens.operators.quantiles import DEFAULT_MAX_IN_TASK, exact_percentiles, percentile_column
+from ledgerlens.operators.quantiles import (_value_counts, exact_percentiles, percentile_column,
+                                            value_bucket)
 
 PROBS = [0.25, 0.5, 0.75]
 
@@ -23,17 +25,6 @@ def brute(values, p):
     return a[lo] if d == 0 else math.fma(a[lo], 1 - d, a[hi] * d)
 
 
-@pytest.fixture
-def many_partitions(spark):
-    keys = ["spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled"]
-    old = [spark.conf.get(k) for k in keys]
-    spark.conf.set(keys[0], "37")
-    spark.conf.set(keys[1], "false")  # keep the range partitions visible on tiny data
-    yield
-    for k, v in zip(keys, old):
-        spark.conf.set(k, v)
-
-
 def make_rows(seed=3):
     rng = random.Random(seed)
     rows = []
@@ -52,15 +43,10 @@ def make_rows(seed=3):
     return rows
 
 
-@pytest.mark.parametrize("max_in_task", [DEFAULT_MAX_IN_TASK, 0, 100])
-def test_matches_brute_force_and_duckdb(spark, many_partitions, max_in_task):
-    """All groups in-task; all groups bracketed (bound 0); and a split (the
-    hot group and groups of more than 100 rows bracketed, the others
-    in-task)."""
+def test_matches_brute_force_and_duckdb(spark):
     rows = make_rows()
     df = spark.createDataFrame(rows, "g string, k int, x double, y long")
-    out = exact_percentiles(df, ["g", "k"], {"x": "x", "y": "y"}, PROBS, with_counts=True,
-                            max_in_task=max_in_task, store_input=True)
+    out = exact_percentiles(df, ["g", "k"], {"x": "x", "y": "y"}, PROBS, with_counts=True)
     got = {(r.g, r.k): r for r in out.collect()}
 
     groups = {}
@@ -80,7 +66,7 @@ def test_matches_brute_force_and_duckdb(spark, many_partitions, max_in_task):
             for p in PROBS:
                 assert getattr(r, percentile_column(name, p)) == brute(vals, p), (key, name, p)
 
-    pdf = pd.DataFrame(rows, columns=["g", "k", "x", "y"])
+    pdf = pd.DataFrame(rows, columns=["g", "k", "x", "y"])  # noqa: F841 (read by DuckDB)
     duck = duckdb.sql("""SELECT g, k, percentile_cont(0.25) WITHIN GROUP (ORDER BY x) x25,
         percentile_cont(0.75) WITHIN GROUP (ORDER BY x) x75,
         percentile_cont(0.5) WITHIN GROUP (ORDER BY y) y50 FROM pdf GROUP BY g, k""").fetchall()
@@ -90,116 +76,61 @@ def test_matches_brute_force_and_duckdb(spark, many_partitions, max_in_task):
             assert (r.x_p25, r.x_p75, r.y_p50) == (x25, x75, y50), (g, k)
 
 
-def test_hot_group_spans_partitions(spark, many_partitions):
-    """A group over the in-task bound: bracketed by the sketch, or (fallback)
-    sorted over several range partitions so that no task holds it whole; the
-    stitched ranks are exact either way."""
-    from pyspark.sql import functions as F
-    rows = [("hot", float(i % 5000)) for i in range(30000)] + [("cold", 1.0)]
-    df = spark.createDataFrame(rows, "g string, v double")
-    ranked = (df.repartitionByRange("g", "v").withColumn("pid", F.spark_partition_id())
-              .groupBy("g").agg(F.countDistinct("pid").alias("parts")))
-    parts = {r.g: r.parts for r in ranked.collect()}
-    assert parts["hot"] > 10
-    from ledgerlens.operators.quantiles import _distributed
-    vals = [v for g, v in rows if g == "hot"]
-    for out in (exact_percentiles(df, ["g"], {"v": "v"}, PROBS, max_in_task=1000),
-                _distributed(df, ["g"], {"v": "v"}, PROBS, "test-sort", with_counts=False,
-                             store_input=False)):
-        got = {r.g: r for r in out.collect()}
-        for p in PROBS:
-            assert getattr(got["hot"], percentile_column("v", p)) == brute(vals, p)
-        assert got["cold"].v_p50 == 1.0
-
-
-def test_unverified_brackets_fall_back_to_full_sort(spark, many_partitions, monkeypatch):
-    """A coarse sketch misses most brackets: those groups take the full
-    distributed sort and the result is still exact."""
-    import ledgerlens.operators.quantiles as q
-    monkeypatch.setattr(q, "MIN_SKETCH_ACCURACY", 20)
-    monkeypatch.setattr(q, "MAX_SKETCH_ACCURACY", 20)
-    rows = make_rows(seed=9)
-    df = spark.createDataFrame(rows, "g string, k int, x double, y long")
-    got = {(r.g, r.k): r for r in exact_percentiles(
-        df, ["g", "k"], {"x": "x", "y": "y"}, PROBS, max_in_task=50, with_counts=True).collect()}
-    groups = {}
-    for g, k, x, y in rows:
-        groups.setdefault((g, k), ([], []))
-        groups[(g, k)][0].append(x)
-        groups[(g, k)][1].append(None if y is None else float(y))
-    for key, (xs, ys) in groups.items():
-        if key in got:
-            assert got[key].x_n == sum(v is not None for v in xs), key
-            assert got[key].y_n == sum(v is not None for v in ys), key
-            for p in PROBS:
-                assert got[key][percentile_column("x", p)] == brute(xs, p), (key, p)
-                assert got[key][percentile_column("y", p)] == brute(ys, p), (key, p)
+def test_buckets_never_fall(spark):
+    rng = random.Random(2)
+    values = sorted({0.0, 5e-324, 1.0, 1e308, -1e308, float("inf"), float("-inf"),
+                     *(rng.choice([-1, 1]) * rng.random() * 10.0 ** rng.randint(-300, 300)
+                       for _ in range(4000)),
+                     *(math.nextafter(2.0 ** e, s) for e in range(-60, 60) for s in (0, 1e300)),
+                     *(float(i) for i in range(-500, 500))}) + [float("nan")]
+    df = spark.createDataFrame(list(enumerate(values)), "i int, v double")
+    buckets = [r.b for r in df.select("i", value_bucket(F.col("v")).alias("b")).orderBy("i").collect()]
+    assert buckets == sorted(buckets)
+    assert len(set(buckets)) > 1000
 
 
-def test_heavy_ties_at_the_quartiles(spark, many_partitions):
-    """Half the values equal 0.0 (like debt ratios of companies without
-    debt): the ties sit at the bracket ends and are counted, not collected."""
+def test_heavy_ties_at_the_quartiles(spark):
+    """Half the values equal 0.0 (like debt ratios of companies without debt):
+    ties are one counted row."""
     rng = random.Random(4)
     vals = [0.0] * 30000 + [round(rng.uniform(-5, 5), 3) for _ in range(30000)]
     df = spark.createDataFrame([("g", v) for v in vals], "g string, v double")
-    out = exact_percentiles(df, ["g"], {"v": "v"}, PROBS, max_in_task=1000).collect()[0]
+    out = exact_percentiles(df, ["g"], {"v": "v"}, PROBS).collect()[0]
     for p in PROBS:
         assert out[percentile_column("v", p)] == brute(vals, p)
-
-
-def test_brackets_hold_without_fallback(spark, many_partitions, monkeypatch):
-    """A group over the bound (the 20k-row hot group, with ties and nulls) is
-    answered by the verified brackets alone."""
-    import ledgerlens.operators.quantiles as q
-
-    def no_sort(*args, **kwargs):
-        raise AssertionError("fell back to the full sort")
-    monkeypatch.setattr(q, "_distributed", no_sort)
-    rows = make_rows(seed=21)
-    df = spark.createDataFrame(rows, "g string, k int, x double, y long")
-    got = {(r.g, r.k): r for r in exact_percentiles(
-        df, ["g", "k"], {"x": "x", "y": "y"}, PROBS, max_in_task=5000).collect()}
-    hot = [x for g, k, x, y in rows if g == "hot"]
-    hot_y = [None if y is None else float(y) for g, k, x, y in rows if g == "hot"]
-    for p in PROBS:
-        assert got[("hot", 1)][percentile_column("x", p)] == brute(hot, p)
-        assert got[("hot", 1)][percentile_column("y", p)] == brute(hot_y, p)
-
-
-def test_null_key_group_over_the_bound(spark, many_partitions):
-    """A large group whose key is null goes through the bracketed path (its
-    joins are null-safe) and stays exact."""
-    rng = random.Random(8)
-    rows = ([(None, round(rng.gauss(0, 10), 2)) for _ in range(6000)]
-            + [("a", float(i)) for i in range(10)])
-    df = spark.createDataFrame(rows, "g string, v double")
-    got = {r.g: r for r in exact_percentiles(df, ["g"], {"v": "v"}, PROBS, max_in_task=1000).collect()}
-    vals = [v for g, v in rows if g is None]
-    for p in PROBS:
-        assert got[None][percentile_column("v", p)] == brute(vals, p)
-    assert got["a"].v_p50 == 4.5
-
-
-@pytest.mark.parametrize("ties", [False, True])
-def test_second_round_refines_large_brackets(spark, many_partitions, monkeypatch, ties):
-    """A coarse first sketch leaves brackets that hold their ranks but too
-    many values; the second round narrows them, without the full sort."""
-    import ledgerlens.operators.quantiles as q
-
-    def no_sort(*args, **kwargs):
-        raise AssertionError("fell back to the full sort")
-    monkeypatch.setattr(q, "_distributed", no_sort)
-    monkeypatch.setattr(q, "MIN_SKETCH_ACCURACY", 100)
-    monkeypatch.setattr(q, "MAX_SKETCH_ACCURACY", 100)
-    rng = random.Random(13)
-    vals = [round(rng.gauss(0, 50), 3) for _ in range(40000)]
-    if ties:
-        vals += [0.0] * 30000
-    rows = [("big", v) for v in vals] + [("small", float(i)) for i in range(7)]
-    df = spark.createDataFrame(rows, "g string, v double")
-    got = {r.g: r for r in exact_percentiles(df, ["g"], {"v": "v"}, PROBS, max_in_task=3000,
-                                             with_counts=True).collect()}
-    for p in PROBS:
-        assert got["big"][percentile_column("v", p)] == brute(vals, p), p
-    assert got["big"].v_n == len(vals)
-    assert got["small"].v_p50 == 3.0
+    counts = _value_counts(df, ["g"], {"v": "v"})
+    assert counts.where("_v = 0").collect()[0]["_n"] >= 30000
+
+
+@pytest.mark.parametrize("probs", [[0.0, 1.0], [0.5], [0.25, 0.5, 0.75]])
+def test_extremes_and_single_values(spark, probs):
+    vals = [3.0, -1.5, 8.25, 8.25, 1e300, -1e-300]
+    df = spark.createDataFrame([("a", v) for v in vals] + [("b", 7.0)], "g string, v double")
+    got = {r.g: r for r in exact_percentiles(df, ["g"], {"v": "v"}, probs).collect()}
+    for p in probs:
+        assert got["a"][percentile_column("v", p)] == brute(vals, p)
+        assert got["b"][percentile_column("v", p)] == 7.0
+
+
+def test_nothing_runs_while_the_plan_is_built(spark):
+    """And the empty input gives no row."""
+    df = spark.createDataFrame([], "g string, v double")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("quantiles-build", "")
+    out = exact_percentiles(df, ["g"], {"v": "v"}, PROBS)
+    assert tracker.getJobIdsForGroup("quantiles-build") == []
+    assert out.collect() == []
+
+
+def test_values_are_counted_before_the_shuffle(spark):
+    """Map tasks count per value before the first exchange, which deals rows by
+    value and not by group; both readers of the counts share it."""
+    df = spark.range(80_000, numPartitions=4).select(
+        F.concat(F.lit("g"), F.col("id") % 2).alias("g"), (F.col("id") % 2000 / 4).cast("double").alias("v"))
+    out = exact_percentiles(df, ["g"], {"v": "v"}, PROBS)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"Exchange hashpartitioning\(_k#\d+, _m#\d+, [^)]*_v", plan), plan[:3000]
+    assert "partial_count(1)" in plan
+    out.collect()
+    final = out._jdf.queryExecution().executedPlan().toString()
+    assert "ReusedExchange" in final

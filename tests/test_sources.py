@@ -1,10 +1,13 @@
 """Sources and sinks: accounts loader, register ingest, table layout, the
 materialised model chain."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
 from ledgerlens.plans.models import build_models, materialize_models
+from ledgerlens.queries import QUERIES
 from ledgerlens.sources.fixtures import fixture_accounts, fixture_register
 from ledgerlens.sources.parquet import (company_register, load_raw_accounts, read_accounts,
                                         read_company_register, save_table)
@@ -117,3 +120,34 @@ def test_build_job_end_to_end(spark, tmp_path):
     assert spark.table("job_stg_bilans").count() == 755  # FIXTURES.md: staged rows at sf0.001
     assert spark.table("job_quality_report").count() == 24
     assert spark.table("job_mart_benchmark_sectoriel").count() > 0
+
+
+def data_files(path):
+    return sorted(str(f) for f in path.rglob("*.parquet"))
+
+
+def test_one_file_per_bucket_and_bounded_files_per_year(spark, tmp_path):
+    """However many tasks write: 8 shuffle partitions and 16 buckets give 16
+    files, 7 years in two parts give at most 14."""
+    df = (spark.range(5000).select(F.lpad(F.col("id").cast("string"), 9, "0").alias("siren"),
+                                   (F.lit(1995) + F.col("id") % 7).cast("int").alias("annee"))
+          .repartition(8))
+    save_table(df, "t_files_bucketed", path=str(tmp_path / "b"), bucket_by=["siren"], buckets=16)
+    assert len(data_files(tmp_path / "b")) == 16
+    save_table(df, "t_files_years", path=str(tmp_path / "y"), partition_by=["annee"],
+               spread_by=["siren"], spread=2)
+    assert len(data_files(tmp_path / "y")) <= 14
+    for name in ("t_files_bucketed", "t_files_years"):
+        assert spark.table(name).count() == 5000
+
+
+def test_materialized_folders_are_cleared(spark):
+    from ledgerlens.session import clear_materialized, materialize
+    clear_materialized(spark)
+    df = materialize(spark.range(10), "t-clear")
+    path = df.inputFiles()[0].rsplit("/", 1)[0].removeprefix("file:").removeprefix("//")
+    assert os.path.isdir(path) and df.count() == 10
+    assert clear_materialized(spark) == 1
+    assert not os.path.isdir(path)
+    QUERIES["quality_report"](spark, SF_SMALL).collect()
+    assert clear_materialized(spark) == 4 and clear_materialized(spark) == 0

@@ -2,8 +2,8 @@
 
 For each query: shuffle exchanges (with their partitioning keys), broadcast
 exchanges, joins, partial window-group limits, scans with their pushed
-filters and read columns, and the steps the query writes to the checkpoint
-folder before its final plan (distributed quantiles).
+filters and read columns, and the steps a query stores in the checkpoint folder
+before its final plan.
 
 Usage: python tools/plan_report.py [sf_dir] > PLANS.md
 """
@@ -70,7 +70,7 @@ def main():
         writes.append(label)
         return original(df, label)
 
-    for mod in ("ledgerlens.operators.quantiles", "ledgerlens.operators.benchmark"):
+    for mod in ("ledgerlens.queries", "ledgerlens.plans.models"):
         sys.modules[mod].materialize = recording
 
     print("# Physical plans of the registered queries\n")
