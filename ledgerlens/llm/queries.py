@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +13,9 @@ from .common import table
 from .exact_dedup import exact_dedup
 from .packing import pack_documents
 from .quality import judge_quality
-from .secret_scan import count_kind, scan_secrets, span_text
+from .secret_scan import (ACCESS, ALLOWED, ASSIGN, CANDIDATE, CLASSES, HEX, KINDS, LEAST_ACCESS,
+                          LEAST_ASSIGN, LEAST_HEX, CharacterClass, count_kind, scan_secrets,
+                          span_text)
 from .simhash import near_duplicates
 from .token_counts import token_counts
 from .token_files import read_token_files, write_token_files
@@ -104,6 +107,81 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_quality(table(spark, sf_dir, "documents"))
 
 
+def _base_matches_sql(kind: int, pattern: str, group: int, least: int) -> str:
+    """Spans of one base pattern: what lies between the matches, and the
+    matches, in turn."""
+    quoted = pattern.replace("'", "''")
+    return f"""
+  SELECT doc_id, row, {kind} AS kind, CAST(before + length(found) AS BIGINT) AS finish,
+         CAST(before AS BIGINT) AS start
+  FROM (SELECT doc_id, row, found, body, sum(length(gap) + coalesce(lag_length, 0)) OVER (
+               PARTITION BY row ORDER BY n) AS before
+        FROM (SELECT *, lag(length(found)) OVER (PARTITION BY row ORDER BY n) AS lag_length
+              FROM (SELECT doc_id, row, generate_subscripts(matches, 1) AS n,
+                           unnest(matches) AS found, unnest(bodies) AS body,
+                           unnest(gaps[:len(matches)]) AS gap
+                    FROM (SELECT doc_id, row, regexp_extract_all(t, '{quoted}') AS matches,
+                                 regexp_extract_all(t, '{quoted}', {group}) AS bodies,
+                                 string_split_regex(t, '{quoted}') AS gaps FROM texts))))
+  WHERE length(body) >= {least}"""
+
+
+def _entropy_sql(rule: CharacterClass, kind: int, member: str) -> str:
+    """Candidates of one class with a window whose sum of n * log2(n) is small
+    enough; every window is counted by itself."""
+    most = math.floor(rule.window * (math.log2(rule.window) - rule.least_bits) * 1_000_000)
+    return f"""
+  SELECT row, start, {kind} AS kind FROM (
+    SELECT row, start, i, c, count(*) AS n
+    FROM (SELECT row, start, i, unnest(string_split(substr(found, i, {rule.window}), '')) AS c
+          FROM (SELECT *, unnest(range(1, length(found) - {rule.window} + 2)) AS i
+                FROM candidates WHERE {member}))
+    GROUP BY ALL)
+  GROUP BY row, start, i HAVING sum(round(n * log2(n) * 1000000)) <= {most}"""
+
+
+def _op4_sql() -> str:
+    base = [_base_matches_sql(k, p, g, n) for k, (p, g, n) in enumerate((
+        (ASSIGN, 2, LEAST_ASSIGN), (ACCESS, 0, LEAST_ACCESS), (HEX, 0, LEAST_HEX)))]
+    digits, letters = "regexp_matches(found, '[0-9]')", "regexp_matches(found, '[A-Za-z]')"
+    hexes = f"{digits} AND regexp_matches(found, '^[0-9A-Fa-f]+$') AND {letters}"
+    members = (hexes, f"{digits} AND {letters} AND NOT ({hexes})",
+               "regexp_matches(found, '^[A-Za-z]+$')")
+    suspect = [_entropy_sql(rule, KINDS.index(rule.kind), member)
+               for rule, member in zip(CLASSES, members)]
+    allowed = "|".join(f"({p})" for p in ALLOWED)
+    kinds = ", ".join(f"'{k}'" for k in KINDS)
+
+    def listed(rows: str) -> str:
+        return (f"SELECT row, string_agg(([{kinds}])[kind + 1] || ':' || start || ':' || finish, ',' "
+                f"ORDER BY start, kind, finish) AS spans FROM {rows} GROUP BY row")
+    return f"""
+WITH texts AS MATERIALIZED (
+  SELECT doc_id, row_number() OVER () AS row, coalesce(text, '') AS t FROM documents),
+base AS MATERIALIZED ({" UNION ALL ".join(base)}),
+candidates AS MATERIALIZED (
+  SELECT row, start, finish, substr(t, start + 1, finish - start) AS found
+  FROM ({_base_matches_sql(0, CANDIDATE, 0, 20)}) JOIN texts USING (row)
+  WHERE NOT regexp_full_match(found, '{allowed}')),
+added AS (
+  SELECT DISTINCT s.row, s.kind, c.finish, s.start
+  FROM ({" UNION ALL ".join(suspect)}) s JOIN candidates c ON c.row = s.row AND c.start = s.start
+  WHERE NOT EXISTS (SELECT 1 FROM base b
+                    WHERE b.row = s.row AND b.start <= s.start AND c.finish <= b.finish)),
+base_list AS ({listed("base")}),
+all_list AS ({listed("(SELECT row, kind, finish, start FROM base UNION ALL FROM added)")}),
+counts AS (
+  SELECT row, count(*) FILTER (WHERE kind = 0) AS n_assign,
+         count(*) FILTER (WHERE kind = 1) AS n_access, count(*) FILTER (WHERE kind = 2) AS n_hex
+  FROM base GROUP BY row)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access,
+       coalesce(n_hex, 0) AS n_hex, sha256(coalesce(b.spans, '')) AS base_sha256,
+       coalesce(a.spans, '') AS spans
+FROM texts LEFT JOIN counts USING (row) LEFT JOIN base_list b USING (row)
+     LEFT JOIN all_list a USING (row)
+"""
+
+
 OP9_SQL = """
 WITH captures AS (
   SELECT page_id AS capture_id, url,
@@ -174,6 +252,7 @@ QUERIES: dict[str, Query] = {
 }
 
 ORACLE: dict[str, str] = {
+    "op4_secrets": _op4_sql(),
     "op8_exact_dedup": OP8_SQL,
     "op9_url_filter": OP9_SQL,
 }

@@ -5,10 +5,11 @@ import math
 import re
 from collections import Counter
 
+import duckdb
 import pytest
 
 from ledgerlens.llm import secret_scan as S
-from ledgerlens.llm.queries import QUERIES
+from ledgerlens.llm.queries import ORACLE, QUERIES
 from ledgerlens.llm.quality import judge_quality, keep_good
 
 from .cases import TEXTS, documents, prose, stored
@@ -155,3 +156,12 @@ def test_native_plans_run_no_python(spark, tmp_path, name):
     df = QUERIES[name](spark, stored(spark, tmp_path))
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_scans_against_sql(spark, tmp_path):
+    con = duckdb.connect()
+    sf_dir = stored(spark, tmp_path, SECRETS)
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{sf_dir}/documents.parquet/*.parquet'")
+    want = con.sql(ORACLE["op4_secrets"])
+    rows = QUERIES["op4_secrets"](spark, sf_dir).select(*want.columns).collect()
+    assert Counter(map(tuple, rows)) == Counter(want.fetchall())
