@@ -23,10 +23,12 @@ from .common import store, whole_text
 
 #: Labelled rows the model is fitted on at most (those whose ids hash lowest).
 MAX_TRAINING_ROWS = 40_000
-#: Words of the learned lexicon at most, the neighbours they were seen beside in
+#: Entries of the learned lexicon at most, the neighbours they were seen beside in
 #: toxic texts at least, and their log odds at least.
 MAX_LEARNED, MIN_CONTEXTS, MIN_LOG_ODDS = 500, 10, 2.5
-TREES, DEPTH, SEED = 20, 4, 7
+TREES, DEPTH, MIN_LEAF, SEED = 20, 4, 10, 7
+#: Lengths of first letters that are entries too.
+STEMS = (4, 5)
 HELD_OUT_REMAINDER, CALIBRATION_REMAINDER = 2, 3
 TOXIC_FROM = 0.3
 #: Words to either side of a lexicon word in which a second person counts.
@@ -34,64 +36,85 @@ REACH = 5
 #: Share of the uncalibrated probability in a score: it parts ties only.
 TIE_SHARE = 0.001
 
+#: Insults only: no word that is an ordinary one in another corpus language.
 SEED_WORDS = (
-    "idiot idiots idiotic stupid moron morons moronic dumb dumbass fool scum trash garbage loser "
+    "idiot idiots idiotic stupid moron morons moronic dumb dumbass scum trash garbage loser "
     "losers pathetic worthless disgusting clown clowns jerk creep filth filthy vermin imbecile "
-    "cretin retard retarded bastard bitch whore slut asshole ass crap shit shitty bullshit fuck "
-    "fucking fucker cunt dick prick wanker twat hate kill die ugly freak pig "
-    "idiota idiotas imbécil estúpido estúpida basura mierda puta cabrón gilipollas asqueroso "
-    "idiote imbécile stupide crétin connard connasse salope merde ordure débile "
-    "dumm dummkopf idioten trottel arschloch scheiße scheisse abschaum schlampe wichser")
+    "cretin retarded bastard bitch whore slut asshole crap shit shitty bullshit fuck fucking "
+    "fucker cunt prick wanker twat freak "
+    "idiota idiotas imbécil estúpido estúpida basura mierda cabrón gilipollas asqueroso "
+    "idiote imbécile crétin connard connasse salope merde ordure débile "
+    "dummkopf idioten trottel arschloch scheiße scheisse abschaum schlampe wichser")
 SECOND_PERSON = ("you your yours yourself u ur du dich dir dein deine euch ihr tu te toi ton ta "
                  "tes vous votre vos tú ti tus usted vosotros")
 _LEET, _PLAIN = "0134578@$", "oieastbas"
-_MARKS = ".,;:?\"'()[]{}…#*%&<>|~_-+=/\\`^¡¿«»"
-FEATURES = ("seed_density", "learned_density", "lexicon_hits", "near_second_person",
-            "disguised_hits", "capitals", "shouted_words", "exclamations", "questions",
-            "repeated_marks", "mixed_words", "spaced_letters", "log_words")
+_SPACES = " \t\n\v\f\r\x85\xa0\u2028\u2029"
+_MARKS = "!.,;:?\"'()[]{}…#*%&<>|~_-+=/\\`^¡¿«»"
+FEATURES = ("seed_density", "learned_density", "stem_density", "stem_hits", "lexicon_hits",
+            "near_second_person", "disguised_hits", "capitals", "shouted_words", "exclamations",
+            "questions", "repeated_marks", "mixed_words", "spaced_letters")
 
 
-def _words(lowered: Column) -> Column:
-    return F.array_remove(F.split(F.translate(lowered, _MARKS, ""), r"\s+"), "")
+def _words(lowered: Column, letters: str = "", read_as: str = "") -> Column:
+    """Words of a lower-case text without marks; one pass over the characters
+    also reads ``letters`` as others and every separator as a blank."""
+    cut = F.translate(lowered, _SPACES + letters + _MARKS, " " * len(_SPACES) + read_as)
+    return F.array_remove(F.split(cut, " "), "")
 
 
 def plain_words(text: Column) -> Column:
     """Lower-case words without punctuation."""
-    return _words(F.translate(F.lower(text), "!", ""))
+    return _words(F.lower(text))
+
+
+def disguised(text: Column) -> Column:
+    """Do digits or signs touch letters anywhere?"""
+    return text.rlike(r"\p{L}[0134578@$!]|[0134578@$]\p{L}")
 
 
 def undisguised_words(text: Column) -> Column:
-    """The same with digits and signs read as the letters they stand for."""
+    """The words with digits and signs read as the letters they stand for."""
     inside = F.regexp_replace(F.lower(text), r"(?<=\p{L})!(?=\p{L})", "i")
-    return _words(F.translate(F.translate(inside, "!", ""), _LEET, _PLAIN))
+    return _words(inside, _LEET, _PLAIN)
+
+
+def _stem(word: Column, length: int) -> Column:
+    """The first letters of a word, with a mark that no word has."""
+    return F.concat(F.substring(word, 1, length), F.lit("*"))
 
 
 def learn_lexicon(training: DataFrame) -> list[str]:
-    """Words of toxic rather than other texts of ``training`` (text, toxic).
+    """Words, and first letters of words (marked with a final "*"), of toxic
+    rather than other texts of ``training`` (text, toxic).
 
-    A word counts once for each word it follows, so that copies of a text, or
+    An entry counts once for each word it follows, so that copies of a text, or
     a phrase that repeats, don't pass for many sightings.
     """
     words = training.select("toxic", plain_words(whole_text()).alias("w"))
     pairs = words.select("toxic", F.explode(F.expr(
         "transform(sequence(1, greatest(size(w), 1)), "
         "i -> struct(get(w, i - 1) AS word, coalesce(get(w, i - 2), '') AS after))")).alias("p"))
-    seen = (pairs.select("p.word", "p.after", "toxic").where("word IS NOT NULL").distinct()
-            .groupBy("word").agg(F.count_if(F.col("toxic") == 1).alias("toxic_n"),
-                                 F.count_if(F.col("toxic") == 0).alias("other_n")))
+    word = F.col("p.word")
+    entries = F.array(word, *(F.when(F.length(word) >= n, _stem(word, n)) for n in STEMS))
+    seen = (pairs.select(F.explode(entries).alias("entry"), "p.after", "toxic")
+            .where("entry IS NOT NULL").distinct()
+            .groupBy("entry").agg(F.count_if(F.col("toxic") == 1).alias("toxic_n"),
+                                  F.count_if(F.col("toxic") == 0).alias("other_n")))
     seen = store(seen, "word-contexts")
     n = seen.agg(F.sum("toxic_n").alias("t"), F.sum("other_n").alias("o")).first()
     odds = (F.log((F.col("toxic_n") + 0.5) / ((n["t"] or 0) + 1.0))
             - F.log((F.col("other_n") + 0.5) / ((n["o"] or 0) + 1.0)))
     top = (seen.where(F.col("toxic_n") >= MIN_CONTEXTS).withColumn("odds", odds)
            .where(F.col("odds") >= MIN_LOG_ODDS)
-           .orderBy(F.desc("odds"), "word").limit(MAX_LEARNED))
-    return [r["word"] for r in top.collect()]  # at most MAX_LEARNED words
+           .orderBy(F.desc("odds"), "entry").limit(MAX_LEARNED))
+    return [r["entry"] for r in top.collect()]  # at most MAX_LEARNED entries
 
 
 def with_features(docs: DataFrame, learned: list[str]) -> DataFrame:
     """``docs`` and the features (prefix ``_ll_``); null texts are empty."""
     seeds = SEED_WORDS.split()
+    stems = [e for e in learned if e.endswith("*")]
+    learned = [e for e in learned if not e.endswith("*")]
     lexicon = sorted({*seeds, *learned})
     second = SECOND_PERSON.split()
     text = F.col("_ll_t")
@@ -99,8 +122,8 @@ def with_features(docs: DataFrame, learned: list[str]) -> DataFrame:
            .withColumn("_ll_w", plain_words(text))
            .withColumn("_ll_hit", F.filter(F.sequence(F.lit(1), F.size("_ll_w")),
                                            lambda i: F.get("_ll_w", i - 1).isin(lexicon)))
-           .withColumn("_ll_bare", F.size(F.filter(undisguised_words(text),
-                                                   lambda w: w.isin(lexicon)))))
+           .withColumn("_ll_bare", F.when(disguised(text), F.size(F.filter(
+               undisguised_words(text), lambda w: w.isin(lexicon)))).otherwise(0)))
     n = F.greatest(F.size("_ll_w"), F.lit(1)).cast("double")
     chars = F.greatest(F.length(text), F.lit(1)).cast("double")
     hits = F.size("_ll_hit")
@@ -109,6 +132,14 @@ def with_features(docs: DataFrame, learned: list[str]) -> DataFrame:
     def found(among: list[str]) -> Column:
         return F.size(F.filter(hit_words, lambda w: w.isin(among))) if among else F.lit(0)
 
+    def stemmed(word: Column) -> Column:
+        known = F.lit(False)
+        for length in STEMS:
+            if mine := [e for e in stems if len(e) == length + 1]:
+                known = known | _stem(word, length).isin(mine)
+        return known
+
+    stem_hits = F.size(F.filter("_ll_w", stemmed)) if stems else F.lit(0)
     near = F.size(F.filter("_ll_hit", lambda i: F.exists(
         F.slice("_ll_w", F.greatest(i - REACH, F.lit(1)), 2 * REACH + 1),
         lambda w: w.isin(second))))
@@ -122,6 +153,7 @@ def with_features(docs: DataFrame, learned: list[str]) -> DataFrame:
 
     values = {
         "seed_density": found(seeds) / n, "learned_density": found(learned) / n,
+        "stem_density": stem_hits / n, "stem_hits": F.log1p(stem_hits.cast("double")),
         "lexicon_hits": F.log1p(hits.cast("double")), "near_second_person": near / n,
         "disguised_hits": F.greatest(F.col("_ll_bare") - hits, F.lit(0)) / n,
         "capitals": capitals / chars, "shouted_words": rate(r"\b\p{Lu}{3,}\b"),
@@ -129,7 +161,6 @@ def with_features(docs: DataFrame, learned: list[str]) -> DataFrame:
         "repeated_marks": rate(r"[!?]{2,}"),
         "mixed_words": rate(r"\p{L}[0-9@$!*#]+\p{L}"),
         "spaced_letters": rate(r"(?:\b\p{L}[ .]){4,}"),
-        "log_words": F.log1p(F.size("_ll_w").cast("double")),
     }
     return out.select(*docs.columns, *(values[f].cast("double").alias(f"_ll_{f}")
                                        for f in FEATURES))
@@ -189,7 +220,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame,
             (a, b) for a in (False, True) for b in (0.0, 1.0)}:
         return ToxicityModel(learned, rate)
     booster = GBTClassifier(featuresCol="_ll_vector", labelCol="_ll_label", maxIter=TREES,
-                            maxDepth=DEPTH, seed=SEED, predictionCol="_ll_prediction")
+                            maxDepth=DEPTH, minInstancesPerNode=MIN_LEAF, seed=SEED,
+                            predictionCol="_ll_prediction")
     booster.setProbabilityCol("_ll_probability").setRawPredictionCol("_ll_raw")
     trees = booster.fit(_assembled(featured.where(~part)))
     calibration = IsotonicRegression(
