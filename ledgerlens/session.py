@@ -3,8 +3,10 @@ shared checkpoint folder used to cut lineage."""
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -77,6 +79,30 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return conf
 
 
+_SHIPPED: set[str] = set()  # applications whose Python workers have the package
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package's sources to the Python workers, so that functions run
+    there can import it wherever a worker starts (once per application)."""
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the package is sent with addArtifacts
+        return
+    if sc.applicationId in _SHIPPED:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="ledgerlens-src-"), "ledgerlens.zip")
+    with zipfile.ZipFile(archive, "w") as out:  # Spark copies it to the executors
+        for folder, _, names in os.walk(package):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.relpath(path, os.path.dirname(package)))
+    sc.addPyFile(archive)
+    _SHIPPED.add(sc.applicationId)
+
+
 _MATERIALIZED: list[str] = []  # folders written by this process
 
 
