@@ -24,7 +24,7 @@ import regex
 
 from pyspark.sql import DataFrame
 
-from .common import text_slices, whole_text
+from .common import map_batches, text_slices, whole_text
 from .vocabulary import UnitMemo, vocabulary_path
 
 DEFAULT_RANKS = "byte_bpe_50k.tiktoken"
@@ -214,8 +214,9 @@ def encode_documents(docs: DataFrame, vocabulary: str = DEFAULT_RANKS,
                 yield pa.record_batch(
                     [batch.column(0).slice(at, len(texts)),
                      pa.array([own.encode(t) for t in texts], pa.binary())], ["doc_id", "ids"])
-    return docs.select("doc_id", whole_text().alias("text")).mapInArrow(
-        run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, ids binary")
+    return map_batches(
+        docs.select("doc_id", whole_text().alias("text")), run,
+        f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, ids binary")
 
 
 def decode_documents(encoded: DataFrame, vocabulary: str = DEFAULT_RANKS) -> DataFrame:
@@ -228,5 +229,6 @@ def decode_documents(encoded: DataFrame, vocabulary: str = DEFAULT_RANKS) -> Dat
                     [batch.column(0).slice(at, len(ids)), pa.array(ids, pa.binary()),
                      pa.array([own.decode(i) for i in ids], pa.binary())],
                     ["doc_id", "ids", "decoded"])
-    return encoded.select("doc_id", "ids").mapInArrow(
-        run, f"doc_id {encoded.schema['doc_id'].dataType.simpleString()}, ids binary, decoded binary")
+    return map_batches(
+        encoded.select("doc_id", "ids"), run,
+        f"doc_id {encoded.schema['doc_id'].dataType.simpleString()}, ids binary, decoded binary")

@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, ship_package
 
 #: Column that with_locator() adds.
 LOCATOR = "_ll_locator"
@@ -77,6 +77,13 @@ def locators(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text", F.col(LOCATOR).alias("locator"))
 
 
+def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
+                schema: str) -> DataFrame:
+    """``df.mapInArrow`` in workers that can import this package."""
+    ship_package(df.sparkSession)
+    return df.mapInArrow(fn, schema)
+
+
 def text_slices(batch: pa.RecordBatch, col: int = 1) -> Iterator[tuple[int, list[str]]]:
     """The texts of a batch in short runs: (first row, texts)."""
     column = batch.column(col)

@@ -7,9 +7,10 @@ more than once is a claim, not a proof: the full bytes of its rows are read
 again and compared, and rows whose bytes differ are classed by their bytes.
 
 Hot groups: the state update is preceded by a partial aggregation in every
-map task, and byte checks aggregate before they shuffle, so a text with very
-many copies sends one row per task. The joins back to the rows are plain sort
-merge joins, which adaptive execution splits where a key is hot.
+map task, so a text with very many copies sends one row per task, and byte
+checks deal the rows of the largest groups over many tasks. The joins back to
+the rows are plain sort merge joins, which adaptive execution splits where a
+key is hot.
 """
 
 from __future__ import annotations
@@ -22,6 +23,8 @@ from pyspark.sql import functions as F
 
 from .common import LOCATOR, locators, shared_path, store, whole_text, with_locator
 
+#: Groups, the largest first, whose rows are dealt over many tasks.
+HOT_GROUPS = 1000
 _STATE_CONF = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
@@ -110,10 +113,26 @@ def exact_dedup(docs: DataFrame, digest: Callable[[Column], Column] = sha256_dig
 
 
 def _differing_bytes(located: DataFrame, state: DataFrame) -> DataFrame:
-    """Digests hit more than once whose rows don't all have the same bytes."""
-    hit = state.where("group_size > 1").select("digest")
-    return (located.select("digest", "text").join(hit, "digest", "left_semi")
-            .groupBy("digest").agg(F.min("text").alias("low"), F.max("text").alias("high"))
+    """Digests hit more than once whose rows don't all have the same bytes.
+
+    The rows of the HOT_GROUPS largest groups are dealt over many tasks and
+    compared there, then the least and greatest text of each; any other group
+    has at most one row in HOT_GROUPS of all.
+    """
+    salts = int(located.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hits = state.where("group_size > 1").select("digest", "group_size")
+    hot = F.broadcast(  # at most HOT_GROUPS digests
+        hits.orderBy(F.desc("group_size"), "digest").limit(HOT_GROUPS)
+        .select("digest", F.lit(True).alias("hot")))
+    all_salts = F.sequence(F.lit(0), F.lit(salts - 1))
+    wanted = (hits.join(hot, "digest", "left").select("digest", F.explode(
+        F.when(F.col("hot"), all_salts).otherwise(F.array(F.lit(0)))).alias("salt")))
+    rows = (located.select("digest", "text", "locator").join(hot, "digest", "left").select(
+        "digest", "text", F.when(F.col("hot"), F.pmod(F.xxhash64("locator"), F.lit(salts)))
+        .otherwise(0).cast("int").alias("salt")))
+    parts = (rows.join(wanted, ["digest", "salt"], "left_semi").groupBy("digest", "salt")
+             .agg(F.min("text").alias("low"), F.max("text").alias("high")))
+    return (parts.groupBy("digest").agg(F.min("low").alias("low"), F.max("high").alias("high"))
             .where("low != high").select("digest"))
 
 

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import store, text_slices, whole_text
+from .common import map_batches, store, text_slices, whole_text
 from .vocabulary import DEFAULT_TOKENIZER, encoder
 
 CAPACITY = 1024
@@ -225,8 +225,8 @@ def cut_documents(docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_I
                     [pa.array(x, pa.int32() if i == 1 else pa.int64())
                      for i, x in enumerate(map(list, zip(*rows)))],
                     ["doc_id", "piece", "start", "length", "ids_crc32"])
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"),
-                       whole_text().alias("text")).mapInArrow(run, _PIECES)
+    return map_batches(docs.select(F.col("doc_id").cast("long").alias("doc_id"),
+                                   whole_text().alias("text")), run, _PIECES)
 
 
 def rank_within_length(pieces: DataFrame, largest_count: int) -> DataFrame:
@@ -290,8 +290,8 @@ def place_pieces(ranked: DataFrame, plan: list[Pattern]) -> DataFrame:
                                   ["doc_id", "piece", "start", "length", "ids_crc32",
                                    "sequence_id", "offset"])
 
-    return ranked.select("doc_id", "piece", "start", "length", "ids_crc32",
-                         "rank").mapInArrow(run, _PACKED)
+    return map_batches(ranked.select("doc_id", "piece", "start", "length", "ids_crc32", "rank"),
+                       run, _PACKED)
 
 
 def pack_documents(docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID,

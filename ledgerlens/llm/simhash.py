@@ -25,7 +25,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOCATOR, locators, store, text_slices, whole_text, with_locator
+from .common import (LOCATOR, locators, map_batches, store, text_slices, whole_text,
+                     with_locator)
 from .components import connected_components
 
 BITS = 64
@@ -72,7 +73,7 @@ def fingerprints(docs: DataFrame, shingle_words: int = SHINGLE_WORDS,
                 yield pa.record_batch([*(c.slice(at, len(texts)) for c in rest),
                                        pa.array(found.view(np.int64))], [*names, "fp"])
 
-    return docs.mapInArrow(run, f"{kinds}, fp long")
+    return map_batches(docs, run, f"{kinds}, fp long")
 
 
 #: How the two levels deal the vectors to the bits: step in a row of vectors,
@@ -177,8 +178,8 @@ def near_links(nodes: DataFrame, radius: int = RADIUS,
     kind = "a long, b long, tab int"
 
     def compare(rows: DataFrame, limit: int | None) -> DataFrame:
-        return (rows.repartition("tab", "key").sortWithinPartitions("tab", "key")
-                .mapInArrow(_bucket_links(radius, limit), kind))
+        return map_batches(rows.repartition("tab", "key").sortWithinPartitions("tab", "key"),
+                           _bucket_links(radius, limit), kind)
 
     masks = F.array(*(F.lit(_signed(m)) for m in first))
     level1 = store(compare(_table_rows(nodes, masks), at_once), "near")

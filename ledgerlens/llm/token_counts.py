@@ -16,12 +16,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import store, text_slices, whole_text
+from .common import map_batches, store, text_slices, whole_text
 from .vocabulary import DEFAULT_TOKENIZER, encoder
 
 QUANTILES = (0.01, 0.05, 0.1, 0.25, 0.5, 0.75, 0.9, 0.95, 0.99, 0.999)
 #: Lengths whose sums from the top one task makes.
-LENGTHS_AT_ONCE = 1024
+LENGTHS_AT_ONCE = 64
 
 
 def length_histogram(docs: DataFrame, tokenizer: str = DEFAULT_TOKENIZER) -> DataFrame:
@@ -37,7 +37,8 @@ def length_histogram(docs: DataFrame, tokenizer: str = DEFAULT_TOKENIZER) -> Dat
             yield pa.record_batch([pa.array(list(counts), pa.int64()),
                                    pa.array(list(counts.values()), pa.int64())],
                                   ["length", "n_docs"])
-    lengths = docs.select(whole_text().alias("text")).mapInArrow(run, "length long, n_docs long")
+    lengths = map_batches(docs.select(whole_text().alias("text")), run,
+                          "length long, n_docs long")
     return lengths.groupBy("length").agg(F.sum("n_docs").alias("n_docs"))
 
 

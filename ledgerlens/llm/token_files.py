@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import shared_path, store, text_slices, whole_text
+from .common import map_batches, shared_path, store, text_slices, whole_text
 from .vocabulary import DEFAULT_TOKENIZER, encoder
 
 SEQUENCE_LENGTH = 1024
@@ -203,7 +203,7 @@ def write_token_files(docs: DataFrame, base: str | None = None, end_id: int = 0,
 
     ordered = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
                .repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text"))
-    return store(ordered.mapInArrow(run, _MANIFEST), "token-manifest")
+    return store(map_batches(ordered, run, _MANIFEST), "token-manifest")
 
 
 def read_token_files(manifest: DataFrame) -> DataFrame:
@@ -227,8 +227,8 @@ def read_token_files(manifest: DataFrame) -> DataFrame:
                     yield _rows(rows)
                 reader.close()
 
-    return (shards.repartitionByRange(count, "shard").select("path", "base")
-            .mapInArrow(run, _NO_DOC))
+    return map_batches(shards.repartitionByRange(count, "shard").select("path", "base"),
+                       run, _NO_DOC)
 
 
 def _rows(rows: list[tuple]) -> pa.RecordBatch:
