@@ -80,8 +80,8 @@ def page_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stand-in captures: every page, with a fetch time made from its id."""
     return table(spark, sf_dir, "pages").select(
         F.col("page_id").alias("capture_id"), "url",
-        F.expr("timestamp_seconds(unix_date(DATE'2021-01-01') * 86400 "
-               "+ (page_id * 7919) % 730 * 86400 + (page_id * 31) % 86400)").alias("fetched_at"))
+        F.expr("TIMESTAMP_NTZ'2021-01-01 00:00:00' + make_dt_interval("
+               "CAST((page_id * 7919) % 730 AS INT), 0, 0, (page_id * 31) % 86400)").alias("fetched_at"))
 
 
 def list_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
