@@ -2,9 +2,9 @@
 
 A list is a log of dated entries: on a date a pattern (a host and all hosts
 below it, or a host and a path prefix) is added to or taken from a list; a day
-is the least step of its history. An entry becomes a validity interval that ends where the next entry for the same
-pattern and list begins. A capture is judged by the entries active when it was
-fetched, whatever the list says today.
+is the least step of its history. An entry becomes a validity interval that
+ends where the next entry for the same pattern and list begins. A capture is
+judged by the entries active when it was fetched, whatever the list says today.
 
 A capture has a bounded number of keys (the suffixes of its host, and the
 prefixes of its path), each of which can meet a pattern. Intervals are cut at
