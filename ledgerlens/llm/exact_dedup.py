@@ -21,7 +21,8 @@ from contextlib import contextmanager
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import LOCATOR, locators, shared_path, store, whole_text, with_locator
+from .common import (LOCATOR, locators, path_exists, shared_path, store, whole_text,
+                     with_locator)
 
 #: Groups, the largest first, whose rows are dealt over many tasks.
 HOT_GROUPS = 1000
@@ -70,7 +71,7 @@ def run_dedup_stream(arrivals: DataFrame, arrivals_path: str, state_path: str,
                  .option("checkpointLocation", state_path)
                  .trigger(availableNow=True).start())
         query.awaitTermination()
-        if query.lastProgress is None:  # no file, so no state either
+        if not path_exists(spark, f"{state_path}/state"):  # no file has arrived yet
             return spark.createDataFrame([], kept.schema)
         state = spark.read.format("statestore").load(state_path)
         return (state.select("key.*", "value.*").toDF("digest", "keeper", "group_size"))

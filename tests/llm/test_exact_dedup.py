@@ -49,12 +49,16 @@ def test_state_goes_on_where_it_ended(spark):
     rows = spark.createDataFrame(
         [(1, ("f", 0), b"a"), (2, ("f", 1), b"a"), (3, ("f", 2), b"b")],
         "doc_id long, locator struct<file: string, row: long>, digest binary")
-    rows.where("doc_id < 3").write.parquet(path)
+    rows.limit(0).write.parquet(path)
+    assert run_dedup_stream(rows.limit(0), path, shared_path(spark, "t-none")).count() == 0
+    rows.where("doc_id < 3").write.mode("append").parquet(path)
     run_dedup_stream(spark.read.schema(rows.schema).parquet(path), path, state).collect()
     rows.where("doc_id >= 2").write.mode("append").parquet(path)
     after = run_dedup_stream(spark.read.schema(rows.schema).parquet(path), path, state)
     found = {bytes(r["digest"]): (r["keeper"]["doc_id"], r["group_size"]) for r in after.collect()}
     assert found == {b"a": (2, 3), b"b": (3, 1)}
+    again = run_dedup_stream(spark.read.schema(rows.schema).parquet(path), path, state)
+    assert again.count() == 2  # nothing new: the state stays
 
 
 def test_drop_copies_keeps_columns_and_one_row_a_text(spark):
