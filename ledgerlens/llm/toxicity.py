@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from .common import store, whole_text
 
 #: Labelled rows the model is fitted on at most (those whose ids hash lowest).
-MAX_TRAINING_ROWS = 40_000
+MAX_TRAINING_ROWS = 20_000
 #: Entries of the learned lexicon at most, the neighbours they were seen beside in
 #: toxic texts at least, and their log odds at least.
 MAX_LEARNED, MIN_CONTEXTS, MIN_LOG_ODDS = 500, 10, 2.5
@@ -57,9 +57,10 @@ FEATURES = ("seed_density", "learned_density", "stem_density", "stem_hits", "lex
 
 def _words(lowered: Column, letters: str = "", read_as: str = "") -> Column:
     """Words of a lower-case text without marks; one pass over the characters
-    also reads ``letters`` as others and every separator as a blank."""
+    also reads ``letters`` as others and every separator as a blank. Empty words
+    between separators are left in: no list has them."""
     cut = F.translate(lowered, _SPACES + letters + _MARKS, " " * len(_SPACES) + read_as)
-    return F.array_remove(F.split(cut, " "), "")
+    return F.split(cut, " ")
 
 
 def plain_words(text: Column) -> Column:
@@ -69,7 +70,7 @@ def plain_words(text: Column) -> Column:
 
 def disguised(text: Column) -> Column:
     """Do digits or signs touch letters anywhere?"""
-    return text.rlike(r"\p{L}[0134578@$!]|[0134578@$]\p{L}")
+    return text.rlike(r"\p{L}[0-9@$!*#]|[0-9@$]\p{L}")
 
 
 def undisguised_words(text: Column) -> Column:
@@ -79,8 +80,8 @@ def undisguised_words(text: Column) -> Column:
 
 
 def _stem(word: Column, length: int) -> Column:
-    """The first letters of a word, with a mark that no word has."""
-    return F.concat(F.substring(word, 1, length), F.lit("*"))
+    """The first letters of a word."""
+    return F.substring(word, 1, length)
 
 
 def learn_lexicon(training: DataFrame) -> list[str]:
@@ -95,9 +96,11 @@ def learn_lexicon(training: DataFrame) -> list[str]:
         "transform(sequence(1, greatest(size(w), 1)), "
         "i -> struct(get(w, i - 1) AS word, coalesce(get(w, i - 2), '') AS after))")).alias("p"))
     word = F.col("p.word")
-    entries = F.array(word, *(F.when(F.length(word) >= n, _stem(word, n)) for n in STEMS))
-    seen = (pairs.select(F.explode(entries).alias("entry"), "p.after", "toxic")
-            .where("entry IS NOT NULL").distinct()
+    entries = F.array(word, *(F.when(F.length(word) >= n, F.concat(_stem(word, n), F.lit("*")))
+                              for n in STEMS))
+    seen = (pairs.select(F.explode(entries).alias("entry"),
+                         F.xxhash64("p.after").alias("after"), "toxic")
+            .where("entry != ''").distinct()
             .groupBy("entry").agg(F.count_if(F.col("toxic") == 1).alias("toxic_n"),
                                   F.count_if(F.col("toxic") == 0).alias("other_n")))
     seen = store(seen, "word-contexts")
@@ -118,28 +121,40 @@ def with_features(docs: DataFrame, learned: list[str]) -> DataFrame:
     lexicon = sorted({*seeds, *learned})
     second = SECOND_PERSON.split()
     text = F.col("_ll_t")
-    out = (docs.withColumn("_ll_t", whole_text())
-           .withColumn("_ll_w", plain_words(text))
-           .withColumn("_ll_hit", F.filter(F.sequence(F.lit(1), F.size("_ll_w")),
-                                           lambda i: F.get("_ll_w", i - 1).isin(lexicon)))
-           .withColumn("_ll_bare", F.when(disguised(text), F.size(F.filter(
-               undisguised_words(text), lambda w: w.isin(lexicon)))).otherwise(0)))
-    n = F.greatest(F.size("_ll_w"), F.lit(1)).cast("double")
-    chars = F.greatest(F.length(text), F.lit(1)).cast("double")
-    hits = F.size("_ll_hit")
-    hit_words = F.transform("_ll_hit", lambda i: F.get("_ll_w", i - 1))
 
-    def found(among: list[str]) -> Column:
-        return F.size(F.filter(hit_words, lambda w: w.isin(among))) if among else F.lit(0)
+    def in_lexicon(word: Column) -> Column:
+        return word.isin(lexicon)
 
     def stemmed(word: Column) -> Column:
         known = F.lit(False)
         for length in STEMS:
-            if mine := [e for e in stems if len(e) == length + 1]:
+            if mine := [e[:-1] for e in stems if len(e) == length + 1]:
                 known = known | _stem(word, length).isin(mine)
         return known
 
-    stem_hits = F.size(F.filter("_ll_w", stemmed)) if stems else F.lit(0)
+    def word_at(i: Column) -> Column:
+        return F.get("_ll_w", i - 1)
+
+    # one pass over all words; what follows looks at the few places found
+    out = (docs.withColumn("_ll_t", whole_text())
+           .withColumn("_ll_w", plain_words(text))
+           .withColumn("_ll_found", F.filter(
+               F.sequence(F.lit(1), F.size("_ll_w")),
+               lambda i: in_lexicon(word_at(i)) | stemmed(word_at(i))))
+           .withColumn("_ll_hit", F.filter("_ll_found", lambda i: in_lexicon(word_at(i))))
+           .withColumn("_ll_touch", disguised(text))
+           .withColumn("_ll_bare", F.when(F.col("_ll_touch"), F.size(F.filter(
+               undisguised_words(text), in_lexicon))).otherwise(0)))
+    n = F.greatest(F.size("_ll_w"), F.lit(1)).cast("double")
+    chars = F.greatest(F.length(text), F.lit(1)).cast("double")
+    hits = F.size("_ll_hit")
+    stem_hits = F.size(F.filter("_ll_found", lambda i: stemmed(word_at(i))))
+
+    def found(among: list[str]) -> Column:
+        if not among:
+            return F.lit(0)
+        return F.size(F.filter("_ll_hit", lambda i: word_at(i).isin(among)))
+
     near = F.size(F.filter("_ll_hit", lambda i: F.exists(
         F.slice("_ll_w", F.greatest(i - REACH, F.lit(1)), 2 * REACH + 1),
         lambda w: w.isin(second))))
@@ -149,17 +164,17 @@ def with_features(docs: DataFrame, learned: list[str]) -> DataFrame:
         return F.regexp_count(text, F.lit(pattern)) / n
 
     def share(mark: str) -> Column:
-        return (F.length(text) - F.length(F.translate(text, mark, ""))) / chars
+        return (F.length(text) - F.length(F.replace(text, F.lit(mark)))) / chars
 
     values = {
         "seed_density": found(seeds) / n, "learned_density": found(learned) / n,
         "stem_density": stem_hits / n, "stem_hits": F.log1p(stem_hits.cast("double")),
         "lexicon_hits": F.log1p(hits.cast("double")), "near_second_person": near / n,
         "disguised_hits": F.greatest(F.col("_ll_bare") - hits, F.lit(0)) / n,
-        "capitals": capitals / chars, "shouted_words": rate(r"\b\p{Lu}{3,}\b"),
+        "capitals": capitals / chars, "shouted_words": rate(r"\p{Lu}{3,}"),
         "exclamations": share("!"), "questions": share("?"),
         "repeated_marks": rate(r"[!?]{2,}"),
-        "mixed_words": rate(r"\p{L}[0-9@$!*#]+\p{L}"),
+        "mixed_words": F.when(F.col("_ll_touch"), rate(r"\p{L}[0-9@$!*#]+\p{L}")).otherwise(0.0),
         "spaced_letters": rate(r"(?:\b\p{L}[ .]){4,}"),
     }
     return out.select(*docs.columns, *(values[f].cast("double").alias(f"_ll_{f}")
