@@ -25,7 +25,7 @@ import regex
 from pyspark.sql import DataFrame
 
 from .common import map_batches, text_slices, whole_text
-from .vocabulary import UnitMemo, vocabulary_path
+from .vocabulary import UnitMemo, no_collection, vocabulary_path
 
 DEFAULT_RANKS = "byte_bpe_50k.tiktoken"
 #: Pairs kept in a worker's memo; it starts anew when full.
@@ -186,7 +186,8 @@ class TextCodec:
         """Ids as unsigned 32-bit integers (little-endian, as all Spark hosts are)."""
         if self._own is not None:  # another pattern: no cut is known beforehand
             return b"".join(map(self._pretoken_ids, self._own.findall(text)))
-        return self._memo.encode(text)
+        with no_collection():
+            return self._memo.encode(text)
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self._bytes.__getitem__, np.frombuffer(ids, dtype="<u4").tolist()))

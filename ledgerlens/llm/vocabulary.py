@@ -9,17 +9,20 @@ the library. The ids are those of the whole text.
 
 from __future__ import annotations
 
+import gc
 import json
 import os
 from array import array
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import regex
 
 #: Vocabulary file of the contracts; a parameter of every operator.
 DEFAULT_TOKENIZER = "byte_bpe_50k.json"
-#: Units and pretokens kept in a worker's memo; it starts anew when full.
-MEMO_UNITS = 700_000
+#: Units and pretokens in a generation of a worker's memo. When one is full the
+#: next begins, and what is not used again while it fills is forgotten.
+MEMO_UNITS = 300_000
 #: Longer ones are rare and are encoded without being kept.
 MEMO_UNIT_CHARS = 64
 
@@ -49,31 +52,50 @@ def units(text: str) -> list[str]:
     return out
 
 
+@contextmanager
+def no_collection() -> Iterator[None]:
+    """Without the cyclic garbage collector: encoding makes no cycles, and a
+    collection would walk the whole memo."""
+    enabled = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if enabled:
+            gc.enable()
+
+
 class UnitMemo(dict):
     """Ids (little-endian unsigned 32-bit integers) by unit or pretoken."""
 
     def __init__(self, encode_pretoken: Callable[[str], bytes], pattern: str):
         super().__init__()
+        self._before: dict[str, bytes] = {}  # the generation before
         self._encode = encode_pretoken
         self._pattern = regex.compile(pattern)
 
     def __missing__(self, unit: str) -> bytes:
-        body = unit[1:]
-        if unit[0] == " " and body.isalpha():  # one pretoken
-            ids = self._encode(unit)
-        elif unit[0] == " " and body[-1:] in (".", ",") and body[:-1].isalpha():  # two
-            ids = self[unit[:-1]] + self[unit[-1]]
-        else:
-            pretokens = self._pattern.findall(unit)
-            ids = self._encode(unit) if len(pretokens) == 1 else b"".join(
-                map(self.__getitem__, pretokens))
+        ids = self._before.get(unit)
+        if ids is None:
+            ids = self._ids(unit)
         if len(unit) <= MEMO_UNIT_CHARS:
+            if len(self) >= MEMO_UNITS:
+                self._before = dict(self)
+                self.clear()
             self[unit] = ids
         return ids
 
+    def _ids(self, unit: str) -> bytes:
+        body = unit[1:]
+        if unit[0] == " " and body.isalpha():  # one pretoken
+            return self._encode(unit)
+        if unit[0] == " " and body[-1:] in (".", ",") and body[:-1].isalpha():  # two
+            return self[unit[:-1]] + self[unit[-1]]
+        pretokens = self._pattern.findall(unit)
+        return self._encode(unit) if len(pretokens) == 1 else b"".join(
+            map(self.__getitem__, pretokens))
+
     def encode(self, text: str) -> bytes:
-        if len(self) > MEMO_UNITS:
-            self.clear()
         return b"".join(map(self.__getitem__, units(text)))
 
 
@@ -111,13 +133,17 @@ class CorpusEncoder:
                 and not cut.get("add_prefix_space", True))
 
     def _pretoken_ids(self, pretoken: str) -> bytes:
-        letters = pretoken.encode().decode("latin-1").translate(self._letters)
+        if pretoken.isascii() and pretoken.isprintable():  # all but the blank are visible
+            letters = pretoken.replace(" ", self._letters[32])
+        else:
+            letters = pretoken.encode().decode("latin-1").translate(self._letters)
         return array("I", [t.id for t in self._model.tokenize(letters)]).tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         if self._memo is not None:
-            return list(map(self._memo.encode, texts))
+            with no_collection():
+                return list(map(self._memo.encode, texts))
         encodings = self._library.encode_batch(texts, add_special_tokens=False)
         return [array("I", e.ids).tobytes() for e in encodings]
 

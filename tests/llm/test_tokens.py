@@ -43,6 +43,15 @@ def test_units_encode_as_the_whole_text(library, odd_texts):
         assert np.frombuffer(ids, "<u4").tolist() == library(text)
 
 
+def test_the_memo_is_bounded(monkeypatch, library):
+    from ledgerlens.llm import vocabulary
+    monkeypatch.setattr(vocabulary, "MEMO_UNITS", 20)
+    own = vocabulary.CorpusEncoder()
+    text = " ".join(f"w{i % 57}x{i % 31}." for i in range(2000))
+    assert np.frombuffer(own.encode([text])[0], "<u4").tolist() == library(text)
+    assert len(own._memo) <= 20 and len(own._memo._before) <= 20
+
+
 def test_another_vocabulary_is_encoded_text_by_text(odd_texts):
     whole = Tokenizer.from_file(P.path("word_bpe_49k.json"))
     whole.encode_special_tokens = True
