@@ -65,8 +65,15 @@ def no_collection() -> Iterator[None]:
             gc.enable()
 
 
+#: A blank and the white space after which no unit begins.
+_BLANK_THEN_SPACE = [" " + chr(c) for c in range(0x3001) if chr(c).isspace()]
+#: Mark of the keys of units that don't begin with a blank and a visible
+#: character; the others are kept without their blank, as splitting leaves them.
+_PLAIN = "\n"
+
+
 class UnitMemo(dict):
-    """Ids (little-endian unsigned 32-bit integers) by unit or pretoken."""
+    """Ids (little-endian unsigned 32-bit integers) of units and pretokens."""
 
     def __init__(self, encode_pretoken: Callable[[str], bytes], pattern: str):
         super().__init__()
@@ -74,29 +81,38 @@ class UnitMemo(dict):
         self._encode = encode_pretoken
         self._pattern = regex.compile(pattern)
 
-    def __missing__(self, unit: str) -> bytes:
-        ids = self._before.get(unit)
+    def __missing__(self, key: str) -> bytes:
+        ids = self._before.get(key)
         if ids is None:
-            ids = self._ids(unit)
-        if len(unit) <= MEMO_UNIT_CHARS:
+            ids = self._ids(key[1:] if key[0] == _PLAIN else " " + key)
+        if len(key) <= MEMO_UNIT_CHARS:
             if len(self) >= MEMO_UNITS:
                 self._before = dict(self)
                 self.clear()
-            self[unit] = ids
+            self[key] = ids
         return ids
 
+    def of(self, unit: str) -> bytes:
+        blank = unit[0] == " " and len(unit) > 1 and not unit[1].isspace()
+        return self[unit[1:] if blank else _PLAIN + unit]
+
     def _ids(self, unit: str) -> bytes:
         body = unit[1:]
         if unit[0] == " " and body.isalpha():  # one pretoken
             return self._encode(unit)
         if unit[0] == " " and body[-1:] in (".", ",") and body[:-1].isalpha():  # two
-            return self[unit[:-1]] + self[unit[-1]]
+            return self.of(unit[:-1]) + self.of(unit[-1])
         pretokens = self._pattern.findall(unit)
-        return self._encode(unit) if len(pretokens) == 1 else b"".join(
-            map(self.__getitem__, pretokens))
+        return self._encode(unit) if len(pretokens) == 1 else b"".join(map(self.of, pretokens))
 
     def encode(self, text: str) -> bytes:
-        return b"".join(map(self.__getitem__, units(text)))
+        if not text:
+            return b""
+        if text[-1] == " " or any(b in text for b in _BLANK_THEN_SPACE):
+            return b"".join(map(self.of, units(text)))
+        first, *others = text.split(" ")  # a unit begins at every blank
+        head = self.of(first) if first else b""
+        return head + b"".join(map(self.__getitem__, others))
 
 
 def _byte_letters() -> dict[int, str]:
