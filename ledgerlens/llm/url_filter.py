@@ -6,8 +6,9 @@ is the least step of its history. An entry becomes a validity interval that
 ends where the next entry for the same pattern and list begins. A capture is
 judged by the entries active when it was fetched, whatever the list says today.
 
-A capture has a bounded number of keys (the suffixes of its host, and the
-prefixes of its path), each of which can meet a pattern. Intervals are cut at
+A capture has as keys the suffixes of its host and the prefixes of its path,
+each of which can meet a pattern; longer ones than any pattern of the entries
+are not made, as nothing can meet them. Intervals are cut at
 the borders of periods and captures are put in the period of their fetch, so
 the as-of join is an equality join on key and period that compares a capture
 with the intervals of that period only: at most one a list and day, however
@@ -17,13 +18,13 @@ there is a join key that adaptive execution splits.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Length of a period of the join, in days.
 PERIOD_DAYS = 32
-#: Labels of a host and segments of a path that a pattern can have.
-MAX_LABELS, MAX_SEGMENTS = 8, 6
 
 
 def host_of(url: Column) -> Column:
@@ -38,20 +39,43 @@ def path_of(url: Column) -> Column:
     return F.regexp_replace(F.concat(F.lit("/"), path), "/+", "/")
 
 
-def url_keys(url: Column) -> Column:
+def url_keys(url: Column, most_labels: int | None = None,
+             most_segments: int | None = None) -> Column:
     """Keys that a pattern can have to meet ``url``: "host" for the host and
-    those above it, and "host/segment/..." for prefixes of its path."""
+    those above it, and "host/segment/..." for prefixes of its path; those of
+    more labels or segments than given are left out."""
     host, path = host_of(url), path_of(url)
     labels = F.split(host, r"\.")
-    n = F.size(labels)
-    hosts = F.transform(F.sequence(F.lit(1), F.least(n, F.lit(MAX_LABELS))),
-                        lambda i: F.array_join(F.slice(labels, n - i + 1, i), "."))
     segments = F.filter(F.split(path, "/"), lambda s: s != "")
-    depth = F.least(F.size(segments), F.lit(MAX_SEGMENTS))
-    paths = F.transform(F.sequence(F.lit(1), depth), lambda i: F.concat_ws(
+
+    def upto(n: Column, most: int | None, key: Callable[[Column], Column]) -> Column:
+        last = n if most is None else F.least(n, F.lit(most))
+        return F.when(last > 0, F.transform(F.sequence(F.lit(1), last), key)).otherwise(
+            F.array().cast("array<string>"))
+
+    n = F.size(labels)
+    hosts = upto(n, most_labels, lambda i: F.array_join(F.slice(labels, n - i + 1, i), "."))
+    paths = upto(F.size(segments), most_segments, lambda i: F.concat_ws(
         "/", host, F.array_join(F.slice(segments, 1, i), "/")))
-    return F.when(host.isNotNull(), F.array_distinct(F.concat(
-        hosts, F.when(depth > 0, paths).otherwise(F.array().cast("array<string>")))))
+    return F.when(host.isNotNull(), F.array_distinct(F.concat(hosts, paths)))
+
+
+def _known(entries: DataFrame) -> DataFrame:
+    """The entries that say something: list, pattern, action, day."""
+    return entries.select("list", "pattern", "action",
+                          F.to_date("effective_on").alias("day")).where(
+        "list IS NOT NULL AND pattern IS NOT NULL AND day IS NOT NULL "
+        "AND action IN ('add', 'remove')")
+
+
+def longest_patterns(entries: DataFrame) -> tuple[int, int]:
+    """The most labels of a host pattern and the most segments of a path pattern
+    among added entries; 0 where there is none."""
+    parts = F.size(F.split("pattern", "/"))
+    labels = F.when(parts == 1, F.size(F.split("pattern", r"\.")))
+    most = _known(entries).where("action = 'add'").agg(
+        F.max(labels).alias("labels"), F.max(parts - 1).alias("segments")).first()
+    return most["labels"] or 0, most["segments"] or 0
 
 
 def validity_intervals(entries: DataFrame) -> DataFrame:
@@ -63,11 +87,7 @@ def validity_intervals(entries: DataFrame) -> DataFrame:
     entry without pattern, list or day says nothing and is left out, and so is
     an unknown action. Repeated additions prolong an interval.
     """
-    known = entries.select("list", "pattern", "action",
-                           F.to_date("effective_on").alias("day")).where(
-        "list IS NOT NULL AND pattern IS NOT NULL AND day IS NOT NULL "
-        "AND action IN ('add', 'remove')")
-    by_day = known.groupBy("list", "pattern", "day").agg(F.max("action").alias("action"))
+    by_day = _known(entries).groupBy("list", "pattern", "day").agg(F.max("action").alias("action"))
     history = Window.partitionBy("list", "pattern").orderBy("day")
     return (by_day.withColumn("before", F.lag("action").over(history))
             .where(~F.col("before").eqNullSafe(F.col("action")))
@@ -93,7 +113,8 @@ def judge_captures(captures: DataFrame, entries: DataFrame) -> DataFrame:
     keyed = visits.select("capture_id", "url", "fetched_at",
                           F.to_date("fetched_at").alias("day"),
                           _period(F.to_date("fetched_at")).alias("period"),
-                          F.explode(url_keys(F.col("url"))).alias("pattern"))
+                          F.explode(url_keys(F.col("url"), *longest_patterns(entries))
+                                    ).alias("pattern"))
     period = _period(F.to_date("fetched_at"))
     span = captures.agg(F.min(period).alias("first"), F.max(period).alias("last")).first()
     if span["last"] is None:  # no capture has a time

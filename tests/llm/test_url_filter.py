@@ -80,6 +80,22 @@ def test_keys(spark):
     assert sorted(keys) == ["a.b.org", "a.b.org/x", "a.b.org/x/y", "b.org", "org"]
 
 
+def test_patterns_of_any_length(spark):
+    """Hosts of nine and more labels and paths of seven and more segments."""
+    host, path = "a.b.c.d.e.f.g.h.org", "deep.org/1/2/3/4/5/6/7"
+    captures, entries = frames(spark, [
+        (1, f"http://{host}/", at(1)), (2, f"http://x.y.{host}/z", at(1)),
+        (3, f"http://{host[2:]}/", at(1)), (4, f"http://{path}", at(1)),
+        (5, f"http://{path}/8/9", at(1)), (6, f"http://{path[:-2]}", at(1)),
+        (7, "http://other.org/", at(1))],
+        [("l", host, "add", day(0)), ("l", path, "add", day(0))])
+    for some, want in ((entries, {1: host, 2: host, 4: path, 5: path}),
+                       (entries.where("pattern LIKE '%/%'"), {4: path, 5: path}),
+                       (entries.where("pattern NOT LIKE '%/%'"), {1: host, 2: host})):
+        rows = judge_captures(captures, some).where("blocked").collect()
+        assert {r["capture_id"]: r["matched_on"] for r in rows} == want
+
+
 def test_against_sql(spark):
     con = duckdb.connect()
     con.execute("SET TimeZone='UTC'")
