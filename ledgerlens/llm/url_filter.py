@@ -39,14 +39,30 @@ def path_of(url: Column) -> Column:
     return F.regexp_replace(F.concat(F.lit("/"), path), "/+", "/")
 
 
+def segments_of(url: Column) -> Column:
+    """The parts of the path between slashes."""
+    return F.filter(F.split(path_of(url), "/"), lambda s: s != "")
+
+
+def normal_pattern(pattern: Column) -> Column:
+    """``pattern`` as ``url_keys`` writes keys: the host in lower case without
+    user, port and final dot, single slashes and none at the end. One without
+    host name, or with a query or fragment, meets nothing and stays as it is."""
+    trimmed = F.trim(pattern)
+    url = F.when(trimmed.rlike(r"^(?i:[a-z][a-z0-9+.-]*:)?//"), trimmed).otherwise(
+        F.concat(F.lit("//"), trimmed))
+    host = host_of(url)
+    return F.when(host.isNull() | pattern.rlike(r"[?#\[]"), pattern).otherwise(
+        F.array_join(F.concat(F.array(host), segments_of(url)), "/"))
+
+
 def url_keys(url: Column, most_labels: int | None = None,
              most_segments: int | None = None) -> Column:
     """Keys that a pattern can have to meet ``url``: "host" for the host and
     those above it, and "host/segment/..." for prefixes of its path; those of
     more labels or segments than given are left out."""
-    host, path = host_of(url), path_of(url)
+    host, segments = host_of(url), segments_of(url)
     labels = F.split(host, r"\.")
-    segments = F.filter(F.split(path, "/"), lambda s: s != "")
 
     def upto(n: Column, most: int | None, key: Callable[[Column], Column]) -> Column:
         last = n if most is None else F.least(n, F.lit(most))
@@ -61,8 +77,9 @@ def url_keys(url: Column, most_labels: int | None = None,
 
 
 def _known(entries: DataFrame) -> DataFrame:
-    """The entries that say something: list, pattern, action, day."""
-    return entries.select("list", "pattern", "action",
+    """The entries that say something: list, pattern as keys are written, action,
+    day."""
+    return entries.select("list", normal_pattern(F.col("pattern")).alias("pattern"), "action",
                           F.to_date("effective_on").alias("day")).where(
         "list IS NOT NULL AND pattern IS NOT NULL AND day IS NOT NULL "
         "AND action IN ('add', 'remove')")
@@ -85,7 +102,9 @@ def validity_intervals(entries: DataFrame) -> DataFrame:
 
     Of entries for one pattern and list on the same day, "remove" wins. An
     entry without pattern, list or day says nothing and is left out, and so is
-    an unknown action. Repeated additions prolong an interval.
+    an unknown action. Repeated additions prolong an interval. Spellings of one
+    pattern (case of the host, port, final dot, slashes) are one history, under
+    the spelling of the keys.
     """
     by_day = _known(entries).groupBy("list", "pattern", "day").agg(F.max("action").alias("action"))
     history = Window.partitionBy("list", "pattern").orderBy("day")

@@ -96,6 +96,23 @@ def test_patterns_of_any_length(spark):
         assert {r["capture_id"]: r["matched_on"] for r in rows} == want
 
 
+def test_spellings_of_a_pattern(spark):
+    """A pattern meets captures however it is written, and has one history."""
+    captures, entries = frames(spark, [
+        (1, "http://bad.org/", at(1)), (2, "http://BAD.org./x", at(1)),
+        (3, "http://dot.com/", at(1)), (4, "http://dir.com/a/b", at(1)),
+        (5, "http://dir.com/b", at(1)), (6, "http://two.net/", at(1)),
+        (7, "http://two.net/", at(20)), (8, "http://port.net/", at(1)),
+        (9, "http://ask.net/a", at(1)), (10, "http://dir.com/A", at(1))],
+        [("l", "Bad.org", "add", day(0)), ("l", "dot.com.", "add", day(0)),
+         ("l", "DIR.com//a/", "add", day(0)), ("l", "Two.net", "add", day(0)),
+         ("l", "two.net.", "remove", day(10)), ("l", "https://u@port.net:81/", "add", day(0)),
+         ("l", "ask.net/a?x", "add", day(0)), ("l", "/a", "add", day(0)), ("l", "", "add", day(0))])
+    rows = judge_captures(captures, entries).where("blocked").collect()
+    assert {r["capture_id"]: r["matched_on"] for r in rows} == {
+        1: "bad.org", 2: "bad.org", 3: "dot.com", 4: "dir.com/a", 6: "two.net", 8: "port.net"}
+
+
 def test_against_sql(spark):
     con = duckdb.connect()
     con.execute("SET TimeZone='UTC'")
