@@ -58,14 +58,14 @@ FEATURES = ("seed_density", "learned_density", "stem_density", "stem_hits", "lex
 def _words(lowered: Column, letters: str = "", read_as: str = "") -> Column:
     """Words of a lower-case text without marks; one pass over the characters
     also reads ``letters`` as others and every separator as a blank. Empty words
-    between separators are left in: no list has them."""
+    between separators are left in."""
     cut = F.translate(lowered, _SPACES + letters + _MARKS, " " * len(_SPACES) + read_as)
     return F.split(cut, " ")
 
 
 def plain_words(text: Column) -> Column:
-    """Lower-case words without punctuation."""
-    return _words(F.lower(text))
+    """Lower-case words without punctuation, none of them empty."""
+    return F.array_remove(_words(F.lower(text)), "")
 
 
 def disguised(text: Column) -> Column:
@@ -74,7 +74,8 @@ def disguised(text: Column) -> Column:
 
 
 def undisguised_words(text: Column) -> Column:
-    """The words with digits and signs read as the letters they stand for."""
+    """The words with digits and signs read as the letters they stand for, and
+    empty ones, which no list has: they are looked up and not counted."""
     inside = F.regexp_replace(F.lower(text), r"(?<=\p{L})!(?=\p{L})", "i")
     return _words(inside, _LEET, _PLAIN)
 

@@ -84,6 +84,26 @@ def test_features(spark):
     assert all(three[f"_ll_{f}"] == 0 for f in FEATURES)
 
 
+def test_runs_of_separators_change_nothing(spark):
+    """Doubled blanks and line breaks, and marks that stand alone."""
+    plain = "they say that you are a sorry idiot\nand zorgle\nis what your friends say it is"
+    spaced = "  " + plain.replace(" ", "  ").replace("\n", "\n\n") + "\n\n"
+    marked = plain.replace(" a ", " a -- ").replace("idiot", "*** idiot")
+    rows = {r["doc_id"]: r for r in with_features(documents(
+        spark, [(1, plain), (2, spaced), (3, marked)]), ["zorgle"]).collect()}
+    assert rows[1]["_ll_near_second_person"] > 0
+    for f in FEATURES:
+        assert rows[1][f"_ll_{f}"] == rows[2][f"_ll_{f}"] == rows[3][f"_ll_{f}"]
+
+
+def test_contexts_are_words(spark):
+    """Blank lines before a word are not another context of it."""
+    texts = [(f"a{'xyzvwqkjhg'[i]} {'  ' * i}zorgle", 1) for i in range(10)]
+    texts += [(prose(i), 0) for i in range(10)]
+    words = learn_lexicon(spark.createDataFrame(texts, "text string, toxic int"))
+    assert "zorgle" in words
+
+
 def test_without_both_classes(spark):
     docs = documents(spark, TEXTS)
     for labels, want in (([], 0.0), ([(1, 0), (4, 0)], 0.0), ([(i, 1) for i in range(1, 19)], 1.0)):
