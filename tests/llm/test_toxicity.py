@@ -3,8 +3,8 @@ import zlib
 
 import pytest
 
-from ledgerlens.llm.toxicity import (FEATURES, fit_toxicity, learn_lexicon, score_toxicity,
-                                     with_features)
+from ledgerlens.llm.toxicity import (FEATURES, MAX_TRAINING_ROWS, fit_toxicity, learn_lexicon,
+                                     score_toxicity, with_features)
 
 from .cases import TEXTS, documents, prose
 
@@ -104,6 +104,10 @@ def test_contexts_are_words(spark):
     assert "zorgle" in words
 
 
+def test_training_rows_are_not_halved():
+    assert MAX_TRAINING_ROWS == 40_000
+
+
 def test_without_both_classes(spark):
     docs = documents(spark, TEXTS)
     for labels, want in (([], 0.0), ([(1, 0), (4, 0)], 0.0), ([(i, 1) for i in range(1, 19)], 1.0)):
