@@ -11,7 +11,7 @@ The search is branch and bound by bin completion: the largest length left is
 taken, the undominated fillings of the room beside it are enumerated, the
 best-fitting first, and one is used as often as the counts allow. A branch
 ends when its waste exceeds what a plan better than the incumbent may waste.
-The first incumbent is best-fit decreasing.
+The first incumbent is the better of best-fit and first-fit decreasing.
 """
 
 from __future__ import annotations
@@ -32,8 +32,8 @@ CAPACITY = 1024
 END_ID = 2
 #: Branches tried before the best plan found is taken.
 MAX_NODES = 4_000
-#: Nodes between two best-fit completions that may become the incumbent.
-BEST_FIT_EVERY = 16
+#: Nodes between two first-fit completions that may become the incumbent.
+FIRST_FIT_EVERY = 16
 #: Fillings tried around a largest piece, and steps spent to find them.
 MAX_FILLINGS = 6
 MAX_FILLING_STEPS = 3_000
@@ -53,7 +53,33 @@ class Pattern:
 
 
 def best_fit_plan(counts: dict[int, int], capacity: int) -> list[Pattern]:
-    """Best-fit decreasing on a histogram: beside the largest length left, the
+    """Best-fit decreasing on a histogram: the pieces of each length, the largest
+    first, go into the open sequences with the least room that holds them."""
+    # sequences by the room left: (filling, how many)
+    rooms: dict[int, list[tuple[tuple[tuple[int, int], ...], int]]] = {}
+    for length, n in sorted(counts.items(), reverse=True):
+        moved = []
+        for room in [*sorted(r for r in rooms if r >= length), capacity]:
+            groups = rooms.pop(room, []) if room < capacity else [((), n)]
+            for filling, times in groups:
+                # a sequence that took a piece is the fullest: it takes what it holds
+                each = room // length
+                full = min(times, n // each)
+                rest = n - full * each if full < times and n - full * each < each else 0
+                for use, many in ((each, full), (rest, 1 if rest else 0)):
+                    if many:
+                        moved.append((room - use * length, (*filling, (length, use)), many))
+                        n -= use * many
+                        times -= many
+                if times and filling:
+                    moved.append((room, filling, times))
+        for room, filling, times in moved:
+            rooms.setdefault(room, []).append((filling, times))
+    return [Pattern(filling, times) for groups in rooms.values() for filling, times in groups]
+
+
+def first_fit_plan(counts: dict[int, int], capacity: int) -> list[Pattern]:
+    """First-fit decreasing on a histogram: beside the largest length left, the
     largest lengths that still fit, repeated as often as the counts allow."""
     left, plan = dict(sorted(counts.items(), reverse=True)), []
     while left:
@@ -152,7 +178,8 @@ def pack_histogram(counts: dict[int, int], capacity: int = CAPACITY) -> list[Pat
     if min(counts) < 1 or max(counts) > capacity:
         raise ValueError("lengths must lie between 1 and the capacity")
     total = sum(k * v for k, v in counts.items())
-    best = best_fit_plan(counts, capacity)
+    best = min((plan(counts, capacity) for plan in (best_fit_plan, first_fit_plan)),
+               key=lambda plan: sum(p.times for p in plan))
     least, bound, nodes = sum(p.times for p in best), _lower_bound(counts, total, capacity), 0
     # depth first; a frame is (counts left, plan so far, waste, sequences, options)
     stack = [(counts, [], 0, 0, None)]
@@ -167,8 +194,8 @@ def pack_histogram(counts: dict[int, int], capacity: int = CAPACITY) -> list[Pat
         if options is None:
             nodes += 1
             options = completions(left, max(left), capacity, allowed - waste)
-            if nodes % BEST_FIT_EVERY == 0:  # best fit from here: a new incumbent?
-                rest = best_fit_plan(left, capacity)
+            if nodes % FIRST_FIT_EVERY == 0:  # first fit from here: a new incumbent?
+                rest = first_fit_plan(left, capacity)
                 if used + (n := sum(p.times for p in rest)) < least:
                     best, least = sofar + rest, used + n
         if not options:

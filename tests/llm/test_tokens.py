@@ -12,7 +12,7 @@ from ledgerlens.llm import queries, token_files
 from ledgerlens.llm.bpe import (BacktrackingEncoder, TextCodec, decode_documents, encode_documents,
                                 merge_by_ranks, read_ranks)
 from ledgerlens.llm.packing import (_lower_bound, best_fit_plan, completions, cut_documents,
-                                    pack_documents, pack_histogram, rank_within_length)
+                                    first_fit_plan, pack_documents, pack_histogram, rank_within_length)
 from ledgerlens.llm.token_counts import (length_histogram, length_quantiles, suffix_sums,
                                          token_counts, truncated_total)
 from ledgerlens.llm.vocabulary import encoder, units
@@ -284,3 +284,29 @@ def test_queries_over_a_table(spark, tmp_path, library):
     check_packing(queries.QUERIES["op1_packing"](spark, sf_dir).collect(), TEXTS, library, 1024)
     rows = queries.QUERIES["op7_byte_bpe"](spark, sf_dir).collect()
     assert sorted(r["n_tokens"] for r in rows) == sorted(len(library(t)) for _, t in TEXTS)
+
+
+def test_best_fit_puts_a_piece_into_the_fullest_sequence():
+    def one_by_one(counts, capacity):
+        rooms = []
+        for n in sorted((k for k, v in counts.items() for _ in range(v)), reverse=True):
+            fits = [r for r in rooms if r >= n]
+            if fits:
+                rooms.remove(min(fits))
+            rooms.append(min(fits, default=capacity) - n)
+        return sorted(rooms)
+
+    rnd = random.Random(6)
+    for _ in range(400):
+        capacity = rnd.randint(5, 60)
+        counts = {rnd.randint(1, capacity): rnd.randint(1, 9) for _ in range(rnd.randint(1, 12))}
+        plan = best_fit_plan(counts, capacity)
+        used = Counter()
+        for p in plan:
+            used.update({n: k * p.times for n, k in p.filling})
+        assert used == Counter(counts)
+        assert sorted(r for p in plan for r in [capacity - sum(n * k for n, k in p.filling)]
+                      * p.times) == one_by_one(counts, capacity)
+        first = sum(p.times for p in first_fit_plan(counts, capacity))
+        best = sum(p.times for p in plan)
+        assert sum(p.times for p in pack_histogram(counts, capacity)) <= min(best, first)
