@@ -235,7 +235,7 @@ def cut_documents(docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_I
     """Pieces of every document: its ids and ``end_id``; a longer document is
     cut into pieces of ``capacity`` ids, of which the first may be shorter."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, end = encoder(tokenizer), np.array([end_id], dtype="<u4").tobytes()
+        own, end = encoder(tokenizer, added_tokens=True), np.array([end_id], dtype="<u4").tobytes()
         for batch in batches:
             for at, texts in text_slices(batch):
                 doc_ids = batch.column(0).slice(at, len(texts)).to_pylist()

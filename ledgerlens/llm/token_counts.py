@@ -29,7 +29,7 @@ def length_histogram(docs: DataFrame, tokenizer: str = DEFAULT_TOKENIZER) -> Dat
     ignored) encode to each number of tokens, without special tokens. A null
     text is empty and has length 0. An empty table gives no rows."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = encoder(tokenizer)
+        own = encoder(tokenizer, added_tokens=True)
         for batch in batches:
             counts: Counter[int] = Counter()
             for _, texts in text_slices(batch, col=0):

@@ -184,7 +184,7 @@ def write_token_files(docs: DataFrame, base: str | None = None, end_id: int = 0,
     base = base or shared_path(docs.sparkSession, "token-files")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, end = encoder(tokenizer), np.array([end_id], dtype="<u4")
+        own, end = encoder(tokenizer, added_tokens=True), np.array([end_id], dtype="<u4")
         writer = None
         for batch in batches:
             for at, texts in text_slices(batch):

@@ -124,14 +124,18 @@ def _byte_letters() -> dict[int, str]:
 
 
 class CorpusEncoder:
-    """Ids of whole texts, without special tokens."""
+    """Ids of whole texts; none are put around them. Strings of added tokens in a
+    text are those tokens with ``added_tokens``, as in the library, or else
+    ordinary text."""
 
-    def __init__(self, tokenizer: str = DEFAULT_TOKENIZER):
+    def __init__(self, tokenizer: str = DEFAULT_TOKENIZER, added_tokens: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self._library = Tokenizer.from_file(vocabulary_path(tokenizer))
-        self._library.encode_special_tokens = True  # their strings are ordinary text
+        self._library.encode_special_tokens = not added_tokens
+        self._added = [t.content for t in self._library.get_added_tokens_decoder().values()
+                       ] if added_tokens else []
         self.vocabulary_size = self._library.get_vocab_size()
         self._memo = None
         if self._cuts_by_the_pattern():
@@ -159,16 +163,22 @@ class CorpusEncoder:
         """Little-endian unsigned 32-bit ids of each text."""
         if self._memo is not None:
             with no_collection():
-                return list(map(self._memo.encode, texts))
+                return [self._whole([t])[0] if any(a in t for a in self._added)
+                        else self._memo.encode(t) for t in texts]
+        return self._whole(texts)
+
+    def _whole(self, texts: list[str]) -> list[bytes]:
+        """The same by the library alone."""
         encodings = self._library.encode_batch(texts, add_special_tokens=False)
         return [array("I", e.ids).tobytes() for e in encodings]
 
 
-_ENCODERS: dict[str, CorpusEncoder] = {}
+_ENCODERS: dict[tuple[str, bool], CorpusEncoder] = {}
 
 
-def encoder(tokenizer: str = DEFAULT_TOKENIZER) -> CorpusEncoder:
+def encoder(tokenizer: str = DEFAULT_TOKENIZER, added_tokens: bool = False) -> CorpusEncoder:
     """The worker's encoder: made once, kept while the worker lives."""
-    if tokenizer not in _ENCODERS:
-        _ENCODERS[tokenizer] = CorpusEncoder(tokenizer)
-    return _ENCODERS[tokenizer]
+    key = tokenizer, added_tokens
+    if key not in _ENCODERS:
+        _ENCODERS[key] = CorpusEncoder(tokenizer, added_tokens)
+    return _ENCODERS[key]

@@ -310,3 +310,15 @@ def test_best_fit_puts_a_piece_into_the_fullest_sequence():
         first = sum(p.times for p in first_fit_plan(counts, capacity))
         best = sum(p.times for p in plan)
         assert sum(p.times for p in pack_histogram(counts, capacity)) <= min(best, first)
+
+
+def test_added_tokens_are_read_as_by_the_library(spark):
+    plain = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    texts = ["<|endoftext|>", "a <|endoftext|> b", "x<|endoftext|><|endoftext|>", "<|endoftext", "a"]
+    want = [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    assert want[0] == [50256]
+    got = encoder(added_tokens=True).encode(texts)
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in got] == want
+    rows = cut_documents(documents(spark, list(enumerate(texts)))).collect()
+    assert {r["doc_id"]: (r["length"], r["ids_crc32"]) for r in rows} == {
+        i: (len(ids) + 1, zlib.crc32(np.array([*ids, 2], "<u4"))) for i, ids in enumerate(want)}
