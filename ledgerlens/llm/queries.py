@@ -11,16 +11,19 @@ from pyspark.sql import functions as F
 from .bpe import decode_documents, encode_documents
 from .common import table
 from .exact_dedup import exact_dedup
+from .ngram_join import ngram_join
 from .packing import pack_documents
 from .quality import judge_quality
 from .secret_scan import (ACCESS, ALLOWED, ASSIGN, CANDIDATE, CLASSES, HEX, KINDS, LEAST_ACCESS,
                           LEAST_ASSIGN, LEAST_HEX, CharacterClass, count_kind, scan_secrets,
                           span_text)
 from .simhash import near_duplicates
+from .spelling import spelling_variants
 from .token_counts import token_counts
 from .token_files import read_token_files, write_token_files
 from .toxicity import score_toxicity
 from .url_filter import judge_captures
+from .whitening import whiten
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -107,6 +110,22 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_quality(table(spark, sf_dir, "documents"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whitened coordinates of all embeddings on the first eight components."""
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spelling variants in the vocabulary of all documents."""
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
+def op13_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all documents by links of a Jaccard similarity of 0.9 or more."""
+    return ngram_join(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_shingles", "component_id")
+
+
 def _base_matches_sql(kind: int, pattern: str, group: int, least: int) -> str:
     """Spans of one base pattern: what lies between the matches, and the
     matches, in turn."""
@@ -249,6 +268,9 @@ QUERIES: dict[str, Query] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_url_filter": op9_url_filter,
     "op10_quality": op10_quality,
+    "op11_whitening": op11_whitening,
+    "op12_spelling": op12_spelling,
+    "op13_ngram_join": op13_ngram_join,
 }
 
 ORACLE: dict[str, str] = {
