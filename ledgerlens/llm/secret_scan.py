@@ -8,7 +8,8 @@ that slides over them. Each class of characters has its own window and limit.
 The counts of the characters in the window change by one in and one out a
 step, and so does the sum of n * log2(n) over them, which is kept in whole
 millionths so that no rounding depends on the way; the entropy is
-log2(window) - sum / window. Strings known to be harmless are let through.
+log2(window) - sum / window. Strings known to be harmless are let through, and
+a placeholder excuses itself only: what stands beside it is judged without it.
 """
 
 from __future__ import annotations
@@ -53,15 +54,19 @@ CLASSES = (
 )
 #: Candidate strings: long runs of characters that keys are written in.
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
+#: Placeholders. They are cut out of a candidate, and what they leave is judged.
+PLACEHOLDER = "(?i:example|placeholder|your|xxxx|changeme|dummy|sample)"
 #: Harmless strings, matched as a whole: UUIDs, runs of digits, dates and
-#: times, paths and names made of words, and placeholders.
+#: times, paths and names made of words. The words' quantifiers are possessive,
+#: so that a path of any number of words is matched in a loop, not by recursion.
 ALLOWED = (
     r"[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}",
     r"[0-9+/_=-]+",
     r"\d{4}-\d{2}-\d{2}T?[0-9-]*Z?",
-    r"([A-Za-z]+[/_=-])+[A-Za-z]+[0-9]{0,4}",
-    r"(?i).*(example|placeholder|your[-_]?|xxxx|changeme|dummy|sample).*",
+    r"[A-Za-z]++([/_=-][A-Za-z]++)++[0-9]{0,4}",
 )
+#: Windows that are judged in one go: long candidates are read in stretches.
+WINDOWS_AT_ONCE = 200
 
 
 def _cut(text: Column, pattern: str, found: Column, good: Column, kind: int) -> Column:
@@ -105,13 +110,23 @@ def _gain_table(window: int) -> str:
 
 
 def _suspect(candidate: str, rule: CharacterClass) -> str:
-    """SQL: is any window of ``candidate`` suspect? By incremental counts."""
+    """SQL: is any window of ``candidate`` suspect? Up to the first stretch of
+    WINDOWS_AT_ONCE windows that has one; stretches overlap by a window less
+    one, so each window lies in one of them. Bytes: candidates are ASCII."""
+    w = rule.window
+    return f"""exists(sequence(1, greatest(1, length({candidate}) - {w - 1}), {WINDOWS_AT_ONCE}), at ->
+      {_suspect_stretch(f"CAST(substring(CAST({candidate} AS BINARY), at, {WINDOWS_AT_ONCE + w - 1}) AS STRING)",
+                        rule)})"""
+
+
+def _suspect_stretch(stretch: str, rule: CharacterClass) -> str:
+    """SQL: is any window of ``stretch`` suspect? By incremental counts."""
     w = rule.window
     most = math.floor(w * (math.log2(w) - rule.least_bits) * _UNIT)
-    # state: codes and table ride along, so that they are made once a string
+    # state: codes and table ride along, so that they are made once a stretch
     return f"""aggregate(
-      sequence(1, length({candidate})),
-      named_struct('codes', transform(split({candidate}, ''), c -> ascii(c)),
+      sequence(1, length({stretch})),
+      named_struct('codes', transform(split({stretch}, ''), c -> ascii(c)),
                    'gain', {_gain_table(w)}, 'counts', array_repeat(0, 128),
                    'total', 0L, 'hit', false),
       (a, i) -> aggregate(array(named_struct(
@@ -131,7 +146,12 @@ def _suspect(candidate: str, rule: CharacterClass) -> str:
       a -> a.hit)"""
 
 
-def _entropy_spans(docs: DataFrame, text: str, allowed: tuple[str, ...]) -> DataFrame:
+def _quoted(pattern: str) -> str:
+    return pattern.replace("\\", "\\\\").replace("'", "\\'")
+
+
+def _entropy_spans(docs: DataFrame, text: str, allowed: tuple[str, ...],
+                   placeholder: str) -> DataFrame:
     """``docs`` and ``_ll_entropy``: candidates with a suspect window, whole."""
     harmless = "^(" + "|".join(f"({p})" for p in allowed) + ")$" if allowed else "^$"
     found = F.regexp_extract_all(F.col(text), F.lit(CANDIDATE), F.lit(0))
@@ -139,12 +159,13 @@ def _entropy_spans(docs: DataFrame, text: str, allowed: tuple[str, ...]) -> Data
     where = _cut(F.col(text), CANDIDATE, F.col("_ll_found"),
                  F.transform("_ll_found", lambda x: F.lit(True)), 0)
     docs = docs.withColumn("_ll_where", F.when(F.col("_ll_found").isNotNull(), where))
-    quoted = harmless.replace("\\", "\\\\").replace("'", "\\'")
     tests = " ".join(
         f"WHEN c RLIKE '{rule.member}' AND length(c) >= {rule.window} THEN "
         f"IF({_suspect('c', rule)}, {KINDS.index(rule.kind)}, NULL)"
         for rule in CLASSES)
-    judged = F.expr(f"transform(_ll_found, c -> CASE WHEN c RLIKE '{quoted}' THEN NULL {tests} END)")
+    judged = F.expr(f"""transform(_ll_found, whole -> array_min(transform(
+        split(whole, '{_quoted(placeholder)}'),
+        c -> CASE WHEN c RLIKE '{_quoted(harmless)}' THEN NULL {tests} END)))""")
     docs = docs.withColumn("_ll_judged", F.when(F.col("_ll_found").isNotNull(), judged))
     spans = F.expr("""filter(transform(arrays_zip(_ll_where, _ll_judged), z -> struct(
         z._ll_where.start AS start, z._ll_judged AS kind, z._ll_where.end AS end)),
@@ -155,19 +176,25 @@ def _entropy_spans(docs: DataFrame, text: str, allowed: tuple[str, ...]) -> Data
             "_ll_found", "_ll_where", "_ll_judged")
 
 
-def scan_secrets(docs: DataFrame, allowed: tuple[str, ...] = ALLOWED) -> DataFrame:
+def scan_secrets(docs: DataFrame, allowed: tuple[str, ...] = ALLOWED,
+                 placeholder: str = PLACEHOLDER) -> DataFrame:
     """``docs`` with ``_ll_base`` and ``_ll_spans``: sorted arrays of (start,
     kind, end) of the base matches, and of those and what entropy adds.
 
     A null text is empty and has none. Base matches are the leftmost that don't
     overlap, each kind by itself; too short ones are dropped. An entropy span
-    inside a base span adds nothing and is left out.
+    inside a base span adds nothing and is left out; it is the whole candidate
+    string, of the first kind that any part of it between placeholders has.
+
+    Rows that repeat are scanned each for itself, an empty table gives no rows,
+    other columns are kept as they are, and texts and candidates of any length
+    are read whole, in time in proportion to a candidate's length.
     """
     out = docs.withColumn("_ll_t", whole_text())
     for kind, (pattern, group, least) in enumerate((
             (ASSIGN, 2, LEAST_ASSIGN), (ACCESS, 0, LEAST_ACCESS), (HEX, 0, LEAST_HEX))):
         out = _matches(out, "_ll_t", pattern, kind, group, least)
-    out = _entropy_spans(out, "_ll_t", allowed)
+    out = _entropy_spans(out, "_ll_t", allowed, placeholder)
     out = out.withColumn("_ll_base", F.sort_array(F.concat("_ll_s0", "_ll_s1", "_ll_s2")))
     added = F.expr("filter(_ll_entropy, e -> NOT exists(_ll_base, "
                    "b -> b.start <= e.start AND e.end <= b.end))")
@@ -190,7 +217,8 @@ def count_kind(spans: str, kind: str) -> Column:
 def redact(docs: DataFrame, mark: str = "[REDACTED]") -> DataFrame:
     """``docs`` with every span of a secret in ``text`` replaced by ``mark``
     (overlapping spans by one) and ``n_chars``, where there is one, renewed.
-    Texts without secrets, null ones too, stay as they are."""
+    Texts without secrets, null ones too, stay as they are. Every row stays, so
+    repeated rows do and an empty table is empty; texts are read whole."""
     scanned = scan_secrets(docs).withColumn("_ll_mark", F.lit(mark))
     clean = F.expr("""aggregate(_ll_spans, named_struct('text', '', 'upto', 0),
         (a, s) -> IF(s.start >= a.upto,
