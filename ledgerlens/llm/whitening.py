@@ -51,10 +51,15 @@ def whole_vectors(df: DataFrame, id_col: str, vec_col: str, scale: int, offset:
         v = c.cast("double")
         return c.isNull() | F.isnan(v) | (F.abs(v) == F.lit(float("inf")))
 
+    far = 4.0 * MOST * scale  # refused later, but no overflow here
+
+    def whole(c: Column) -> Column:
+        scaled = c.cast("double") * F.lit(float(scale))
+        held = F.greatest(F.lit(-far), F.least(F.lit(far), scaled))
+        return F.floor(held).cast("long") + F.lit(offset).cast("long")
+
     clean = df.where(vec.isNotNull() & ~F.exists(vec, odd))
-    return clean.select(F.col(id_col).alias("id"), F.transform(
-        vec, lambda c: F.floor(c.cast("double") * F.lit(float(scale))).cast("long")
-        + F.lit(offset).cast("long")).alias("x"))
+    return clean.select(F.col(id_col).alias("id"), F.transform(vec, whole).alias("x"))
 
 
 def _matrix(column: pa.Array, d: int) -> np.ndarray:

@@ -1,8 +1,10 @@
 """Quality rules and secret scans against brute force."""
 
+import base64
 import hashlib
 import math
 import re
+import time
 from collections import Counter
 
 import duckdb
@@ -68,8 +70,7 @@ def test_quality_of_nothing(spark):
 
 ASSIGN = re.compile(r"""((?:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?"""
                     r"([A-Za-z0-9+/_.=-]+)", re.I | re.A)
-ALLOWED = re.compile("^(" + "|".join(
-    f"(?i:{p[4:]})" if p.startswith("(?i)") else f"({p})" for p in S.ALLOWED) + ")$")
+ALLOWED = re.compile("^(" + "|".join(f"({p})" for p in S.ALLOWED) + ")$")
 
 
 def base_spans(text):
@@ -80,19 +81,25 @@ def base_spans(text):
     return sorted(found)
 
 
+def entropy_kind(part):
+    """Kind of a candidate's part between placeholders; None if harmless."""
+    rule = next((r for r in S.CLASSES if re.match(r.member, part) and len(part) >= r.window), None)
+    if rule is None or ALLOWED.match(part):
+        return None
+    for i in range(len(part) - rule.window + 1):
+        counts = Counter(part[i:i + rule.window]).values()
+        bits = -sum(n / rule.window * math.log2(n / rule.window) for n in counts)
+        if bits >= rule.least_bits:
+            return S.KINDS.index(rule.kind)
+    return None
+
+
 def entropy_spans(text):
     out = []
     for m in re.finditer(S.CANDIDATE, text):
-        rule = next((r for r in S.CLASSES if re.match(r.member, m[0]) and len(m[0]) >= r.window),
-                    None)
-        if rule is None or ALLOWED.match(m[0]):
-            continue
-        for i in range(len(m[0]) - rule.window + 1):
-            counts = Counter(m[0][i:i + rule.window]).values()
-            bits = -sum(n / rule.window * math.log2(n / rule.window) for n in counts)
-            if bits >= rule.least_bits:
-                out.append((m.start(), S.KINDS.index(rule.kind), m.end()))
-                break
+        kinds = [k for k in map(entropy_kind, re.split(S.PLACEHOLDER, m[0])) if k is not None]
+        if kinds:
+            out.append((m.start(), min(kinds), m.end()))
     return out
 
 
@@ -117,6 +124,8 @@ SECRETS = TEXTS + [
     (33, "0a" * 3000 + " 9F8E7D6C5B4A39281706F5E4 9f8e7d6c5b4a39281706f5e4d3c2b1a0"),
     (34, "abcdefghijklmnopqrstuvwxyz qwertyuiopasdfghjklzxcvbnm1234567890 retionwhingerbleernd"),
     (35, "password: your-example-key-1234567890abcdefgh"), (36, "x" * 100_000),
+    (39, "SAMPLE_KEY=Xk29fLq8vT2mX9pLr4WcYb7Ks sample/9f8aZq8vT2mX9pLr4WcYb7Ks your-own-sample-page"),
+    (40, "zyx0" * 25_000 + " " + "ab-" * 1000 + "cd" + "q7" * 300 + "Zq8vT2mX9pLr4WcYb7Ks"),
     (37, "12345678901234567890 1234-5678-9012-3456-7890"),
     (38, "secret = Zq8vT2mX9pLr4WcYb7Ks secret = Zq8vT2mX9pLr4WcYb7Ks " * 50)]
 
@@ -130,6 +139,40 @@ def test_scans(spark, tmp_path):
     assert "entropy" not in spans[37] and spans[36] == ""
 
 
+def test_placeholders_excuse_themselves_only(spark):
+    df = documents(spark, [(1, "SAMPLE_KEY=Xk29fLq8vT2mX9pLr4WcYb7Ks"), (2, "your-own-sample-page"),
+                           (3, "xxxxxxxxxxxxxxxxxxxxxxxxxxxxx"), (4, "see sample/9f8aZq8vT2mX9pLr4WcYb7Ks")])
+    got = dict(S.scan_secrets(df).select("doc_id", S.span_text("_ll_spans")).collect())
+    assert got == {1: "entropy_mixed:0:36", 2: "", 3: "", 4: "entropy_mixed:4:35"}
+    assert S.redact(df).where("doc_id = 1").first()["text"] == "[REDACTED]"
+
+
+def test_very_long_candidates(spark, tmp_path):
+    """Paths of very many words, a large base64 block, and strings without a
+    hit, which are read to their ends; time grows with the length."""
+    def timed(rows):
+        sf_dir = stored(spark, tmp_path / str(len(rows[0][1])), rows)
+        start = time.perf_counter()
+        spans = {r["doc_id"]: r["spans"] for r in QUERIES["op4_secrets"](spark, sf_dir).collect()}
+        return spans, time.perf_counter() - start
+
+    block = base64.b64encode(hashlib.shake_256(b"x").digest(750_000)).decode()
+    texts = [(1, "ab-" * 100_000 + "cd"), (2, block), (3, "ab/" * 3000 + "cd2024"),
+             (4, "ab-" * 50_000 + "Zq8vT2mX9pLr4WcYb7Ks")]
+    spans, _ = timed(texts)
+    assert spans == {1: "", 2: "entropy_mixed:0:1000000", 3: "", 4: "entropy_mixed:0:150020"}
+    redacted = {r["doc_id"]: r["text"] for r in S.redact(documents(spark, texts)).collect()}
+    assert redacted[1] == texts[0][1] and redacted[2] == redacted[4] == "[REDACTED]"
+    timed([(1, "zyx0" * 250)])  # compiled once
+    (low, short), (high, long) = timed([(1, "zyx0" * 2500)]), timed([(1, "zyx0" * 25_000)])
+    assert low[1] == high[1] == ""
+    assert long < 12 * short + 5
+
+
+def test_scans_of_nothing(spark, tmp_path):
+    assert QUERIES["op4_secrets"](spark, stored(spark, tmp_path, [])).collect() == []
+
+
 def test_redaction(spark):
     docs = documents(spark, SECRETS)
     out = S.redact(docs)
