@@ -8,21 +8,24 @@ the interpolation of the values at ranks ``floor(pos)`` and ``ceil(pos)``.
 With ``with_counts`` it adds ``f"{measure}_n"``, the number of non-null
 values.
 
-One plan for groups of any size, and nothing runs before the result is used:
-
-1. measures become rows (group, measure, value), counted per distinct value
-   with map-side combine. Ties are counted, never gathered, and a large group
-   is spread over the tasks by its values;
-2. a monotone bucket (sign and a 64th of an octave of the magnitude) orders
-   the values of a group coarsely. Value counts are summed per bucket, and a
-   running sum over a group's buckets gives each bucket its first rank;
+One plan for groups of any size, and nothing runs before the result is used.
+Two passes, of which only the second moves values, and few of them:
+
+1. measures become rows (group, measure, value). A monotone bucket (sign and a
+   64th of an octave of the magnitude) orders the values of a group coarsely.
+   Rows are counted per bucket with map-side combine; a running sum over a
+   group's buckets gives each its first rank and names the buckets that hold a
+   wanted rank: at most two per probability;
+2. the measures are read again, and only values of those buckets pass a filter
+   below the exchange (``hits.keep_hits``). They are counted per distinct value,
+   with map-side combine: ties are counted, never gathered;
 3. inside a bucket a running sum over its distinct values in order gives each
    value its ranks. A task sorts one bucket of one group and measure (values
    within about one percent of each other, each once), and can spill;
 4. the values whose ranks are wanted (two per probability at most) are picked
    and interpolated.
 
-Both uses of the value counts read the same exchange. Groups are compared as
+The input is read twice: store it first where it is costly. Groups are compared as
 structs, in which nulls are equal, so null keys are groups like any other.
 Interpolation rounds like a fused multiply-add, see
 ``functions.numeric.interpolate`` (exact for the quartiles and the median).
@@ -30,10 +33,13 @@ Interpolation rounds like a fused multiply-add, see
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import interpolate
+from .hits import keep_hits
 
 STEPS_PER_OCTAVE = 64
 # Beyond the magnitudes of doubles (2 ** -1074 to 2 ** 1024), in steps.
@@ -54,43 +60,48 @@ def value_bucket(v: Column) -> Column:
     return F.coalesce(bucket, F.lit(0))
 
 
-def _value_counts(df: DataFrame, keys: list[str], measures: dict[str, Column | str]) -> DataFrame:
-    """``_k`` (group), ``_m`` (measure number), ``_v``, ``_n``: rows per distinct value."""
+def _values(df: DataFrame, keys: list[str], measures: dict[str, Column | str]) -> DataFrame:
+    """``_k`` (group), ``_m`` (measure number), ``_v``, ``_b`` (bucket): the non-null values."""
     values = [F.struct(F.lit(i).alias("_m"),
                        (F.col(c) if isinstance(c, str) else c).cast("double").alias("_v"))
               for i, c in enumerate(measures.values())]
-    long = (df.select(F.struct(*keys).alias("_k"), F.inline(F.array(*values)))
-            .where(F.col("_v").isNotNull()))
-    return (long.groupBy("_k", "_m", "_v").agg(F.count(F.lit(1)).alias("_n"))
+    return (df.select(F.struct(*keys).alias("_k"), F.inline(F.array(*values)))
+            .where(F.col("_v").isNotNull())
             .withColumn("_b", value_bucket(F.col("_v"))))
 
 
 def exact_percentiles(df: DataFrame, keys: list[str], measures: dict[str, Column | str],
                       probs: list[float], *, with_counts: bool = False) -> DataFrame:
-    """See the module docstring. ``df`` is read once."""
-    counts = _value_counts(df, keys, measures)
+    """See the module docstring. ``df`` is read twice."""
+    values = _values(df, keys, measures)
     group = Window.partitionBy("_k", "_m")
-    buckets = (counts.groupBy("_k", "_m", "_b").agg(F.sum("_n").alias("_in"))
-               .select("_k", "_m", "_b",
+    buckets = (values.groupBy("_k", "_m", "_b").agg(F.count(F.lit(1)).alias("_in"))
+               .select("_k", "_m", "_b", "_in",
                        (F.sum("_in").over(group.orderBy("_b")) - F.col("_in")).alias("_first"),
                        F.sum("_in").over(group).alias("_total")))
-    inside = Window.partitionBy("_k", "_m", "_b").orderBy("_v")
-    ranked = (counts.withColumn("_upto", F.sum("_n").over(inside))
-              .join(buckets, ["_k", "_m", "_b"])
-              .select("_k", "_m", "_v", "_total",
-                      (F.col("_first") + F.col("_upto") - F.col("_n")).alias("_from"),
-                      (F.col("_first") + F.col("_upto")).alias("_to")))
 
     def position(p: float) -> Column:
         return (F.col("_total") - 1).cast("double") * F.lit(float(p))
 
+    def within(first: Column, stop: Column) -> Column:
+        """Does a wanted rank lie from ``first`` on and before ``stop``?"""
+        here = [(first <= rank) & (rank < stop)
+                for p in probs for rank in (F.floor(position(p)), F.ceil(position(p)))]
+        return reduce(Column.__or__, here)
+
     def holds(rank: Column) -> Column:
         return (F.col("_from") <= rank) & (rank < F.col("_to"))
 
-    wanted = None
-    for p in probs:
-        here = holds(F.floor(position(p))) | holds(F.ceil(position(p)))
-        wanted = here if wanted is None else wanted | here
+    named = (buckets.where(within(F.col("_first"), F.col("_first") + F.col("_in")))
+             .select("_k", "_m", "_b", "_first", "_total"))
+    counts = (keep_hits(values, named, "_k", "_m", "_b")
+              .groupBy("_k", "_m", "_b", "_v").agg(F.count(F.lit(1)).alias("_n")))
+    inside = Window.partitionBy("_k", "_m", "_b").orderBy("_v")
+    ranked = (counts.join(named, ["_k", "_m", "_b"])
+              .withColumn("_upto", F.sum("_n").over(inside))
+              .select("_k", "_m", "_v", "_total",
+                      (F.col("_first") + F.col("_upto") - F.col("_n")).alias("_from"),
+                      (F.col("_first") + F.col("_upto")).alias("_to")))
     picks = []
     for i in range(len(measures)):
         mine = F.col("_m") == F.lit(i)
@@ -99,7 +110,7 @@ def exact_percentiles(df: DataFrame, keys: list[str], measures: dict[str, Column
             pos = position(p)
             picks += [F.max(F.when(mine & holds(F.floor(pos)), F.col("_v"))).alias(f"_lo{i}_{j}"),
                       F.max(F.when(mine & holds(F.ceil(pos)), F.col("_v"))).alias(f"_hi{i}_{j}")]
-    picked = ranked.where(wanted).groupBy("_k").agg(*picks)
+    picked = ranked.where(within(F.col("_from"), F.col("_to"))).groupBy("_k").agg(*picks)
     out = [F.col("_k")[k].alias(k) for k in keys]
     for i, name in enumerate(measures):
         for j, p in enumerate(probs):

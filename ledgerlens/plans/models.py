@@ -12,6 +12,7 @@ filters.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -51,6 +52,7 @@ def build_models(raw_accounts: DataFrame, register: DataFrame, *,
 
 def materialize_models(raw_accounts: DataFrame, register: DataFrame, *, buckets: int,
                        prefix: str = "", location: str | None = None,
+                       name_of: Callable[[str], str] | None = None,
                        files_per_year: int = 16, min_year: int = DEFAULT_MIN_YEAR,
                        max_year: int = DEFAULT_MAX_YEAR, min_panel: int = 50,
                        register_is_renamed: bool = False) -> Models:
@@ -60,11 +62,13 @@ def materialize_models(raw_accounts: DataFrame, register: DataFrame, *, buckets:
     stage reads its input once and co-located buckets replace shuffles.
     ``buckets`` should make a bucket a few hundred MB at the target scale, and
     ``files_per_year`` likewise the files of a year of the evolution mart.
-    Tables are files under ``location``, or in the warehouse without it.
+    Tables are files under ``location``, or in the warehouse without it, and
+    are named by ``prefix``, or by ``name_of`` if given.
     """
     def save(df, name, **layout):
-        path = f"{location.rstrip('/')}/{prefix}{name}" if location else None
-        return save_table(df, f"{prefix}{name}", path=path, **layout)
+        table = name_of(name) if name_of else f"{prefix}{name}"
+        path = f"{location.rstrip('/')}/{table}" if location else None
+        return save_table(df, table, path=path, **layout)
 
     companies = register if register_is_renamed else company_register(register)
     by_company_year = dict(bucket_by=["siren"], buckets=buckets, sort_by=["siren", "annee_fiscale"])
@@ -75,8 +79,9 @@ def materialize_models(raw_accounts: DataFrame, register: DataFrame, *, buckets:
     ind = save(compute_indicators(stg), "mart_indicateurs", **by_company_year)
     evo = save(compute_evolution(ind), "mart_evolution", partition_by=["annee_fiscale"],
                spread_by=["siren"], spread=files_per_year)
-    # the counts and the quartiles both read the co-located tables, without a shuffle
-    bench = save(sector_benchmark(ind, ent, min_panel=min_panel), "mart_benchmark_sectoriel")
+    # co-located tables join without a shuffle; counts and quartiles read the stored columns
+    bench = save(sector_benchmark(ind, ent, min_panel=min_panel, store=materialize),
+                 "mart_benchmark_sectoriel")
     return Models(stg, ent, ind, evo, bench)
 
 

@@ -104,6 +104,22 @@ def ship_package(spark: SparkSession) -> None:
 
 
 _MATERIALIZED: list[str] = []  # folders written by this process
+_TABLES: list[str] = []  # catalog tables made for one session's use
+
+
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A new folder under the shared checkpoint folder; ``clear_materialized``
+    removes it."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/ledgerlens/{label}-{uuid.uuid4().hex}"
+    _MATERIALIZED.append(path)
+    return path
+
+
+def scratch_table(label: str) -> str:
+    """A new table name; ``clear_materialized`` drops the table."""
+    name = f"{label}_{uuid.uuid4().hex}"
+    _TABLES.append(name)
+    return name
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
@@ -114,16 +130,17 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     on the read side. ``clear_materialized`` removes them.
     """
     spark = df.sparkSession
-    base = checkpoint_dir(spark).rstrip("/")
-    path = f"{base}/ledgerlens/{label}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, label)
     df.write.mode("overwrite").parquet(path)
-    _MATERIALIZED.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def clear_materialized(spark: SparkSession) -> int:
-    """Delete what this process has materialized, once no result that reads it
-    is used any more; returns the number of folders deleted."""
+    """Delete what this process has stored for the session (materialized
+    folders, scratch tables and their files, shared model runs), once no result
+    that reads it is used any more; returns the number of folders deleted."""
+    while _TABLES:
+        spark.sql(f"DROP TABLE IF EXISTS {_TABLES.pop()}")
     hadoop = spark._jsc.hadoopConfiguration()
     n = 0
     while _MATERIALIZED:

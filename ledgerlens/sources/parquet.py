@@ -3,14 +3,18 @@
 * ``read_accounts``          – scan of the yearly accounts file (all columns).
 * ``company_register``       – projection, renaming and row predicates of the
   company register; ``read_company_register`` reads it from Parquet.
-* ``load_raw_accounts``      – load the accounts into a catalog table once;
-  ``force`` reloads.
+* ``load_raw_accounts``      – load the accounts into a catalog table once, with
+  a completion record; ``force`` reloads.
 * ``save_table``             – ``CREATE OR REPLACE TABLE`` sink with an
-  optional partitioned / bucketed layout.
+  optional partitioned / bucketed layout: written aside, then switched to.
 """
 
 from __future__ import annotations
 
+import json
+import re
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,18 +59,84 @@ def read_company_register(spark: SparkSession, path: str) -> DataFrame:
     return company_register(spark.read.schema(REGISTER_SCHEMA).parquet(path))
 
 
+#: Table property with the completion record of a load.
+LOAD_RECORD = "ledgerlens.load"
+
+
+def input_digest(spark: SparkSession, *paths: str) -> dict:
+    """Number, bytes and a digest of the files under ``paths`` (names, sizes and
+    times; one small aggregate over the listing, contents are not read)."""
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+             .load(list(paths)).select("path", "length", "modificationTime"))
+    row = files.agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"),
+                    F.expr("bit_xor(xxhash64(path, length, modificationTime))").alias("digest")).first()
+    return {"files": row["files"], "bytes": row["bytes"] or 0, "digest": row["digest"] or 0}
+
+
+def load_record(spark: SparkSession, table: str) -> dict | None:
+    """The record of the load that filled ``table``'s present files, if that
+    load came to its end."""
+    shown = spark.sql(f"SHOW TBLPROPERTIES {table}").where(F.col("key") == LOAD_RECORD).collect()
+    record = json.loads(shown[0]["value"]) if shown else None
+    return record if record and record["location"] == _table_facts(spark, table)["Location"] else None
+
+
 def load_raw_accounts(spark: SparkSession, path: str, table: str = "raw_bilans",
-                      force: bool = False, location: str | None = None) -> DataFrame:
-    """Load the accounts file into catalog table ``table`` once (its files in
+                      force: bool = False, location: str | None = None,
+                      refresh: bool = False) -> DataFrame:
+    """Load the accounts file into catalog table ``table`` once (its files under
     ``location``, if given).
 
-    A missing file raises ``FileNotFoundError``. An existing table is kept
-    unless ``force`` is true, in which case it is replaced.
+    A missing file raises ``FileNotFoundError``. A loaded table is kept unless
+    ``force`` is true, or ``refresh`` is and the input's files have changed.
+    The last step of a load sets a record on the table: input files, their
+    bytes and digest, rows and place. A table without the record of its present
+    files, or with another number of rows, is a load that did not end, and is
+    loaded again.
     """
     src = read_accounts(spark, path)
     if spark.catalog.tableExists(table) and not force:
-        return spark.table(table)
-    return save_table(src, table, path=location)
+        record = load_record(spark, table)
+        if (record and (not refresh or record["input"] == input_digest(spark, path))
+                and spark.table(table).count() == record["rows"]):
+            return spark.table(table)
+    found = input_digest(spark, path)
+    loaded = save_table(src, table, path=location)
+    record = json.dumps({"input": found, "rows": loaded.count(),
+                         "location": _table_facts(spark, table)["Location"]})
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{LOAD_RECORD}' = '{record}')")
+    return loaded
+
+
+def _table_facts(spark: SparkSession, table: str) -> dict[str, str]:
+    return {r["col_name"]: r["data_type"] for r in
+            spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}  # metadata
+
+
+def _layout(spark: SparkSession, table: str) -> tuple:
+    facts = _table_facts(spark, table)
+    columns = [(c.name, c.dataType, c.isPartition, c.isBucket)
+               for c in spark.catalog.listColumns(table)]
+    return columns, [facts.get(k) for k in ("Type", "Num Buckets", "Bucket Columns", "Sort Columns")]
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
+def _delete_other_versions(spark: SparkSession, base: str, keep: set[str]) -> None:
+    """Delete versions under ``base`` but those named in ``keep``."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(base)
+    fs = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in fs.listStatus(hadoop):
+        name = status.getPath().getName()
+        if re.fullmatch(VERSION, name) and name not in keep:
+            fs.delete(status.getPath(), True)
+
+
+#: Names of the folders of a table's versions.
+VERSION = "v-[0-9a-f]{32}"
 
 
 def save_table(df: DataFrame, name: str, *, path: str | None = None,
@@ -76,6 +146,15 @@ def save_table(df: DataFrame, name: str, *, path: str | None = None,
                sort_by: list[str] | None = None) -> DataFrame:
     """Replace table ``name`` with ``df`` and return the stored table.
 
+    The rows are written to a folder of their own (a version) under ``path``, or
+    under the warehouse without it; only when all are there, the table is set to
+    that folder, in one step of the catalog where columns and layout are as
+    before. A write that fails leaves the table as it was. The version before
+    stays for those who still read it; earlier ones are deleted. Where columns
+    or layout change, or the catalog keeps a list of partitions, the table's
+    entry is dropped and made anew, its files written already: two steps, and a
+    reader in between finds no table.
+
     ``bucket_by`` + ``buckets`` store the rows hash-clustered (and optionally
     sorted) on the key so that later joins and windows on that key read
     co-located data without a shuffle. ``partition_by`` gives directory
@@ -85,6 +164,7 @@ def save_table(df: DataFrame, name: str, *, path: str | None = None,
     files (by hash of ``spread_by``) at most per partition value, however many
     tasks there are.
     """
+    spark = df.sparkSession
     if bucket_by:
         if not buckets:
             raise ValueError("bucket_by needs a bucket count")
@@ -92,14 +172,37 @@ def save_table(df: DataFrame, name: str, *, path: str | None = None,
     elif partition_by:
         part = [F.pmod(F.hash(*spread_by), F.lit(spread))] if spread_by else []
         df = df.repartition(*[F.col(c) for c in partition_by], *part)
-    writer = df.write.mode("overwrite").format("parquet")
-    if path:
-        writer = writer.option("path", path)
+    version = f"v-{uuid.uuid4().hex}"
+    base = (path or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/{name}.versions").rstrip("/")
+    staged = f"{name}__{version[2:]}"
+    writer = df.write.format("parquet").option("path", f"{base}/{version}")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if bucket_by:
         writer = writer.bucketBy(buckets, *bucket_by)
         if sort_by:
             writer = writer.sortBy(*sort_by)
-    writer.saveAsTable(name)
-    return df.sparkSession.table(name)
+    try:
+        writer.saveAsTable(staged)
+    except BaseException:
+        spark.sql(f"DROP TABLE IF EXISTS {staged}")
+        _delete(spark, f"{base}/{version}")
+        raise
+    _switch(spark, name, staged, base, version)
+    return spark.table(name)
+
+
+def _switch(spark: SparkSession, name: str, staged: str, base: str, version: str) -> None:
+    """Let ``name`` be the table whose files are in ``base/version``."""
+    if not spark.catalog.tableExists(name):
+        spark.sql(f"ALTER TABLE {staged} RENAME TO {name}")
+        return
+    before = _table_facts(spark, name)
+    if _layout(spark, name) == _layout(spark, staged) and before.get("Partition Provider") != "Catalog":
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{base}/{version}'")
+        spark.sql(f"DROP TABLE {staged}")  # its entry; the files stay
+    else:
+        spark.sql(f"DROP TABLE {name}")
+        spark.sql(f"ALTER TABLE {staged} RENAME TO {name}")
+    spark.catalog.refreshTable(name)
+    _delete_other_versions(spark, base, {version, before["Location"].rstrip("/").rsplit("/", 1)[-1]})

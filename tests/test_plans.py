@@ -64,11 +64,10 @@ def test_report_filters_come_before_the_store_step(spark, monkeypatch):
         return df
 
     monkeypatch.setattr(q, "materialize", recording)
-    for name, condition in (("ranking_margin", "= 2000"), ("ranking_bfr", "= 2000"),
-                            ("division_history", "= 62")):
+    for panel, condition in (({"year": 2000}, "= 2000"), ({"division": "62"}, "= 62")):
         seen.clear()
-        q.QUERIES[name](spark, SF_SMALL)
-        assert len(seen) == 1 and condition in seen[0], name
+        q._bench(spark, SF_SMALL, **panel)
+        assert len(seen) == 1 and condition in seen[0], panel
 
 
 STORE_FIRST = {"sector_benchmark", "benchmark_report", "ranking_margin", "ranking_bfr",

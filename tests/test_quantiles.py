@@ -9,8 +9,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerlens.operators.quantiles import (_value_counts, exact_percentiles, percentile_column,
-                                            value_bucket)
+from ledgerlens.operators.quantiles import exact_percentiles, percentile_column, value_bucket
 
 PROBS = [0.25, 0.5, 0.75]
 
@@ -90,16 +89,13 @@ def test_buckets_never_fall(spark):
 
 
 def test_heavy_ties_at_the_quartiles(spark):
-    """Half the values equal 0.0 (like debt ratios of companies without debt):
-    ties are one counted row."""
+    """Half the values equal 0.0 (like debt ratios of companies without debt)."""
     rng = random.Random(4)
     vals = [0.0] * 30000 + [round(rng.uniform(-5, 5), 3) for _ in range(30000)]
     df = spark.createDataFrame([("g", v) for v in vals], "g string, v double")
     out = exact_percentiles(df, ["g"], {"v": "v"}, PROBS).collect()[0]
     for p in PROBS:
         assert out[percentile_column("v", p)] == brute(vals, p)
-    counts = _value_counts(df, ["g"], {"v": "v"})
-    assert counts.where("_v = 0").collect()[0]["_n"] >= 30000
 
 
 @pytest.mark.parametrize("probs", [[0.0, 1.0], [0.5], [0.25, 0.5, 0.75]])
@@ -122,9 +118,45 @@ def test_nothing_runs_while_the_plan_is_built(spark):
     assert out.collect() == []
 
 
+def shuffles(df):
+    """(partitioning, rows written) of every exchange of a collected frame."""
+    found = []
+
+    def walk(node):
+        kind = node.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            return walk(node.executedPlan())
+        if kind.endswith("QueryStageExec"):
+            return walk(node.plan())
+        if kind == "ShuffleExchangeExec":
+            found.append((node.outputPartitioning().toString(),
+                          node.metrics().apply("shuffleRecordsWritten").value()))
+        for i in range(node.children().size()):
+            walk(node.children().apply(i))
+
+    walk(df._jdf.queryExecution().executedPlan())
+    return found
+
+
+def test_only_values_near_a_wanted_rank_are_shuffled(spark):
+    """400,000 values, all different, in two groups: exchanges see bucket counts
+    and the few values of the buckets that hold a quartile."""
+    n = 400_000
+    df = spark.range(n, numPartitions=4).select(
+        F.concat(F.lit("g"), F.col("id") % 2).alias("g"),
+        (F.pmod(F.xxhash64("id"), F.lit(10**9)) + 10**6).cast("double").alias("v"))
+    out = exact_percentiles(df, ["g"], {"v": "v"}, PROBS, with_counts=True)
+    rows = {r["g"]: r for r in out.collect()}
+    found = shuffles(out)
+    assert sum(rows_written for _, rows_written in found) < 0.15 * n, found
+    for g in ("g0", "g1"):
+        values = [r["v"] for r in df.where(F.col("g") == g).collect()]
+        assert [rows[g][percentile_column("v", p)] for p in PROBS] == [brute(values, p) for p in PROBS]
+        assert rows[g]["v_n"] == n // 2
+
+
 def test_values_are_counted_before_the_shuffle(spark):
-    """Map tasks count per value before the first exchange, which deals rows by
-    value and not by group; both readers of the counts share it."""
+    """Map tasks count per value before the exchange of values."""
     df = spark.range(80_000, numPartitions=4).select(
         F.concat(F.lit("g"), F.col("id") % 2).alias("g"), (F.col("id") % 2000 / 4).cast("double").alias("v"))
     out = exact_percentiles(df, ["g"], {"v": "v"}, PROBS)
@@ -132,5 +164,30 @@ def test_values_are_counted_before_the_shuffle(spark):
     assert re.search(r"Exchange hashpartitioning\(_k#\d+, _m#\d+, [^)]*_v", plan), plan[:3000]
     assert "partial_count(1)" in plan
     out.collect()
-    final = out._jdf.queryExecution().executedPlan().toString()
-    assert "ReusedExchange" in final
+    assert sum(n for _, n in shuffles(out)) < 8000
+
+
+def test_benchmark_shuffles_a_small_share_of_its_values(spark):
+    """Of the quartiles' values (six a filing), few pass the filter."""
+    from ledgerlens.operators.benchmark import KEYS, MEASURES, PROBS as BENCH_PROBS, benchmark_base
+    from ledgerlens.queries import _ent, _ind
+    from ledgerlens.session import materialize
+    base = materialize(benchmark_base(_ind(spark, "/root/testdata/sf0.1"),
+                                      _ent(spark, "/root/testdata/sf0.1"))
+                       .select(*KEYS, *[src for _, src, _, _ in MEASURES]), "t-base")
+    values = base.select(*[F.count(src) for _, src, _, _ in MEASURES]).first()
+    out = exact_percentiles(base, KEYS, {stem: src for stem, src, _, _ in MEASURES}, BENCH_PROBS)
+    out.collect()
+    of_values = [n for keys, n in shuffles(out) if "_v" in keys]
+    assert len(of_values) == 1 and of_values[0] < 0.35 * sum(values), (of_values, sum(values))
+
+
+def test_keep_hits_loses_nothing(spark):
+    from ledgerlens.operators.hits import keep_hits
+    rows = spark.range(5000).select((F.col("id") % 1000).alias("k"), F.col("id").alias("id"))
+    keys = spark.range(0, 1000, 7).select(F.col("id").alias("k"))
+    kept = keep_hits(rows, keys, "k")
+    assert kept.columns == ["k", "id"]
+    found = [r["k"] for r in kept.collect()]
+    assert sum(k % 7 == 0 for k in found) == 5 * 143 and len(found) < 800
+    assert keep_hits(rows, keys.limit(0), "k").collect() == []

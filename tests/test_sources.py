@@ -149,5 +149,103 @@ def test_materialized_folders_are_cleared(spark):
     assert os.path.isdir(path) and df.count() == 10
     assert clear_materialized(spark) == 1
     assert not os.path.isdir(path)
-    QUERIES["quality_report"](spark, SF_SMALL).collect()
-    assert clear_materialized(spark) == 4 and clear_materialized(spark) == 0
+
+
+def test_runs_are_shared_and_cleared(spark, tmp_path):
+    """Queries over stored models build one run a session; clearing leaves no
+    table and no folder; changed input gives another run."""
+    from ledgerlens import queries
+    from ledgerlens.session import checkpoint_dir, clear_materialized
+    clear_materialized(spark)
+    base = checkpoint_dir(spark).removeprefix("file:") + "/ledgerlens"
+    tables, folders = len(spark.catalog.listTables()), set(os.listdir(base))
+    first = queries._models(spark, SF_SMALL).mart_indicateurs.inputFiles()
+    for name in ("quality_report", "company_lookup", "ranking_margin", "division_history",
+                 "stored_models_indicators"):
+        QUERIES[name](spark, SF_SMALL).collect()
+    assert queries._models(spark, SF_SMALL).mart_indicateurs.inputFiles() == first
+    assert len(spark.catalog.listTables()) == tables + 5
+    QUERIES["accounts_loaded"](spark, SF_SMALL).count()
+    assert clear_materialized(spark) > 0 and clear_materialized(spark) == 0
+    assert len(spark.catalog.listTables()) == tables and set(os.listdir(base)) == folders
+    assert queries._models(spark, SF_SMALL).mart_indicateurs.inputFiles() != first  # built anew
+
+    sf_dir = str(tmp_path)
+    for name in ("orders", "customer"):
+        spark.read.parquet(f"{SF_SMALL}/{name}.parquet").write.parquet(f"{sf_dir}/{name}.parquet")
+    before = queries._models(spark, sf_dir).stg_bilans
+    n = before.count()
+    spark.read.parquet(f"{SF_SMALL}/orders.parquet").limit(200).write.mode("overwrite").parquet(
+        f"{sf_dir}/orders.parquet")
+    assert queries._models(spark, sf_dir).stg_bilans.count() < n
+    assert before.count() == n
+    clear_materialized(spark)
+
+
+def failing(df):
+    """``df`` with a row that fails while it is written, after others have been."""
+    return df.withColumn("v", F.when(F.col("id") == 900, F.raise_error(F.lit("lost")).cast("long"))
+                         .otherwise(F.col("v")))
+
+
+@pytest.mark.parametrize("layout", [{}, dict(bucket_by=["id"], buckets=4, sort_by=["id"]),
+                                    dict(partition_by=["p"])])
+def test_replacing_a_table_is_all_or_nothing(spark, tmp_path, layout):
+    name = f"t_atomic_{len(layout)}"
+    df = spark.range(1000).select("id", (F.col("id") % 3).alias("p"), F.lit(1).cast("long").alias("v"))
+    cols = ["id", "p", "v"]
+    old = save_table(df.select(cols), name, path=str(tmp_path), **layout)
+    with pytest.raises(Exception, match="lost"):
+        save_table(failing(df).select(cols), name, path=str(tmp_path), **layout)
+    assert spark.table(name).agg(F.count("*"), F.sum("v")).first()[:] == (1000, 1000)
+    assert len(os.listdir(tmp_path)) == 1  # nothing of the failed write is left
+    assert [t.name for t in spark.catalog.listTables() if t.name.startswith(name)] == [name]
+
+    new = save_table(df.withColumn("v", F.lit(2).cast("long")).select(cols), name,
+                     path=str(tmp_path), **layout)
+    assert new.agg(F.sum("v")).first()[0] == spark.table(name).agg(F.sum("v")).first()[0] == 2000
+    if "partition_by" not in layout:  # partitions are looked up in the catalog by each action
+        assert old.agg(F.sum("v")).first()[0] == 1000  # who reads the version before goes on
+    save_table(spark.table(name).withColumn("v", F.col("v") + 1).select(cols), name,
+               path=str(tmp_path), **layout)  # from the table itself
+    assert spark.table(name).agg(F.sum("v")).first()[0] == 3000
+    assert len(os.listdir(tmp_path)) == 2  # the table's and the one before
+    if "buckets" in layout:
+        facts = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE EXTENDED {name}").collect()}
+        assert facts["Num Buckets"] == "4"
+    changed = save_table(df.select("id"), name, path=str(tmp_path))  # other columns and layout
+    assert changed.columns == ["id"] and spark.table(name).count() == 1000
+
+
+def test_load_is_done_again_until_it_was_complete(spark, tmp_path, monkeypatch):
+    from ledgerlens.sources import parquet
+    path, where = str(tmp_path / "in"), str(tmp_path / "out")
+    spark.range(100).write.parquet(path)
+    loads = []
+    save = parquet.save_table
+    monkeypatch.setattr(parquet, "save_table", lambda *a, **k: loads.append(1) or save(*a, **k))
+
+    def load(**k):
+        loads.clear()
+        n = load_raw_accounts(spark, path, "t_loaded", location=where, **k).count()
+        return n, len(loads)
+
+    # a crash after the table was made, before its record
+    save(spark.range(40), "t_loaded", path=where)
+    assert parquet.load_record(spark, "t_loaded") is None
+    assert load() == (100, 1)
+    record = parquet.load_record(spark, "t_loaded")
+    assert record["rows"] == 100 and record["input"]["files"] > 0
+    assert load() == (100, 0) and load(refresh=True) == (100, 0)  # unchanged input
+    # a crash between the switch and the record: the record names other files
+    save(spark.range(40), "t_loaded", path=where)
+    assert parquet.load_record(spark, "t_loaded") is None and load() == (100, 1)
+    # changed input: kept, unless asked for
+    spark.range(150).write.mode("append").parquet(path)
+    assert load() == (100, 0) and load(refresh=True) == (250, 1) and load(refresh=True) == (250, 0)
+    assert load(force=True) == (250, 1)
+    # lost files
+    gone = spark.table("t_loaded").inputFiles()[0].removeprefix("file://").removeprefix("file:")
+    os.remove(gone)
+    spark.catalog.refreshTable("t_loaded")
+    assert load() == (250, 1)
