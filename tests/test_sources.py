@@ -158,6 +158,7 @@ def test_runs_are_shared_and_cleared(spark, tmp_path):
     from ledgerlens.session import checkpoint_dir, clear_materialized
     clear_materialized(spark)
     base = checkpoint_dir(spark).removeprefix("file:") + "/ledgerlens"
+    os.makedirs(base, exist_ok=True)
     tables, folders = len(spark.catalog.listTables()), set(os.listdir(base))
     first = queries._models(spark, SF_SMALL).mart_indicateurs.inputFiles()
     for name in ("quality_report", "company_lookup", "ranking_margin", "division_history",
