@@ -82,30 +82,6 @@ def locators(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text", F.col(LOCATOR).alias("locator"))
 
 
-#: Longs of the bitmap of keep_hits(): a broadcast of at most so many rows.
-HIT_WORDS = 1 << 18
-
-
-def keep_hits(rows: DataFrame, keys: DataFrame, *on: str) -> DataFrame:
-    """``rows`` whose columns ``on`` may be among those of ``keys``: none that is
-    goes, and few others stay as long as the keys are fewer than the bitmap's
-    bits. Stands below the exchange of an exact join, so that what can't match
-    isn't shuffled. The bitmap has a fixed size, whatever the keys."""
-    def place() -> Column:
-        return F.pmod(F.xxhash64(*on), F.lit(HIT_WORDS * 64))
-
-    def bit(at: str) -> str:
-        return f"shiftleft(1L, CAST({at} % 64 AS INT))"
-
-    bitmap = (keys.select(place().alias("_ll_at"))
-              .groupBy(F.expr("_ll_at div 64").alias("_ll_word"))
-              .agg(F.expr(f"bit_or({bit('_ll_at')})").alias("_ll_bits")))
-    marked = rows.withColumn("_ll_place", place())
-    hit = F.expr(f"(_ll_bits & {bit('_ll_place')}) != 0L")
-    return (marked.join(F.broadcast(bitmap), F.expr("_ll_place div 64 = _ll_word"))
-            .where(hit).select(*(marked[c] for c in rows.columns)))
-
-
 def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
                 schema: str) -> DataFrame:
     """``df.mapInArrow`` in workers that can import this package."""

@@ -35,7 +35,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import keep_hits, locators, map_batches, store, text_slices, whole_text
+from ..operators.hits import keep_hits
+from .common import locators, map_batches, store, text_slices, whole_text
 from .components import connected_components
 
 SHINGLE_WORDS = 3

@@ -4,7 +4,6 @@ import random
 import numpy as np
 import pytest
 
-from ledgerlens.llm.common import keep_hits
 from ledgerlens.llm.ngram_join import (_WordHashes, frequency_codes, ngram_join, parity_bitmap,
                                        signatures, tokens_of)
 from ledgerlens.llm.queries import QUERIES
@@ -137,11 +136,3 @@ def test_tokens(spark):
     codes, frequent = frequency_codes(docs, 3, 16)
     common, rare = (tokens_of(t, hashes) for t in ("very common words", "one rare text"))
     assert codes[int(common[0]) >> 48] >= frequent > codes[int(rare[0]) >> 48]
-
-
-def test_keep_hits_loses_nothing(spark):
-    rows = spark.range(5000).withColumnRenamed("id", "k")
-    keys = spark.range(0, 5000, 7).withColumnRenamed("id", "k")
-    kept = {r["k"] for r in keep_hits(rows, keys, "k").collect()}
-    assert kept >= set(range(0, 5000, 7)) and len(kept) < 800
-    assert keep_hits(rows, keys.limit(0), "k").collect() == []
