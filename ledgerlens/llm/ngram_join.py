@@ -27,6 +27,7 @@ Buckets beyond CHUNK sets are dealt to several tasks.
 from __future__ import annotations
 
 import math
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -130,13 +131,13 @@ def frequency_codes(docs: DataFrame, size: int, bits: int) -> tuple[np.ndarray,
             part = total[i:i + width]
             if part.any():
                 yield pa.record_batch([pa.array([i // width], pa.int32()),
-                                       pa.array([part.tobytes()], pa.binary())], ["slice", "counts"])
+                                       pa.array([zlib.compress(part, 1)], pa.binary())], ["slice", "counts"])
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}  # a task's slices
         for batch in batches:
             for k, counts in zip(batch.column(0).to_pylist(), batch.column(1)):
-                part = np.frombuffer(counts.as_buffer(), np.uint8)
+                part = np.frombuffer(zlib.decompress(counts.as_py()), np.uint8)
                 sums[k] = sums.get(k, np.zeros(width, np.int64)) + part
         for k, s in sums.items():
             codes = np.minimum(255, np.floor(8 * np.log2(1.0 + s))).astype(np.uint8)
