@@ -21,6 +21,7 @@ from contextlib import contextmanager
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.hits import keep_hits
 from .common import (LOCATOR, locators, path_exists, shared_path, store, whole_text,
                      with_locator)
 
@@ -118,7 +119,8 @@ def _differing_bytes(located: DataFrame, state: DataFrame) -> DataFrame:
 
     The rows of the HOT_GROUPS largest groups are dealt over many tasks and
     compared there, then the least and greatest text of each; any other group
-    has at most one row in HOT_GROUPS of all.
+    has at most one row in HOT_GROUPS of all. Texts that were met once are left
+    out below the exchange, but for a few that a bitmap of fixed size lets pass.
     """
     salts = int(located.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     hits = state.where("group_size > 1").select("digest", "group_size")
@@ -128,7 +130,8 @@ def _differing_bytes(located: DataFrame, state: DataFrame) -> DataFrame:
     all_salts = F.sequence(F.lit(0), F.lit(salts - 1))
     wanted = (hits.join(hot, "digest", "left").select("digest", F.explode(
         F.when(F.col("hot"), all_salts).otherwise(F.array(F.lit(0)))).alias("salt")))
-    rows = (located.select("digest", "text", "locator").join(hot, "digest", "left").select(
+    hit_rows = keep_hits(located.select("digest", "text", "locator"), hits, "digest")
+    rows = (hit_rows.join(hot, "digest", "left").select(
         "digest", "text", F.when(F.col("hot"), F.pmod(F.xxhash64("locator"), F.lit(salts)))
         .otherwise(0).cast("int").alias("salt")))
     parts = (rows.join(wanted, ["digest", "salt"], "left_semi").groupBy("digest", "salt")
