@@ -236,9 +236,9 @@ parsed AS (
   FROM captures),
 keyed AS (
   SELECT DISTINCT capture_id, url, fetched_at, unnest(list_concat(
-    list_transform(range(1, least(len(string_split(host, '.')), 8) + 1), lambda i:
+    list_transform(range(1, len(string_split(host, '.')) + 1), lambda i:
       array_to_string(string_split(host, '.')[len(string_split(host, '.')) - i + 1:], '.')),
-    list_transform(range(1, least(len(segments), 6) + 1), lambda i:
+    list_transform(range(1, len(segments) + 1), lambda i:
       host || '/' || array_to_string(segments[1:i], '/')))) AS pattern
   FROM parsed WHERE host IS NOT NULL),
 met AS (
