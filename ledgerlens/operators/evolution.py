@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from ..functions.flags import degradation_flag
 from ..functions.numeric import round_half_away, scaled_ratio
 
+# Columns of the mart, in output order.
 OUTPUT_COLUMNS = [
     "bilan_key", "siren", "annee_fiscale", "date_cloture", "type_bilan",
     "chiffre_affaires", "ca_n1", "marge_nette_pct", "marge_nette_n1",
@@ -36,7 +37,7 @@ OUTPUT_COLUMNS = [
     "baisse_ca", "baisse_marge", "flag_degradation",
 ]
 
-# (output name, source column) of the lagged values
+# Fixed values: (output name, source column) of the lagged values.
 LAGGED = [
     ("ca_n1", "chiffre_affaires"),
     ("marge_nette_n1", "marge_nette_pct"),

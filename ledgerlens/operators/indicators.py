@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from ..functions.flags import debt_flag, liquidity_flag
 from ..functions.numeric import round_half_away, safe_ratio, scaled_ratio
 
+# Columns carried from staging, in output order.
 PASS_THROUGH = [
     "bilan_key", "siren", "annee_fiscale", "date_cloture", "type_bilan",
     "capitaux_propres_negatifs", "chiffre_affaires", "resultat_net",

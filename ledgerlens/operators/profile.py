@@ -96,9 +96,11 @@ def volume(raw: DataFrame) -> DataFrame:
 
 
 def rows_per_year(raw: DataFrame, candidates: list[str] = YEAR_CANDIDATES) -> DataFrame:
+    """Rows per value of the first candidate column present; no rows when there
+    is none."""
     col = first_present(raw, candidates)
     if col is None:
-        raise ValueError(f"none of the year columns {candidates} is present")
+        return raw.sparkSession.createDataFrame([], f"{candidates[0]} string, nb long")
     return sort_small(raw.groupBy(col).agg(F.count(F.lit(1)).alias("nb")),
                       F.col(col).asc_nulls_last())
 
@@ -115,9 +117,11 @@ def top_codes(df: DataFrame, n: int = 10, candidates: list[str] = CODE_CANDIDATE
 
 
 def null_rates_wide(raw: DataFrame, candidates: list[str] = FINANCE_CANDIDATES) -> DataFrame:
+    """One row over the candidate columns present; no row when there is none."""
     cols = [c for c in candidates if c in set(raw.columns)]
     if not cols:
-        raise ValueError("no finance column present")
+        return raw.sparkSession.createDataFrame(
+            [], ", ".join(f"null_pct_{c} double" for c in candidates))
     return raw.agg(*[_null_pct(c).alias(f"null_pct_{c}") for c in cols])
 
 

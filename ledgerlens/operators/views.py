@@ -18,6 +18,7 @@ from ..functions.flags import flag_severity, status_band
 from ..functions.numeric import non_finite_to_null
 from .ordering import sort_small
 
+# Columns of the views, in output order.
 STATEMENT_COLUMNS = ["siren", "annee_fiscale", "date_cloture", "type_bilan",
                      "chiffre_affaires", "capitaux_propres", "total_actif"]
 INDICATOR_COLUMNS = [

@@ -204,3 +204,10 @@ def test_small_reports_are_totally_ordered(spark):
     assert [r.annee for r in rows_per_year(raw).collect()] == [2010, 2011, 2012, 2013, 2014]
     rates = [r.pct_null for r in null_rates(raw).collect()]
     assert rates == sorted(rates, reverse=True)
+
+
+def test_profiles_without_a_candidate_column_give_no_rows(spark):
+    from ledgerlens.operators.profile import null_rates_wide, rows_per_year, top_codes
+    df = spark.range(3)
+    for report in (rows_per_year, null_rates_wide, top_codes):
+        assert report(df).collect() == []
