@@ -18,6 +18,7 @@ a candidate list (``first_present``) instead of trying queries in turn.
 * ``duplicate_pairs`` – number of (company, year) pairs filed more than once.
 * ``balance_coherence`` – filings whose assets and liabilities differ by more
   than 5 % of assets.
+* ``report``          – all of these but the medians from one scan and one count.
 
 Shares of a total are a window over the (few) aggregated rows, never over
 the input rows.
@@ -196,3 +197,97 @@ def balance_coherence(raw: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("total_avec_actif_passif"),
                  n_bad.alias("incoherents"),
                  round_half_away(F.lit(100.0) * n_bad / F.count(F.lit(1)), 1).alias("pct_incoherents")))
+
+
+def _cells(raw: DataFrame, year: int) -> tuple[list[Column], list[Column]]:
+    """What a row is counted under: (report, item, detail) cells that every row
+    has, and those that only some rows have (null otherwise)."""
+    ca, rn, cp = F.col("chiffre_affaires"), F.col("resultat_net"), F.col("capitaux_propres")
+    assets, owed = F.col("total_actif"), F.col("total_passif")
+    balanced = (assets > F.lit(0)) & owed.isNotNull()
+
+    def cell(report: str, item, detail=None) -> Column:
+        item = F.lit(item) if isinstance(item, str) else item.cast("string")
+        return F.struct(F.lit(report).alias("report"), item.alias("item"),
+                        (F.lit(None) if detail is None else detail).cast("string").alias("detail"))
+
+    always = [cell("pairs", F.col("siren"), F.col("annee")), cell("years", F.col("annee")),
+              cell("codes", F.col("code_naf"))]
+    some = [F.when(ca > F.lit(0), cell("types", F.col("type_bilan"))),
+            F.when(F.col("annee") == F.lit(year), cell("segments", revenue_segment(ca)))]
+    flags = {("nulls", c): F.col(c).isNull() for c in NULL_PROFILE_COLUMNS}
+    flags |= {("outliers", "ca_nul"): ca.isNull() | (ca <= F.lit(0)),
+              ("outliers", "ca_sup_1B"): ca > F.lit(HUGE_REVENUE),
+              ("outliers", "cp_negatifs"): cp < F.lit(0),
+              ("outliers", "rn_sup_ca"): (rn > ca) & (ca > F.lit(0)),
+              ("coherence", "total_avec_actif_passif"): balanced,
+              ("coherence", "incoherents"): balanced & (
+                  F.abs(assets - owed) > assets * F.lit(COHERENCE_TOLERANCE))}
+    return always, some + [F.when(on, cell(*at)) for at, on in flags.items()]
+
+
+def _fixed_cells() -> list[tuple[str, str]]:
+    """Cells that are reported whether or not a row is in them."""
+    return ([("nulls", c) for c in NULL_PROFILE_COLUMNS]
+            + [("outliers", c) for c in ("ca_nul", "ca_sup_1B", "cp_negatifs", "rn_sup_ca")]
+            + [("coherence", c) for c in ("total_avec_actif_passif", "incoherents")])
+
+
+def report(raw: DataFrame, year: int, top: int = 10) -> DataFrame:
+    """The profile in one scan: report, item, metric, value.
+
+    A row is counted under the cells it belongs to (its company and year, its
+    year, its code, its class, each null column, each flag), in one aggregate
+    that is partial before its exchange; only (company, year) cells grow with
+    the data. They are folded per company, then all cells per report and item.
+    ``segments`` are those of ``year``, ``codes`` the ``top`` most frequent ones. An
+    empty table has counts of 0, and null shares.
+    """
+    always, some = _cells(raw, year)
+    cells = F.concat(F.array(*always), F.filter(F.array(*some), lambda c: c.isNotNull()))
+    counted = (raw.select(F.explode(cells).alias("c")).groupBy("c.report", "c.item", "c.detail")
+               .agg(F.count(F.lit(1)).alias("n")))
+    folded = counted.groupBy("report", "item").agg(
+        F.sum("n").alias("n"), F.count_if(F.col("n") > 1).alias("repeated"))
+    blank = raw.sparkSession.createDataFrame(
+        [(r, i, 0, 0) for r, i in [*_fixed_cells(), ("pairs", None)]],
+        "report string, item string, n long, repeated long")
+    is_pair = F.col("report") == "pairs"
+    totals = (folded.unionByName(blank)
+              .groupBy("report", F.when(~is_pair, F.col("item")).alias("item"))
+              .agg(F.sum("n").alias("n"), F.count("item").alias("members"),
+                   F.sum("repeated").alias("repeated")))
+    # from here on a few rows per report
+    of_report = Window.partitionBy("report")
+    rows = F.max(F.when(is_pair, F.col("n"))).over(Window.partitionBy())
+    balanced = F.max(F.when(F.col("item") == "total_avec_actif_passif", F.col("n"))).over(of_report)
+    placed = totals.select(
+        "*", rows.alias("rows"), F.sum("n").over(of_report).alias("all"), balanced.alias("balanced"),
+        F.row_number().over(of_report.orderBy(F.desc("n"), F.col("item").asc_nulls_last())).alias("place"))
+
+    def line(name: str, item, metric, value) -> Column:
+        return F.struct(F.lit(name).alias("report"), item.alias("item"),
+                        metric.alias("metric"), value.cast("double").alias("value"))
+
+    def percent(of: str) -> Column:
+        return round_half_away(F.lit(100.0) * F.col("n") / F.nullif(F.col(of), F.lit(0)), 1)
+
+    n, item, nothing = F.col("n"), F.col("item"), F.lit(None).cast("string")
+    lines = (
+        F.when(is_pair, F.array(line("volume", nothing, F.lit("nb_lignes"), n),
+                                line("volume", nothing, F.lit("nb_siren"), F.col("members")),
+                                line("duplicates", nothing, F.lit("nb_doublons"), F.col("repeated"))))
+        .when(F.col("report") == "years", F.array(line("years", item, F.lit("nb"), n)))
+        .when((F.col("report") == "codes") & (F.col("place") <= top),
+              F.array(line("codes", item, F.lit("nb"), n))))
+    for name in ("types", "segments"):
+        lines = lines.when(F.col("report") == name, F.array(
+            line(name, item, F.lit("nb"), n), line(name, item, F.lit("pct"), percent("all"))))
+    lines = (lines.when(F.col("report") == "nulls",
+                        F.array(line("nulls", item, F.lit("pct_null"), percent("rows"))))
+             .when(F.col("report") == "outliers", F.array(line("outliers", nothing, item, n)))
+             .when(item == "incoherents", F.array(
+                 line("coherence", nothing, item, n),
+                 line("coherence", nothing, F.lit("pct_incoherents"), percent("balanced"))))
+             .when(F.col("report") == "coherence", F.array(line("coherence", nothing, item, n))))
+    return placed.select(F.inline(lines))

@@ -4,7 +4,9 @@ A check is ``unique`` (keys occurring more than once; nulls ignored),
 ``not_null`` (null rows) or ``accepted_values`` (non-null rows outside the
 allowed set). ``check_table`` reads a table once: rows are counted per key
 (with the failures of the other checks among them), then over the keys; a
-further unique key is a further grouped count. ``quality_report`` unions every table's results into rows of
+further unique key is a further grouped count. A key that contains the column a
+table is bucketed by is counted inside the buckets, without an exchange
+(``within``). ``quality_report`` unions every table's results into rows of
 ``table_name, column_name, check_name, failures`` (0 means passed).
 """
 
@@ -48,7 +50,13 @@ def declared_checks(min_year: int, max_year: int) -> dict[str, TableChecks]:
     }
 
 
-def check_table(name: str, df: DataFrame, checks: TableChecks) -> DataFrame:
+def check_table(name: str, df: DataFrame, checks: TableChecks,
+                within: dict[str, str] | None = None) -> DataFrame:
+    """One row per check of ``df``. ``within`` names, for a unique key, the column
+    that clusters the stored table and that the key starts with (followed by
+    ``_``): equal keys are then in one bucket, and rows are counted by both. A
+    row that breaks this rule raises an error when the check runs, since equal
+    keys could then be in several buckets."""
     labels, exprs = [], []
     for c in checks.not_null:
         labels.append((c, "not_null"))
@@ -63,10 +71,19 @@ def check_table(name: str, df: DataFrame, checks: TableChecks) -> DataFrame:
         if key is None:
             one_row, found = df.agg(*mine), labels
         else:
-            per_key = df.groupBy(F.col(key).alias("_key")).agg(
+            repeated = F.count_if(F.col("_key").isNotNull() & (F.col("_n") > F.lit(1)))
+            clusters = []
+            if cluster := (within or {}).get(key):
+                clusters = [F.col(cluster).alias("_cluster")]
+                inside = F.col("_key").startswith(F.concat("_cluster", F.lit("_")))
+                astray = F.count_if(F.col("_key").isNotNull() & ~F.coalesce(inside, F.lit(False)))
+                repeated = F.when(astray > 0, F.raise_error(F.lit(
+                    f"{name}: {key} does not start with {cluster}; check without `within`"))
+                ).otherwise(repeated)
+            per_key = df.groupBy(*clusters, F.col(key).alias("_key")).agg(
                 F.count(F.lit(1)).alias("_n"), *mine)
             one_row = per_key.agg(
-                F.count_if(F.col("_key").isNotNull() & (F.col("_n") > F.lit(1))).alias("_dup"),
+                repeated.cast("bigint").alias("_dup"),
                 *[F.coalesce(F.sum(f"_c{i}"), F.lit(0)).alias(f"_c{i}")
                   for i in range(len(mine))])
             found = [(key, "unique"), *labels[:len(mine)]]
@@ -80,6 +97,7 @@ def check_table(name: str, df: DataFrame, checks: TableChecks) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def quality_report(tables: dict[str, DataFrame], checks: dict[str, TableChecks]) -> DataFrame:
+def quality_report(tables: dict[str, DataFrame], checks: dict[str, TableChecks],
+                   within: dict[str, str] | None = None) -> DataFrame:
     return reduce(DataFrame.unionByName,
-                  [check_table(n, tables[n], checks[n]) for n in checks if n in tables])
+                  [check_table(n, tables[n], checks[n], within) for n in checks if n in tables])

@@ -45,7 +45,7 @@ AMOUNT_COLUMNS = [
 # nulls last): rows equal in all of them give the same staged row, so the
 # output is deterministic, and source columns the output does not carry are
 # neither scanned nor shuffled for the dedup.
-TIE_BREAK_COLUMNS = sorted(AMOUNT_COLUMNS + ["effectif_moyen"])
+TIE_BREAK_COLUMNS = sorted(AMOUNT_COLUMNS + ["effectif_moyen"]) + ["type_bilan"]
 
 # Filing-type preference of the dedup (others rank last).
 FILING_PREFERENCE = {"C": 1, "K": 2}

@@ -53,7 +53,7 @@ def build_models(raw_accounts: DataFrame, register: DataFrame, *,
 def materialize_models(raw_accounts: DataFrame, register: DataFrame, *, buckets: int,
                        prefix: str = "", location: str | None = None,
                        name_of: Callable[[str], str] | None = None,
-                       files_per_year: int = 16, min_year: int = DEFAULT_MIN_YEAR,
+                       year_buckets: int = 16, min_year: int = DEFAULT_MIN_YEAR,
                        max_year: int = DEFAULT_MAX_YEAR, min_panel: int = 50,
                        register_is_renamed: bool = False) -> Models:
     """Store each model as a table (``CREATE OR REPLACE``) in dependency order.
@@ -61,7 +61,7 @@ def materialize_models(raw_accounts: DataFrame, register: DataFrame, *, buckets:
     Downstream models are rebuilt from the stored upstream tables, so each
     stage reads its input once and co-located buckets replace shuffles.
     ``buckets`` should make a bucket a few hundred MB at the target scale, and
-    ``files_per_year`` likewise the files of a year of the evolution mart.
+    ``year_buckets`` likewise a bucket of one year of the evolution mart.
     Tables are files under ``location``, or in the warehouse without it, and
     are named by ``prefix``, or by ``name_of`` if given.
     """
@@ -78,7 +78,7 @@ def materialize_models(raw_accounts: DataFrame, register: DataFrame, *, buckets:
                bucket_by=["siren"], buckets=buckets, sort_by=["siren"])
     ind = save(compute_indicators(stg), "mart_indicateurs", **by_company_year)
     evo = save(compute_evolution(ind), "mart_evolution", partition_by=["annee_fiscale"],
-               spread_by=["siren"], spread=files_per_year)
+               bucket_by=["siren"], buckets=year_buckets, sort_by=["siren"])
     # co-located tables join without a shuffle; counts and quartiles read the stored columns
     bench = save(sector_benchmark(ind, ent, min_panel=min_panel, store=materialize),
                  "mart_benchmark_sectoriel")

@@ -21,7 +21,8 @@ from .operators.staging import stage_companies, stage_statements
 from .plans.models import Models, materialize_models
 from .plans.runs import shared_run
 from .session import materialize, scratch_path, scratch_table
-from .sources.fixtures import fixture_accounts, fixture_register
+from .sources.fixtures import (amended_accounts, damaged, fixture_accounts,
+                               fixture_register)
 from .sources.parquet import company_register, load_raw_accounts, read_accounts
 
 MIN_YEAR, MAX_YEAR = 1995, 2001
@@ -166,7 +167,7 @@ def _models(spark, sf_dir) -> Models:
 
     def build(name_of, location):
         return materialize_models(_raw(spark, sf_dir), fixture_register(spark, sf_dir),
-                                  name_of=name_of, location=location, files_per_year=2, **parameters)
+                                  name_of=name_of, location=location, year_buckets=4, **parameters)
 
     inputs = [f"{sf_dir.rstrip('/')}/{name}.parquet" for name in ("orders", "customer")]
     return shared_run(spark, inputs, parameters, build)
@@ -282,7 +283,34 @@ def q_quality_report(spark, sf_dir):
         "mart_indicateurs": m.mart_indicateurs, "mart_evolution": m.mart_evolution,
         "mart_benchmark_sectoriel": m.mart_benchmark_sectoriel,
     }
-    return quality_report(tables, declared_checks(MIN_YEAR, MAX_YEAR))
+    return quality_report(tables, declared_checks(MIN_YEAR, MAX_YEAR),
+                          within={"bilan_key": "siren"})
+
+
+def q_quality_failures(spark, sf_dir):
+    """The declared checks on tables with seeded failures: repeated keys, nulls
+    and values that are not accepted."""
+    m, checks = _models(spark, sf_dir), declared_checks(MIN_YEAR, MAX_YEAR)
+    tables = {}
+    for name, declared in checks.items():
+        df = getattr(m, name)
+        number = F.col("siren" if "siren" in df.columns else "nb_entreprises").cast("bigint")
+        tables[name] = damaged(df, number, declared.not_null, declared.accepted)
+    return quality_report(tables, checks)
+
+
+def q_stg_statements_amended(spark, sf_dir):
+    """Staging of accounts with fractional amounts and tied, amended filings."""
+    return stage_statements(amended_accounts(_raw(spark, sf_dir)), MIN_YEAR, MAX_YEAR)
+
+
+def q_indicators_amended(spark, sf_dir):
+    return compute_indicators(q_stg_statements_amended(spark, sf_dir))
+
+
+def q_profile_report(spark, sf_dir):
+    """All profile reports but the medians, from one scan."""
+    return profile.report(_raw(spark, sf_dir), PROFILE_YEAR)
 
 
 QUERIES: dict[str, Query] = {
@@ -329,4 +357,8 @@ QUERIES: dict[str, Query] = {
     "stored_models_evolution": q_stored_models_evolution,
     "stored_models_benchmark": q_stored_models_benchmark,
     "non_finite_cleaned": q_non_finite_cleaned,
+    "quality_failures": q_quality_failures,
+    "stg_statements_amended": q_stg_statements_amended,
+    "indicators_amended": q_indicators_amended,
+    "profile_report": q_profile_report,
 }

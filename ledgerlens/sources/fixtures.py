@@ -125,3 +125,41 @@ def fixture_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fixture_register(spark: SparkSession, sf_dir: str) -> DataFrame:
     return register_records(read_table(spark, sf_dir, "customer"))
+
+
+def amended_accounts(raw: DataFrame) -> DataFrame:
+    """All accounts with fractional amounts, equity of 0, and amended filings of
+    the same company and year: equal in type and date, of other types and
+    without one, and later ones."""
+    n = F.col("total_actif")
+    amounts = {f.name for f in raw.schema.fields if f.dataType.simpleString() == "bigint"}
+    amounts.discard("effectif_moyen")
+    fractional = raw.select(*[
+        (F.col(c) + (n % 4) * F.lit(0.25)).alias(c) if c in amounts else F.col(c)
+        for c in raw.columns]).withColumn("_n", F.floor("total_actif").cast("bigint"))
+    zero = fractional.withColumn("capitaux_propres", F.when(
+        F.col("_n") % 7 == 0, F.lit(0.0)).otherwise(F.col("capitaux_propres")))
+    same = zero.where(F.col("_n") % 3 == 0).withColumns({
+        "ebe": F.when(F.col("_n") % 2 == 0, F.col("ebe") - 1.5),
+        "reserves": F.col("reserves") + 0.5})
+    other = zero.where(F.col("_n") % 5 == 0).withColumn(
+        "type_bilan", F.when(F.col("_n") % 10 == 0, F.lit("N")))
+    later = zero.where(F.col("_n") % 11 == 0).withColumns({
+        "date_cloture_exercice": F.date_add("date_cloture_exercice", 30),
+        "chiffre_affaires": F.col("chiffre_affaires") * 2})
+    return zero.unionByName(same).unionByName(other).unionByName(later).drop("_n")
+
+
+def damaged(table: DataFrame, number, not_null: list[str], accepted: dict[str, list]) -> DataFrame:
+    """All rows of ``table``, of which every fifth (by ``number``, a column of
+    integers) twice, with nulls and values that the declared checks refuse."""
+    n = F.col("_n")
+    rows = table.withColumn("_n", number)
+    rows = rows.unionByName(rows.where(n % 5 == 0))
+    changes = {}
+    for i, c in enumerate(accepted):
+        odd = F.lit("INCONNU" if isinstance(accepted[c][0], str) else 1900)
+        changes[c] = F.when(n % (11 + 2 * i) == 3, odd).otherwise(F.col(c))
+    for i, c in enumerate(not_null):
+        changes[c] = F.when(n % (17 + 2 * i) != 1, changes.get(c, F.col(c)))
+    return rows.withColumns(changes).drop("_n") if changes else rows.drop("_n")

@@ -72,7 +72,7 @@ def test_report_filters_come_before_the_store_step(spark, monkeypatch):
 
 STORE_FIRST = {"sector_benchmark", "benchmark_report", "ranking_margin", "ranking_bfr",
                "division_history", "quality_report", "company_lookup", "accounts_scan",
-               "accounts_loaded", "schema_listing", "stored_models_indicators",
+               "accounts_loaded", "schema_listing", "quality_failures", "stored_models_indicators",
                "stored_models_evolution", "stored_models_benchmark"}
 
 
@@ -118,3 +118,28 @@ def test_staging_reads_only_output_and_filter_columns(spark, tmp_path):
     for col in ("total_passif", "capacite_autofinancement", "bfr"):
         assert col not in read_schema
     assert "EqualTo(confidentiality,Public)" in plan
+
+
+def test_profile_report_scans_once(spark):
+    plan = plan_text(QUERIES["profile_report"](spark, SF_SMALL))
+    assert plan.count("FileScan") == 1
+
+
+def test_profile_report_of_nothing_and_of_few_rows(spark):
+    from ledgerlens.operators import profile
+    from tests.rows import filing, raw_df
+    empty = {(r.report, r.item, r.metric): r.value
+             for r in profile.report(raw_df(spark, []), 2020).collect()}
+    assert empty["volume", None, "nb_lignes"] == 0 and empty["duplicates", None, "nb_doublons"] == 0
+    assert empty["nulls", "ebe", "pct_null"] is None
+    assert empty["coherence", None, "pct_incoherents"] is None
+    rows = [filing(chiffre_affaires=10, resultat_net=11, total_actif=100, total_passif=106),
+            filing(chiffre_affaires=None, type_bilan=None), filing(siren=None, annee=None)]
+    got = {(r.report, r.item, r.metric): r.value
+           for r in profile.report(raw_df(spark, rows), 2020).collect()}
+    assert got["volume", None, "nb_lignes"] == 3 and got["volume", None, "nb_siren"] == 1
+    assert got["duplicates", None, "nb_doublons"] == 1
+    assert got["years", None, "nb"] == 1 and got["codes", None, "nb"] == 3
+    assert got["types", "C", "pct"] == 100.0 and got["segments", "6. >250M", "nb"] == 1
+    assert got["outliers", None, "rn_sup_ca"] == 1 and got["coherence", None, "incoherents"] == 1
+    assert got["nulls", "chiffre_affaires", "pct_null"] == 66.7

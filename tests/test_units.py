@@ -211,3 +211,11 @@ def test_profiles_without_a_candidate_column_give_no_rows(spark):
     df = spark.range(3)
     for report in (rows_per_year, null_rates_wide, top_codes):
         assert report(df).collect() == []
+
+
+def test_equal_filings_of_other_types_end_on_the_type(spark):
+    from ledgerlens.operators.staging import stage_statements
+    from tests.rows import filing, raw_df
+    for kinds in (["S", "N", None], [None, "N", "S"]):
+        rows = [filing(type_bilan=t, chiffre_affaires=5) for t in kinds]
+        assert stage_statements(raw_df(spark, rows)).first()["type_bilan"] == "N"
