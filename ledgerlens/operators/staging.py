@@ -15,6 +15,10 @@
     category). The code is trimmed and upper-cased, the division is its first
     two characters, and the macro sector is read from the raw prefix.
 
+``stage_by_company`` gives the rows of ``stage_statements``, clustered by company:
+a mergeable minimum per year below one exchange on ``siren``, which the windows of
+the evolution then share.
+
 Both dedups are ``row_number() == 1`` windows: Spark plans them with a
 partial ``WindowGroupLimit`` before the shuffle, so a heavily duplicated key
 sends at most one row per map task across the network.
@@ -75,18 +79,55 @@ def filing_rank(type_col: Column) -> Column:
 
 def stage_statements(raw: DataFrame, min_year: int = DEFAULT_MIN_YEAR,
                      max_year: int = DEFAULT_MAX_YEAR) -> DataFrame:
-    dtypes = {f.name: f.dataType for f in raw.schema.fields}
-    filtered = raw.where(
-        F.col("siren").isNotNull()
-        & F.col("annee").between(F.lit(min_year), F.lit(max_year))
-        & (F.col("confidentiality") == F.lit(PUBLIC)))
-
+    filtered = _usable(raw, min_year, max_year)
     order = ([filing_rank(F.col("type_bilan")), F.col("date_cloture_exercice").desc_nulls_last()]
              + [F.col(c).asc_nulls_last() for c in TIE_BREAK_COLUMNS])
     w = Window.partitionBy("siren", "annee").orderBy(*order)
     deduped = (filtered.withColumn("_rn", F.row_number().over(w))
                .where(F.col("_rn") == 1))
 
+    return _staged(deduped, raw)
+
+
+def stage_by_company(raw: DataFrame, min_year: int = DEFAULT_MIN_YEAR,
+                     max_year: int = DEFAULT_MAX_YEAR) -> DataFrame:
+    """The rows of ``stage_statements``, hash-clustered by ``siren``.
+
+    A filing is a struct that compares as the dedup prefers (nulls last: a
+    struct compares them first, so each value stands behind its null test), and
+    the preferred filing of a year is its least struct. Minima are merged: map
+    tasks send one row per company, however many copies it has, and the
+    exchange on ``siren`` is the only one. A row holds at most one filing per
+    year of the bounds.
+    """
+    def last_if_null(c: str, key=None):
+        return [F.col(c).isNull().alias(f"no_{c}"), (F.col(c) if key is None else key).alias(c)]
+
+    day = -F.datediff("date_cloture_exercice", F.lit("1970-01-01").cast("date"))  # latest first
+    filing = F.struct(filing_rank(F.col("type_bilan")).alias("rank"),
+                      *last_if_null("date_cloture_exercice", day),
+                      *[x for c in TIE_BREAK_COLUMNS for x in last_if_null(c)])
+    usable = _usable(raw, min_year, max_year).select("siren", "annee", filing.alias("filing"))
+    years = range(min_year, max_year + 1)
+    best = usable.groupBy("siren").agg(*[
+        F.min(F.when(F.col("annee") == F.lit(y), F.col("filing"))).alias(f"y{y}") for y in years])
+    by_year = F.array(*[F.struct(F.lit(y).alias("annee"), F.col(f"y{y}").alias("filing")) for y in years])
+    rows = (best.select("siren", F.explode(F.filter(by_year, lambda x: x["filing"].isNotNull())).alias("x"))
+            .select("siren", F.col("x.annee").alias("annee"), "x.filing.*")
+            .withColumn("date_cloture_exercice", F.date_add(
+                F.lit("1970-01-01").cast("date"), -F.col("date_cloture_exercice"))))
+    return _staged(rows, raw)
+
+
+def _usable(raw: DataFrame, min_year: int, max_year: int) -> DataFrame:
+    return raw.where(
+        F.col("siren").isNotNull()
+        & F.col("annee").between(F.lit(min_year), F.lit(max_year))
+        & (F.col("confidentiality") == F.lit(PUBLIC)))
+
+
+def _staged(deduped: DataFrame, raw: DataFrame) -> DataFrame:
+    dtypes = {f.name: f.dataType for f in raw.schema.fields}
     return deduped.select(
         "siren",
         F.col("date_cloture_exercice").alias("date_cloture"),

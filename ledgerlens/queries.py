@@ -17,7 +17,7 @@ from .operators.benchmark import sector_benchmark
 from .operators.evolution import compute_evolution
 from .operators.indicators import compute_indicators
 from .operators.quality import declared_checks, quality_report
-from .operators.staging import stage_companies, stage_statements
+from .operators.staging import stage_by_company, stage_companies, stage_statements
 from .plans.models import Models, materialize_models
 from .plans.runs import shared_run
 from .session import materialize, scratch_path, scratch_table
@@ -58,7 +58,9 @@ def _ind(spark, sf_dir):
 
 
 def _evo(spark, sf_dir):
-    return compute_evolution(_ind(spark, sf_dir))
+    """Staged clustered by company: the dedup and both lag windows share one exchange."""
+    stg = stage_by_company(_raw(spark, sf_dir), MIN_YEAR, MAX_YEAR)
+    return compute_evolution(compute_indicators(stg))
 
 
 def q_stg_statements(spark, sf_dir):

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.operators.benchmark import sector_benchmark
 from ledgerlens.operators.indicators import compute_indicators
-from ledgerlens.operators.staging import stage_companies, stage_statements
+from ledgerlens.operators.staging import stage_by_company, stage_companies, stage_statements
 from ledgerlens.oracle import _benchmark_select
 from ledgerlens.sources.fixtures import fixture_accounts, fixture_register
 from ledgerlens.sources.parquet import company_register
@@ -28,6 +28,23 @@ def test_hot_copies_dedup_to_same_rows(spark):
     a = stage_statements(raw, 1995, 2001)
     b = stage_statements(skewed, 1995, 2001)
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    # clustered by company: minima are merged below the exchange
+    c = stage_by_company(skewed, 1995, 2001)
+    assert c.exceptAll(a).count() == 0 and a.exceptAll(c).count() == 0
+    plan = c._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("partial_min(") >= 7 and "hashpartitioning(siren" in plan
+
+
+def test_both_stagings_agree_on_ties(spark):
+    """Amended filings: equal in type and date, of other types, with fractions."""
+    from ledgerlens.sources.fixtures import amended_accounts
+    raw = amended_accounts(fixture_accounts(spark, SF_SMALL))
+    odd = raw.where("total_actif % 2 = 0").withColumn("date_cloture_exercice", F.lit(None).cast("date"))
+    raw = raw.unionByName(odd)
+    a, b = stage_statements(raw, 1995, 2001), stage_by_company(raw, 1995, 2001)
+    assert a.dtypes == b.dtypes
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    assert stage_by_company(raw.limit(0), 1995, 2001).count() == 0
 
 
 def test_single_hot_panel_matches_duckdb(spark):
