@@ -207,7 +207,8 @@ def encode_documents(docs: DataFrame, vocabulary: str = DEFAULT_RANKS,
                      pattern: str | None = None) -> DataFrame:
     """doc_id, ids (little-endian unsigned 32-bit integers) of every row of
     ``docs`` (columns doc_id and text; others ignored). A null or empty text
-    has no ids; a null doc_id and repeated rows are kept as they are."""
+    has no ids; a null doc_id and repeated rows are kept as they are; texts are
+    encoded whole; an empty table gives no rows."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(vocabulary, pattern)
         for batch in batches:
@@ -221,7 +222,8 @@ def encode_documents(docs: DataFrame, vocabulary: str = DEFAULT_RANKS,
 
 
 def decode_documents(encoded: DataFrame, vocabulary: str = DEFAULT_RANKS) -> DataFrame:
-    """doc_id, ids and the decoded bytes of every row of ``encoded``."""
+    """doc_id, ids and the decoded bytes of every row of ``encoded``. No ids give no bytes; null
+    doc_ids and repeated rows stay; an empty table gives no rows."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(vocabulary)
         for batch in batches:

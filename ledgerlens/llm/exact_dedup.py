@@ -147,7 +147,11 @@ def _classed(rows: DataFrame, keepers: DataFrame, on: list[str]) -> DataFrame:
 
 
 def drop_copies(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns."""
+    """The rows of ``docs`` that stay, with all their columns and no others.
+
+    A null text equals an empty one; of repeated rows, those with equal ids
+    included, one stays; whole texts are compared; an empty table gives no
+    rows."""
     located = with_locator(docs)
     gone = exact_dedup(located).where("not kept").select(F.col("locator").alias("_ll_gone"))
     return located.join(gone, F.col(LOCATOR) == F.col("_ll_gone"), "left_anti").drop(LOCATOR)

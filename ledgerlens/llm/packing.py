@@ -11,7 +11,8 @@ The search is branch and bound by bin completion: the largest length left is
 taken, the undominated fillings of the room beside it are enumerated, the
 best-fitting first, and one is used as often as the counts allow. A branch
 ends when its waste exceeds what a plan better than the incumbent may waste.
-The first incumbent is the better of best-fit and first-fit decreasing.
+The first incumbent is the better of best-fit and first-fit decreasing; inside the
+search, best-fit completions of a branch may become the incumbent.
 """
 
 from __future__ import annotations
@@ -32,8 +33,8 @@ CAPACITY = 1024
 END_ID = 2
 #: Branches tried before the best plan found is taken.
 MAX_NODES = 4_000
-#: Nodes between two first-fit completions that may become the incumbent.
-FIRST_FIT_EVERY = 16
+#: Nodes between two best-fit completions that may become the incumbent.
+BEST_FIT_EVERY = 16
 #: Fillings tried around a largest piece, and steps spent to find them.
 MAX_FILLINGS = 6
 MAX_FILLING_STEPS = 3_000
@@ -109,8 +110,9 @@ def completions(left: dict[int, int], largest: int, capacity: int,
     at most ``max_waste``, the least waste and then the fewest pieces first.
 
     Lengths are tried in descending order, each at its largest count first. A
-    filling to which a piece left could be added, or in which a piece could be
-    exchanged for a longer one left, is dominated by that one and dropped.
+    filling to which a piece left could be added, or in which one or more pieces
+    could be exchanged for a piece left that is as long or longer, is dominated
+    by that one and dropped.
     """
     lengths = sorted((n for n in left if n <= capacity - largest), reverse=True)
     free = {n: left[n] - (n == largest) for n in lengths}
@@ -122,7 +124,17 @@ def completions(left: dict[int, int], largest: int, capacity: int,
         spare = [n for n in lengths if chosen.get(n, 0) < free[n]]
         if any(n <= room for n in spare):
             return True
-        return any(m < n <= m + room for m in chosen for n in spare)
+
+        def sums(but: int) -> int:  # bit s: some pieces of other lengths sum to s
+            bits = 1
+            for m, use in chosen.items():
+                for _ in range(use if m != but else 0):
+                    bits |= bits << m
+            return bits
+
+        every = sums(0)  # a spare length that is chosen too is not exchanged for itself
+        return any((sums(n) if n in chosen else every)
+                   & ((1 << (n + 1)) - (1 << max(1, n - room))) for n in spare)
 
     def extend(at: int, room: int, chosen: dict[int, int]) -> None:
         steps[0] -= 1
@@ -153,7 +165,8 @@ def completions(left: dict[int, int], largest: int, capacity: int,
 
 def _pairs_first(free: dict[int, int], lengths: list[int], room: int, found: list,
                  largest: int) -> None:
-    """Fillings of one or two pieces without waste, found directly."""
+    """Fillings of one or two pieces without waste, found directly; a piece of the
+    whole room dominates every pair."""
     def add(*chosen: int) -> None:
         filling: dict[int, int] = {}
         for n in (largest, *chosen):
@@ -161,6 +174,7 @@ def _pairs_first(free: dict[int, int], lengths: list[int], room: int, found: lis
         found.append((0, len(chosen), tuple(sorted(filling.items(), reverse=True))))
     if free.get(room, 0) > 0:
         add(room)
+        return
     for n in lengths:
         if len(found) >= MAX_FILLINGS or 2 * n < room:
             return
@@ -194,8 +208,8 @@ def pack_histogram(counts: dict[int, int], capacity: int = CAPACITY) -> list[Pat
         if options is None:
             nodes += 1
             options = completions(left, max(left), capacity, allowed - waste)
-            if nodes % FIRST_FIT_EVERY == 0:  # first fit from here: a new incumbent?
-                rest = first_fit_plan(left, capacity)
+            if nodes % BEST_FIT_EVERY == 0:  # best fit from here: a new incumbent?
+                rest = best_fit_plan(left, capacity)
                 if used + (n := sum(p.times for p in rest)) < least:
                     best, least = sofar + rest, used + n
         if not options:

@@ -213,6 +213,11 @@ def judge_quality(docs: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that are kept, with all their columns."""
+    """The rows of ``docs`` that are kept, with all their columns and no others.
+
+    Null and empty texts fail the base rules and go; repeated rows and null ids
+    are judged row by row; texts of any length are read whole; an empty table
+    gives no rows.
+    """
     measured = store(measure(docs), "measured-documents")
     return _verdict(measured, fit_label_model(measured)).where("_ll_kept").select(*docs.columns)

@@ -221,7 +221,11 @@ def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, radius:
 
 def drop_near_copies(docs: DataFrame, shingle_words: int = SHINGLE_WORDS,
                      radius: int = RADIUS) -> DataFrame:
-    """One row of every component, with all its columns."""
+    """One row of every component, with all its columns and no others.
+
+    Null and empty texts have the fingerprint zero and link like any other; of
+    repeated rows one stays; texts are read whole; an empty table gives no
+    rows."""
     located = with_locator(docs)
     gone = near_duplicates(located, shingle_words, radius).where("not kept").select(
         F.col("locator").alias("_ll_gone"))

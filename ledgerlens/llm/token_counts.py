@@ -101,7 +101,11 @@ def token_counts(docs: DataFrame, tokenizer: str = DEFAULT_TOKENIZER,
                  quantiles: tuple[float, ...] = QUANTILES) -> DataFrame:
     """The answers for all of ``docs``: a row for every length that occurs,
     read as a context limit, with ``quantiles`` holding the shares (comma
-    joined, ascending; empty if none) whose quantile the length is."""
+    joined, ascending; empty if none) whose quantile the length is.
+
+    A null or empty text has length 0 and counts as a document, repeated rows
+    count each, ids are not looked at, other columns are ignored, texts are
+    encoded whole, and an empty table gives no rows."""
     sums = store(suffix_sums(store(length_histogram(docs, tokenizer), "lengths")), "suffix-sums")
     at = length_quantiles(sums, quantiles).groupBy("length").agg(
         F.array_join(F.sort_array(F.collect_list("quantile")), ",").alias("quantiles"))

@@ -208,7 +208,8 @@ def write_token_files(docs: DataFrame, base: str | None = None, end_id: int = 0,
 
 def read_token_files(manifest: DataFrame) -> DataFrame:
     """doc_id, start (in the stream of all shards), n_tokens and ids_crc32 of
-    every document, all of them taken from the files."""
+    every document, all of them taken from the files: null doc_ids and repeated
+    rows as they were written. A manifest without shards gives no rows."""
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     shards = manifest.withColumn("base", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)))
     count = max(1, manifest.count())  # one task a shard

@@ -9,7 +9,9 @@ from collections import Counter
 
 import duckdb
 import pytest
+import regex
 
+from ledgerlens.llm import quality as Q
 from ledgerlens.llm import secret_scan as S
 from ledgerlens.llm.queries import ORACLE, QUERIES
 from ledgerlens.llm.quality import judge_quality, keep_good
@@ -52,6 +54,96 @@ def test_measures_and_verdicts(spark):
     assert all(0 <= r["quality"] <= 1 for r in rows)
 
 
+def brute_votes(text):
+    """Votes of every rule on one text: 1 good, 0 bad, None abstains."""
+    text = text or ""
+    n, chars, symbols, dup_lines, repeats, _ = brute_measures(text)
+    words = WORD.findall(text)
+    lines = sum(1 for x in text.split("\n") if WORD.search(x))
+    lowered = {w.lower() for w in words}
+    known = len(lowered & {w for ws in Q.FUNCTION_WORDS for w in ws.split()})
+    capitals = len(regex.findall(r"\p{Lu}", text))
+    digits = sum(c in "0123456789" for c in text)
+
+    def vote(good, bad):
+        return 0 if bad else 1 if good else None
+
+    some = n > 0
+    few_symbols = some and 100 * symbols <= 2 * n
+    return {
+        "length": vote(n >= 100, n < 50),
+        "heavy_symbols": vote(few_symbols, 4 * symbols > n),
+        "word_length": vote(some and 3 * n <= chars <= 10 * n,
+                            some and not 2 * n <= chars <= 14 * n),
+        "symbols": vote(few_symbols, 10 * symbols > n),
+        "duplicate_lines": vote(lines >= 3 and not dup_lines,
+                                lines >= 6 and 10 * dup_lines > 3 * lines),
+        "repetition": vote(some and 100 * repeats <= 5 * n, 100 * repeats > 30 * n),
+        "variety": vote(some and 100 * len(lowered) >= 30 * n,
+                        n >= 50 and 100 * len(lowered) < 10 * n),
+        "function_words": vote(known >= 3, n >= 50 and not known),
+        "capitals": vote(some and 5 * capitals <= chars, 2 * capitals > chars),
+        "digits": vote(some and 10 * digits <= chars, 10 * digits > 3 * chars),
+    }
+
+
+def brute_posteriors(texts):
+    """Expectation-maximisation over single texts, those that don't fail; then
+    the probability that a text is good, for all."""
+    all_votes = [brute_votes(t) for t in texts]
+    learned = [v for t, v in zip(texts, all_votes) if not brute_measures(t)[-1]]
+    rules = list(all_votes[0])
+    share, on_good, on_bad = (Q.PRIOR_GOOD, dict.fromkeys(rules, Q.PRIOR_ON_GOOD),
+                              dict.fromkeys(rules, Q.PRIOR_ON_BAD))
+
+    def posterior(votes):
+        good, bad = share, 1 - share
+        for r, v in votes.items():
+            if v is not None:
+                good *= on_good[r] if v else 1 - on_good[r]
+                bad *= 1 - on_bad[r] if v else on_bad[r]
+        return good / (good + bad)
+
+    def within(x, limits):
+        return round(min(max(x, limits[0]), limits[1]), 6)
+
+    for _ in range(Q.MAX_ROUNDS):
+        q = [posterior(v) for v in learned]
+
+        def rate(rule, right, weights, prior):
+            on = [(v[rule], w) for v, w in zip(learned, weights) if v[rule] is not None]
+            return ((sum(w for v, w in on if v == right) + prior * Q.PRIOR_VOTES)
+                    / (sum(w for _, w in on) + Q.PRIOR_VOTES))
+
+        after = (within(sum(q) / len(q), Q.GOOD_RANGE),
+                 {r: within(rate(r, 1, q, Q.PRIOR_ON_GOOD), Q.ON_GOOD_RANGE) for r in rules},
+                 {r: within(rate(r, 0, [1 - x for x in q], Q.PRIOR_ON_BAD), Q.ON_BAD_RANGE)
+                  for r in rules})
+        change = max([abs(after[0] - share)] + [abs(a[r] - b[r]) for r in rules
+                     for a, b in ((after[1], on_good), (after[2], on_bad))])
+        share, on_good, on_bad = after
+        if change < Q.TOLERANCE:
+            break
+    return [posterior(v) for v in all_votes], (share, on_good, on_bad)
+
+
+def test_posteriors_against_brute_force(spark):
+    clean, bad = clean_and_bad()
+    doubtful = [(3000 + i, prose(i, 90) + " 1234567890" * (2 * i) + " #" * i + "\nsame" * (i % 9))
+                for i in range(40)]
+    texts = [*TEXTS, *clean, *bad, *doubtful]
+    want, (_, on_good, on_bad) = brute_posteriors([t for _, t in texts])
+    rows = judge_quality(documents(spark, texts)).collect()
+
+    def verdicts(entries):
+        return sorted((i is None, i or 0, round(q, 4), kept) for i, q, kept in entries)
+
+    assert verdicts((r["doc_id"], r["quality"], r["kept"]) for r in rows) == verdicts(
+        (i, q, q >= Q.KEEP_PROBABILITY and not brute_measures(t)[-1])
+        for (i, t), q in zip(texts, want))
+    assert any(abs(x - Q.PRIOR_ON_BAD) > 0.1 for x in on_bad.values())  # votes were learned from
+
+
 def test_kept_rows_are_whole_rows(spark):
     clean, bad = clean_and_bad()
     docs = documents(spark, TEXTS + clean + bad)

@@ -1,3 +1,5 @@
+import itertools
+import operator
 import random
 import zlib
 from collections import Counter
@@ -11,7 +13,7 @@ from tokenizers import Tokenizer
 from ledgerlens.llm import queries, token_files
 from ledgerlens.llm.bpe import (BacktrackingEncoder, TextCodec, decode_documents, encode_documents,
                                 merge_by_ranks, read_ranks)
-from ledgerlens.llm.packing import (_lower_bound, best_fit_plan, completions, cut_documents,
+from ledgerlens.llm.packing import (MAX_FILLINGS, _lower_bound, best_fit_plan, completions, cut_documents,
                                     first_fit_plan, pack_documents, pack_histogram, rank_within_length)
 from ledgerlens.llm.token_counts import (length_histogram, length_quantiles, suffix_sums,
                                          token_counts, truncated_total)
@@ -244,6 +246,57 @@ def test_completions_are_undominated():
         assert not any(m < k <= m + room for m, _ in filling[1:] for k in spare)  # or exchanged
 
 
+def test_completions_against_every_filling():
+    """Brute force: fillings of which no part can be exchanged for a piece left."""
+    def room_for(counts, largest, capacity):
+        lengths = sorted(counts, reverse=True)
+        ranges = [range(counts[n] - (n == largest) + 1) for n in lengths]
+        for uses in itertools.product(*ranges):
+            if sum(map(operator.mul, lengths, uses)) <= capacity - largest:
+                yield {n: use for n, use in zip(lengths, uses) if use}
+
+    assert completions({60: 1, 40: 1, 25: 1, 15: 1}, 60, 100, 100) == [((60, 1), (40, 1))]
+    rnd = random.Random(16)
+    for _ in range(60):
+        counts = Counter(rnd.randint(3, 60) for _ in range(rnd.randint(2, 8)))
+        largest, want = max(counts), []
+        for chosen in room_for(counts, largest, 100):
+            room = 100 - largest - sum(n * use for n, use in chosen.items())
+            spare = [n for n, have in counts.items()
+                     if have - (n == largest) > chosen.get(n, 0) and n <= 100 - largest]
+            pieces = list(Counter(chosen).elements())
+            parts = {part for k in range(len(pieces) + 1)
+                     for part in itertools.combinations(pieces, k)}
+            if not any(sum(part) <= n <= sum(part) + room and part != (n,)
+                       for part in parts for n in spare):
+                want.append((room, tuple(sorted((Counter(chosen) + Counter([largest])).items(),
+                                                reverse=True))))
+        found = completions(dict(counts), largest, 100, 100)
+        assert set(found) <= {f for _, f in want}
+        if len(want) <= MAX_FILLINGS:
+            assert set(found) == {f for _, f in want}
+
+
+def test_search_keeps_best_fit_completions(monkeypatch):
+    """Best fit is tried from the nodes of the search, too."""
+    import ledgerlens.llm.packing as P
+    seen, real = [], P.best_fit_plan
+
+    def recording(counts, capacity):
+        plan = real(counts, capacity)
+        seen.append((sum(k * n for k, n in counts.items()), sum(p.times for p in plan)))
+        return plan
+
+    monkeypatch.setattr(P, "best_fit_plan", recording)
+    monkeypatch.setattr(P, "BEST_FIT_EVERY", 1)
+    rnd = random.Random(26)
+    counts = Counter(rnd.randint(20, 60) for _ in range(60))
+    n = sum(p.times for p in P.pack_histogram(counts, 100))
+    total = sum(k * m for k, m in counts.items())
+    assert len(seen) > 1 and n <= seen[0][1]
+    assert any(left < total for left, _ in seen[1:])  # of what a branch left
+
+
 def test_search_beats_best_fit():
     counts = Counter({60: 1, 50: 1, 40: 1, 30: 1, 20: 1})  # two of 100 do
     assert sum(p.times for p in pack_histogram(counts, 100)) == 2

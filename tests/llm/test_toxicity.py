@@ -1,8 +1,12 @@
+import math
 import random
 import zlib
+from collections import defaultdict
 
 import pytest
+import regex
 
+from ledgerlens.llm import toxicity as T
 from ledgerlens.llm.toxicity import (FEATURES, MAX_TRAINING_ROWS, fit_toxicity, learn_lexicon,
                                      score_toxicity, with_features)
 
@@ -84,6 +88,79 @@ def test_features(spark):
     assert all(three[f"_ll_{f}"] == 0 for f in FEATURES)
 
 
+def brute_words(text):
+    table = str.maketrans(T._SPACES, " " * len(T._SPACES), T._MARKS)
+    return text.lower().translate(table).split()
+
+
+def brute_features(text, learned):
+    """Every feature of one text, read from its description."""
+    text = text or ""
+    words, seeds = brute_words(text), set(T.SEED_WORDS.split())
+    whole = {e for e in learned if not e.endswith("*")}
+    stems = {e[:-1] for e in learned if e.endswith("*")}
+    hits = [i for i, w in enumerate(words) if w in seeds | whole]
+    begun = [w for w in words if w[:4] in stems or w[:5] in stems]
+    second = set(T.SECOND_PERSON.split())
+    # eleven words, from five before the hit or from the first one
+    near = [i for i in hits if second & set(words[max(i - 5, 0):max(i - 5, 0) + 11])]
+    touch = regex.search(r"\p{L}[0-9@$!*#]|[0-9@$]\p{L}", text)
+    read = regex.sub(r"(?<=\p{L})!(?=\p{L})", "i", text.lower()).translate(
+        str.maketrans("0134578@$", "oieastbas"))
+    bare = sum(w in seeds | whole for w in brute_words(read)) if touch else 0
+    n, chars = max(len(words), 1), max(len(text), 1)
+
+    def found(pattern):
+        return len(regex.findall(pattern, text))
+
+    return {
+        "seed_density": sum(words[i] in seeds for i in hits) / n,
+        "learned_density": sum(words[i] in whole for i in hits) / n,
+        "stem_density": len(begun) / n, "stem_hits": math.log1p(len(begun)),
+        "lexicon_hits": math.log1p(len(hits)), "near_second_person": len(near) / n,
+        "disguised_hits": max(bare - len(hits), 0) / n,
+        "capitals": found(r"\p{Lu}") / chars, "shouted_words": found(r"\p{Lu}{3,}") / n,
+        "exclamations": text.count("!") / chars, "questions": text.count("?") / chars,
+        "repeated_marks": found(r"[!?]{2,}") / n,
+        "mixed_words": found(r"\p{L}[0-9@$!*#]+\p{L}") / n if touch else 0.0,
+        "spaced_letters": found(r"(?:\b\p{L}[ .]){4,}") / n,
+    }
+
+
+def brute_lexicon(rows):
+    contexts = defaultdict(lambda: (set(), set()))
+    for text, toxic in rows:
+        words = brute_words(text)
+        for before, word in zip(["", *words], words):
+            for entry in [word, *(f"{word[:k]}*" for k in T.STEMS if len(word) >= k)]:
+                contexts[entry][toxic].add(before)
+    n = [sum(len(c[side]) for c in contexts.values()) + 1.0 for side in (0, 1)]
+    odds = {e: math.log((len(c[1]) + 0.5) / n[1]) - math.log((len(c[0]) + 0.5) / n[0])
+            for e, c in contexts.items() if len(c[1]) >= T.MIN_CONTEXTS}
+    top = sorted((-round(o, 9), e) for e, o in odds.items() if o >= T.MIN_LOG_ODDS)
+    return [e for _, e in top][:T.MAX_LEARNED]
+
+
+def test_features_and_lexicon_against_brute_force(spark):
+    docs, labels = corpus(250, 9)
+    rnd = random.Random(9)
+    pieces = ["You", "are", "an", "IDIOT!!", "id1ot", "m0ron?!", "i d i o t ", "$cum", "your", "WHAT",
+              "zorgle", "zorgling", "--", "\n\n", "naïve", "ÉTÉ", "a.b.c.d. ", "st!pid", "1st", "blimfark"]
+    odd = [(9000 + i, " ".join(rnd.choices(pieces, k=rnd.randint(0, 30)))) for i in range(150)]
+    learned = ["zorgle", "blim*", "zorgl*", "blimfark"]
+    texts = docs[:60] + odd + [(i, t) for i, t in TEXTS if i not in (8, 9)]
+    got = with_features(documents(spark, [(n, t) for n, (_, t) in enumerate(texts)]), learned)
+    by_place = {r["doc_id"]: r for r in got.collect()}
+    for n, (_, text) in enumerate(texts):
+        want = brute_features(text, learned)
+        assert set(want) == set(FEATURES)
+        for f in FEATURES:
+            assert by_place[n][f"_ll_{f}"] == pytest.approx(want[f], abs=1e-12), (f, text)
+    rows = [(t, y) for (_, t), (_, y) in zip(docs, labels)]
+    found = learn_lexicon(spark.createDataFrame(rows, "text string, toxic int"))
+    assert found and sorted(found) == sorted(brute_lexicon(rows))
+
+
 def test_runs_of_separators_change_nothing(spark):
     """Doubled blanks and line breaks, and marks that stand alone."""
     plain = "they say that you are a sorry idiot\nand zorgle\nis what your friends say it is"
