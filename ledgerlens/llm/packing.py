@@ -110,9 +110,9 @@ def completions(left: dict[int, int], largest: int, capacity: int,
     at most ``max_waste``, the least waste and then the fewest pieces first.
 
     Lengths are tried in descending order, each at its largest count first. A
-    filling to which a piece left could be added, or in which one or more pieces
-    could be exchanged for a piece left that is as long or longer, is dominated
-    by that one and dropped.
+    filling to which a piece left could be added, or in which a piece could be
+    exchanged for a longer one left, is dominated by that one and dropped; a
+    piece left that fills the room by itself dominates all others.
     """
     lengths = sorted((n for n in left if n <= capacity - largest), reverse=True)
     free = {n: left[n] - (n == largest) for n in lengths}
@@ -120,21 +120,26 @@ def completions(left: dict[int, int], largest: int, capacity: int,
     found: list[tuple[int, int, tuple[tuple[int, int], ...]]] = []
     steps = [MAX_FILLING_STEPS]
 
-    def dominated(chosen: dict[int, int], room: int) -> bool:
-        spare = [n for n in lengths if chosen.get(n, 0) < free[n]]
-        if any(n <= room for n in spare):
-            return True
+    some_left = sum(1 << n for n in lengths)  # sets of lengths as bits
 
-        def sums(but: int) -> int:  # bit s: some pieces of other lengths sum to s
-            bits = 1
-            for m, use in chosen.items():
-                for _ in range(use if m != but else 0):
-                    bits |= bits << m
-            return bits
+    def up_to(bits: int, room: int) -> int:
+        """Bit s: one of the bits from s - room to s is set."""
+        done = 0
+        while done < room:
+            step = min(done + 1, room - done)
+            bits |= bits << step
+            done += step
+        return bits
 
-        every = sums(0)  # a spare length that is chosen too is not exchanged for itself
-        return any((sums(n) if n in chosen else every)
-                   & ((1 << (n + 1)) - (1 << max(1, n - room))) for n in spare)
+    def dominated(chosen: dict[int, int], room: int) -> bool:
+        spare = some_left
+        for m, use in chosen.items():
+            if use == free[m]:
+                spare &= ~(1 << m)
+        if spare & ((1 << (room + 1)) - 1):
+            return True  # a piece left fits beside them
+        own = sum(1 << m for m in chosen)
+        return bool(room and up_to(own << 1, room - 1) & spare)  # one piece for a longer one
 
     def extend(at: int, room: int, chosen: dict[int, int]) -> None:
         steps[0] -= 1
@@ -156,7 +161,12 @@ def completions(left: dict[int, int], largest: int, capacity: int,
             extend(at + 1, room - use * length, chosen)
             chosen.pop(length, None)
 
-    if room_only := capacity - largest:
+    room_only = capacity - largest
+    if room_only and free.get(room_only, 0) > 0:
+        filling = {largest: 1}
+        filling[room_only] = filling.get(room_only, 0) + 1
+        return [tuple(sorted(filling.items(), reverse=True))]
+    if room_only:
         _pairs_first(free, lengths, room_only, found, largest)
     extend(0, capacity - largest, {})
     unique = {filling: (waste, n) for waste, n, filling in found}
@@ -165,22 +175,17 @@ def completions(left: dict[int, int], largest: int, capacity: int,
 
 def _pairs_first(free: dict[int, int], lengths: list[int], room: int, found: list,
                  largest: int) -> None:
-    """Fillings of one or two pieces without waste, found directly; a piece of the
-    whole room dominates every pair."""
-    def add(*chosen: int) -> None:
-        filling: dict[int, int] = {}
-        for n in (largest, *chosen):
-            filling[n] = filling.get(n, 0) + 1
-        found.append((0, len(chosen), tuple(sorted(filling.items(), reverse=True))))
-    if free.get(room, 0) > 0:
-        add(room)
-        return
+    """Fillings of two pieces without waste, found directly (no single piece has
+    the length of the room)."""
     for n in lengths:
         if len(found) >= MAX_FILLINGS or 2 * n < room:
             return
         m = room - n
         if m and free.get(m, 0) > (m == n):
-            add(n, m)
+            filling: dict[int, int] = {}
+            for k in (largest, n, m):
+                filling[k] = filling.get(k, 0) + 1
+            found.append((0, 2, tuple(sorted(filling.items(), reverse=True))))
 
 
 def pack_histogram(counts: dict[int, int], capacity: int = CAPACITY) -> list[Pattern]:

@@ -247,7 +247,7 @@ def test_completions_are_undominated():
 
 
 def test_completions_against_every_filling():
-    """Brute force: fillings of which no part can be exchanged for a piece left."""
+    """Brute force: fillings that no exchange of a piece betters."""
     def room_for(counts, largest, capacity):
         lengths = sorted(counts, reverse=True)
         ranges = [range(counts[n] - (n == largest) + 1) for n in lengths]
@@ -265,10 +265,9 @@ def test_completions_against_every_filling():
             spare = [n for n, have in counts.items()
                      if have - (n == largest) > chosen.get(n, 0) and n <= 100 - largest]
             pieces = list(Counter(chosen).elements())
-            parts = {part for k in range(len(pieces) + 1)
-                     for part in itertools.combinations(pieces, k)}
-            if not any(sum(part) <= n <= sum(part) + room and part != (n,)
-                       for part in parts for n in spare):
+            full = counts[100 - largest] > (2 * largest == 100)  # one piece fills the room
+            if not any(n <= room or any(m < n <= m + room for m in pieces) for n in spare) and (
+                    not full or pieces == [100 - largest]):
                 want.append((room, tuple(sorted((Counter(chosen) + Counter([largest])).items(),
                                                 reverse=True))))
         found = completions(dict(counts), largest, 100, 100)
