@@ -119,6 +119,13 @@ def stage_by_company(raw: DataFrame, min_year: int = DEFAULT_MIN_YEAR,
     return _staged(rows, raw)
 
 
+def usable_filings(raw: DataFrame, min_year: int = DEFAULT_MIN_YEAR,
+                   max_year: int = DEFAULT_MAX_YEAR) -> DataFrame:
+    """The rows and columns of ``raw`` that staging reads."""
+    return _usable(raw, min_year, max_year).select(
+        "siren", "annee", "date_cloture_exercice", *TIE_BREAK_COLUMNS)
+
+
 def _usable(raw: DataFrame, min_year: int, max_year: int) -> DataFrame:
     return raw.where(
         F.col("siren").isNotNull()

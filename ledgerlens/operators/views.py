@@ -39,6 +39,9 @@ ALERT_COLUMNS = ["siren", "chiffre_affaires", "variation_ca_pct", "delta_marge_n
                  "flag_endettement", "flag_liquidite"]
 MAX_ALERTS = 500
 
+#: Longest list of company ids that is written into a filter.
+MAX_LISTED = 10_000
+
 # Display bands (metric column, low, high, inverted).
 STATUS_BANDS = [
     ("bande_ca", "chiffre_affaires", 0, 500000, False),
@@ -93,6 +96,26 @@ def company_indicators(ind: DataFrame, siren: str | None = None,
     return clean_non_finite(_newest_first(df.select(*INDICATOR_COLUMNS), siren))
 
 
+def of_companies(stored: DataFrame, companies: list[str] | DataFrame) -> DataFrame:
+    """The rows of ``stored`` (statements, indicators or evolution) of many companies:
+    a list of ids, or a frame with a column ``siren``.
+
+    Ids of a short list reach the scan as a filter, where they select buckets and,
+    by the Bloom filters of the stored tables, row groups. A frame, or a list of
+    more than ``MAX_LISTED`` ids, is joined on ``siren``; a stored table is read
+    bucket by bucket, without an exchange of its own. Repeated ids count once; null
+    and unknown ids give nothing.
+    """
+    if isinstance(companies, DataFrame):
+        wanted = companies.select("siren")
+    else:
+        ids = sorted({c for c in companies if c is not None})
+        if len(ids) <= MAX_LISTED:
+            return stored.where(F.col("siren").isin(ids))
+        wanted = stored.sparkSession.createDataFrame([(c,) for c in ids], "siren string")
+    return stored.join(wanted, "siren", "left_semi").select(*stored.columns)
+
+
 def company_evolution(evo: DataFrame, siren: str | None = None) -> DataFrame:
     return clean_non_finite(_newest_first(_for_company(evo, siren).select(*EVOLUTION_COLUMNS), siren))
 

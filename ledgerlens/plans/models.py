@@ -25,6 +25,10 @@ from ..session import materialize
 from ..sources.parquet import company_register, save_table
 
 
+#: Companies to expect in a row group (128 MB, a few hundred thousand rows).
+SIRENS_A_ROW_GROUP = 100_000
+
+
 @dataclass
 class Models:
     stg_bilans: DataFrame
@@ -55,7 +59,8 @@ def materialize_models(raw_accounts: DataFrame, register: DataFrame, *, buckets:
                        name_of: Callable[[str], str] | None = None,
                        year_buckets: int = 16, min_year: int = DEFAULT_MIN_YEAR,
                        max_year: int = DEFAULT_MAX_YEAR, min_panel: int = 50,
-                       register_is_renamed: bool = False) -> Models:
+                       register_is_renamed: bool = False,
+                       writer_options: dict[str, str] | None = None) -> Models:
     """Store each model as a table (``CREATE OR REPLACE``) in dependency order.
 
     Downstream models are rebuilt from the stored upstream tables, so each
@@ -63,11 +68,15 @@ def materialize_models(raw_accounts: DataFrame, register: DataFrame, *, buckets:
     ``buckets`` should make a bucket a few hundred MB at the target scale, and
     ``year_buckets`` likewise a bucket of one year of the evolution mart.
     Tables are files under ``location``, or in the warehouse without it, and
-    are named by ``prefix``, or by ``name_of`` if given.
+    are named by ``prefix``, or by ``name_of`` if given. Row groups of the tables
+    by company are sorted by ``siren`` and carry a Bloom filter on it, so a lookup
+    of listed companies reads the row groups that hold them.
     """
     def save(df, name, **layout):
         table = name_of(name) if name_of else f"{prefix}{name}"
         path = f"{location.rstrip('/')}/{table}" if location else None
+        if "bucket_by" in layout:
+            layout |= dict(bloom={"siren": SIRENS_A_ROW_GROUP}, options=writer_options)
         return save_table(df, table, path=path, **layout)
 
     companies = register if register_is_renamed else company_register(register)

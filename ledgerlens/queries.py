@@ -20,6 +20,7 @@ from .operators.quality import declared_checks, quality_report
 from .operators.staging import stage_by_company, stage_companies, stage_statements
 from .plans.models import Models, materialize_models
 from .plans.runs import shared_run
+from .plans.updates import update_models
 from .session import materialize, scratch_path, scratch_table
 from .sources.fixtures import (amended_accounts, damaged, fixture_accounts,
                                fixture_register)
@@ -315,6 +316,38 @@ def q_profile_report(spark, sf_dir):
     return profile.report(_raw(spark, sf_dir), PROFILE_YEAR)
 
 
+def q_alerted_companies(spark, sf_dir):
+    """Indicators, all years, of every company with an alert in one year: a lookup
+    of many companies in the stored tables."""
+    m = _models(spark, sf_dir)
+    alerted = m.mart_evolution.where((F.col("annee_fiscale") == F.lit(ALERT_YEAR))
+                                     & (F.col("flag_degradation") == F.lit("ALERTE")))
+    return views.company_indicators(views.of_companies(m.mart_indicateurs, alerted))
+
+
+def _updated_models(spark, sf_dir) -> Models:
+    """Models built before the complete filings of one year came in, then brought up
+    to date with them: one run a session."""
+    parameters = dict(min_year=MIN_YEAR, max_year=MAX_YEAR, min_panel=50, year_buckets=4)
+
+    def build(name_of, location):
+        raw, register = _raw(spark, sf_dir), fixture_register(spark, sf_dir)
+        late = (F.col("annee") == F.lit(PROFILE_YEAR)) & (F.col("type_bilan") == F.lit("C"))
+        for accounts in (raw.where(~F.coalesce(late, F.lit(False))), raw):
+            update_models(accounts, register, name_of=name_of, location=location, **parameters)
+
+    inputs = [f"{sf_dir.rstrip('/')}/{name}.parquet" for name in ("orders", "customer")]
+    return shared_run(spark, inputs, parameters | {"updated": True}, build)
+
+
+def q_updated_models_evolution(spark, sf_dir):
+    return _updated_models(spark, sf_dir).mart_evolution
+
+
+def q_updated_models_benchmark(spark, sf_dir):
+    return _updated_models(spark, sf_dir).mart_benchmark_sectoriel
+
+
 QUERIES: dict[str, Query] = {
     "stg_statements": q_stg_statements,
     "stg_companies": q_stg_companies,
@@ -363,4 +396,7 @@ QUERIES: dict[str, Query] = {
     "stg_statements_amended": q_stg_statements_amended,
     "indicators_amended": q_indicators_amended,
     "profile_report": q_profile_report,
+    "alerted_companies": q_alerted_companies,
+    "updated_models_evolution": q_updated_models_evolution,
+    "updated_models_benchmark": q_updated_models_benchmark,
 }

@@ -4,7 +4,7 @@
 * ``company_register``       – projection, renaming and row predicates of the
   company register; ``read_company_register`` reads it from Parquet.
 * ``load_raw_accounts``      – load the accounts into a catalog table once, with
-  a completion record; ``force`` reloads.
+  a completion record, clustered by year and company; ``force`` reloads.
 * ``save_table``             – ``CREATE OR REPLACE TABLE`` sink with an
   optional partitioned / bucketed layout: written aside, then switched to.
 """
@@ -59,6 +59,9 @@ def read_company_register(spark: SparkSession, path: str) -> DataFrame:
     return company_register(spark.read.schema(REGISTER_SCHEMA).parquet(path))
 
 
+#: Order of the loaded accounts: a filter on the year reads only its row groups.
+ACCOUNT_ORDER = ("annee", "siren")
+
 #: Table property with the completion record of a load.
 LOAD_RECORD = "ledgerlens.load"
 
@@ -83,9 +86,11 @@ def load_record(spark: SparkSession, table: str) -> dict | None:
 
 def load_raw_accounts(spark: SparkSession, path: str, table: str = "raw_bilans",
                       force: bool = False, location: str | None = None,
-                      refresh: bool = False) -> DataFrame:
+                      refresh: bool = False,
+                      writer_options: dict[str, str] | None = None) -> DataFrame:
     """Load the accounts file into catalog table ``table`` once (its files under
-    ``location``, if given).
+    ``location``, if given), in ranges of year and company, so that the
+    statistics of files and row groups tell which of them hold a year.
 
     A missing file raises ``FileNotFoundError``. A loaded table is kept unless
     ``force`` is true, or ``refresh`` is and the input's files have changed.
@@ -101,7 +106,8 @@ def load_raw_accounts(spark: SparkSession, path: str, table: str = "raw_bilans",
                 and spark.table(table).count() == record["rows"]):
             return spark.table(table)
     found = input_digest(spark, path)
-    loaded = save_table(src, table, path=location)
+    loaded = save_table(src, table, path=location, options=writer_options,
+                        range_by=[c for c in ACCOUNT_ORDER if c in src.columns])
     record = json.dumps({"input": found, "rows": loaded.count(),
                          "location": _table_facts(spark, table)["Location"]})
     spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{LOAD_RECORD}' = '{record}')")
@@ -143,7 +149,9 @@ def save_table(df: DataFrame, name: str, *, path: str | None = None,
                partition_by: list[str] | None = None,
                spread_by: list[str] | None = None, spread: int = 1,
                bucket_by: list[str] | None = None, buckets: int | None = None,
-               sort_by: list[str] | None = None) -> DataFrame:
+               sort_by: list[str] | None = None, range_by: list[str] | None = None,
+               bloom: dict[str, int] | None = None,
+               options: dict[str, str] | None = None) -> DataFrame:
     """Replace table ``name`` with ``df`` and return the stored table.
 
     The rows are written to a folder of their own (a version) under ``path``, or
@@ -162,7 +170,13 @@ def save_table(df: DataFrame, name: str, *, path: str | None = None,
 
     Rows are clustered before the write: one file per bucket, or ``spread``
     files (by hash of ``spread_by``) at most per partition value, however many
-    tasks there are.
+    tasks there are. ``range_by`` (for tables without buckets and partitions)
+    stores rows in ranges of these columns, sorted; a value that many rows have
+    goes over several ranges.
+
+    ``bloom`` gives columns a Parquet Bloom filter in each row group, with the
+    number of distinct values to expect there. ``options`` are further ones of
+    the writer. Both are kept with the table, for later inserts.
     """
     spark = df.sparkSession
     if bucket_by:
@@ -172,10 +186,15 @@ def save_table(df: DataFrame, name: str, *, path: str | None = None,
     elif partition_by:
         part = [F.pmod(F.hash(*spread_by), F.lit(spread))] if spread_by else []
         df = df.repartition(*[F.col(c) for c in partition_by], *part)
+    elif range_by:
+        df = df.repartitionByRange(*range_by, F.monotonically_increasing_id()).sortWithinPartitions(*range_by)
     version = f"v-{uuid.uuid4().hex}"
     base = (path or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/{name}.versions").rstrip("/")
     staged = f"{name}__{version[2:]}"
-    writer = df.write.format("parquet").option("path", f"{base}/{version}")
+    writer = df.write.format("parquet").option("path", f"{base}/{version}").options(**(options or {}))
+    for column, distinct in (bloom or {}).items():
+        writer = (writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
+                  .option(f"parquet.bloom.filter.expected.ndv#{column}", str(distinct)))
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if bucket_by:
