@@ -35,6 +35,8 @@ SEQUENCE_LENGTH = 1024
 SEQUENCES_PER_BATCH = 256
 #: Rows of the document index that are read or written at once.
 DOCS_PER_BATCH = 4096
+#: Characters of a text that count for the ranges of documents (the order is by whole texts).
+BOUND_CHARS = 64
 _NO_DOC = "doc_id long, start long, n_tokens long, ids_crc32 long"
 _MANIFEST = "shard int, path string, n_docs long, n_tokens long, n_sequences long"
 
@@ -202,7 +204,9 @@ def write_token_files(docs: DataFrame, base: str | None = None, end_id: int = 0,
                 ["shard", "path", "n_docs", "n_tokens", "n_sequences"])
 
     ordered = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
-               .repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text"))
+               # a repeated doc_id is split by how its texts begin: the bounds hold no whole text
+               .repartitionByRange("doc_id", F.substring("text", 1, BOUND_CHARS))
+               .sortWithinPartitions("doc_id", "text"))
     return store(map_batches(ordered, run, _MANIFEST), "token-manifest")
 
 

@@ -143,6 +143,22 @@ def test_shard_random_access(tmp_path, monkeypatch):
     reader.close()
 
 
+def test_a_repeated_doc_id_is_split(spark, library):
+    """One doc_id for all documents: several shards, in the order of the texts."""
+    texts = [f"{i % 97:02d} text {i}" for i in range(2000)]
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(coalesce, "false")
+    try:
+        manifest = token_files.write_token_files(documents(spark, [(7, t) for t in texts]))
+    finally:
+        spark.conf.unset(coalesce)
+    assert manifest.count() > 2
+    rows = token_files.read_token_files(manifest).orderBy("start").collect()
+    want = [zlib.crc32(np.array([*library(t), 0], "<u4").tobytes())
+            for t in sorted(texts)]
+    assert [r["ids_crc32"] for r in rows] == want
+
+
 def test_token_files_of_nothing(spark):
     manifest = token_files.write_token_files(documents(spark, []))
     assert token_files.read_token_files(manifest).collect() == []
