@@ -105,14 +105,31 @@ def validity_intervals(entries: DataFrame) -> DataFrame:
     an unknown action. Repeated additions prolong an interval. Spellings of one
     pattern (case of the host, port, final dot, slashes) are one history, under
     the spelling of the keys.
+
+    No task holds the whole history of a pattern: the days of a period see each
+    other, and of other periods only their last action and first removal.
     """
-    by_day = _known(entries).groupBy("list", "pattern", "day").agg(F.max("action").alias("action"))
-    history = Window.partitionBy("list", "pattern").orderBy("day")
-    return (by_day.withColumn("before", F.lag("action").over(history))
-            .where(~F.col("before").eqNullSafe(F.col("action")))
-            .withColumn("valid_to", F.lead("day").over(history))
+    own = ["list", "pattern", "period"]
+    by_day = (_known(entries).groupBy("list", "pattern", "day").agg(F.max("action").alias("action"))
+              .withColumn("period", _period(F.col("day"))))
+    removed = F.when(F.col("action") == "remove", F.col("day"))
+    periods = by_day.groupBy(*own).agg(F.max_by("action", "day").alias("last_action"),
+                                       F.min(removed).alias("first_removal"))
+    earlier = Window.partitionBy("list", "pattern").orderBy("period")
+    later = (Window.partitionBy("list", "pattern").orderBy(F.desc("period"))
+             .rowsBetween(Window.unboundedPreceding, -1))
+    borders = periods.select(*own, F.lag("last_action").over(earlier).alias("action_before"),
+                             F.min("first_removal").over(later).alias("removal_after"))
+    days = Window.partitionBy(*own).orderBy("day")
+    backwards = (Window.partitionBy(*own).orderBy(F.desc("day"))
+                 .rowsBetween(Window.unboundedPreceding, -1))
+    within = (by_day.withColumn("before", F.lag("action").over(days))
+              .withColumn("removal", F.min(removed).over(backwards)))
+    return (within.join(borders, own)
+            .where(~F.coalesce("before", "action_before").eqNullSafe(F.lit("add")))
             .where("action = 'add'")
-            .select("list", "pattern", F.col("day").alias("valid_from"), "valid_to"))
+            .select("list", "pattern", F.col("day").alias("valid_from"),
+                    F.coalesce("removal", "removal_after").alias("valid_to")))
 
 
 def _period(day: Column) -> Column:

@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 
 import duckdb
 from pyspark.sql import functions as F
@@ -68,6 +69,31 @@ def test_long_histories_and_open_ends(spark):
         assert r["blocked"] == (n >= 0 and (n % 2 == 1 if n < 900 else True))
 
 
+def test_intervals_against_a_plain_walk(spark):
+    """Histories with repeated and missing actions over many periods, day by day."""
+    rng = random.Random(5)
+    entries = [(l, p, rng.choice(["add", "add", "remove"]), day(rng.randrange(-400, 400)))
+               for l in ("a", "b") for p, n in (("hot.org", 500), ("rare.org", 6), ("one.org", 1))
+               for _ in range(n)]
+    want, states = set(), {}
+    for l, p, action, d in entries:
+        states.setdefault((l, p), {}).setdefault(d, set()).add(action)
+    for (l, p), days in states.items():
+        since = None
+        for d in sorted(days):
+            if "remove" in days[d]:
+                if since:
+                    want.add((l, p, since, d))
+                since = None
+            else:
+                since = since or d
+        if since:
+            want.add((l, p, since, None))
+    _, frame = frames(spark, [], entries)
+    got = [tuple(r) for r in validity_intervals(frame).collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+
+
 def test_nothing(spark):
     captures, entries = frames(spark, CAPTURES, ENTRIES)
     assert judge_captures(captures.limit(0), entries).collect() == []
