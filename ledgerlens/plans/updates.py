@@ -51,9 +51,8 @@ REACH = 2
 
 
 def _row_hash(df: DataFrame) -> Column:
-    """64-bit hash of a row; the hash skips nulls, so a mask of them is hashed too."""
-    mask = F.concat(*[F.col(c).isNull().cast("int").cast("string") for c in df.columns])
-    return F.xxhash64(mask, *df.columns)
+    """64-bit hash of a row; the hash skips nulls, so the null tests are hashed too."""
+    return F.xxhash64(*[F.col(c).isNull() for c in df.columns], *df.columns)
 
 
 def content_digest() -> list[Column]:
